@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing
+from . import bpe, packing, simhash, url_filter
 from .tables import read
 
 
@@ -19,15 +19,26 @@ def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path()).drop("ids")
 
 
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack_documents(docs, vocabulary_path())
 
 
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return url_filter.judge(pages, url_filter.rule_table(spark)).drop("component")
+
+
 def queries() -> dict:
     return {
         "op2_bpe_encoding": op2_bpe_encoding,
+        "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
+        "op9_url_filters": op9_url_filters,
     }
 
 
