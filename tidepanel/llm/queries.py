@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, simhash, url_filter
+from . import bpe, packing, simhash, substring_dedup, url_filter
 from .tables import read
 
 
@@ -33,12 +33,17 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.rule_table(spark)).drop("component")
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removals(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def queries() -> dict:
     return {
         "op2_bpe_encoding": op2_bpe_encoding,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_url_filters": op9_url_filters,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
