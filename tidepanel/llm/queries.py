@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, packing, simhash, substring_dedup, url_filter
+from . import bpe, language_id, packing, quality, simhash, substring_dedup, url_filter
 from .tables import read
 
 
@@ -14,6 +15,18 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def remainder(n: int):
+    """crc32 of the id as text, modulo n; null for a null id."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % n
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = language_id.learn(docs.where(remainder(4) != 2))
+    own = docs.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "text")
+    return language_id.predict(own, model, ["doc_id", "held_out"])
+
+
 def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.encode_documents(docs, vocabulary_path()).drop("ids")
@@ -23,6 +36,14 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read(spark, sf_dir, "labels", "doc_id", "quality")
+    model = quality.learn(docs.where(remainder(3) != 1), labels)
+    own = docs.select("doc_id", F.coalesce(remainder(3) == 1, F.lit(False)).alias("held_out"), "text")
+    return quality.score(own, model, ["doc_id", "held_out"]).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return packing.pack_documents(docs, vocabulary_path())
@@ -39,8 +60,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op1_language_id": op1_language_id,
         "op2_bpe_encoding": op2_bpe_encoding,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
+        "op7_quality_classifier": op7_quality_classifier,
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_url_filters": op9_url_filters,
         "op10_substring_dedup": op10_substring_dedup,
