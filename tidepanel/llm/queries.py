@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, language_id, packing, quality, simhash, substring_dedup, url_filter
+from . import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, topk, url_filter
 from .tables import read
 
 
@@ -32,6 +32,14 @@ def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path()).drop("ids")
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -62,6 +70,8 @@ def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op2_bpe_encoding": op2_bpe_encoding,
+        "op4_embedding_near_dedup": op4_embedding_near_dedup,
+        "op5_exact_top_k": op5_exact_top_k,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
         "op7_quality_classifier": op7_quality_classifier,
         "op8_best_fit_packing": op8_best_fit_packing,
