@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, packing, quality, simhash, substring_dedup, topk, url_filter
+from . import bpe, embedding_dedup, language_id, licenses, packing, quality, simhash, substring_dedup, topk, url_filter
 from .tables import read
 
 
@@ -32,6 +32,10 @@ def op2_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, vocabulary_path()).drop("ids")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
 
@@ -70,6 +74,7 @@ def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
         "op2_bpe_encoding": op2_bpe_encoding,
+        "op3_license_scan": op3_license_scan,
         "op4_embedding_near_dedup": op4_embedding_near_dedup,
         "op5_exact_top_k": op5_exact_top_k,
         "op6_simhash_near_dedup": op6_simhash_near_dedup,
