@@ -85,5 +85,66 @@ def queries() -> dict:
     }
 
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(embedding) > 0"
+
+OP4_SQL = f"""WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+  reach AS (SELECT DISTINCT a AS node, a AS seen FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+  lowest AS (SELECT node, min(seen) AS low FROM reach GROUP BY 1), degree AS (SELECT a, count(*) AS n FROM links GROUP BY 1)
+  SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(low, vec_id) AS component_id, coalesce(low, vec_id) = vec_id AS kept
+  FROM embeddings LEFT JOIN lowest ON node = vec_id LEFT JOIN degree ON a = vec_id"""
+
+OP5_SQL = f"""WITH v AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings WHERE {_FINITE}),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
+  r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+  SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5"""
+
+_REST = "regexp_extract({u}, '(?s)^.*?://(.*)$', 1)"
+_HOST = "translate(regexp_extract({r}, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({r}, '(?s)^[^/?#]*([^?#]*)', 1)"
+_QUERY = "regexp_extract({r}, '(?s)^[^?#]*(\\?[^#]*)?', 1)"
+
+
+def _part(part: str, url: str) -> str:
+    return f"coalesce({part.format(r=_REST.format(u=url))}, '')"
+
+
+def _node(url: str) -> str:
+    return f"CASE WHEN {_part(_HOST, url)} <> '' THEN {_part(_HOST, url)} || {_part(_PATH, url)} || {_part(_QUERY, url)} END"
+
+
+_RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
+
+OP9_SQL = f"""WITH RECURSIVE p AS (SELECT page_id, url, html, {_part(_HOST, 'url')} AS host, {_part(_PATH, 'url')} AS path, {_node('url')} AS node FROM pages),
+  tags AS (SELECT url, host, path, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM p WHERE regexp_matches(html, '(?i)\\bcanonical\\b|\\brefresh\\b')),
+  named AS (SELECT *, replace(trim(CASE WHEN regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?\\s*canonical\\b')
+    THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^\\s>"'']+)', 1)
+    WHEN regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b') THEN regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''>]*)', 1) END), '&amp;', '&') AS t FROM tags),
+  absolute AS (SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN t LIKE '//%' THEN 'x:' || t WHEN t LIKE '/%' THEN 'x://' || host || t WHEN t LIKE '?%' THEN 'x://' || host || path || t WHEN t LIKE '#%' THEN url
+    ELSE 'x://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || t END AS target FROM named WHERE t <> ''),
+  arcs AS (SELECT node AS a, {_node('target')} AS b FROM absolute), links AS (SELECT a, b FROM arcs WHERE a <> b UNION SELECT b, a FROM arcs WHERE a <> b),
+  reach AS (SELECT DISTINCT a AS node, a AS seen FROM links UNION SELECT reach.node, links.b FROM reach JOIN links ON links.a = reach.seen),
+  places AS (SELECT DISTINCT node, {_part(_HOST, "'x://' || node")} AS host, {_part(_PATH, "'x://' || node")} AS path FROM (SELECT node FROM p UNION SELECT node FROM reach) WHERE node IS NOT NULL),
+  rules AS (SELECT v AS verdict, h, f, h || f AS rule FROM (VALUES {_RULES}) x(v, h, f)),
+  fit AS (SELECT node, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict FROM places JOIN rules
+    ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, f) GROUP BY 1),
+  inherited AS (SELECT reach.node, coalesce(bool_or(fit.verdict = 'block'), false) AND NOT coalesce(bool_or(fit.verdict = 'allow'), false) AS blocked FROM reach LEFT JOIN fit ON fit.node = seen GROUP BY 1)
+  SELECT page_id, p.host, p.path, rule, coalesce(fit.verdict, CASE WHEN blocked THEN 'block' ELSE 'allow' END) AS verdict
+  FROM p LEFT JOIN fit ON fit.node = p.node LEFT JOIN inherited ON inherited.node = p.node"""
+
+OP10_SQL = """WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), []) AS words FROM documents),
+  win AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS k FROM w, unnest(range(1, len(words) - 11)) t(i)),
+  low AS (SELECT k, min(doc_id) AS m FROM win GROUP BY 1),
+  gone AS (SELECT DISTINCT doc_id, i + o AS p FROM win JOIN low USING (k), range(13) r(o) WHERE m < doc_id),
+  g AS (SELECT doc_id, list(p) AS ps FROM gone GROUP BY 1)
+  SELECT doc_id, len(words) AS n_words, coalesce(len(ps), 0) AS n_removed,
+  sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256 FROM w LEFT JOIN g USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """What SQL can say: the rest learns a model, tokenizes or needs XXH64, and is tested by brute force."""
+    return {"op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL}
