@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -43,6 +45,10 @@ _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]*\Z")
 #: How the vocabulary's pre-tokenizer cuts such words once they are lower-cased.
 _RUNS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
 
+#: Byte-level vocabularies show bytes that don't print as characters from 256 on, in order.
+_SHOWN = {b: 256 + k for k, b in enumerate([*range(33), *range(127, 161), 173])}
+assert array("I").itemsize == 4 and sys.byteorder == "little"
+
 
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str):
@@ -66,52 +72,75 @@ def pieces_by_id(path: str) -> list[bytes]:
     return [by_id.get(i, "").encode() for i in range(max(by_id) + 1)]
 
 
+class Memory:
+    """A bounded map of two generations: what is used again in time survives, the rest goes."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def get(self, key):
+        if (found := self.young.get(key)) is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 class WordEncoder:
     """Words to ids (little-endian unsigned 32 bits), with bounded memories of words and of runs of letters.
 
-    ``memory`` bounds both; when one is full it is emptied, which costs time
-    and never changes an id.
+    ``words`` and ``runs`` bound the memories (twice as many entries at most);
+    forgetting costs time and never changes an id.
     """
 
-    def __init__(self, path: str, memory: int = 400_000):
+    def __init__(self, path: str, words: int = 350_000, runs: int = 350_000):
         self.tokenizer = load_tokenizer(path)
-        self.memory = memory
-        self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.words = Memory(words)
+        self.runs = Memory(runs)
 
     def _encode(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def word(self, word: bytes) -> bytes:
         if (ids := self.words.get(word)) is None:
             ids = self.fresh(word)
-            if len(self.words) >= self.memory:
-                self.words.clear()
-            self.words[word] = ids
+            self.words.put(word, ids)
         return ids
 
     def fresh(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
-        if not _PLAIN.match(text) or "<|" in text:
+        if text.isascii():
+            if text.isalpha():
+                return self._run(text.lower())
+            plain = text.isprintable()
+        else:
+            plain = _PLAIN.match(text)
+        if not plain or "<|" in text:
             return self._encode(text)
-        runs = self.runs
-        out = []
-        for run in _RUNS.findall(text.lower()):
-            if (ids := runs.get(run)) is None:
-                if len(runs) >= self.memory:
-                    runs.clear()
-                ids = runs[run] = self._encode(run)
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self._run, _RUNS.findall(text.lower())))
+
+    def _run(self, run: str) -> bytes:
+        """Ids of what the pre-tokenizer gives the model, here without the library's other steps."""
+        if (ids := self.runs.get(run)) is None:
+            seen = run if run.isascii() else run.encode().decode("latin-1").translate(_SHOWN)
+            ids = array("I", [t.id for t in self.tokenizer.model.tokenize(seen)]).tobytes()
+            self.runs.put(run, ids)
+        return ids
 
     def text(self, text: bytes) -> bytes:
         """Ids of a whole text."""
-        known = self.words
         words = text.split()
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            return b"".join([self.word(w) for w in words])
+        ids = list(map(self.words.young.get, words))
+        if None in ids:
+            for k, found in enumerate(ids):
+                if found is None:
+                    ids[k] = self.word(words[k])
+        return b"".join(ids)
 
 
 _encoders: dict[str, WordEncoder] = {}
