@@ -93,6 +93,15 @@ def target_coverage(frame: DataFrame) -> DataFrame:
     return own.groupBy("commodity").agg(*out)
 
 
+def coverage(frame: DataFrame) -> DataFrame:
+    """Feature and target coverage side by side; columns that both have get _x and _y."""
+    features, targets = feature_coverage(frame), target_coverage(frame)
+    keys = ["commodity", "row_count"]
+    both = (set(features.columns) & set(targets.columns)) - set(keys)
+    named = lambda f, end: f.select(*(F.col(c).alias(c + end if c in both else c) for c in f.columns))
+    return named(features, "_x").join(named(targets, "_y"), keys, "full_outer")
+
+
 def _by_horizon(frame: DataFrame) -> DataFrame:
     """A row for each row and horizon with its target as ``target``: a narrow expansion, no shuffle."""
     own = with_columns(_keyed(frame), PRICE_FEATURES + list(TARGET_VALUES.values()))

@@ -19,6 +19,7 @@ from ..operators import analytics as A
 from ..operators import diagnostics as D
 from ..operators import features as P
 from ..operators import gate
+from ..operators import models as M
 from ..operators.checks import duplicate_pairs
 from ..sources import panels
 from ..sources.panels import orders_panel, table, with_gaps
@@ -501,7 +502,45 @@ def structural_jumps(spark, sf):
     return D.structural_jumps(ready(spark, sf))
 
 
-@query()
+def _rule(rule: str, subject: str, value: str, warn: str, fail: str, above: bool, source: str) -> str:
+    """Rows of one rule in SQL; ``source`` is a parenthesized select."""
+    return f"SELECT '{rule}' AS rule, {subject} AS subject, CAST({value} AS DOUBLE) AS value, CAST({warn} AS DOUBLE) AS warn_bound, CAST({fail} AS DOUBLE) AS fail_bound, {str(above).lower()} AS above FROM {source}"
+
+
+_WINDOW_ROWS = f"SELECT commodity, horizon, coalesce(max(date) FILTER (WHERE usable AND target IS NOT NULL) - min(date) FILTER (WHERE usable AND target IS NOT NULL) + 1, 0) AS span_days FROM ({_HORIZON}) GROUP BY 1, 2"
+_FLAT_ROWS = """SELECT commodity, CASE WHEN sum(prices) = 0 THEN 0 ELSE max(repeats) + 1 END AS flat FROM (SELECT commodity, island, count(*) FILTER (WHERE same) AS repeats, count(price_idr) AS prices FROM (
+  SELECT *, sum(CASE WHEN same THEN 0 ELSE 1 END) OVER (PARTITION BY commodity ORDER BY date) AS island FROM (
+  SELECT *, coalesce(price_idr = lag(price_idr) OVER (PARTITION BY commodity ORDER BY date), false) AS same FROM panel)) GROUP BY 1, 2) GROUP BY 1"""
+_EXTREME_ROWS = "SELECT commodity, abs(quantile_cont(price_change_1d_pct, 0.9)) AS p90, count(*) FILTER (WHERE abs(price_change_1d_pct) > 8.0) AS jumps, " + ", ".join(
+    f"max(abs(price_change_{k}_pct)) / nullif(median(abs(price_change_{k}_pct)), 0) AS ratio_{k}" for k in ("1d", "7d", "30d")
+) + " FROM ready GROUP BY 1"
+_TOTALS = "SELECT " + ", ".join(f"coalesce(sum(trainable_rows_{h}d), 0) AS t{h}" for h in (7, 30)) + f" FROM ({_TARGETS})"
+_RULE_ROWS = [
+    _rule("null_prices", "'all'", "avg(CASE WHEN price_idr IS NULL THEN 1.0 ELSE 0.0 END)", "NULL", "0.01", True, "panel"),
+    _rule("non_positive_prices", "'all'", "avg(CASE WHEN price_idr <= 0 THEN 1.0 ELSE 0.0 END)", "NULL", "0.0", True, "panel"),
+    _rule("duplicates", "'all'", "count(*)", "NULL", "0", True, "(SELECT date, commodity FROM panel GROUP BY 1, 2 HAVING count(*) > 1)"),
+    _rule("unexpected", "'all'", "0", "NULL", "0", True, "(SELECT 1)"),
+    _rule("missing_days", "commodity", "missing_day_ratio", "0.35", "0.6", True, f"({_GAPS})"),
+    *(_rule("critical_feature", f"commodity || ' {f}'", f"{f}_non_null_rate", "0.55", "0.35", False, f"({_COVERAGE})") for f in TIERS["critical"]),
+    _rule("model_rows", "commodity", "model_feature_usable_rate", "0.4", "NULL", False, f"({_COVERAGE})"),
+    *(_rule("target_rate", f"commodity || ' {h}d'", f"target_{h}d_non_null_rate", "0.25", "0.2", False, f"({_TARGETS})") for h in (7, 30)),
+    *(_rule("trainable", f"commodity || ' {h}d'", f"trainable_rows_{h}d", "NULL", n, False, f"({_TARGETS})") for h, n in ((7, "20"), (30, "12"))),
+    *(_rule("trainable_total", f"'{h}d'", f"t{h}", "NULL", n, False, f"({_TOTALS})") for h, n in ((7, "50"), (30, "30"))),
+    _rule("span", "commodity || ' ' || horizon", "span_days", "NULL", "CASE WHEN horizon = '7d' THEN 45 ELSE 60 END", False, f"({_WINDOW_ROWS})"),
+    _rule("classes", "commodity || ' ' || horizon", "classes_present", "NULL", "2", False, f"({_balance_sql('commodity, horizon')})"),
+    *(_rule("class_ratio", f"commodity || ' ' || horizon || ' {c}'", f"{c.lower()}_ratio", "0.05", "0.01", False, f"({_balance_sql('commodity, horizon')})") for c in CLASSES),
+    _rule("tolerance", "field", "tolerance_ratio", "0.5", "0.8", True, f"({_match_sql('field')})"),
+    _rule("no_match", "field", "no_match_ratio", "0.8", "NULL", True, f"({_match_sql('field')})"),
+    _rule("p90_change", "commodity", "p90", "50.0", "150.0", True, f"({_EXTREME_ROWS})"),
+    *(_rule("max_to_median", f"commodity || ' {k}'", f"ratio_{k}", "20.0", "50.0", True, f"({_EXTREME_ROWS})") for k in ("1d", "7d", "30d")),
+    _rule("flat", "commodity", "flat", "21", "45", True, f"({_FLAT_ROWS})"),
+    _rule("jumps", "commodity", "CASE WHEN jumps > 0 THEN ratio_1d END", "8.0", "15.0", True, f"({_EXTREME_ROWS})"),
+]
+_BEYOND = "coalesce(CASE WHEN above THEN value > {b} ELSE value < {b} END, false)"
+_VERDICT = f"CASE WHEN {_BEYOND.format(b='fail_bound')} THEN 'FAIL' WHEN {_BEYOND.format(b='warn_bound')} THEN 'WARN' ELSE 'PASS' END"
+
+
+@query(on_ready(f"SELECT rule, subject, round(value, 4) AS value, warn_bound, fail_bound, above, {_VERDICT} AS verdict FROM ({' UNION ALL '.join(_RULE_ROWS)})"))
 def readiness_rules(spark, sf):
     config = DiagnosticsConfig()
     frames = gate.diagnosis_frames(panel(spark, sf), ready(spark, sf), config)
@@ -643,6 +682,46 @@ def box_stats(spark, sf):
     return rounded(A.box_stats(panel(spark, sf), "price_idr", "commodity"), 4)
 
 
+# --- models ---------------------------------------------------------------------------------
+
+_FOLDS = """placed AS (SELECT date, commodity, row_number() OVER (ORDER BY date, commodity) - 1 AS i, count(*) OVER () AS n FROM panel),
+  sized AS (SELECT *, greatest(n // 6, 1) AS size, n - 5 * greatest(n // 6, 1) AS head FROM placed)"""
+
+
+@query(sql("SELECT date, commodity, CAST(CASE WHEN i < head THEN 0 ELSE (i - head) // size + 1 END AS INTEGER) AS fold FROM sized", PANEL, _FOLDS))
+def expanding_folds(spark, sf):
+    return M.expanding_folds(panel(spark, sf).select("date", "commodity"), 5)
+
+
+_IMPUTED = ["price_idr", "price_lag_7d", "rolling_mean_30d", "volatility_30d_pct"]
+
+
+@query(on_ready("SELECT " + ", ".join(f"round(quantile_cont({c}, 0.5), 4) AS {c}" for c in _IMPUTED) + ", mode(is_month_start) AS is_month_start FROM ready"))
+def imputation_values(spark, sf):
+    values = M.imputation_values(P.base_features(ready(spark, sf)))
+    return rounded(spark.createDataFrame([(*(float(values[c]) for c in _IMPUTED), int(values["is_month_start"]))], ", ".join(f"{c} double" for c in _IMPUTED) + ", is_month_start int"), 4)
+
+
+@query()
+def model_predictions(spark, sf):
+    """A logistic model of the train rows, applied to the validation rows."""
+    split = P.time_split(P.attach_targets(P.base_features(ready(spark, sf))))
+    model = M.fit(split.where("split = 'train'"), "target_7d_class", "logistic", maxIter=20)
+    return M.predict(model, split.where("split = 'valid'")).select("date", "commodity", "target_7d_class", "pred_class", "confidence", "p_deflation", "p_stable", "p_inflation")
+
+
+@query(
+    on_ready(
+        "SELECT coalesce(f.commodity, t.commodity) AS commodity, coalesce(f.row_count, t.row_count) AS row_count, f.strict_feature_usable_rows AS strict_feature_usable_rows_x, t.strict_feature_usable_rows AS strict_feature_usable_rows_y, trainable_rows_7d, trainable_rows_30d "
+        f"FROM ({_COVERAGE}) f FULL JOIN ({_TARGETS}) t ON f.commodity = t.commodity AND f.row_count = t.row_count"
+    )
+)
+def coverage_outer_join(spark, sf):
+    frame = ready(spark, sf)
+    both = D.coverage(frame)
+    return both.select("commodity", "row_count", "strict_feature_usable_rows_x", "strict_feature_usable_rows_y", "trainable_rows_7d", "trainable_rows_30d")
+
+
 # --- wide panels for the bench -----------------------------------------------------------
 
 _SUPPLIERS = "panel AS (SELECT CAST(l_suppkey AS VARCHAR) AS commodity, CAST(l_shipdate AS DATE) AS date, max(l_extendedprice) AS price_idr FROM lineitem WHERE l_suppkey IS NOT NULL AND l_shipdate IS NOT NULL GROUP BY 1, 2)"
