@@ -31,6 +31,8 @@ from .blocks import slices, text_bytes
 
 FEATURES = 4096
 SAMPLE = 800
+#: Bounds of what is learned from: rows in all, and languages (the most frequent ones).
+SAMPLE_TOTAL, LANGUAGES = 16_000, 400
 COST, EPOCHS, SEED = 4.0, 12, 11
 UNDETERMINED = "und"
 
@@ -166,19 +168,23 @@ def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str =
     all rows. Of each language at most 1.2 times ``sample`` are kept.
     """
     own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(id_column).cast("long").alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    counts = own.groupBy("_lang").agg(F.count("*").alias("_n"))
+    counts = own.groupBy("_lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").limit(LANGUAGES).collect()
+    if not counts:
+        return Model({}, np.zeros((0, FEATURES + 1), np.float32), {})
+    sample = max(1, min(sample, SAMPLE_TOTAL // len(counts)))
+    shares = docs.sparkSession.createDataFrame([(r["_lang"], r["_n"]) for r in counts], "_lang string, _n long")
     draw = F.pmod(F.xxhash64(F.col("_id"), F.lit(SEED)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * F.lit(float(sample)) / F.col("_n")
-    # One row for each language, as many as there are codes in use; no text is shuffled.
-    drawn = own.join(F.broadcast(counts), "_lang").where(draw).select("_id", "_lang", "_text").mapInArrow(_profiles, "id long, lang string, profile binary")
+    # At most ``LANGUAGES`` rows are broadcast; no text is shuffled.
+    drawn = own.join(F.broadcast(shares), "_lang").where(draw).select("_id", "_lang", "_text").mapInArrow(_profiles, "id long, lang string, profile binary")
     unique = drawn.where("profile is not null").groupBy("lang", "id").agg(F.min("profile").alias("profile"))
     got = sorted(unique.collect(), key=lambda r: (r["lang"], r["id"] is None, r["id"] or 0))
-    if not got:
-        return Model({}, np.zeros((0, FEATURES + 1), np.float32), {})
     kept, seen = [], {}
     for r in got:
         seen[r["lang"]] = seen.get(r["lang"], 0) + 1
         if seen[r["lang"]] <= 1.2 * sample:
             kept.append(r)
+    if not kept:
+        return Model({}, np.zeros((0, FEATURES + 1), np.float32), {})
     return fit(np.array([np.frombuffer(r["profile"], np.float16) for r in kept], np.float32), [r["lang"] for r in kept])
 
 
