@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm import language_id, packing, quality, simhash, substring_dedup
 from tidepanel.llm.queries import remainder, vocabulary_path
-from tidepanel.llm.tables import materialize, read
+from tidepanel.llm.tables import drop, materialize, read
 
 #: Documents below are rejected. A language score of one quarter says nothing among four languages.
 MIN_QUALITY = 0.5
@@ -62,7 +62,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").lower())
+        before, docs = docs, materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-").lower())
+        drop(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 

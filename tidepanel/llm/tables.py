@@ -55,6 +55,10 @@ def repeatable_scans(spark: SparkSession):
         yield
 
 
+#: Tables of this process in shared folders, for ``clean``.
+_made: set[str] = set()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back.
 
@@ -66,18 +70,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     with settings(spark, **{SHUFFLE_CLEANUP.replace(".", "__"): "true"}):
         df.write.option("compression", "zstd").parquet(path)
+    _made.add(path)
     out = spark.read.schema(schema).parquet(path)
     out._shared_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    _made.discard(path)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a table that ``materialize`` wrote, once nothing reads it any more."""
-    path = getattr(df, "_shared_path", None)
-    if path:
-        jvm = df.sparkSession._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(target, True)
+    if path := getattr(df, "_shared_path", None):
+        _delete(df.sparkSession, path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete all tables that this process wrote into shared folders.
+
+    Results of operators read such tables, so write them out before.
+    """
+    for path in list(_made):
+        _delete(spark, path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
