@@ -7,6 +7,8 @@ the block. That keeps shuffles far below one row for each word.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +19,13 @@ BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 60_000
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, and so would the memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def text_bytes(column) -> list[bytes]:
     """The texts as UTF-8 bytes, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -98,7 +98,7 @@ class WordEncoder:
     forgetting costs time and never changes an id.
     """
 
-    def __init__(self, path: str, words: int = 350_000, runs: int = 350_000):
+    def __init__(self, path: str, words: int = 80_000, runs: int = 200_000):
         self.tokenizer = load_tokenizer(path)
         self.words = Memory(words)
         self.runs = Memory(runs)

@@ -38,13 +38,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import from_ipc, task_blocks, text_bytes, to_ipc
+from .blocks import from_ipc, give_back, task_blocks, text_bytes, to_ipc
 from .tables import drop, materialize, repeatable_scans, shuffle_partitions
 
 WINDOW_WORDS = 13
 #: Bytes of text for which a bucket is made; a window takes some 40 bytes in a bucket's task.
-BUCKET_TEXT = 6 << 20
-BLOCK_TEXT = 6 << 20
+BUCKET_TEXT = 3 << 20
+BLOCK_TEXT = 3 << 20
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = np.iinfo(np.int64).max
 
@@ -147,6 +147,8 @@ def _send(text: str, id_column: str, window: int, buckets: int):
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SENT)
+            del hashes, docs, rows
+            give_back()
 
     return run
 
@@ -191,6 +193,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held.append(row)
     if held:
         yield _answer(held)
+    held = []
+    give_back()
 
 
 def _ship(text: str):
@@ -254,6 +258,8 @@ def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool):
                 else:
                     cols = [pa.array(kept, pa.string()) if n == text else table.column(n).combine_chunks() for n in table.column_names]
                     yield pa.RecordBatch.from_arrays([*cols, pa.array(n_removed, pa.int64())], names=[*table.column_names, "_removed"])
+                del table, w, gone, kept, before
+                give_back()
 
     return run
 
