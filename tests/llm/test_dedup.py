@@ -98,6 +98,12 @@ def test_keep_one(spark):
     assert kept[0].asDict().keys() == {"doc_id", "text", "component_id", "_fp"}
 
 
+def test_rows_without_ids_keep_one_a_group(spark):
+    docs = [(None, "a b c d e"), (None, "a b c d e"), (None, text(50)), (None, text(50)), (0, text(50)), (None, None)]
+    kept = simhash.keep_one(frame(spark, docs)).collect()
+    assert sorted((r["text"] for r in kept), key=str) == sorted({t for _, t in docs}, key=str)
+
+
 def test_empty_tables(spark):
     empty = frame(spark, corpus()).limit(0)
     for f in (simhash.near_duplicates, simhash.keep_one, substring_dedup.removals, substring_dedup.remove):

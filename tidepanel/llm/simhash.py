@@ -177,12 +177,12 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Da
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """From rows (doc_id, _fp): each distinct _fp with its component_id, the smallest doc_id of its component."""
+    """From rows (doc_id, _fp): each distinct _fp with its component's _root (a fingerprint) and component_id (the smallest doc_id)."""
     groups = materialize(prints.groupBy("_fp").agg(F.min("doc_id").alias("_first")), "fingerprints")
     found = connected_components(links(groups.select("_fp"), max_bits), "a", "b")
     labelled = groups.join(found.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", "_first", F.coalesce("component", "_fp").alias("_root"))
     lowest = labelled.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    return materialize(labelled.join(lowest, "_root").select("_fp", "component_id"), "classes")
+    return materialize(labelled.join(lowest, "_root").select("_fp", "_root", "component_id"), "classes")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -209,7 +209,14 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_c
     prints = materialize(fingerprints(own, ["doc_id", "_th"]), "simhash")
     found = classes(prints, max_bits)
     kept = prints.join(found, "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("component_id").agg(F.min("_th").alias("_kt")).select(F.col("component_id").alias("_kd"), "_kt").distinct()
-    keyed = docs.withColumns({"_d": F.col(id_column).cast("long"), "_t": F.xxhash64(text)})
-    joined = keyed.join(kept, F.col("_d").eqNullSafe(F.col("_kd")) & (F.col("_t") == F.col("_kt")), "left_semi")
-    return joined.dropDuplicates(["_d", "_t"]).select(*docs.columns)
+    kept = kept.groupBy("_root", "component_id").agg(F.min("_th").alias("_t")).select(*_id_key("component_id"), "_t")
+    keyed = docs.select("*", *_id_key(F.col(id_column).cast("long")), F.xxhash64(text).alias("_t"))
+    # The join and the choice among repeated rows share one exchange of the texts.
+    key = ["_d", "_n", "_t"]
+    return keyed.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+
+
+def _id_key(x) -> list:
+    """An id as two columns that are never null, so that plain equality joins null ids too."""
+    c = F.col(x) if isinstance(x, str) else x
+    return [F.coalesce(c, F.lit(0)).alias("_d"), c.isNull().alias("_n")]
