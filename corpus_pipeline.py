@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidepanel.llm import language_id, packing, quality, simhash, substring_dedup
 from tidepanel.llm.queries import remainder, vocabulary_path
-from tidepanel.llm.tables import drop, materialize, read
+from tidepanel.llm.tables import drop, materialize, read, unused
 
 #: Documents below are rejected. A language score of one quarter says nothing among four languages.
 MIN_QUALITY = 0.5
@@ -21,14 +21,16 @@ MIN_LANGUAGE = 0.3
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose quality score is at least ``MIN_QUALITY``."""
     model = quality.learn(docs.where(remainder(3) != 1), read(spark, sf_dir, "labels", "doc_id", "quality"))
-    return quality.score(docs, model, docs.columns).where(F.col("score") >= MIN_QUALITY).select(*docs.columns)
+    (score,) = unused(docs.columns, "score")
+    return quality.score(docs, model, docs.columns, out=score).where(F.col(score) >= MIN_QUALITY).select(*docs.columns)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps documents whose language can be told."""
     model = language_id.learn(docs.where(remainder(4) != 2))
-    known = (F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= MIN_LANGUAGE)
-    return language_id.predict(docs, model, docs.columns).where(known).select(*docs.columns)
+    found, score = unused(docs.columns, "lang_pred", "score")
+    known = (F.col(found) != language_id.UNDETERMINED) & (F.col(score) >= MIN_LANGUAGE)
+    return language_id.predict(docs, model, docs.columns, out=(found, score)).where(known).select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

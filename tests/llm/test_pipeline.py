@@ -38,6 +38,20 @@ def test_dedup_shrinks_and_packing_covers(spark, stages):
     assert packed.groupBy("sequence_id").sum("length").selectExpr("max(`sum(length)`)").first()[0] <= 4096
 
 
+def test_nulls_repeats_and_clashing_columns(spark):
+    """Each filtering stage takes a small table with all that can be odd and gives its columns back."""
+    names = ["_d", "_t", "_doc", "_text", "_removed", "score", "lang_pred", "component_id"]
+    docs = read(spark, SMALL, "documents").limit(20).selectExpr("*", *(f"'x' as `{n}`" for n in names))
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0), (2, None, None, "s", None), (None, "word " * 30_000, "en", None, 5)], "doc_id long, text string, lang string, source string, n_chars long")
+    odd = docs.limit(0).unionByName(odd, allowMissingColumns=True)
+    for rows in (docs.unionByName(odd), odd, docs.limit(0)):
+        table = materialize(rows, "odd")
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, table, SMALL)
+            assert out.columns == table.columns and out.count() <= table.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, table, SMALL).select("doc_id").count() >= table.count()
+
+
 def test_query_is_registered(spark):
     import __spark_entry__ as entry
 

@@ -188,22 +188,22 @@ def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str =
     return fit(np.array([np.frombuffer(r["profile"], np.float16) for r in kept], np.float32), [r["lang"] for r in kept])
 
 
-def _predict(sent, source: str, names: list[str]):
+def _predict(sent, source: str, names: list[str], out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for batch in batches:
             for part in slices(batch):
                 found = [model.predict(features(t)) for t in text_bytes(part.column(source))]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, "lang_pred", "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())], names=[*names, *out])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` (none called lang_pred or score), lang_pred and score (0 to 1) of every row.
+def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` and, by the names in ``out`` (none of these), language and score (0 to 1) of every row.
 
     Only the text is looked at.
     """
     own = docs.select(*keep, *([] if text in keep else [text]))
     schema = ", ".join(f"`{n}` {own.schema[n].dataType.simpleString()}" for n in keep)
-    return own.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), text, keep), f"{schema}, lang_pred string, score double")
+    return own.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), text, keep, list(out)), f"{schema}, `{out[0]}` string, `{out[1]}` double")

@@ -163,19 +163,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int =
     return fit([np.frombuffer(r["bag"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got], np.array([r["label"] for r in got]))
 
 
-def _score(sent, source: str, names: list[str]):
+def _score(sent, source: str, names: list[str], out: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = sent.value
         for batch in batches:
             for part in slices(batch):
                 scores = [model.score(passages(t)) for t in text_bytes(part.column(source))]
-                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, "score"])
+                yield pa.RecordBatch.from_arrays([*(part.column(n) for n in names), pa.array(scores, pa.float64())], names=[*names, out])
 
     return run
 
 
-def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text") -> DataFrame:
-    """Columns ``keep`` (none called score) and score, from 0 to 1, of every row."""
+def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
+    """Columns ``keep`` and ``out`` (no name of these), the score from 0 to 1, of every row."""
     own = docs.select(*keep, *([] if text in keep else [text]))
     schema = ", ".join(f"`{n}` {own.schema[n].dataType.simpleString()}" for n in keep)
-    return own.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), text, keep), f"{schema}, score double")
+    return own.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), text, keep, out), f"{schema}, `{out}` double")

@@ -21,12 +21,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import slices, text_bytes
 from .components import connected_components
-from .tables import drop, materialize, shuffle_partitions
+from .tables import materialize, shuffle_partitions, unused
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -209,14 +209,13 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_c
     prints = materialize(fingerprints(own, ["doc_id", "_th"]), "simhash")
     found = classes(prints, max_bits)
     kept = prints.join(found, "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("_root", "component_id").agg(F.min("_th").alias("_t")).select(*_id_key("component_id"), "_t")
-    keyed = docs.select("*", *_id_key(F.col(id_column).cast("long")), F.xxhash64(text).alias("_t"))
+    key = unused(docs.columns, "_d", "_n", "_t")
+    kept = kept.groupBy("_root", "component_id").agg(F.min("_th").alias(key[2])).select(*_id_key(F.col("component_id"), key), key[2])
+    keyed = docs.select("*", *_id_key(F.col(id_column).cast("long"), key), F.xxhash64(text).alias(key[2]))
     # The join and the choice among repeated rows share one exchange of the texts.
-    key = ["_d", "_n", "_t"]
     return keyed.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
-def _id_key(x) -> list:
+def _id_key(c: Column, names: list[str]) -> list[Column]:
     """An id as two columns that are never null, so that plain equality joins null ids too."""
-    c = F.col(x) if isinstance(x, str) else x
-    return [F.coalesce(c, F.lit(0)).alias("_d"), c.isNull().alias("_n")]
+    return [F.coalesce(c, F.lit(0)).alias(names[0]), c.isNull().alias(names[1])]

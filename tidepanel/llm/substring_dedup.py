@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import from_ipc, give_back, task_blocks, text_bytes, to_ipc
-from .tables import drop, materialize, repeatable_scans, shuffle_partitions
+from .tables import drop, materialize, repeatable_scans, shuffle_partitions, unused
 
 WINDOW_WORDS = 13
 #: Bytes of text for which a bucket is made; a window takes some 40 bytes in a bucket's task.
@@ -222,7 +222,7 @@ def _intervals(w: Windows, answers: list[dict], buckets: int, window: int) -> np
     return np.cumsum(steps[:-1]) > 0
 
 
-def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool):
+def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool, removed: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block, a block's answers before its documents."""
         block, answers = None, []
@@ -257,7 +257,7 @@ def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool):
                     yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "n_removed", "kept_sha256"])
                 else:
                     cols = [pa.array(kept, pa.string()) if n == text else table.column(n).combine_chunks() for n in table.column_names]
-                    yield pa.RecordBatch.from_arrays([*cols, pa.array(n_removed, pa.int64())], names=[*table.column_names, "_removed"])
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array(n_removed, pa.int64())], names=[*table.column_names, removed])
                 del table, w, gone, kept, before
                 give_back()
 
@@ -267,7 +267,8 @@ def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool):
 def _run(docs: DataFrame, window: int, text: str, id_column: str, digest: bool) -> DataFrame:
     spark = docs.sparkSession
     hashed = docs.select(F.col(id_column).cast("long").alias("_doc"), F.col(text).alias("_text"))
-    shipped = docs.select(F.col(id_column).cast("long").alias("_doc"), F.col(text).alias("_text"), *([] if digest else [c for c in docs.columns if c != text]))
+    d, t, removed = unused(docs.columns, "_doc", "_text", "_removed")
+    shipped = docs.select(F.col(id_column).cast("long").alias(d), F.col(text).alias(t), *([] if digest else [c for c in docs.columns if c != text]))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = max(16, -(-size // BUCKET_TEXT))
     parts = max(shuffle_partitions(spark), buckets // 4)
@@ -275,14 +276,14 @@ def _run(docs: DataFrame, window: int, text: str, id_column: str, digest: bool)
         sent = hashed.mapInArrow(_send("_text", "_doc", window, buckets), "bucket int, block long, check long, n long, payload binary")
         counted = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_count, "block long, bucket int, check long, n long, payload binary")
         answers = materialize(counted, "windows")
-        blocks = shipped.mapInArrow(_ship("_text"), "block long, bucket int, check long, n long, payload binary")
+        blocks = shipped.mapInArrow(_ship(t), "block long, bucket int, check long, n long, payload binary")
         # Blocks come first in the union: their ids are made from the task's place in the scan.
         joined = blocks.unionByName(answers).repartition(parts, "block").sortWithinPartitions("block", "bucket")
         if digest:
             schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
         else:
-            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shipped.schema.fields) + ", _removed long"
-        out = materialize(joined.mapInArrow(_apply("_text", "_doc", window, buckets, digest), schema), "substring")
+            schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shipped.schema.fields) + f", `{removed}` long"
+        out = materialize(joined.mapInArrow(_apply(t, d, window, buckets, digest, removed), schema), "substring")
         drop(answers)
     return out
 
@@ -303,4 +304,5 @@ def remove(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "text", id_c
     the kept words are joined by blanks. No row is dropped, all columns stay.
     """
     out = _run(docs, window, text, id_column, False)
-    return out.select(*(F.col("_text").alias(c) if c == text else F.col(c) for c in docs.columns))
+    (kept,) = unused(docs.columns, "_text")
+    return out.select(*(F.col(kept).alias(c) if c == text else F.col(c) for c in docs.columns))

@@ -99,3 +99,15 @@ def clean(spark: SparkSession) -> None:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened where a table has them already (Spark doesn't tell upper from lower case)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
