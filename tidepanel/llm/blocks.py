@@ -71,7 +71,7 @@ def task_blocks(batches: Iterator[pa.RecordBatch], text: str, **limits) -> Itera
 
 def to_ipc(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=5))) as out:
         out.write_table(table.combine_chunks())
     return sink.getvalue().to_pybytes()
 
