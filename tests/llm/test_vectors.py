@@ -95,3 +95,41 @@ def test_empty(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert embedding_dedup.near_duplicates(empty).count() == 0
     assert topk.top_k(empty, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def with_pairs(typical, n, pairs, seed=7, size=64):
+    """Unit vectors of one label with a typical cosine, the last ``pairs`` with a partner at cosine 0.935 among the first."""
+    rng = np.random.default_rng(seed)
+    mean = rng.normal(size=size)
+    mean *= np.sqrt(typical) / np.sqrt(mean @ mean)
+    x = rng.normal(size=(n, size)) * np.sqrt((1 - typical) / size) + mean
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    y = rng.normal(size=(pairs, size))
+    y -= (y * x[:pairs]).sum(1, keepdims=True) * x[:pairs]
+    y /= np.sqrt((y * y).sum(1, keepdims=True))
+    return np.concatenate([x, 0.935 * x[:pairs] + np.sqrt(1 - 0.935**2) * y]).astype(np.float32)
+
+
+def missed(spark, x, **parameters):
+    frame = spark.createDataFrame([(k, v.tolist(), 1, "x") for k, v in enumerate(x)], SCHEMA)
+    y = x.astype(np.float64)
+    y /= np.sqrt((y * y).sum(1, keepdims=True))
+    want = (y @ y.T >= 0.93).sum(1) - 1
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_duplicates(frame, **parameters).collect()}
+    assert all(got[k] <= w for k, w in enumerate(want.tolist()))
+    return int(want.sum()) - sum(got.values()), int(want.sum())
+
+
+def test_links_among_vectors_with_a_common_mean(spark):
+    lost, links = missed(spark, with_pairs(0.8, 3000, 200))
+    assert links >= 400 and lost == 0
+
+
+def test_gains_tell_what_a_pass_sees():
+    # Two windows of one key between other keys: only the middle knows that its group is too wide.
+    keys = [0] * 3 + [1 << 30] * 9 + [1 << 31] * 3
+    gains = embedding_dedup._gains([(0, 0, 8, key, k, b"", 1.0) for k, key in enumerate(keys)], 2, 0.93)
+    assert (gains[:3] == 0).all() and (gains[-3:] == 0).all() and (gains[3:12] == 0).all()
+    keys = [k << 28 for k in range(16)]
+    gains = embedding_dedup._gains([(0, 0, 8, key, k, b"", 1.0) for k, key in enumerate(keys)], 2, 0.93)
+    assert (gains[:3] == 0).all() and (gains[3:-3] < 0).all() and (gains[-3:] == 0).all()
