@@ -127,6 +127,40 @@ def test_search_empties_a_bin():
     assert sum(b for _, b in packing.local_search(bins).classes()) == 2
 
 
+def exchanges_left(classes, capacity):
+    """Whether two bins are left of which the fuller can gain by 0, 1 or 2 pieces for one, or one for two."""
+    bins = [(capacity - sum(n * c for n, c in p), k, [n for n, c in p for _ in range(c)], many) for k, (p, many) in enumerate(classes)]
+    bins = [b for b in bins if b[0]]
+    give = {1: [], 2: []}
+    for free, k, own, _ in bins:
+        give[1] += [(n, free, k) for n in own]
+        give[2] += [(a + b, free, k) for i, a in enumerate(own) for b in own[:i]]
+    give = {k: np.array(v, np.int64).reshape(-1, 3) for k, v in give.items()}
+    for free, k, own, many in bins:
+        outs = {(1, 0), *((1, n) for n in own), *((2, n) for n in own), *((1, a + b) for i, a in enumerate(own) for b in own[:i])}
+        for pieces, out in outs:
+            x = give[pieces]
+            if ((x[:, 0] > out) & (x[:, 0] <= out + free) & (x[:, 1] >= free) & ((x[:, 2] != k) | (many > 1))).any():
+                return True
+    return False
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 9), max_size=12))
+def test_search_ends_where_no_exchange_is_left(histogram):
+    assert not exchanges_left(packing.plan(histogram, 50), 50)
+
+
+def test_search_of_many_classes_goes_on_to_the_end():
+    lengths, counts = np.unique(np.random.default_rng(1).integers(1024, 2049, 20_000), return_counts=True)
+    histogram = dict(zip(lengths.tolist(), counts.tolist(), strict=True))
+    before = sum(b for _, b in packing.best_fit(histogram, 4096).classes())
+    after = packing.plan(histogram)
+    assert {n: sum(c * b for p, b in after for m, c in p if m == n) for n in histogram} == histogram
+    assert not exchanges_left(after, 4096)
+    assert sum(b for _, b in after) < 0.97 * before
+
+
 def test_one_length_in_all_rows(spark):
     docs = spark.range(5000).selectExpr("id as doc_id", "'same text here' as text").repartition(7)
     found = packing.pack_documents(docs, PATH)

@@ -6,7 +6,8 @@ The plan is made on that histogram: a bin class is a pattern of lengths and
 how many bins have it. Best fit in decreasing order of length fills classes;
 then a local search over the underfull classes moves one piece, exchanges one
 for one, or two for one, whenever that raises the sum of squared fills, until
-nothing does; bins that empty on the way are gone.
+nothing does; bins that empty on the way are gone. Partners are found by an
+index of what underfull classes can give, so each class asks for its gap only.
 
 Rows get their places by rank within their length: each task numbers its rows
 of a length, counts of (task, length) are summed up to offsets, and a segment
@@ -23,6 +24,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +37,6 @@ from .tables import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Tries of the local search, a bound on the driver's time alone; every piece has its place without it.
-SEARCH_TRIES = 400_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -133,64 +133,117 @@ def _changed(pattern, out=(), into=()):
     return tuple(sorted(((n, c) for n, c in counts.items() if c), reverse=True))
 
 
-def _exchange(full, free: int, source, fill_gap: int):
-    """Lengths to give from ``full`` and to take from ``source`` so that squared fill rises, or None.
+class _Sources:
+    """Underfull classes by the lengths (one piece or two) that they can give, and by value the most free space among them.
 
-    ``full`` has ``free`` space left; ``source`` has ``fill_gap`` less fill
-    than ``full``, so any gain up to ``free`` raises the sum of squares.
+    Heaps hold classes that are gone until they come to the top.
     """
-    mine, theirs = [n for n, _ in full], [n for n, _ in source]
-    best = None
-
-    def offer(out, into):
-        nonlocal best
-        gain = sum(into) - sum(out)
-        if 0 < gain <= free and gain * (gain + fill_gap) > 0 and (best is None or gain > best[0]):
-            best = (gain, out, into)
-
-    for b in theirs:
-        offer((), (b,))
-        for a in mine:
-            offer((a,), (b,))
-    if best is None or best[0] < free:
-        have, other = dict(full), dict(source)
-        for b in theirs:
-            for k, a in enumerate(mine):
-                for a2 in mine[k:]:
-                    if a != a2 or have[a] > 1:
-                        offer((a, a2), (b,))
-        for a in mine:
-            for k, b in enumerate(theirs):
-                for b2 in theirs[k:]:
-                    if b != b2 or other[b] > 1:
-                        offer((a,), (b, b2))
-    return best
-
-
-def local_search(bins: Bins, tries: int = SEARCH_TRIES) -> Bins:
-    """Move and exchange between underfull classes while the sum of squared fills rises."""
+
+    def __init__(self, bins: Bins):
+        self.bins = bins
+        # Free space of the emptiest class that can give this much, by one piece and by two; -1 if none.
+        self.most = [np.full(bins.capacity + 1, -1, np.int64) for _ in range(2)]
+        self.heaps: list[dict[int, list]] = [{}, {}]
+        self.held: list[set] = [set(), set()]
+
+    def sums(self, pattern) -> tuple[dict[int, tuple[int, ...]], dict[int, tuple[int, ...]]]:
+        """What one piece or two pieces of a pattern come to, up to the capacity."""
+        two = {}
+        for k, (a, copies) in enumerate(pattern):
+            for b, _ in pattern[k + (copies < 2) :]:
+                if a + b <= self.bins.capacity:
+                    two[a + b] = (a, b)
+        return {n: (n,) for n, _ in pattern}, two
+
+    def add(self, free: int, pattern) -> None:
+        for most, heaps, held, own in zip(self.most, self.heaps, self.held, self.sums(pattern), strict=True):
+            for n in own:
+                if (n, pattern) not in held:
+                    held.add((n, pattern))
+                    heappush(heaps.setdefault(n, []), (-free, pattern))
+                most[n] = max(most[n], free)
+
+    def gone(self, pattern) -> None:
+        """To be called once a class has no bins."""
+        for most, heaps, held, own in zip(self.most, self.heaps, self.held, self.sums(pattern), strict=True):
+            for n in own:
+                heap = heaps[n]
+                while heap and heap[0][1] not in self.bins.by_free.get(-heap[0][0], ()):
+                    held.discard((n, heappop(heap)[1]))
+                most[n] = -heap[0][0] if heap else -1
+
+    def exchange(self, full, free: int):
+        """The exchange that fills ``full`` most: (source_free, source, out, into), or None.
+
+        ``full`` gives nothing or one piece for one piece, two for one, or one
+        for two, to a class with as much free space or more; any gain of the
+        fuller bin then raises the sum of squared fills.
+        """
+        one, two = self.sums(full)
+        best, found = 0, None
+        for k, outs in ((0, {0: ()} | one), (0, two), (1, one)):
+            most = self.most[k]
+            for total, out in outs.items():
+                # Only gains above the best so far.
+                fit = np.flatnonzero(most[total + best + 1 : total + free + 1] >= free)
+                if len(fit):
+                    best += int(fit[-1]) + 1
+                    found = k, total + best, out
+                    if best == free:
+                        break
+            if best == free:
+                break
+        if found is None:
+            return None
+        k, into, out = found
+        space, source = self.heaps[k][into][0]
+        return -space, source, out, self.sums(source)[k][into]
+
+
+def local_search(bins: Bins) -> Bins:
+    """Move and exchange between underfull classes until nothing raises the sum of squared fills.
+
+    Each exchange raises it, so the search ends; a round over all classes
+    without an exchange shows that none is left.
+    """
+    sources = _Sources(bins)
+    for free in bins.frees:
+        for pattern in bins.by_free[free] if free else ():
+            sources.add(free, pattern)
+
+    def take(free, pattern, times):
+        bins.take(free, pattern, times)
+        if free and pattern not in bins.by_free.get(free, ()):
+            sources.gone(pattern)
+
+    def add(pattern, times):
+        if pattern:
+            free = bins.capacity - sum(n * c for n, c in pattern)
+            new = pattern not in bins.by_free.get(free, ())
+            bins.add(pattern, times)
+            if new and free:
+                sources.add(free, pattern)
+
     moved = True
-    while moved and tries > 0:
+    while moved:
         moved = False
-        open_ = [(free, p) for free in bins.frees if free for p in bins.by_free[free]]
-        for source_free, source in reversed(open_):
-            if moved or tries <= 0:
-                break
-            for free, full in open_:
-                if free > source_free or full == source and bins.by_free[free][full] < 2:
-                    continue
-                tries -= len(full) * len(source)
-                if found := _exchange(full, free, source, source_free - free):
-                    _, out, into = found
-                    both = full == source
-                    times = bins.by_free[free][full] // 2 if both else min(bins.by_free[free][full], bins.by_free[source_free][source])
-                    bins.take(free, full, times * (1 + both))
-                    if not both:
-                        bins.take(source_free, source, times)
-                    bins.add(_changed(full, out, into), times)
-                    bins.add(_changed(source, into, out), times)
-                    moved = True
+        for free, full in [(free, p) for free in bins.frees if free for p in bins.by_free[free]]:
+            while many := bins.by_free.get(free, {}).get(full, 0):
+                # One bin of the class stands aside, so that it finds another bin.
+                take(free, full, 1)
+                found = sources.exchange(full, free)
+                add(full, 1)
+                if not found:
                     break
+                source_free, source, out, into = found
+                both = full == source
+                times = many // 2 if both else min(many, bins.by_free[source_free][source])
+                take(free, full, times * (1 + both))
+                if not both:
+                    take(source_free, source, times)
+                add(_changed(full, out, into), times)
+                add(_changed(source, into, out), times)
+                moved = True
     return bins
 
 
