@@ -54,6 +54,18 @@ def test_aliases_take_their_components_decision(spark):
     assert got[3]["component"] == got[4]["component"] and got[1]["component"] == got[2]["component"]
 
 
+def test_tags_of_any_length(spark):
+    long = "x" * 50_000
+    pages = [
+        (1, "https://a.dev/1", f'<link rel="canonical" title="{long}" href="http://evil.org/es/1">'),
+        (2, "https://a.dev/2", f'<link rel="canonical" href="http://evil.org/es/{long}">'),
+        (3, "https://a.dev/3", f'<meta name="{long}" http-equiv="refresh" content="0; url=http://evil.org/es/{long}">'),
+        (4, "https://a.dev/4", '<link rel="canonical" href="http://evil.org/es/1"' + "<link " * 50_000),
+        (5, "https://a.dev/5", '<link <link rel="canonical" href="http://evil.org/es/1"\n>' + "<link " * 50_000),
+    ]
+    assert {k: r["verdict"] for k, r in judged(spark, pages).items()} == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "block"}
+
+
 def test_long_redirect_chain(spark):
     link = '<link rel="canonical" href="http://chain.dev/{}">'
     pages = [(k, f"http://chain.dev/{k}", link.format(k + 1)) for k in range(40)] + [(99, "http://chain.dev/40", '<link rel=canonical href="http://evil.org/es/">')]
