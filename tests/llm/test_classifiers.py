@@ -49,6 +49,15 @@ def test_sample_is_bounded(spark):
     assert language_id.learn(docs, sample=50).families == {"germanic": ["de", "en"]}
 
 
+def test_no_language_is_left_out(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "fit", lambda x, names: names)
+    docs = spark.range(450 * 30).selectExpr("id as doc_id", "concat('some words ', char(97 + id % 26)) as text", "concat('l', id % 450) as lang")
+    learned = language_id.learn(docs)
+    assert len(set(learned)) == 450 and len(learned) == 450 * 30
+    fewer = language_id.learn(docs, total=450)
+    assert len(set(fewer)) == 450 and 450 * 12 < len(fewer) < 450 * 20
+
+
 def test_svm_separates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 5)).astype(np.float32)

@@ -6,9 +6,11 @@ the languages, which are much alike. Features are byte trigrams of the
 lower-cased letters, hashed to ``FEATURES`` counts, as square roots of their
 shares (vectors of length one).
 
-Learning takes at most ``SAMPLE`` documents of each language, drawn by a hash
-of the id from all that may be learned from; features are made on the
-executors. The machines are fitted on the driver by dual coordinate descent.
+Learning takes every language, and at most about ``SAMPLE`` documents of each,
+drawn by a hash of the id from all that may be learned from; from more than
+``SAMPLE_TOTAL / SAMPLE`` languages on it takes fewer of each, so that about
+``SAMPLE_TOTAL`` documents are collected, but never fewer than ``SAMPLE_LEAST``.
+Features are made on the executors. The machines are fitted on the driver by dual coordinate descent.
 
 Null texts and texts without a letter are ``und`` with score 0. A language
 without a known family is a family of its own. Without anything to learn from
@@ -31,8 +33,8 @@ from .blocks import slices, text_bytes
 
 FEATURES = 4096
 SAMPLE = 800
-#: Bounds of what is learned from: rows in all, and languages (the most frequent ones).
-SAMPLE_TOTAL, LANGUAGES = 16_000, 400
+#: Rows in all, beyond which each language has fewer than ``SAMPLE``, and what each has at least.
+SAMPLE_TOTAL, SAMPLE_LEAST = 16_000, 16
 COST, EPOCHS, SEED = 4.0, 12, 11
 UNDETERMINED = "und"
 
@@ -161,20 +163,23 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_lang"), pa.array([None if x is None else x.astype(np.float16).tobytes() for x in found], pa.binary())], names=["id", "lang", "profile"])
 
 
-def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang", id_column: str = "doc_id") -> Model:
+def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str = "lang", id_column: str = "doc_id", total: int = SAMPLE_TOTAL, least: int = SAMPLE_LEAST) -> Model:
     """Fit on about ``sample`` rows of each language of ``docs`` (exactly all, where there are fewer).
 
+    Where that makes more than ``total`` rows, ``sample`` shrinks to an equal
+    share of them, but not below ``least`` rows a language; no language is left out.
+
     A row is drawn by a hash of its id; the share drawn comes from counts over
     all rows. Of each language at most 1.2 times ``sample`` are kept.
     """
     own = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(id_column).cast("long").alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    counts = own.groupBy("_lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").limit(LANGUAGES).collect()
+    counts = own.groupBy("_lang").agg(F.count("*").alias("_n")).orderBy(F.desc("_n"), "_lang").collect()
     if not counts:
         return Model({}, np.zeros((0, FEATURES + 1), np.float32), {})
-    sample = max(1, min(sample, SAMPLE_TOTAL // len(counts)))
+    sample = max(1, min(sample, max(least, total // len(counts))))
     shares = docs.sparkSession.createDataFrame([(r["_lang"], r["_n"]) for r in counts], "_lang string, _n long")
     draw = F.pmod(F.xxhash64(F.col("_id"), F.lit(SEED)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * F.lit(float(sample)) / F.col("_n")
-    # At most ``LANGUAGES`` rows are broadcast; no text is shuffled.
+    # One row a language is broadcast; no text is shuffled.
     drawn = own.join(F.broadcast(shares), "_lang").where(draw).select("_id", "_lang", "_text").mapInArrow(_profiles, "id long, lang string, profile binary")
     unique = drawn.where("profile is not null").groupBy("lang", "id").agg(F.min("profile").alias("profile"))
     got = sorted(unique.collect(), key=lambda r: (r["lang"], r["id"] is None, r["id"] or 0))
