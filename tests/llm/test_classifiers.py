@@ -94,6 +94,14 @@ def test_bad_passage_decides(spark):
     assert all(0 <= s <= 1 for s in got.values()) and got[900] == got[901]
 
 
+def test_all_passages_of_long_documents_are_learned(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "fit", lambda bags, labels: seen.extend(map(len, bags)))
+    docs = spark.createDataFrame([(1, "word " * 64 * 700), (2, "word")], "doc_id long, text string")
+    quality.learn(docs, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int"))
+    assert sorted(seen) == [1, 700]
+
+
 def test_attention_weights_and_gradients():
     """Learning lowers the loss on bags whose label hangs on one passage."""
     rng = np.random.default_rng(5)

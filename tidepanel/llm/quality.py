@@ -30,7 +30,6 @@ from .blocks import slices, text_bytes
 
 PASSAGE_WORDS = 64
 SAMPLE = 3000
-SAMPLE_PASSAGES = 512
 HIDDEN, GATES = 24, 12
 EPOCHS, RATE, DECAY, SEED = 40, 0.01, 1e-4, 7
 _EXTRA = 6
@@ -133,32 +132,24 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
     return Model(w | {k: np.asarray(x, np.float32) for k, x in p.items()})
 
 
-def _featurize(most: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, 64):
-                bags = []
-                for t in text_bytes(part.column("_text")):
-                    bag = passages(t)
-                    if len(bag) > most:
-                        bag = bag[np.linspace(0, len(bag) - 1, most).astype(int)]
-                    bags.append(bag.astype(np.float16).tobytes())
-                yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_label"), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
-
-    return run
+def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, 64):
+            bags = [passages(t).astype(np.float16).tobytes() for t in text_bytes(part.column("_text"))]
+            yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_label"), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_PASSAGES, label: str = "quality", text: str = "text", id_column: str = "doc_id") -> Model:
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality", text: str = "text", id_column: str = "doc_id") -> Model:
     """Fit on at most ``sample`` labelled documents, the lowest by a hash of their id.
 
-    Of a document with more than ``most`` passages, evenly spaced ones are
-    learned from; scoring reads them all.
+    All their passages are learned from, so the driver holds features of some
+    eight times a long document's words in bytes.
     """
     target = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(F.col(id_column).cast("long").alias("_id")).agg(F.max(label).cast("int").alias("_label"))
     chosen = target.join(docs.select(F.col(id_column).cast("long").alias("_id")), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text).alias("_text"))
     # ``chosen`` has at most ``sample`` ids and labels, so it is broadcast and no text is shuffled.
-    bags = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(_featurize(most), "id long, label int, bag binary")
+    bags = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(_featurize, "id long, label int, bag binary")
     got = sorted(bags.groupBy("id", "label").agg(F.min("bag").alias("bag")).collect())
     return fit([np.frombuffer(r["bag"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got], np.array([r["label"] for r in got]))
 
