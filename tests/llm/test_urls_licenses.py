@@ -140,3 +140,13 @@ def test_scan_documents(spark):
     got = sorted((tuple(r) for r in licenses.scan_documents(docs).collect()), key=str)
     assert got == sorted([(1, "mit-line", 1.0, 0, 5), (1, "mit-line", 1.0, 0, 5), (4, "cc-by-nc-4.0-line", 1.0, 0, 5)], key=str)
     assert licenses.scan_documents(docs.limit(0)).count() == 0
+
+
+def test_ranges_that_start_alike_are_all_verified(monkeypatch):
+    index = licenses.Index(licenses.TEMPLATES)
+    notice, pad, k = licenses.TEMPLATES["apache-2.0"].encode(), max(index.lengths), index.names.index("apache-2.0")
+    words = notice.split()
+    text = b" ".join([*words[:20], *(b"w%d" % i for i in range(80)), *words, *(b"v%d" % i for i in range(200))])
+    # Both windows lie within the notice's length of the text's start; only the later one reaches the end of the notice.
+    monkeypatch.setattr(index, "candidates", lambda hashes: {(pad, k), (pad + 70, k)})
+    assert [(r[1], r[2], r[3]) for r in licenses.scan([text], index)] == [("apache-2.0", 1.0, 100)]

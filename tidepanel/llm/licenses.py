@@ -152,7 +152,7 @@ def scan(texts: list[bytes], index: Index, containment: float = CONTAINMENT) ->
     source = np.repeat(firsts - np.cumsum(own) + own, own) + np.arange(int(own.sum()))
     hashes[place] = every[source]
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    checked: set[tuple[int, int, int]] = set()
+    checked: set[tuple[int, int, int, int]] = set()
     for p, k in sorted(index.candidates(hashes)):
         n = len(index.shingles[k])
         width = len(index.words[k])
@@ -161,9 +161,9 @@ def scan(texts: list[bytes], index: Index, containment: float = CONTAINMENT) ->
             if not 0 <= t < len(texts) or not own[t]:
                 continue
             a, b = max(p - width, int(starts[t])), min(p + 2 * max(width, pad), int(starts[t] + own[t]))
-            if a >= b or (t, k, a) in checked:
+            if a >= b or (t, k, a, b) in checked:
                 continue
-            checked.add((t, k, a))
+            checked.add((t, k, a, b))
             here = np.flatnonzero(np.isin(hashes[a:b], index.shingles[k]))
             if not len(here):
                 continue
