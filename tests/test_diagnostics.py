@@ -2,8 +2,9 @@ import json
 from datetime import date, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from tidepanel.config import PRICE_FEATURES, DiagnosticsConfig, Thresholds
+from tidepanel.config import PRICE_FEATURES, Bound, DiagnosticsConfig
 from tidepanel.operators import diagnostics as D
 from tidepanel.operators import gate
 from tidepanel.operators.checks import duplicate_pairs
@@ -75,12 +76,24 @@ def test_flat_runs(spark, prices, want):
 
 
 def test_gate_fails_on_one_class(spark):
-    config = DiagnosticsConfig(Thresholds(min_class_ratio_fail=0.05))
+    config = DiagnosticsConfig({"class_ratio": Bound(0.05, 0.05, above=False)})
     found = gate.diagnose(spark.createDataFrame(canonical_rows(), SCHEMA), training(spark, "beras"), config)
     assert found.status is gate.Readiness.FAIL
     assert any("class support too narrow" in x for x in found.failures)
 
 
+def test_low_target_rate_warns_and_fails(spark):
+    """A rate below both bounds is a warning and a failure; one between them only a warning."""
+    ready = training(spark).withColumn("target_30d_inflation_pct", F.when(F.dayofyear("date") <= 15, F.lit(1.0))).withColumn("target_7d_inflation_pct", F.when(F.dayofyear("date") <= 20, F.lit(1.0)))
+    found = gate.diagnose(spark.createDataFrame(canonical_rows(), SCHEMA), ready)
+    low = lambda lines, h: [x for x in lines if "rate of the target" in x and h in x]
+    assert len(low(found.warnings, "30d")) == len(low(found.failures, "30d")) == 2
+    assert len(low(found.warnings, "7d")) == 2 and not low(found.failures, "7d")
+    totals = found.sections["target_totals"][0]
+    assert totals["strict_feature_usable_rows_total"] == 140 and totals["model_feature_usable_rows_total"] == 150
+    assert found.failures == sorted(set(found.failures)) and found.warnings == sorted(set(found.warnings))
+
+
 def test_report_files(spark, tmp_path):
     config = DiagnosticsConfig(allowed_commodities=("beras",))
     found = gate.diagnose(spark.createDataFrame(canonical_rows(), SCHEMA), training(spark), config)

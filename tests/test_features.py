@@ -1,13 +1,15 @@
+import random
 from datetime import date, timedelta
 
 import numpy as np
 import pandas as pd
 import pytest
 
-from tidepanel.config import ENGINEERED, MODEL_FEATURES, REQUIRED_COLUMNS
+from tidepanel.config import ENGINEERED, MODEL_FEATURES, REQUIRED_COLUMNS, Lead
 from tidepanel.functions import exprs as E
 from tidepanel.operators import checks
 from tidepanel.operators import features as P
+from tidepanel.operators import quantiles
 from tidepanel.plans.queries import panel as orders
 
 SMALL = "/root/testdata/sf0.001"
@@ -22,38 +24,51 @@ def by_day(frame):
     return {str(r["date"]): r for r in frame.collect()}
 
 
-def test_lag_is_calendar_not_rows(spark):
-    days = [f"2026-01-0{d}" for d in (1, 2, 3, 4, 5, 6, 8)]
-    got = by_day(P.feature_ready(panel(spark, days, [100, 101, 102, 103, 104, 105, 108])))
-    assert got["2026-01-08"]["price_lag_1d"] is None
-    assert got["2026-01-08"]["price_lag_7d"] == 100
-
-
-def test_rolling_is_calendar(spark):
-    got = by_day(P.feature_ready(panel(spark, ["2026-01-01", "2026-01-02", "2026-01-10"], [100, 110, 300])))
-    assert got["2026-01-10"]["rolling_mean_7d"] == 300
-    assert got["2026-01-01"]["rolling_std_30d"] is None
-
-
-def test_no_dates_are_made_up(spark):
-    got = by_day(P.feature_ready(panel(spark, ["2026-01-01", "2026-01-03", "2026-01-10"], [100, 110, 120])))
-    assert len(got) == 3
-    assert got["2026-01-10"]["price_lag_7d"] == 110 and got["2026-01-03"]["price_lag_7d"] is None
-
-
-def test_forward_targets(spark):
-    from tidepanel.config import Lead
-
-    frame = panel(spark, ["2026-01-01", "2026-01-09", "2026-01-31", "2026-02-02"], [100, 112, 130, 132])
-    got = by_day(P.training_targets(frame, {"7d": Lead(7, 3), "30d": Lead(30, 3)}))
-    assert got["2026-01-01"]["target_7d_inflation_pct"] == pytest.approx(12.0)
-    assert got["2026-01-01"]["target_30d_inflation_pct"] == pytest.approx(30.0)
-    assert got["2026-01-09"]["target_7d_inflation_pct"] is None
+def plain_frames(rows):
+    """Lags, targets and trailing statistics of one history by looking at every pair of days."""
+    out = {}
+    for d, p in rows:
+        away = sorted(((e - d).days, q) for e, q in rows)
+        within = lambda a, b: [q for n, q in away if a <= n <= b]  # noqa: B023, E731
+        week, month = ([q for q in within(-n, 0) if q is not None] for n in (7, 30))
+        ahead = within(30, 37)
+        out[str(d)] = {
+            "price_lag_1d": (within(-1, -1) or [None])[-1],
+            "price_lag_7d": (within(-8, -7) or [None])[-1],
+            "price_lag_30d": (within(-32, -30) or [None])[-1],
+            "rolling_mean_7d": sum(week) / len(week) if week else None,
+            "rolling_std_30d": float(np.std(month, ddof=1)) if len(month) > 1 else None,
+            "target_30d_inflation_pct": (ahead[0] / p - 1) * 100 if ahead and None not in (ahead[0], p) and p else None,
+        }
+    return out
+
+
+def test_frames_against_all_pairs_of_days(spark):
+    """Histories with holes of every size around the frames' ends, missing and zero prices."""
+    rng = random.Random(12)
+    for keep in (0.35, 0.8):
+        start = date(2023, 11, 20)
+        rows = [(start + timedelta(k), rng.choice([None, 0.0, *range(40, 60)])) for k in range(110) if rng.random() < keep]
+        rows = [(d, None if p is None else float(p)) for d, p in rows]
+        got = by_day(P.training_ready(panel(spark, [str(d) for d, _ in rows], [p for _, p in rows], "gula_pasir")))
+        want = plain_frames(rows)
+        assert got.keys() == want.keys()
+        for d, columns in want.items():
+            for c, v in columns.items():
+                assert got[d][c] == (None if v is None else pytest.approx(v, abs=1e-6)), (d, c)
+
+
+def test_own_horizons(spark):
+    frame = panel(spark, ["2025-06-01", "2025-06-04", "2025-06-05", "2025-06-20"], [50, 60, 80, 20])
+    got = by_day(P.training_targets(frame, {"7d": Lead(3, 0), "30d": Lead(2, 2)}))
+    assert got["2025-06-01"]["target_7d_inflation_pct"] == pytest.approx(20.0)
+    assert got["2025-06-01"]["target_30d_inflation_pct"] == pytest.approx(20.0)
+    assert got["2025-06-04"]["target_7d_inflation_pct"] is None and got["2025-06-05"]["target_30d_inflation_pct"] is None
 
 
 def test_matched_row_without_price_is_missing(spark):
-    got = by_day(P.feature_ready(panel(spark, ["2026-01-01", "2026-01-02", "2026-01-09"], [100, None, 120])))
-    assert got["2026-01-09"]["price_lag_7d"] is None
+    got = by_day(P.feature_ready(panel(spark, ["2025-03-01", "2025-03-02", "2025-03-09"], [7, None, 9])))
+    assert got["2025-03-09"]["price_lag_7d"] is None
 
 
 def test_contract_columns_and_zero_price(spark):
@@ -65,8 +80,11 @@ def test_contract_columns_and_zero_price(spark):
 
 def test_duplicates_and_wrong_keys_fail(spark):
     frame = panel(spark, ["2026-01-01", "2026-01-01"], [1, 2])
+    for chunk_days in (None, 50):
+        with pytest.raises(Exception, match="Duplicate .*2026-01-01, beras"):
+            P.feature_ready(frame, chunk_days=chunk_days).select("commodity").collect()
     with pytest.raises(ValueError, match="Duplicate"):
-        P.feature_ready(frame)
+        checks.require_unique_keys(frame)
     with pytest.raises(ValueError, match="needs the keys"):
         P.feature_ready(frame, lags={"2d": None})
 
@@ -107,10 +125,11 @@ def test_chunks_change_nothing(spark):
 
 def test_one_exchange_one_window(spark):
     frame = spark.createDataFrame(gappy(), "date date, commodity string, price_idr double")
-    plan = P.training_ready(frame, check=False)._jdf.queryExecution().sparkPlan().toString()
-    assert plan.count("Window ") == 1
-    executed = P.training_ready(frame, check=False)._jdf.queryExecution().executedPlan().toString()
-    assert executed.count("Exchange hashpartitioning") == 1
+    for check in (False, True):
+        plan = P.training_ready(frame, check=check)._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("Window ") == 1
+        executed = P.training_ready(frame, check=check)._jdf.queryExecution().executedPlan().toString()
+        assert executed.count("Exchange hashpartitioning") == 1
 
 
 def test_row_local_features(spark):
@@ -162,3 +181,24 @@ def test_ties_go_by_class_order(spark):
 def test_empty_panel(spark):
     empty = spark.createDataFrame([], "date date, commodity string, price_idr double")
     assert P.training_ready(empty).count() == 0
+
+
+def test_exact_quantiles(spark, monkeypatch):
+    """Ties, missing values, an empty column, and rounds that narrow the search, against numpy."""
+    rng = np.random.default_rng(5)
+    columns = {"a": rng.normal(size=3000), "b": rng.integers(0, 4, 3000).astype(float), "c": np.where(rng.random(3000) < 0.6, 7.0, rng.exponential(size=3000)), "d": np.full(3000, np.nan)}
+    rows = [tuple(None if np.isnan(x) else float(x) for x in r) for r in zip(*columns.values(), strict=True)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(5)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    for limit, accuracy in ((100_000, 10_000), (3, 10_000), (40, 20)):
+        monkeypatch.setattr(quantiles, "LIMIT", limit)
+        monkeypatch.setattr(quantiles, "ACCURACY", accuracy)
+        got = quantiles.exact_quantiles(frame, dict.fromkeys(columns, shares))
+        for c in "abc":
+            np.testing.assert_allclose(got[c], np.quantile(columns[c], shares), rtol=1e-12)
+        assert got["d"] == [None] * len(shares)
+
+
+def test_quantile_labels_without_train_rows(spark):
+    frame = spark.createDataFrame([("test", 1.0), ("test", None)], "split string, x double")
+    assert [r["y"] for r in P.label_by_quantiles(frame, "x", 0.4, "y").collect()] == ["Stable", "Stable"]

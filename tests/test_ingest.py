@@ -2,21 +2,28 @@ import zipfile
 from datetime import date
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidepanel.config import COMMODITIES
 from tidepanel.functions import exprs as E
 from tidepanel.operators.checks import validate_canonical
+from tidepanel.operators.service import read_training_csv
 from tidepanel.plans.pipeline import build_dataset, build_from_wide, save_outputs
-from tidepanel.sources.ingest import canonical_long, normal_date_header, parse_wide, top_level_rows
+from tidepanel.sources.ingest import canonical_long, header_date, normal_date_header, parse_wide, top_level_rows
 from tidepanel.sources.sheets import read_sheet
 
-HEAD = ["No", "Komoditas (Rp)", "31/ 03/ 2026", "01/ 04/ 2026"]
-ROMAN = ["I", "II", "III", "IV", "V", "VI", "VII"]
+HEAD = ["No", "Komoditas (Rp)", " 7/ 8/2025", "28 /2/ 2025"]
+NUMBERS = ["xi", " II", "IV\t", "\u00a0V", "C", "mm", "I"]
+#: Prices as people type them, and what they mean.
+PRICES = {"1,250": 1250.0, "Rp 87.500": 87500.0, "-": None, "n/a": None, "": None, "3 400": 3400.0, "12": 12.0}
 
 
 def wide_rows():
-    rows = [(n, label, f"{16 + k},100", f"{17 + k},050") for k, (n, label) in enumerate(zip(ROMAN, COMMODITIES, strict=True))]
-    return rows + [("1", "Beras Kualitas Bawah", "15,000", "15,000"), ("1", "Other", "-", "-"), ("1", "More", "9", "9")]
+    labels = [*COMMODITIES][::-1]
+    labels[2] = labels[2].replace(" ", "\u00a0 \t")
+    rows = [(n, f" {label}\n", shown, "9,999") for n, label, shown in zip(NUMBERS, labels, PRICES, strict=True)]
+    return [("3", labels[0], "1", "1"), *rows, (None, labels[1], "2", "2"), ("IX", "Garam", "4", "4")]
 
 
 def wide(spark, rows=None, head=HEAD):
@@ -36,33 +43,42 @@ def write_xlsx(path, head, rows):
         z.writestr("xl/worksheets/sheet1.xml", f"<worksheet {main}><sheetData>{body}</sheetData></worksheet>")
 
 
-def test_headers_are_dates():
-    assert normal_date_header(" 1 / 4/2026 ") == "01/04/2026"
-    assert normal_date_header("Total") == "Total" and normal_date_header(None) == ""
+@settings(max_examples=60, deadline=None)
+@given(st.dates(date(1900, 1, 1), date(2200, 1, 1)), st.lists(st.sampled_from(["", " ", "  ", "\u00a0", "\t"]), min_size=6, max_size=6), st.booleans())
+def test_header_dates_however_they_are_spaced(day, blanks, padded):
+    parts = [f"{day.day:02d}" if padded else str(day.day), f"{day.month:02d}" if padded else str(day.month), str(day.year)]
+    header = "/".join(f"{a}{p}{b}" for a, p, b in zip(blanks[::2], parts, blanks[1::2], strict=True))
+    assert header_date(header) == day and normal_date_header(header) == day.strftime("%d/%m/%Y")
+
+
+@pytest.mark.parametrize(("header", "normal"), [(None, ""), ("  Rata-rata ", "Rata-rata"), ("7/8/25", "7/8/25"), ("7/8/2025/1", "7/8/2025/1"), ("007/8/2025", "007/8/2025"), ("-7/8/2025", "-7/8/2025"), ("31/ 6/2025", "31/06/2025"), ("0/1/2025", "00/01/2025")])
+def test_headers_that_are_no_dates(header, normal):
+    assert header_date(header) is None and normal_date_header(header) == normal
 
 
 def test_wide_to_panel(spark):
     sheet = parse_wide(wide(spark))
-    assert sorted(sheet.dates.values()) == [date(2026, 3, 31), date(2026, 4, 1)]
+    assert list(sheet.dates.values()) == [date(2025, 8, 7), date(2025, 2, 28)]
     rows = top_level_rows(sheet)
-    assert rows.count() == 7
-    panel = canonical_long(rows, sheet)
-    validate_canonical(panel)
-    got = {(r["commodity"], r["date"]): r["price_idr"] for r in panel.collect()}
-    assert len(got) == 14 and got["beras", date(2026, 3, 31)] == 16100.0
+    assert rows.count() == len(NUMBERS) + 1
+    found = canonical_long(rows, sheet)
+    validate_canonical(found)
+    got = {(r["commodity"], r["date"]): r["price_idr"] for r in found.collect()}
+    assert {got[c, date(2025, 8, 7)]: None for c in [*COMMODITIES.values()][::-1]} == dict.fromkeys(PRICES.values())
+    assert all(got[c, date(2025, 2, 28)] == 9999.0 for c in COMMODITIES.values()) and len(got) == 14
 
 
 def test_impossible_dates_are_no_columns(spark):
-    sheet = parse_wide(wide(spark, head=["No", "Komoditas (Rp)", "31/02/2026", "01/04/2026"]))
-    assert list(sheet.dates) == ["01/04/2026"]
+    sheet = parse_wide(wide(spark, head=["No", "Komoditas (Rp)", "30/02/2025", "1/12/2025"]))
+    assert list(sheet.dates) == ["1/12/2025"]
 
 
 @pytest.mark.parametrize(
     ("head", "message"),
     [
-        (["No", "Komoditas (Rp)", "01/ 04/ 2026", "01/04/2026"], "Duplicate logical dates"),
+        (["No", "Komoditas (Rp)", "9/ 5/2025", "09/05/2025"], "Duplicate logical dates"),
         (["No", "Komoditas (Rp)", "a", "b"], "No date columns"),
-        (["No", "Label", "01/04/2026", "02/04/2026"], "metadata columns"),
+        (["No", "Label", "3/5/2025", "4/5/2025"], "metadata columns"),
     ],
 )
 def test_bad_headers(spark, head, message):
@@ -77,14 +93,24 @@ def test_no_roman_rows(spark):
 
 
 def test_price_text(spark):
-    got = spark.createDataFrame([("16,100",), ("-",), ("",), (None,), ("n/a",), ("-5",), ("16,100.50",), (" 1 200 ",), ("16100.0",)], "t string").select(E.parse_price("t")).collect()
-    assert [r[0] for r in got] == [16100.0, None, None, None, None, 5.0, 1610050.0, 1200.0, 161000.0]
+    cases = {"2,750": 2750.0, "-": None, "": None, None: None, "na": None, "-8": 8.0, "7.5": 75.0, " 4\u00a0321 ": 4321.0, "Rp": None, "\u0663": None}
+    got = spark.createDataFrame([(t,) for t in cases], "t string").select(E.parse_price("t")).collect()
+    assert [r[0] for r in got] == list(cases.values())
+
+
+def test_white_space_of_any_script(spark):
+    texts = ["Cabai\u00a0Merah", "\u2003Cabai \t\x0b Merah\u3000", "Cabai\x1cMerah", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(E.normal_text("t"), E.is_roman(E.col("t"))).collect()
+    assert [r[0] for r in got] == ["Cabai Merah"] * 3 + [""] and not any(r[1] for r in got)
+    numbers = {"IV": True, "\tiv\u00a0": True, "I V": False, "IV.": False, "": False, "\n": False, "12": False, "IV\nX": False, None: False}
+    got = spark.createDataFrame([(t,) for t in numbers], "t string").select(E.is_roman("t")).collect()
+    assert [r[0] for r in got] == list(numbers.values())
 
 
 @pytest.mark.parametrize(
     ("rows", "message"),
     [
-        ([("2026-01-01", "beras", 1.0), ("2026-01-01", "beras", 2.0)], "Duplicate"),
+        ([("2025-05-09", "gula_pasir", 1.0), ("2025-05-09", "gula_pasir", 2.0)], "Duplicate"),
         ([("2026-01-01", "gold", 1.0)], "Unexpected commodities"),
         ([("someday", "beras", 1.0)], "unparsable dates"),
     ],
@@ -104,15 +130,37 @@ def test_missing_commodities_and_bad_prices(spark):
 
 def test_sheet_to_files(spark, tmp_path):
     path = tmp_path / "prices.xlsx"
-    write_xlsx(path, HEAD, [r if k else (*r[:3], None) for k, r in enumerate(wide_rows())])
+    write_xlsx(path, HEAD, [r if k != 1 else (*r[:3], None) for k, r in enumerate(wide_rows())])
     frame = read_sheet(spark, str(path))
-    assert frame.columns == HEAD and frame.count() == 10
+    assert frame.columns == HEAD and frame.count() == len(wide_rows())
     out = build_dataset(spark, str(path))
     assert out.training_ready.count() == 14
-    assert out.canonical.where("price_idr is null").count() == 1
+    assert out.canonical.where("price_idr is null").count() == 4
     save_outputs(out, tmp_path / "out")
     again = spark.read.option("header", True).csv(str(tmp_path / "out" / "canonical.csv"))
     assert again.count() == 14 and again.columns == ["date", "commodity", "price_idr"]
+    save_outputs(out, tmp_path / "one", single_file=True)
+    (part,) = (tmp_path / "one" / "training_ready.csv").glob("part-*")
+    keys = [tuple(line.split(",")[1::-1]) for line in part.read_text().splitlines()[1:]]
+    assert len(keys) == 14 and keys == sorted(keys)
+
+
+def test_single_file_is_written_after_parallel_work(spark, tmp_path):
+    """The shuffle to one task comes after the windows, and the sort is that task's own."""
+    from tidepanel.sources import sinks
+
+    frame = spark.range(1000).selectExpr("cast(id % 7 as string) as commodity", "date_add(date'2025-01-01', cast(id as int)) as date").repartition(6)
+    sinks.write_csv(frame, tmp_path / "x.csv", single_file=True)
+    (part,) = (tmp_path / "x.csv").glob("part-*")
+    assert len(part.read_text().splitlines()) == 1001
+
+
+def test_training_csv_keeps_types(spark, tmp_path):
+    out = build_from_wide(wide(spark))
+    save_outputs(out, tmp_path / "out")
+    again = read_training_csv(spark, str(tmp_path / "out" / "training_ready.csv"))
+    assert dict(again.dtypes) == dict(out.training_ready.dtypes)
+    assert sorted(map(str, again.collect())) == sorted(map(str, out.training_ready.collect()))
 
 
 def test_sheet_errors(spark, tmp_path):

@@ -6,8 +6,9 @@ from tidepanel.config import CLASSES, MODEL_FEATURES
 from tidepanel.operators import features as P
 from tidepanel.operators import models as M
 from tidepanel.operators import service as S
+from tidepanel.plans.model_queries import fixed_model
 from tidepanel.plans.queries import ready
-from tidepanel.streaming.scoring import feature_stream
+from tidepanel.streaming.scoring import feature_stream, score_stream
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -49,6 +50,20 @@ def test_empty_and_missing_input(spark, frame, artifacts):
         service.predict(frame.drop("price_lag_7d"))
 
 
+def test_classes_come_from_the_model(spark, artifacts):
+    """A model with other classes, or with theirs in another order, is refused whatever its metadata says."""
+    from pyspark.ml import PipelineModel
+
+    model = PipelineModel.load(str(S.model_path(artifacts, 7)))
+    metadata = json.loads(S.metadata_path(artifacts, 7).read_text())
+    assert M.model_labels(model) == sorted(CLASSES)
+    turned = PipelineModel(stages=[*model.stages[:-1], M.label_stage(CLASSES)])
+    with pytest.raises(ValueError, match="classes"):
+        S.InferenceService(spark, artifacts, 7, model=turned, metadata=metadata)
+    with pytest.raises(ValueError, match="does not say"):
+        S.InferenceService(spark, artifacts, 7, model=PipelineModel(stages=model.stages[:-1]), metadata=metadata)
+
+
 def test_metadata_contract(spark, artifacts):
     metadata = json.loads(S.metadata_path(artifacts, 7).read_text())
     assert metadata["engineered_feature_columns"] == MODEL_FEATURES and metadata["class_names"] == sorted(CLASSES)
@@ -82,6 +97,66 @@ def test_forest_importances_and_cv(spark, frame):
     assert set(M.cv_summary(rows)) >= {"macro_f1_mean", "macro_f1_std"}
 
 
+@pytest.fixture(scope="module")
+def parts(frame):
+    split = P.time_split(P.attach_targets(P.base_features(frame))).cache()
+    return split.where("split = 'train'"), split.where("split = 'valid'")
+
+
+def test_comparison_coefficients_and_bundle(spark, parts):
+    train, valid = parts
+    rows = M.compare(train, valid, "target_7d_class", ("logistic", "forest"), logistic={"maxIter": 5}, forest={"numTrees": 2, "maxDepth": 2})
+    assert {r["model"] for r in rows} == {"logistic", "forest"} and rows[0]["macro_f1"] >= rows[1]["macro_f1"]
+    model = M.fit(train, "target_7d_class", "logistic", maxIter=5)
+    found = M.coefficients(model)
+    assert [r["feature"] for r in found if r["feature"].startswith("commodity=")] and [r["max_abs"] for r in found] == sorted((r["max_abs"] for r in found), reverse=True)
+    assert all(r["max_abs"] == max(abs(r[c]) for c in CLASSES) for r in found)
+    bundle = M.evaluation_bundle(model, valid, "target_7d_class")
+    assert bundle.metrics["accuracy"] == pytest.approx(bundle.errors.where("is_correct = 1").count() / bundle.errors.count())
+    assert sum(r[c.lower()] for r in bundle.confusion for c in CLASSES) == bundle.errors.count()
+
+
+def test_search_and_importance(spark, parts):
+    train, valid = parts
+    rows = M.random_search(train, "target_7d_class", "logistic", {"maxIter": [2, 4], "C": [1.0]}, draws=5, folds=2)
+    assert len(rows) == 2 and rows[0]["macro_f1_mean"] >= rows[1]["macro_f1_mean"]
+    model = fixed_model()
+    found = {r["feature"]: r["importance_mean"] for r in M.permutation_importance(model, valid, "target_7d_class", ["price_change_7d_pct", "year"], repeats=2)}
+    # The fixed model never looks at the year.
+    assert found["year"] == pytest.approx(0.0) and found["price_change_7d_pct"] != 0
+
+
+def test_shuffled_column_keeps_its_values(spark, parts):
+    _, valid = parts
+    before, after = (sorted(str(r[0]) for r in f.select("price_idr").collect()) for f in (valid, M._shuffled(valid, "price_idr", 3)))
+    assert before == after
+
+
+def test_context_views_and_stream_scores(spark, frame, artifacts, caplog):
+    service = S.InferenceService(spark, artifacts, 7)
+    out = service.predict_with_context(frame, ["commodity", "absent"])
+    assert out.columns == ["commodity", "horizon", "prediction", "confidence", "deflation", "stable", "inflation"]
+    assert "target_7d_inflation_pct" in caplog.text and out.count() == frame.count()
+    row = json.loads(frame.where("price_lag_30d is not null").limit(1).toJSON().collect()[0])
+    assert service.predict_one(dict.fromkeys(S.REQUIRED_COLUMNS) | row)["prediction"] in CLASSES
+    errors = M.error_frame(service.model, P.attach_targets(P.base_features(frame)), "target_7d_class")
+    views = S.monitoring_views(errors)
+    assert {k: v.isEmpty() for k, v in views.items()} == dict.fromkeys(views, False)
+    assert score_stream(service, frame).columns == service.score(frame).columns
+
+
+def test_boosting_scores_sum_to_one(spark, parts):
+    train, valid = parts
+    model = M.fit(train.limit(200), "target_7d_class", "boosting", maxIter=2, maxDepth=2)
+    rows = M.predict(model, valid.limit(20)).select("p_deflation", "p_stable", "p_inflation", "confidence").collect()
+    assert all(sum(r[:3]) == pytest.approx(1.0) and max(r[:3]) == r["confidence"] for r in rows)
+
+
+def test_artifact_paths(tmp_path):
+    S.ensure_artifact_dirs(tmp_path)
+    assert S.model_path(tmp_path, 7) != S.model_path(tmp_path, 30) and S.metadata_path(tmp_path, 30).parent.is_dir()
+
+
 def test_feature_stream_equals_batch(spark, frame, tmp_path):
     rows = frame.where("price_lag_30d is not null").limit(20).select(*S.REQUIRED_COLUMNS)
     rows.write.json(str(tmp_path / "in"))

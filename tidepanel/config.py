@@ -19,8 +19,10 @@ COMMODITIES = {
 # The sheet's columns that are no dates.
 NUMBER_COLUMN, LABEL_COLUMN = "No", "Komoditas (Rp)"
 
+# Column names of the panel, its features and targets, their order, classes and tiers.
 CANONICAL_COLUMNS = ["date", "commodity", "price_idr"]
 CALENDAR_COLUMNS = ["is_observed_source", "is_month_start", "is_month_end", "year", "month", "week_of_year", "day_of_week"]
+TIME_COLUMNS = ["date", "year", "month", "quarter", "day_of_week", "week_of_year"]
 LAGS = ["price_lag_1d", "price_lag_7d", "price_lag_30d"]
 CHANGES = ["price_change_1d_pct", "price_change_7d_pct", "price_change_30d_pct"]
 ROLLING = ["rolling_mean_7d", "rolling_mean_30d", "rolling_std_30d"]
@@ -77,52 +79,60 @@ class Rolling:
     min_obs: int = 1
 
 
+# Horizons, their slack and window sizes.
 DEFAULT_LAGS = {"1d": Lag(1, 0), "7d": Lag(7, 1), "30d": Lag(30, 2)}
 DEFAULT_LEADS = {"7d": Lead(7, 3), "30d": Lead(30, 7)}
 DEFAULT_ROLLING = {"mean_7d": Rolling(7, 1), "mean_30d": Rolling(30, 1), "std_30d": Rolling(30, 2)}
 
 
 @dataclass(frozen=True)
-class Thresholds:
-    """Bounds of the readiness gate (fixed values)."""
-
-    max_duplicate_pairs: int = 0
-    max_null_price_ratio: float = 0.01
-    max_non_positive_price_ratio: float = 0.0
-    max_missing_day_ratio_warn: float = 0.35
-    max_missing_day_ratio_fail: float = 0.6
-    min_trainable_rows_7d: int = 50
-    min_trainable_rows_30d: int = 30
-    min_trainable_rows_7d_per_commodity: int = 20
-    min_trainable_rows_30d_per_commodity: int = 12
-    min_training_span_days_7d_per_commodity: int = 45
-    min_training_span_days_30d_per_commodity: int = 60
-    min_critical_feature_non_null_rate_warn: float = 0.55
-    min_critical_feature_non_null_rate_fail: float = 0.35
-    min_model_feature_usable_rate_warn: float = 0.4
-    min_target_non_null_rate_warn: float = 0.25
-    min_target_non_null_rate_per_commodity: float = 0.2
-    min_class_ratio_warn: float = 0.05
-    min_class_ratio_fail: float = 0.01
-    min_classes_present_per_commodity: int = 2
-    max_tolerance_match_ratio_warn: float = 0.5
-    max_tolerance_match_ratio_fail: float = 0.8
-    max_abs_price_change_pct_warn: float = 50.0
-    max_abs_price_change_pct_fail: float = 150.0
-    max_change_to_median_ratio_warn: float = 20.0
-    max_change_to_median_ratio_fail: float = 50.0
-    max_flatline_segment_days_warn: int = 21
-    max_flatline_segment_days_fail: int = 45
-    structural_jump_ratio_warn: float = 8.0
-    structural_jump_ratio_fail: float = 15.0
+class Bound:
+    """Where a rule warns and where it fails: beyond the bound, above it or (``above`` false) below it."""
+
+    warn: float | None = None
+    fail: float | None = None
+    above: bool = True
+
+
+# The readiness gate's bounds, by rule and, where it matters, horizon.
+BOUNDS = {
+    "duplicates": Bound(fail=0),
+    "null_prices": Bound(fail=0.01),
+    "non_positive_prices": Bound(fail=0.0),
+    "unexpected": Bound(fail=0),
+    "missing_days": Bound(0.35, 0.6),
+    "critical_feature": Bound(0.55, 0.35, above=False),
+    "model_rows": Bound(warn=0.4, above=False),
+    "target_rate_low": Bound(warn=0.25, above=False),
+    "target_rate_least": Bound(fail=0.2, above=False),
+    "trainable 7d": Bound(fail=20, above=False),
+    "trainable 30d": Bound(fail=12, above=False),
+    "trainable_total 7d": Bound(fail=50, above=False),
+    "trainable_total 30d": Bound(fail=30, above=False),
+    "span 7d": Bound(fail=45, above=False),
+    "span 30d": Bound(fail=60, above=False),
+    "classes": Bound(fail=2, above=False),
+    "class_ratio": Bound(0.05, 0.01, above=False),
+    "tolerance": Bound(0.5, 0.8),
+    "no_match": Bound(warn=0.8),
+    "p90_change": Bound(50.0, 150.0),
+    "max_to_median": Bound(20.0, 50.0),
+    "flat": Bound(21, 45),
+    "jumps": Bound(8.0, 15.0),
+}
 
 
 @dataclass(frozen=True)
 class DiagnosticsConfig:
-    thresholds: Thresholds = field(default_factory=Thresholds)
+    """``bounds`` replaces some of ``BOUNDS``; the rest stays."""
+
+    bounds: dict[str, Bound] = field(default_factory=dict)
     allowed_commodities: tuple[str, ...] | None = None
     stable_band: float = STABLE_BAND
 
+    def bound(self, rule: str) -> Bound:
+        return self.bounds.get(rule, BOUNDS[rule])
+
 
 def model_path(root: str | Path, horizon: int) -> Path:
     return Path(root) / "models" / f"direction_{horizon}d"

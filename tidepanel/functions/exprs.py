@@ -36,8 +36,18 @@ def pct_change(a, b) -> Column:
 # --- text ---------------------------------------------------------------
 
 
+#: White space of any script, as a class of Java's expressions (whose \\s knows ASCII alone).
+SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def stripped(x) -> Column:
+    """Text without white space at its ends."""
+    return F.regexp_replace(col(x), rf"\A{SPACE}+|{SPACE}+\z", "")
+
+
 def normal_text(x) -> Column:
-    return F.trim(F.regexp_replace(F.coalesce(col(x), F.lit("")), r"\s+", " "))
+    """Runs of white space as one blank, none at the ends; missing as empty."""
+    return F.trim(F.regexp_replace(F.coalesce(col(x), F.lit("")), rf"{SPACE}+", " "))
 
 
 def parse_price(x) -> Column:
@@ -46,7 +56,7 @@ def parse_price(x) -> Column:
 
 
 def is_roman(x) -> Column:
-    return F.coalesce(F.trim(col(x)).rlike("(?i)^[IVXLCDM]+$"), F.lit(False))
+    return F.coalesce(stripped(x).rlike(r"(?i)\A[IVXLCDM]+\z"), F.lit(False))
 
 
 def commodity_of(x, names: dict[str, str] = COMMODITIES) -> Column:
@@ -70,6 +80,10 @@ def calendar_parts(date="date") -> dict[str, Column]:
     }
 
 
+def quarter(date="date") -> Column:
+    return F.quarter(col(date))
+
+
 def cycles() -> dict[str, Column]:
     out = {}
     for name, source, period in (("month", "month", 12), ("week", "week_of_year", 52), ("dow", "day_of_week", 7)):

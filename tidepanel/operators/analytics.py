@@ -7,8 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import CLASSES
+from ..config import BINARY_FEATURES, CATEGORICAL_FEATURES, CLASSES, TARGET_VALUES, TIME_COLUMNS
 from ..functions import exprs as E
+from .quantiles import exact_quantiles
 
 
 def numeric_columns(frame: DataFrame) -> list[str]:
@@ -29,10 +30,15 @@ def missing_summary(frame: DataFrame) -> DataFrame:
 
 
 def describe(frame: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles (exact), max of each numeric column."""
+    """count, mean, std, min, quartiles (exact), max of each numeric column.
+
+    The quartiles are computed at once (see ``quantiles``), the rest is one lazy aggregate.
+    """
+    columns = columns or numeric_columns(frame)
     d = lambda c: F.col(c).cast("double")
-    q = lambda p: lambda c: F.percentile(d(c), F.lit(p))
-    return _long(frame, columns or numeric_columns(frame), {"count": F.count, "mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_samp(d(c)), "min": lambda c: F.min(d(c)), "p25": q(0.25), "p50": q(0.5), "p75": q(0.75), "max": lambda c: F.max(d(c))})
+    found = exact_quantiles(frame, {c: [0.25, 0.5, 0.75] for c in columns})
+    q = lambda k: lambda c: F.lit(found[c][k]).cast("double")
+    return _long(frame, columns, {"count": F.count, "mean": lambda c: F.avg(d(c)), "std": lambda c: F.stddev_samp(d(c)), "min": lambda c: F.min(d(c)), "p25": q(0), "p50": q(1), "p75": q(2), "max": lambda c: F.max(d(c))})
 
 
 def correlation_matrix(frame: DataFrame, columns: list[str]) -> DataFrame:
@@ -44,6 +50,16 @@ def correlation_matrix(frame: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.explode(rows).alias("x")).select("x.*")
 
 
+def variable_groups(frame: DataFrame) -> dict[str, list[str]]:
+    """Columns by role, in the frame's order; what has no other role is a numeric feature."""
+    roles = {"categorical": CATEGORICAL_FEATURES, "flag": BINARY_FEATURES, "time": TIME_COLUMNS, "target": list(TARGET_VALUES.values())}
+    role = {c: r for r, columns in roles.items() for c in columns}
+    out: dict[str, list[str]] = {r: [] for r in (*roles, "numeric")}
+    for c in frame.columns:
+        out[role.get(c, "numeric")].append(c)
+    return out
+
+
 def monthly_means(frame: DataFrame, columns: list[str]) -> DataFrame:
     return frame.groupBy(E.month_bucket().alias("month"), "commodity").agg(*(F.avg(c).alias(f"mean_{c}") for c in columns))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_COLUMNS, COMMODITIES, MODEL_FEATURES, REQUIRED_COLUMNS
@@ -19,6 +19,14 @@ def require_input_contract(frame: DataFrame) -> None:
     require_columns(frame, REQUIRED_COLUMNS, "feature-ready input columns")
 
 
+def contract_report(columns: Iterable[str], expected: Iterable[str]) -> list[tuple[str, str, int | None]]:
+    """(column, status, position in the contract): present, missing, or extra (which scoring leaves out)."""
+    columns, expected = list(columns), list(expected)
+    held = set(columns)
+    out = [(c, "present" if c in held else "missing", k) for k, c in enumerate(expected)]
+    return out + [(c, "extra", None) for c in columns if c not in set(expected)]
+
+
 def require_no_leakage(columns: Iterable[str]) -> None:
     if leaking := [c for c in columns if c.startswith("target_")]:
         raise ValueError(f"Target leakage detected in feature columns: {leaking}")
@@ -40,31 +48,56 @@ def require_unique_keys(frame: DataFrame) -> None:
         raise ValueError(f"Duplicate (date, commodity) rows, such as {[(str(r['date']), r['commodity']) for r in found]}")
 
 
-def validate_canonical(frame: DataFrame, require_all: bool = True, names=None) -> None:
-    """Dates, names, prices and keys of a canonical panel, in one pass and one look for duplicates."""
+def unique_day(rows: str) -> Column:
+    """A filter that all rows pass, and that fails the job where a key's ``rows`` are more than one."""
+    message = F.concat(F.lit("Duplicate (date, commodity) rows: "), F.coalesce(F.col("date").cast("string"), F.lit("null")), F.lit(", "), F.col("commodity"))
+    return F.when(F.col(rows) > 1, F.raise_error(message).isNull()).otherwise(True)
+
+
+def violations(frame: DataFrame, names=None) -> DataFrame:
+    """One row of counts: unparsable dates, unexpected names, non-numeric prices, repeated keys and their surplus rows, and the configured names that are missing.
+
+    What is gathered is bounded: the configured names that occur.
+    """
     require_columns(frame, CANONICAL_COLUMNS, "canonical columns")
     names = sorted(COMMODITIES.values() if names is None else names)
     known = F.col("commodity").isin(names)
-    bad_price = F.col("price_idr").isNotNull() & F.col("price_idr").cast("string").try_cast("double").isNull()
-    bad_date = F.col("date").cast("string").try_cast("date").isNull()
-    # What is collected is bounded: the configured names that occur, and a few examples.
-    got = frame.agg(
-        F.count_if(bad_date).alias("dates"),
-        F.collect_set(F.when(known, F.col("commodity"))).alias("seen"),
-        F.count_if(F.col("commodity").isNotNull() & ~known).alias("unknown"),
-        F.count_if(bad_price).alias("prices"),
-    ).first()
-    if got["dates"]:
-        raise ValueError(f"Canonical panel has {got['dates']} unparsable dates")
-    if got["unknown"]:
-        some = frame.where(F.col("commodity").isNotNull() & ~known).select("commodity").distinct().orderBy("commodity").limit(10).collect()
+    seen = F.collect_set(F.when(known, F.col("commodity")))
+    counts = frame.agg(
+        F.count_if(_bad_date()).alias("unparsable_dates"),
+        F.count_if(F.col("commodity").isNotNull() & ~known).alias("unexpected_rows"),
+        F.array_sort(F.array_except(F.array(*map(F.lit, names)), seen)).alias("missing_names"),
+        F.count_if(_bad_price()).alias("non_numeric_prices"),
+    )
+    repeated = duplicate_pairs(frame).agg(F.count("*").alias("duplicate_keys"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+    # Two single rows side by side.
+    return counts.crossJoin(F.broadcast(repeated))
+
+
+def _bad_date() -> Column:
+    return F.col("date").cast("string").try_cast("date").isNull()
+
+
+def _bad_price() -> Column:
+    return F.col("price_idr").isNotNull() & F.col("price_idr").cast("string").try_cast("double").isNull()
+
+
+def validate_canonical(frame: DataFrame, require_all: bool = True, names=None) -> None:
+    """Dates, names, prices and keys of a canonical panel; examples are looked for only where a count is not zero."""
+    names = sorted(COMMODITIES.values() if names is None else names)
+    got = violations(frame, names).first()
+    if got["unparsable_dates"]:
+        raise ValueError(f"Canonical panel has {got['unparsable_dates']} unparsable dates")
+    if got["unexpected_rows"]:
+        some = frame.where(F.col("commodity").isNotNull() & ~F.col("commodity").isin(names)).select("commodity").distinct().orderBy("commodity").limit(10).collect()
         raise ValueError(f"Unexpected commodities: {[r[0] for r in some]}")
-    if require_all and (missing := sorted(set(names) - set(got["seen"]))):
-        raise ValueError(f"Missing configured commodities: {missing}")
-    if got["prices"]:
-        some = frame.where(bad_price).select(F.col("price_idr").cast("string")).limit(10).collect()
-        raise ValueError(f"Non-numeric prices: {got['prices']} rows, such as {[r[0] for r in some]}")
-    require_unique_keys(frame)
+    if require_all and got["missing_names"]:
+        raise ValueError(f"Missing configured commodities: {got['missing_names']}")
+    if got["non_numeric_prices"]:
+        some = frame.where(_bad_price()).select("date", "commodity", F.col("price_idr").cast("string")).limit(10).collect()
+        raise ValueError(f"Non-numeric prices: {got['non_numeric_prices']} rows, such as {[tuple(map(str, r)) for r in some]}")
+    if got["duplicate_keys"]:
+        require_unique_keys(frame)
 
 
 def require_rows(frame: DataFrame, what: str) -> None:

@@ -67,14 +67,71 @@ def model_mask() -> Column:
     return E.all_present(TIERS["critical"])
 
 
+def _feature_columns() -> dict[str, Column]:
+    usable = {"strict": strict_mask(), "model": model_mask()}
+    out = {"row_count": F.count("*")} | {f"{c}_non_null_rate": E.share(F.col(c).isNotNull()) for c in PRICE_FEATURES}
+    for n, m in usable.items():
+        out |= {f"{n}_feature_usable_rows": F.count_if(m), f"{n}_feature_usable_rate": E.share(m)}
+    out |= {f"{t}_all_non_null_rate": E.share(E.all_present(columns)) for t, columns in TIERS.items()}
+    return out | {f"{t}_{c}_non_null_rate": E.share(F.col(c).isNotNull()) for t, columns in TIERS.items() for c in columns}
+
+
+def _target_columns() -> dict[str, Column]:
+    out = {"row_count": F.count("*"), "strict_feature_usable_rows": F.count_if(strict_mask()), "model_feature_usable_rows": F.count_if(model_mask())}
+    for h, c in TARGET_VALUES.items():
+        there = F.col(c).isNotNull()
+        out |= {f"target_{h}d_non_null_rate": E.share(there), f"target_{h}d_rows": F.count_if(there), f"strict_overlap_{h}d_rows": F.count_if(there & strict_mask()), f"trainable_rows_{h}d": F.count_if(there & model_mask())}
+    return out
+
+
+def _distribution_columns() -> dict[str, Column]:
+    """Exact quantiles hold a commodity's distinct values in one task: as many as it has days, at most."""
+    out = {}
+    for c in STATS:
+        x = E.numeric(c)
+        out |= {f"{c}_count": F.count(x), f"{c}_min": F.min(x), f"{c}_p50": F.percentile(x, F.lit(0.5)), f"{c}_p90": F.percentile(x, F.lit(0.9)), f"{c}_max": F.max(x), f"{c}_mean": F.avg(x)}
+    for k in ("1d", "7d", "30d"):
+        a = F.abs(E.numeric(f"price_change_{k}_pct"))
+        median = F.percentile(a, F.lit(0.5))
+        out |= {f"max_abs_change_{k}": F.max(a), f"max_to_median_{k}": F.when(median > 0, F.max(a) / median)}
+    return out
+
+
+def _jump_columns(threshold: float) -> dict[str, Column]:
+    return {"structural_jump_count": F.count_if(F.abs(E.numeric("price_change_1d_pct")) > threshold)}
+
+
+def _window_columns() -> dict[str, Column]:
+    usable = F.col("usable") & F.col("target").isNotNull()
+    day = F.when(usable, F.col("date"))
+    return {"first_date": F.min(day), "last_date": F.max(day), "usable_rows": F.count_if(usable), "span_days": F.coalesce(F.datediff(F.max(day), F.min(day)) + 1, F.lit(0))}
+
+
+def _balance_columns() -> dict[str, Column]:
+    count = {c: F.count_if(F.col("label") == c) for c in CLASSES}
+    total = F.count("label")
+    out = {"labelled_rows": total, "classes_present": sum((F.when(n > 0, 1).otherwise(0) for n in count.values()), F.lit(0))}
+    for c, n in count.items():
+        out |= {f"{c.lower()}_count": n, f"{c.lower()}_ratio": F.coalesce(E.safe_div(n, total), F.lit(0.0))}
+    return out
+
+
+def _grouped(frame: DataFrame, keys: list[str], columns: dict[str, Column]) -> DataFrame:
+    return frame.groupBy(*keys).agg(*(x.alias(n) for n, x in columns.items()))
+
+
+def _by_commodity(frame: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    return _grouped(with_columns(_keyed(frame), PRICE_FEATURES + list(TARGET_VALUES.values()) + ["price_idr"]), ["commodity"], columns)
+
+
 def feature_coverage(frame: DataFrame) -> DataFrame:
     """Non-null rates of features, tiers and usable rows of each commodity, in one aggregate."""
-    own = with_columns(_keyed(frame), PRICE_FEATURES)
-    rates = [E.share(F.col(c).isNotNull()).alias(f"{c}_non_null_rate") for c in PRICE_FEATURES]
-    tiers = [E.share(E.all_present(columns)).alias(f"{t}_all_non_null_rate") for t, columns in TIERS.items()]
-    tier_rates = [E.share(F.col(c).isNotNull()).alias(f"{t}_{c}_non_null_rate") for t, columns in TIERS.items() for c in columns]
-    usable = [e for n, m in (("strict", strict_mask()), ("model", model_mask())) for e in (F.count_if(m).alias(f"{n}_feature_usable_rows"), E.share(m).alias(f"{n}_feature_usable_rate"))]
-    return own.groupBy("commodity").agg(F.count("*").alias("row_count"), *rates, *usable, *tiers, *tier_rates)
+    return _by_commodity(frame, _feature_columns())
+
+
+def profile(frame: DataFrame, jump: float = 8.0) -> DataFrame:
+    """Coverage, targets, distribution and jumps of each commodity, all in one aggregate."""
+    return _by_commodity(frame, _feature_columns() | _target_columns() | _distribution_columns() | _jump_columns(jump))
 
 
 def first_valid_dates(frame: DataFrame) -> DataFrame:
@@ -85,12 +142,13 @@ def first_valid_dates(frame: DataFrame) -> DataFrame:
 
 
 def target_coverage(frame: DataFrame) -> DataFrame:
-    own = with_columns(_keyed(frame), PRICE_FEATURES + list(TARGET_VALUES.values()))
-    out = [F.count("*").alias("row_count"), F.count_if(strict_mask()).alias("strict_feature_usable_rows"), F.count_if(model_mask()).alias("model_feature_usable_rows")]
-    for h, c in TARGET_VALUES.items():
-        there = F.col(c).isNotNull()
-        out += [E.share(there).alias(f"target_{h}d_non_null_rate"), F.count_if(there).alias(f"target_{h}d_rows"), F.count_if(there & strict_mask()).alias(f"strict_overlap_{h}d_rows"), F.count_if(there & model_mask()).alias(f"trainable_rows_{h}d")]
-    return own.groupBy("commodity").agg(*out)
+    return _by_commodity(frame, _target_columns())
+
+
+def usable_totals(coverage: DataFrame) -> DataFrame:
+    """One row: strict, model and trainable rows of all commodities, from ``target_coverage`` or ``profile``."""
+    totals = ["strict_feature_usable_rows", "model_feature_usable_rows", *(f"trainable_rows_{h}d" for h in TARGET_VALUES)]
+    return coverage.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(f"{c}_total") for c in totals))
 
 
 def coverage(frame: DataFrame) -> DataFrame:
@@ -109,27 +167,22 @@ def _by_horizon(frame: DataFrame) -> DataFrame:
     return own.select("commodity", "date", model_mask().alias("usable"), pairs.alias("x")).select("commodity", "date", "usable", "x.horizon", "x.target")
 
 
-def training_windows(frame: DataFrame) -> DataFrame:
-    usable = F.col("usable") & F.col("target").isNotNull()
-    day = F.when(usable, F.col("date"))
-    return _by_horizon(frame).groupBy("commodity", "horizon").agg(
-        F.min(day).alias("first_date"), F.max(day).alias("last_date"), F.count_if(usable).alias("usable_rows"), F.coalesce(F.datediff(F.max(day), F.min(day)) + 1, F.lit(0)).alias("span_days")
-    )
+def _labelled(frame: DataFrame, band: float) -> DataFrame:
+    return _by_horizon(frame).withColumn("label", F.when(F.col("usable"), E.label_diagnostics("target", band)))
 
 
-def _balance(rows) -> DataFrame:
-    count = {c: F.count_if(F.col("label") == c) for c in CLASSES}
-    total = F.count("label")
-    out = [total.alias("labelled_rows"), sum((F.when(n > 0, 1).otherwise(0) for n in count.values()), F.lit(0)).alias("classes_present")]
-    for c, n in count.items():
-        out += [n.alias(f"{c.lower()}_count"), F.coalesce(E.safe_div(n, total), F.lit(0.0)).alias(f"{c.lower()}_ratio")]
-    return rows.agg(*out)
+def training_windows(frame: DataFrame) -> DataFrame:
+    return _grouped(_by_horizon(frame), ["commodity", "horizon"], _window_columns())
 
 
 def class_balance(frame: DataFrame, band: float = STABLE_BAND, overall: bool = False) -> DataFrame:
     """Class counts and ratios of usable rows by commodity and horizon, or by horizon alone."""
-    rows = _by_horizon(frame).withColumn("label", F.when(F.col("usable"), E.label_diagnostics("target", band)))
-    return _balance(rows.groupBy("horizon") if overall else rows.groupBy("commodity", "horizon"))
+    return _grouped(_labelled(frame, band), ["horizon"] if overall else ["commodity", "horizon"], _balance_columns())
+
+
+def horizon_profile(frame: DataFrame, band: float = STABLE_BAND) -> DataFrame:
+    """Training windows and class balance of each commodity and horizon, in one aggregate."""
+    return _grouped(_labelled(frame, band), ["commodity", "horizon"], _window_columns() | _balance_columns())
 
 
 def match_quality(frame: DataFrame, lags: dict[str, Lag] | None = None, leads: dict[str, Lead] | None = None, overall: bool = False) -> DataFrame:
@@ -152,16 +205,7 @@ def match_quality(frame: DataFrame, lags: dict[str, Lag] | None = None, leads: d
 
 def distribution_summary(frame: DataFrame) -> DataFrame:
     """Count, min, p50, p90, max, mean of prices, changes and targets, and extremes of the changes."""
-    own = with_columns(_keyed(frame), STATS)
-    out = []
-    for c in STATS:
-        x = E.numeric(c)
-        out += [F.count(x).alias(f"{c}_count"), F.min(x).alias(f"{c}_min"), F.percentile(x, F.lit(0.5)).alias(f"{c}_p50"), F.percentile(x, F.lit(0.9)).alias(f"{c}_p90"), F.max(x).alias(f"{c}_max"), F.avg(x).alias(f"{c}_mean")]
-    for k in ("1d", "7d", "30d"):
-        a = F.abs(E.numeric(f"price_change_{k}_pct"))
-        median = F.percentile(a, F.lit(0.5))
-        out += [F.max(a).alias(f"max_abs_change_{k}"), F.when(median > 0, F.max(a) / median).alias(f"max_to_median_{k}")]
-    return own.groupBy("commodity").agg(*out)
+    return _by_commodity(frame, _distribution_columns())
 
 
 def flat_runs(frame: DataFrame) -> DataFrame:
@@ -175,5 +219,10 @@ def flat_runs(frame: DataFrame) -> DataFrame:
 
 
 def structural_jumps(frame: DataFrame, threshold: float = 8.0) -> DataFrame:
-    own = with_columns(_keyed(frame), ["price_change_1d_pct"])
-    return own.groupBy("commodity").agg(F.count_if(F.abs(E.numeric("price_change_1d_pct")) > threshold).alias("structural_jump_count"))
+    return _by_commodity(frame, _jump_columns(threshold))
+
+
+def section_columns() -> dict[str, list[str]]:
+    """Columns of the sections that ``profile`` and ``horizon_profile`` hold."""
+    own = {"features": _feature_columns(), "targets": _target_columns(), "distribution": _distribution_columns() | _jump_columns(8.0), "windows": _window_columns(), "balance": _balance_columns()}
+    return {name: list(columns) for name, columns in own.items()}

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT_LAGS, DEFAULT_LEADS, DEFAULT_ROLLING, MODEL_FEATURES, STABLE_BAND, TARGET_CLASSES, TARGET_VALUES
 from ..functions import calendar as C
 from ..functions import exprs as E
-from .checks import require_columns, require_input_contract, require_unique_keys
+from .checks import require_columns, require_input_contract, unique_day
+from .quantiles import exact_quantiles
 
 
 def _complete(given, default: dict, what: str) -> dict:
@@ -36,16 +37,16 @@ def _with_chunks(panel: DataFrame, chunk_days: int, back: int, ahead: int) -> Da
 def feature_ready(panel: DataFrame, lags=None, rolling=None, leads=None, check: bool = True, chunk_days: int | None = None) -> DataFrame:
     """Calendar parts, lags, changes and trailing statistics; with ``leads`` the forward targets too.
 
-    One exchange, one sort and one window serve all of them. ``check`` first
-    asserts that no (date, commodity) repeats. ``chunk_days`` splits each
+    One exchange, one sort and one window serve all of them. ``check`` asserts
+    that no (date, commodity) repeats: the same window counts the rows of each
+    day, and a second one is an error when the rows are computed (for an error
+    at once there is ``checks.require_unique_keys``). ``chunk_days`` splits each
     commodity's history into chunks (with the few weeks that frames reach
     copied over), for panels of few commodities and long histories.
     """
     require_columns(panel, ["date", "commodity", "price_idr"])
     lags, rolling = _complete(lags, DEFAULT_LAGS, "lags"), _complete(rolling, DEFAULT_ROLLING, "rolling")
     base = canonical(panel)
-    if check:
-        require_unique_keys(base)
     keys = C.KEYS
     if chunk_days:
         back = max([x.days + x.slack for x in lags.values()] + [x.days for x in rolling.values()])
@@ -56,7 +57,11 @@ def feature_ready(panel: DataFrame, lags=None, rolling=None, leads=None, check:
     windows |= {f"rolling_{k}": C.trailing_mean("price_idr", rolling[k], keys) for k in ("mean_7d", "mean_30d")}
     windows["rolling_std_30d"] = C.trailing_std("price_idr", rolling["std_30d"], keys)
     windows |= {f"_future_{h}": C.asof_lead("price_idr", x, keys) for h, x in (leads or {}).items()}
+    if check:
+        windows["_same_day"] = F.count("*").over(C.frame(0, 0, keys))
     out = base.select("*", *(c.alias(n) for n, c in windows.items()))
+    if check:
+        out = out.where(unique_day("_same_day")).drop("_same_day")
     if chunk_days:
         out = out.where(F.floor(C.day() / chunk_days) == F.col("_chunk"))
     changes = {f"price_change_{k}_pct": E.pct_change("price_idr", f"price_lag_{k}") for k in ("1d", "7d", "30d")}
@@ -118,15 +123,17 @@ def time_split(frame: DataFrame, target: str = "target_7d_class", train: float =
     return joined.withColumn("split", split).drop("train_end", "valid_end")
 
 
-def quantile_bounds(frame: DataFrame, value: str, stable_share: float, split: str = "train") -> DataFrame:
-    """One row (low, high): exact quantiles of the train rows that leave ``stable_share`` between them."""
+def quantile_bounds(frame: DataFrame, value: str, stable_share: float, split: str = "train") -> tuple[float | None, float | None]:
+    """(low, high): exact quantiles of the train rows that leave ``stable_share`` between them, computed at once."""
     tail = (1 - stable_share) / 2
-    return frame.where(F.col("split") == split).agg(F.percentile(value, F.lit(tail)).alias("low"), F.percentile(value, F.lit(1 - tail)).alias("high"))
+    low, high = exact_quantiles(frame.where(F.col("split") == split), {value: [tail, 1 - tail]})[value]
+    return low, high
 
 
 def label_by_quantiles(frame: DataFrame, value: str, stable_share: float, out: str) -> DataFrame:
-    joined = frame.crossJoin(F.broadcast(quantile_bounds(frame, value, stable_share)))
-    return joined.withColumn(out, E.label_bounds(value, F.col("low"), F.col("high"))).drop("low", "high")
+    """Without train rows nothing lies beyond a bound, so all is Stable."""
+    low, high = (F.lit(x).cast("double") for x in quantile_bounds(frame, value, stable_share))
+    return frame.withColumn(out, E.label_bounds(value, low, high))
 
 
 def high_vol_regime(frame: DataFrame, value: str = "volatility_30d_pct") -> DataFrame:

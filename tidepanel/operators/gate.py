@@ -33,7 +33,8 @@ WORDS = {
     "missing_days": "{s}: many days without an observation ({v:.3f}).",
     "critical_feature": "{s}: low non-null rate of a critical feature ({v:.3f}).",
     "model_rows": "{s}: few rows have all model features ({v:.3f}).",
-    "target_rate": "{s}: low non-null rate of the target ({v:.3f}).",
+    "target_rate_low": "{s}: low non-null rate of the target ({v:.3f}).",
+    "target_rate_least": "{s}: non-null rate of the target is below the least one ({v:.3f}).",
     "trainable": "{s}: too few trainable rows ({v:.0f}).",
     "trainable_total": "Too few trainable rows in all for {s} ({v:.0f}).",
     "span": "{s}: usable training span too short ({v:.0f} days).",
@@ -48,62 +49,56 @@ WORDS = {
 }
 
 
-def _rows(frame: DataFrame, *rules) -> DataFrame:
-    """rules: (rule, subject, value, warn, fail, above) with columns or literals; None is no bound."""
-
-    def lit(x):
-        return F.lit(x) if not hasattr(x, "cast") else x
-
-    made = [
-        F.struct(F.lit(r).alias("rule"), lit(s).alias("subject"), lit(v).cast("double").alias("value"), lit(w).cast("double").alias("warn_bound"), lit(f).cast("double").alias("fail_bound"), F.lit(above).alias("above"))
-        for r, s, v, w, f, above in rules
-    ]
+def _rows(frame: DataFrame, config: DiagnosticsConfig, *rules) -> DataFrame:
+    """rules: (rule, subject, value), the value a column; a rule's name ends before its horizon."""
+    made = []
+    for rule, subject, value in rules:
+        bound = config.bound(rule)
+        parts = {"rule": F.lit(rule.split()[0]), "subject": F.lit(subject), "value": value.cast("double"), "warn_bound": F.lit(bound.warn).cast("double"), "fail_bound": F.lit(bound.fail).cast("double"), "above": F.lit(bound.above)}
+        made.append(F.struct(*(x.alias(n) for n, x in parts.items())))
     return frame.select(F.explode(F.array(*made)).alias("x")).select("x.*")
 
 
 def rule_rows(parts: dict[str, DataFrame], config: DiagnosticsConfig) -> DataFrame:
     """rule, subject, value, bounds and verdict (PASS, WARN, FAIL) for every rule and subject.
 
-    parts: overall, duplicates, unexpected (counts), gaps, features, targets, windows, balance, match, distribution.
+    parts: overall, duplicates, unexpected (counts), gaps, profile, horizons, match, flat.
     """
-    t = config.thresholds
     c = F.col("commodity")
     of = lambda what: F.concat(c, F.lit(f" {what}"))
     row_share = lambda x: F.coalesce(F.try_divide(F.col(x), F.col("row_count")), F.lit(0.0))
     horizons = [f"{h}d" for h in TARGET_VALUES]
-    span = F.when(F.col("horizon") == "7d", t.min_training_span_days_7d_per_commodity).otherwise(t.min_training_span_days_30d_per_commodity)
-    place = F.concat(c, F.lit(" "), F.col("horizon"))
-    jump_ratio = F.when(F.col("structural_jump_count") > 0, F.col("max_to_median_1d"))
+    profile = parts["profile"]
     frames = [
-        _rows(parts["overall"], ("null_prices", "all", row_share("null_prices"), None, t.max_null_price_ratio, True), ("non_positive_prices", "all", row_share("non_positive_prices"), None, t.max_non_positive_price_ratio, True)),
-        _rows(parts["duplicates"], ("duplicates", "all", F.col("n"), None, t.max_duplicate_pairs, True)),
-        _rows(parts["unexpected"], ("unexpected", "all", F.col("n"), None, 0, True)),
-        _rows(parts["gaps"], ("missing_days", c, F.col("missing_day_ratio"), t.max_missing_day_ratio_warn, t.max_missing_day_ratio_fail, True)),
+        _rows(parts["overall"], config, ("null_prices", "all", row_share("null_prices")), ("non_positive_prices", "all", row_share("non_positive_prices"))),
+        _rows(parts["duplicates"], config, ("duplicates", "all", F.col("n"))),
+        _rows(parts["unexpected"], config, ("unexpected", "all", F.col("n"))),
+        _rows(parts["gaps"], config, ("missing_days", c, F.col("missing_day_ratio"))),
         _rows(
-            parts["features"],
-            *(("critical_feature", of(f), F.col(f"{f}_non_null_rate"), t.min_critical_feature_non_null_rate_warn, t.min_critical_feature_non_null_rate_fail, False) for f in TIERS["critical"]),
-            ("model_rows", c, F.col("model_feature_usable_rate"), t.min_model_feature_usable_rate_warn, None, False),
+            profile,
+            config,
+            *(("critical_feature", of(f), F.col(f"{f}_non_null_rate")) for f in TIERS["critical"]),
+            ("model_rows", c, F.col("model_feature_usable_rate")),
+            # A rate below both bounds warns and fails: two rules.
+            *((rule, of(h), F.col(f"target_{h}_non_null_rate")) for h in horizons for rule in ("target_rate_low", "target_rate_least")),
+            *((f"trainable {h}", of(h), F.col(f"trainable_rows_{h}")) for h in horizons),
+            ("p90_change", c, F.abs("price_change_1d_pct_p90")),
+            *(("max_to_median", of(k), F.col(f"max_to_median_{k}")) for k in ("1d", "7d", "30d")),
+            ("jumps", c, F.when(F.col("structural_jump_count") > 0, F.col("max_to_median_1d"))),
         ),
-        _rows(
-            parts["targets"],
-            *(("target_rate", of(h), F.col(f"target_{h}_non_null_rate"), t.min_target_non_null_rate_warn, t.min_target_non_null_rate_per_commodity, False) for h in horizons),
-            *(("trainable", of(h), F.col(f"trainable_rows_{h}"), None, getattr(t, f"min_trainable_rows_{h}_per_commodity"), False) for h in horizons),
-        ),
-        _rows(parts["targets"].agg(*(F.coalesce(F.sum(f"trainable_rows_{h}"), F.lit(0)).alias(h) for h in horizons)), *(("trainable_total", h, F.col(h), None, getattr(t, f"min_trainable_rows_{h}"), False) for h in horizons)),
-        _rows(parts["windows"], ("span", place, F.col("span_days"), None, span, False)),
-        _rows(
-            parts["balance"],
-            ("classes", place, F.col("classes_present"), None, t.min_classes_present_per_commodity, False),
-            *(("class_ratio", F.concat(place, F.lit(f" {k}")), F.col(f"{k.lower()}_ratio"), t.min_class_ratio_warn, t.min_class_ratio_fail, False) for k in CLASSES),
-        ),
-        _rows(parts["match"], ("tolerance", F.col("field"), F.col("tolerance_ratio"), t.max_tolerance_match_ratio_warn, t.max_tolerance_match_ratio_fail, True), ("no_match", F.col("field"), F.col("no_match_ratio"), 1 - 0.2, None, True)),
-        _rows(
-            parts["distribution"],
-            ("p90_change", c, F.abs("price_change_1d_pct_p90"), t.max_abs_price_change_pct_warn, t.max_abs_price_change_pct_fail, True),
-            *(("max_to_median", of(k), F.col(f"max_to_median_{k}"), t.max_change_to_median_ratio_warn, t.max_change_to_median_ratio_fail, True) for k in ("1d", "7d", "30d")),
-            ("flat", c, F.col("max_flatline_segment_days"), t.max_flatline_segment_days_warn, t.max_flatline_segment_days_fail, True),
-            ("jumps", c, jump_ratio, t.structural_jump_ratio_warn, t.structural_jump_ratio_fail, True),
+        _rows(D.usable_totals(profile), config, *((f"trainable_total {h}", h, F.col(f"trainable_rows_{h}_total")) for h in horizons)),
+        *(
+            _rows(
+                parts["horizons"].where(F.col("horizon") == h),
+                config,
+                (f"span {h}", of(h), F.col("span_days")),
+                ("classes", of(h), F.col("classes_present")),
+                *(("class_ratio", of(f"{h} {k}"), F.col(f"{k.lower()}_ratio")) for k in CLASSES),
+            )
+            for h in horizons
         ),
+        _rows(parts["match"], config, ("tolerance", F.col("field"), F.col("tolerance_ratio")), ("no_match", F.col("field"), F.col("no_match_ratio"))),
+        _rows(parts["flat"], config, ("flat", c, F.col("max_flatline_segment_days"))),
     ]
     out = frames[0]
     for more in frames[1:]:
@@ -125,25 +120,45 @@ class Diagnosis:
         return {"readiness_status": self.status.value, "failures": self.failures, "warnings": self.warnings} | self.sections
 
 
-def diagnosis_frames(canonical: DataFrame, training: DataFrame, config: DiagnosticsConfig) -> dict[str, DataFrame]:
-    """All diagnostics frames, lazy; each is as large as the commodities are many."""
+def rule_frames(canonical: DataFrame, training: DataFrame, config: DiagnosticsConfig) -> dict[str, DataFrame]:
+    """The frames that the rules read, lazy; each is as large as the commodities are many.
+
+    What groups alike comes from one aggregate: ``profile`` by commodity,
+    ``horizons`` by commodity and horizon.
+    """
     unexpected = D.unexpected_commodities(canonical, config.allowed_commodities) if config.allowed_commodities is not None else canonical.select("commodity").limit(0)
-    distribution = D.distribution_summary(training).join(D.flat_runs(training), "commodity").join(D.structural_jumps(training, config.thresholds.structural_jump_ratio_warn), "commodity")
     return {
         "overall": D.canonical_overall(canonical),
-        "by_commodity": D.canonical_by_commodity(canonical),
         "duplicates": duplicate_pairs(canonical).agg(F.count("*").alias("n")),
         "unexpected": unexpected.agg(F.count("*").alias("n")),
         "gaps": D.gap_metrics(canonical),
-        "features": D.feature_coverage(training),
+        "profile": D.profile(training, config.bound("jumps").warn),
+        "horizons": D.horizon_profile(training, config.stable_band),
+        "flat": D.flat_runs(training),
+        "match": D.match_quality(training, overall=True),
+    }
+
+
+def section_frames(canonical: DataFrame, training: DataFrame, rules: dict[str, DataFrame], config: DiagnosticsConfig) -> dict[str, DataFrame]:
+    """The frames of a diagnosis; most choose columns of those that the rules read."""
+    section = D.section_columns()
+    profile, horizons = rules["profile"], rules["horizons"]
+    return {
+        "overall": rules["overall"],
+        "by_commodity": D.canonical_by_commodity(canonical),
+        "duplicates": rules["duplicates"],
+        "unexpected": rules["unexpected"],
+        "gaps": rules["gaps"],
+        "features": profile.select("commodity", *section["features"]),
         "first_valid": D.first_valid_dates(training),
-        "targets": D.target_coverage(training),
-        "windows": D.training_windows(training),
-        "balance": D.class_balance(training, config.stable_band),
+        "targets": profile.select("commodity", *section["targets"]),
+        "target_totals": D.usable_totals(profile),
+        "windows": horizons.select("commodity", "horizon", *section["windows"]),
+        "balance": horizons.select("commodity", "horizon", *section["balance"]),
         "balance_overall": D.class_balance(training, config.stable_band, overall=True),
         "match_by_commodity": D.match_quality(training),
-        "match": D.match_quality(training, overall=True),
-        "distribution": distribution,
+        "match": rules["match"],
+        "distribution": profile.select("commodity", *section["distribution"]).join(rules["flat"], "commodity"),
     }
 
 
@@ -165,12 +180,15 @@ def diagnose(canonical: DataFrame, training: DataFrame, config: DiagnosticsConfi
     """Everything about a panel and its features. Only per-commodity summaries come to the driver."""
     config = config or DiagnosticsConfig()
     canonical, training = canonical.cache(), training.cache()
+    rules = rule_frames(canonical, training, config)
+    # Summaries are small, and several sections choose from them.
+    for frame in rules.values():
+        frame.cache()
     try:
-        frames = diagnosis_frames(canonical, training, config)
-        status, failures, warnings = evaluate(frames, config)
+        status, failures, warnings = evaluate(rules, config)
         keys = {"by_commodity": ["commodity"], "gaps": ["commodity"]}
         sections = {}
-        for name, frame in frames.items():
+        for name, frame in section_frames(canonical, training, rules, config).items():
             order = keys.get(name) or [c for c in ("commodity", "horizon", "field", "feature") if c in frame.columns]
             rows = frame.orderBy(*order).collect() if order else frame.collect()
             sections[name] = [{k: _plain(v) for k, v in r.asDict().items()} for r in rows]
@@ -178,5 +196,7 @@ def diagnose(canonical: DataFrame, training: DataFrame, config: DiagnosticsConfi
         sections["duplicate_examples"] = [{k: _plain(v) for k, v in r.asDict().items()} for r in pairs]
         return Diagnosis(status, failures, warnings, sections)
     finally:
+        for frame in rules.values():
+            frame.unpersist()
         canonical.unpersist()
         training.unpersist()

@@ -13,12 +13,13 @@ to one. It approximates, and is not, multinomial boosting.
 from __future__ import annotations
 
 import random
+from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import IndexToString, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,7 @@ from ..config import BINARY_FEATURES, CATEGORICAL_FEATURES, CLASSES, MODEL_FEATU
 from ..functions import exprs as E
 from . import analytics as A
 from .checks import require_columns, require_no_leakage
+from .quantiles import exact_quantiles
 
 SEED = 42
 #: Spark indexes labels in this order, whatever the rows are.
@@ -37,10 +39,11 @@ LABELS = sorted(CLASSES)
 
 
 def imputation_values(train: DataFrame) -> dict[str, object]:
-    """Exact medians of numbers, modes of flags and categories, from one aggregate."""
-    modes = CATEGORICAL_FEATURES + BINARY_FEATURES
-    row = train.agg(*(F.mode(c, True).alias(c) for c in modes), *(F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in NUMERIC_FEATURES)).first()
-    return {c: (row[c] if row[c] is not None else "" if c in CATEGORICAL_FEATURES else 0) for c in MODEL_FEATURES}
+    """Exact medians of numbers, modes of flags and categories (which have few values)."""
+    modes = train.agg(*(F.mode(c, True).alias(c) for c in CATEGORICAL_FEATURES + BINARY_FEATURES)).first().asDict()
+    medians = {c: v for c, (v,) in exact_quantiles(train, {c: [0.5] for c in NUMERIC_FEATURES}).items()}
+    found = modes | medians
+    return {c: (found[c] if found[c] is not None else "" if c in CATEGORICAL_FEATURES else 0) for c in MODEL_FEATURES}
 
 
 def _literal(x) -> str:
@@ -86,34 +89,48 @@ def with_label_index(frame: DataFrame, target: str) -> DataFrame:
     return frame.withColumn("label", (F.array_position(F.array(*map(F.lit, LABELS)), F.col(target)) - 1).cast("double"))
 
 
+def label_stage(labels: list[str] = LABELS) -> IndexToString:
+    """Predictions back to classes; it carries the model's own order of classes, wherever the model is saved."""
+    return IndexToString(inputCol="prediction", outputCol="prediction_label", labels=list(labels))
+
+
+def model_labels(model: PipelineModel) -> list[str]:
+    """The classes of a model in the order of its probabilities."""
+    stages = [s for s in model.stages if isinstance(s, IndexToString)]
+    if not stages:
+        raise ValueError("The model does not say which classes it has")
+    return list(stages[-1].getLabels())
+
+
 def fit(train: DataFrame, target: str, kind: str = "boosting", **params) -> PipelineModel:
     """Fit preprocessing and model on rows that have the target."""
     rows = with_label_index(train.where(F.col(target).isNotNull()), target).cache()
     try:
-        stages = [*preprocessing(rows, scale=kind == "logistic"), classifier(kind, rows.count(), **params)]
+        stages = [*preprocessing(rows, scale=kind == "logistic"), classifier(kind, rows.count(), **params), label_stage()]
         return Pipeline(stages=stages).fit(rows)
     finally:
         rows.unpersist()
 
 
-def probabilities(transformed: DataFrame) -> dict[str, Column]:
-    """Probability columns by class name, whatever the model's own order is."""
-    if "probability" in transformed.columns:
-        p = vector_to_array(F.col("probability"))
-        parts = [p[i] for i in range(len(LABELS))]
+def probabilities(transformed: DataFrame, labels: list[str] = LABELS) -> dict[str, Column]:
+    """Probability columns by class name, for a model with its classes in the order of ``labels``."""
+    kinds = dict(transformed.dtypes)
+    if "probability" in kinds:
+        p = F.col("probability") if kinds["probability"].startswith("array") else vector_to_array(F.col("probability"))
+        parts = [p[i] for i in range(len(labels))]
     else:
         raw = vector_to_array(F.col("rawPrediction"))
-        logistic = [1 / (1 + F.exp(-2 * raw[i])) for i in range(len(LABELS))]
+        logistic = [1 / (1 + F.exp(-2 * raw[i])) for i in range(len(labels))]
         total = reduce(lambda a, b: a + b, logistic)
         parts = [x / total for x in logistic]
-    return dict(zip(LABELS, parts, strict=True))
+    return dict(zip(labels, parts, strict=True))
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
     """The frame's columns with pred_class, confidence and a probability for each class."""
     out = model.transform(frame)
-    p = probabilities(out)
-    scored = out.select(*frame.columns, *(c.alias(f"p_{k.lower()}") for k, c in p.items()))
+    p = probabilities(out, model_labels(model))
+    scored = out.select(*frame.columns, *(p[k].alias(f"p_{k.lower()}") for k in sorted(p)))
     named = {k: F.col(f"p_{k.lower()}") for k in CLASSES}
     return scored.withColumns({"pred_class": E.best_class(named), "confidence": F.greatest(*named.values())})
 
@@ -121,11 +138,16 @@ def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
 # --- evaluation --------------------------------------------------------------------
 
 
+def report_metrics(report: DataFrame) -> dict:
+    """accuracy, macro_f1, weighted_f1 and the rows of a classification report."""
+    rows = {r["label"]: r.asDict() for r in report.collect()}
+    return {"accuracy": rows["accuracy"]["f1"], "macro_f1": rows["macro avg"]["f1"], "weighted_f1": rows["weighted avg"]["f1"], "report": list(rows.values())}
+
+
 def evaluate(model: PipelineModel, frame: DataFrame, target: str) -> dict:
-    """accuracy, macro_f1, weighted_f1 and the report's rows."""
+    """accuracy, macro_f1, weighted_f1 and the report's rows, over rows that have the target."""
     errors = predict(model, frame.where(F.col(target).isNotNull())).withColumnRenamed(target, "true_class")
-    report = {r["label"]: r.asDict() for r in A.classification_report(errors).collect()}
-    return {"accuracy": report["accuracy"]["f1"], "macro_f1": report["macro avg"]["f1"], "weighted_f1": report["weighted avg"]["f1"], "report": list(report.values())}
+    return report_metrics(A.classification_report(errors))
 
 
 def error_frame(model: PipelineModel, frame: DataFrame, target: str) -> DataFrame:
@@ -134,6 +156,28 @@ def error_frame(model: PipelineModel, frame: DataFrame, target: str) -> DataFram
     return out.withColumns({"is_correct": correct, "is_error": 1 - correct})
 
 
+@dataclass(frozen=True)
+class EvaluationBundle:
+    """What an evaluation leaves: figures, small tables as rows, and the error frame (lazy)."""
+
+    target: str
+    metrics: dict[str, float]
+    report: list[dict]
+    confusion: list[dict]
+    errors: DataFrame
+
+    def to_dict(self) -> dict:
+        return {"target": self.target, "metrics": self.metrics, "report": self.report, "confusion": self.confusion}
+
+
+def evaluation_bundle(model: PipelineModel, frame: DataFrame, target: str) -> EvaluationBundle:
+    """Metrics, report, confusion matrix and error frame of the rows that have the target."""
+    found = evaluate(model, frame, target)
+    errors = error_frame(model, frame.where(F.col(target).isNotNull()), target)
+    confusion = [r.asDict() for r in A.confusion_matrix(errors).orderBy("true_class").collect()]
+    return EvaluationBundle(target, {k: v for k, v in found.items() if k != "report"}, found["report"], confusion, errors)
+
+
 def compare(train: DataFrame, valid: DataFrame, target: str, kinds=("logistic", "forest", "boosting"), **params) -> list[dict]:
     """Scores of each kind on the validation rows, best macro F1 first."""
     rows = [{"model": k} | {m: v for m, v in evaluate(fit(train, target, k, **params.get(k, {})), valid, target).items() if m != "report"} for k in kinds]
@@ -224,15 +268,20 @@ def feature_names(model: PipelineModel) -> list[str]:
     return names + BINARY_FEATURES + NUMERIC_FEATURES
 
 
+def _classifier(model: PipelineModel):
+    """The stage before the classes' names."""
+    return model.stages[-2]
+
+
 def tree_importances(model: PipelineModel) -> list[dict]:
     """Importances of a forest, or the mean over the classes of boosting."""
-    last = model.stages[-1]
+    last = _classifier(model)
     parts = [m.featureImportances.toArray() for m in (last.models if hasattr(last, "models") else [last])]
     return sorted(({"feature": n, "importance": float(sum(p[i] for p in parts) / len(parts))} for i, n in enumerate(feature_names(model))), key=lambda r: -r["importance"])
 
 
 def coefficients(model: PipelineModel) -> list[dict]:
     """Coefficients of each class and the largest size among them, largest first."""
-    matrix = model.stages[-1].coefficientMatrix.toArray()
+    matrix = _classifier(model).coefficientMatrix.toArray()
     rows = [{"feature": n} | {k: float(matrix[j, i]) for j, k in enumerate(LABELS)} | {"max_abs": float(abs(matrix[:, i]).max())} for i, n in enumerate(feature_names(model))]
     return sorted(rows, key=lambda r: -r["max_abs"])

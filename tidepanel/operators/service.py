@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 from datetime import datetime, timezone
 from pathlib import Path
 
@@ -14,7 +15,9 @@ from pyspark.sql import types as T
 from ..config import CLASSES, INPUT_CONTRACT, MODEL_FEATURES, MODEL_VERSION, REQUIRED_COLUMNS, STABLE_BAND, TARGET_CLASSES, ensure_artifact_dirs, metadata_path, model_path
 from . import features as P
 from . import models as M
-from .checks import require_column_order, require_columns, require_horizon, require_input_contract, require_no_leakage, require_rows
+from .checks import contract_report, require_column_order, require_columns, require_horizon, require_input_contract, require_no_leakage, require_rows
+
+log = logging.getLogger(__name__)
 
 _NUMBERS = {"year": T.IntegerType(), "month": T.IntegerType(), "week_of_year": T.IntegerType(), "day_of_week": T.IntegerType(), "is_observed_source": T.IntegerType(), "is_month_start": T.IntegerType(), "is_month_end": T.IntegerType()}
 PAYLOAD_SCHEMA = T.StructType([T.StructField(c, T.DateType() if c == "date" else T.StringType() if c == "commodity" else _NUMBERS.get(c, T.DoubleType())) for c in REQUIRED_COLUMNS])
@@ -37,7 +40,19 @@ def payload_frame(spark: SparkSession, payload: str | dict | list[dict]) -> Data
     if missing:
         raise ValueError(f"Missing feature-ready input columns: {missing}")
     text = spark.createDataFrame([(json.dumps(r, default=str),) for r in rows], "payload string")
-    return text.select(F.from_json("payload", PAYLOAD_SCHEMA).alias("x")).select("x.*")
+    return parse_payloads(text, "payload")
+
+
+def parse_payloads(frame: DataFrame, column: str) -> DataFrame:
+    """JSON objects of a text column as rows of the input contract; what is missing or malformed is null."""
+    return frame.select(F.from_json(column, PAYLOAD_SCHEMA).alias("x")).select("x.*")
+
+
+def training_summary(train: DataFrame, target: str) -> DataFrame:
+    """label, n, and the first and last date of all train rows: what training logs and its metadata keep."""
+    counts = train.groupBy(F.col(target).alias("label")).agg(F.count("*").alias("n"))
+    ends = train.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
+    return counts.crossJoin(F.broadcast(ends))
 
 
 def inference_features(frame: DataFrame) -> DataFrame:
@@ -58,22 +73,22 @@ def train_and_save(frame: DataFrame, root: str | Path, horizons=(7, 30), band: f
             require_no_leakage(MODEL_FEATURES)
             train = split.where("split = 'train'")
             model = M.fit(train, target, kind, **params)
-            ends = train.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
-            shares = {r["label"]: r["n"] for r in train.groupBy(F.col(target).alias("label")).agg(F.count("*").alias("n")).collect()}
+            seen = training_summary(train, target).collect()
+            start, end = (str(seen[0][c]) if seen else None for c in ("start_date", "end_date"))
             model.write().overwrite().save(str(model_path(root, horizon)))
             out[horizon] = {
                 "input_contract": INPUT_CONTRACT,
                 "model_version": MODEL_VERSION,
                 "training_timestamp_utc": datetime.now(timezone.utc).isoformat(),
-                "class_names": M.LABELS,
+                "class_names": M.model_labels(model),
                 "stable_band": band,
                 "raw_required_columns": REQUIRED_COLUMNS,
                 "engineered_feature_columns": MODEL_FEATURES,
                 "target_column": target,
                 "horizon": horizon,
-                "training_start_date": str(ends["a"]),
-                "training_end_date": str(ends["b"]),
-                "training_class_counts": shares,
+                "training_start_date": start,
+                "training_end_date": end,
+                "training_class_counts": {r["label"]: r["n"] for r in seen},
                 "model_type": kind,
                 "artifact_name": model_path(root, horizon).name,
                 "metrics": M.evaluate(model, split.where("split = 'valid'"), target),
@@ -101,8 +116,8 @@ class InferenceService:
         require_horizon(horizon)
         self.spark, self.horizon = spark, horizon
         self.metadata = metadata if metadata is not None else json.loads(metadata_path(root, horizon).read_text(encoding="utf-8"))
-        validate_metadata(self.metadata, horizon, M.LABELS)
         self.model = model if model is not None else PipelineModel.load(str(model_path(root, horizon)))
+        validate_metadata(self.metadata, horizon, M.model_labels(self.model))
 
     def score(self, frame: DataFrame) -> DataFrame:
         """All columns of the rows with prediction, probabilities, horizon and model_version; lazy."""
@@ -123,9 +138,19 @@ class InferenceService:
         now = datetime.now(timezone.utc).isoformat()
         return [r.asDict(recursive=True) | {"generated_at_utc": now} for r in rows]
 
-    def predict_with_context(self, frame: DataFrame, context: list[str]) -> DataFrame:
-        """Context columns, prediction, confidence and probabilities of each row; extra columns are left out."""
-        return self.score(frame).select(*context, "prediction", "confidence", "probabilities.*")
+    def predict_with_context(self, frame: DataFrame, context: list[str] | None = None) -> DataFrame:
+        """Those context columns that the frame has, then horizon, prediction, confidence and probabilities of each row.
+
+        Other columns outside the input contract are left out, and logged.
+        """
+        shown = [c for c in context or [] if c in frame.columns]
+        if extra := [c for c, status, _ in contract_report(frame.columns, REQUIRED_COLUMNS) if status == "extra" and c not in shown]:
+            log.warning("Ignored extra columns: %s", extra)
+        return self.score(frame).select(*shown, "horizon", "prediction", "confidence", "probabilities.*")
+
+    def predict_one(self, features: dict) -> dict:
+        """The record of one flat object."""
+        return self.predict(features)[0]
 
 
 def monitoring_views(errors: DataFrame) -> dict[str, DataFrame]:

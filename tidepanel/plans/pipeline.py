@@ -33,10 +33,11 @@ def build_dataset(spark: SparkSession, path: str, sheet: str | int = 0) -> Outpu
     return build_from_wide(read_sheet(spark, path, sheet))
 
 
-def save_outputs(outputs: Outputs, folder: str | Path, format: str = "csv") -> None:
+def save_outputs(outputs: Outputs, folder: str | Path, format: str = "csv", single_file: bool = False) -> None:
+    """The three frames, ordered by commodity and date; ``single_file`` writes one CSV part each, for people and small panels."""
     for name in ("canonical", "feature_ready", "training_ready"):
         frame = getattr(outputs, name)
         if format == "csv":
-            write_csv(frame.coalesce(1), Path(folder) / f"{name}.csv")
+            write_csv(frame, Path(folder) / f"{name}.csv", single_file=single_file)
         else:
             write_parquet(frame, Path(folder) / f"{name}.parquet")

@@ -323,11 +323,6 @@ def parse_price_text(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", E.parse_price(text).alias("price"))
 
 
-@query("SELECT count(*) AS n_rows, count(*) FILTER (WHERE regexp_full_match(trim(o_orderstatus), '(?i)[IVXLCDM]+')) AS n_roman FROM orders")
-def roman_filter(spark, sf):
-    return table(spark, sf, "orders").agg(F.count("*").alias("n_rows"), F.count_if(E.is_roman("o_orderstatus")).alias("n_roman"))
-
-
 @query(
     "SELECT l_orderkey, l_linenumber, field, value FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_quantity AS quantity, l_discount AS discount, l_tax AS tax FROM lineitem) ON quantity, discount, tax INTO NAME field VALUE value)"
 )
@@ -336,11 +331,6 @@ def wide_to_long(spark, sf):
     return rows.unpivot(["l_orderkey", "l_linenumber"], ["quantity", "discount", "tax"], "field", "value")
 
 
-@query("SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
-def payload_parse(spark, sf):
-    return table(spark, sf, "events").select("event_id", F.from_json("props", "k bigint").getField("k").alias("k"))
-
-
 # --- diagnostics ---------------------------------------------------------------------
 
 
@@ -519,11 +509,12 @@ _RULE_ROWS = [
     _rule("null_prices", "'all'", "avg(CASE WHEN price_idr IS NULL THEN 1.0 ELSE 0.0 END)", "NULL", "0.01", True, "panel"),
     _rule("non_positive_prices", "'all'", "avg(CASE WHEN price_idr <= 0 THEN 1.0 ELSE 0.0 END)", "NULL", "0.0", True, "panel"),
     _rule("duplicates", "'all'", "count(*)", "NULL", "0", True, "(SELECT date, commodity FROM panel GROUP BY 1, 2 HAVING count(*) > 1)"),
-    _rule("unexpected", "'all'", "0", "NULL", "0", True, "(SELECT 1)"),
+    _rule("unexpected", "'all'", "count(DISTINCT commodity)", "NULL", "0", True, "(SELECT commodity FROM panel WHERE commodity NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))"),
     _rule("missing_days", "commodity", "missing_day_ratio", "0.35", "0.6", True, f"({_GAPS})"),
     *(_rule("critical_feature", f"commodity || ' {f}'", f"{f}_non_null_rate", "0.55", "0.35", False, f"({_COVERAGE})") for f in TIERS["critical"]),
     _rule("model_rows", "commodity", "model_feature_usable_rate", "0.4", "NULL", False, f"({_COVERAGE})"),
-    *(_rule("target_rate", f"commodity || ' {h}d'", f"target_{h}d_non_null_rate", "0.25", "0.2", False, f"({_TARGETS})") for h in (7, 30)),
+    *(_rule("target_rate_low", f"commodity || ' {h}d'", f"target_{h}d_non_null_rate", "0.25", "NULL", False, f"({_TARGETS})") for h in (7, 30)),
+    *(_rule("target_rate_least", f"commodity || ' {h}d'", f"target_{h}d_non_null_rate", "NULL", "0.2", False, f"({_TARGETS})") for h in (7, 30)),
     *(_rule("trainable", f"commodity || ' {h}d'", f"trainable_rows_{h}d", "NULL", n, False, f"({_TARGETS})") for h, n in ((7, "20"), (30, "12"))),
     *(_rule("trainable_total", f"'{h}d'", f"t{h}", "NULL", n, False, f"({_TOTALS})") for h, n in ((7, "50"), (30, "30"))),
     _rule("span", "commodity || ' ' || horizon", "span_days", "NULL", "CASE WHEN horizon = '7d' THEN 45 ELSE 60 END", False, f"({_WINDOW_ROWS})"),
@@ -542,8 +533,8 @@ _VERDICT = f"CASE WHEN {_BEYOND.format(b='fail_bound')} THEN 'FAIL' WHEN {_BEYON
 
 @query(on_ready(f"SELECT rule, subject, round(value, 4) AS value, warn_bound, fail_bound, above, {_VERDICT} AS verdict FROM ({' UNION ALL '.join(_RULE_ROWS)})"))
 def readiness_rules(spark, sf):
-    config = DiagnosticsConfig()
-    frames = gate.diagnosis_frames(panel(spark, sf), ready(spark, sf), config)
+    config = DiagnosticsConfig(allowed_commodities=("1-URGENT", "2-HIGH", "3-MEDIUM"))
+    frames = gate.rule_frames(panel(spark, sf), ready(spark, sf), config)
     return rounded(gate.rule_rows(frames, config), 4)
 
 
@@ -560,7 +551,7 @@ def describe_panel(spark, sf):
     return rounded(A.describe(ready(spark, sf), ["price_idr", "price_lag_7d", "price_change_7d_pct"]), 3)
 
 
-_CORR = ["price_idr", "price_lag_7d", "price_change_7d_pct", "rolling_mean_7d", "target_7d_inflation_pct", "target_30d_inflation_pct"]
+_CORR = ["price_idr", *PRICE_FEATURES, *TARGET_VALUES.values()]
 
 
 @query(on_ready(" UNION ALL ".join(f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS correlation FROM ready" for i, a in enumerate(_CORR) for b in _CORR[i + 1 :])))
@@ -702,14 +693,6 @@ def imputation_values(spark, sf):
     return rounded(spark.createDataFrame([(*(float(values[c]) for c in _IMPUTED), int(values["is_month_start"]))], ", ".join(f"{c} double" for c in _IMPUTED) + ", is_month_start int"), 4)
 
 
-@query()
-def model_predictions(spark, sf):
-    """A logistic model of the train rows, applied to the validation rows."""
-    split = P.time_split(P.attach_targets(P.base_features(ready(spark, sf))))
-    model = M.fit(split.where("split = 'train'"), "target_7d_class", "logistic", maxIter=20)
-    return M.predict(model, split.where("split = 'valid'")).select("date", "commodity", "target_7d_class", "pred_class", "confidence", "p_deflation", "p_stable", "p_inflation")
-
-
 @query(
     on_ready(
         "SELECT coalesce(f.commodity, t.commodity) AS commodity, coalesce(f.row_count, t.row_count) AS row_count, f.strict_feature_usable_rows AS strict_feature_usable_rows_x, t.strict_feature_usable_rows AS strict_feature_usable_rows_y, trainable_rows_7d, trainable_rows_30d "
@@ -743,9 +726,16 @@ def events_training_ready(spark, sf):
     return _short(P.training_ready(panels.events_panel(spark, sf), check=False))
 
 
+def _load() -> None:
+    """The modules that add their queries here when they are imported."""
+    from . import ingest_queries, model_queries  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(SQL)

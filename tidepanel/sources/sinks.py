@@ -12,19 +12,39 @@ from pyspark.sql import functions as F
 from ..operators.gate import Diagnosis
 
 
+def _order():
+    return F.asc_nulls_last("commodity"), F.asc_nulls_last("date")
+
+
 def panel_order(frame: DataFrame) -> DataFrame:
-    return frame.orderBy(F.asc_nulls_last("commodity"), F.asc_nulls_last("date"))
+    return frame.orderBy(*_order())
+
 
+def write_csv(frame: DataFrame, path: str | Path, sort: bool = True, single_file: bool = False) -> None:
+    """A folder of CSV parts with headers, globally ordered by commodity and date.
 
-def write_csv(frame: DataFrame, path: str | Path, sort: bool = True) -> None:
-    """A folder of CSV parts with headers, globally ordered by commodity and date."""
-    (panel_order(frame) if sort else frame).write.mode("overwrite").option("header", True).csv(str(path))
+    With ``single_file`` one task sorts and writes the rows; a shuffle parts it
+    from the work before, which stays parallel.
+    """
+    if single_file:
+        one = frame.repartition(1)
+        own = one.sortWithinPartitions(*_order()) if sort else one
+    else:
+        own = panel_order(frame) if sort else frame
+    own.write.mode("overwrite").option("header", True).csv(str(path))
 
 
 def write_parquet(frame: DataFrame, path: str | Path) -> None:
     frame.write.mode("overwrite").parquet(str(path))
 
 
+def write_engineered(frame: DataFrame, folder: str | Path, version: str = "", format: str = "csv") -> Path:
+    """The frame with its engineered features (and a version's labels) as ``feature_engineered[_version]``."""
+    path = Path(folder) / ("feature_engineered" + (f"_{version}" if version else "") + f".{format}")
+    (write_csv if format == "csv" else write_parquet)(frame, path)
+    return path
+
+
 def write_rows(rows: list[dict], path: Path) -> None:
     """Small rows that are on the driver already, as one CSV file."""
     with path.open("w", newline="", encoding="utf-8") as out:
