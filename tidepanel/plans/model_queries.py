@@ -140,18 +140,18 @@ _PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 _HOT = ", ".join(f"CAST(commodity = '{p}' AS DOUBLE) AS is_{p[0]}" for p in _PRIORITIES)
 
 
-def _prepared(spark, sf, scale: bool):
+def _prepared(spark, sf, scale: bool, digits: int):
     split = P.time_split(P.attach_targets(P.base_features(ready(spark, sf))))
     model = Pipeline(stages=M.preprocessing(split.where("split = 'train'"), scale=scale)).fit(split.where("split = 'train'"))
     v = vector_to_array("features")
     names = [*(f"is_{p[0]}" for p in _PRIORITIES), *_KINDS]
-    return model.transform(split).select(F.col("date").alias("day"), F.col("commodity").alias("name"), *(F.round(v[i], 3).alias(n) for i, n in enumerate(names)))
+    return model.transform(split).select(F.col("date").alias("day"), F.col("commodity").alias("name"), *(F.round(v[i], digits).alias(n) for i, n in enumerate(names)))
 
 
-@query(sql(f"SELECT date AS day, commodity AS name, {_HOT}, {', '.join(f'round({c}, 3) AS {c}' for c in _KINDS)} FROM filled", PANEL, WINDOWS, READY, LABELLED, SPLIT, _FEATURES, _TRAIN, _FILLED))
+@query(sql(f"SELECT date AS day, commodity AS name, {_HOT}, {', '.join(f'round({c}, 6) AS {c}' for c in _KINDS)} FROM filled", PANEL, WINDOWS, READY, LABELLED, SPLIT, _FEATURES, _TRAIN, _FILLED))
 def preprocessed_tree(spark, sf):
     """The features of the tree models: imputed by the train rows' medians and modes, commodities one-hot."""
-    return _prepared(spark, sf, False)
+    return _prepared(spark, sf, False, 6)
 
 
 _SCALED = ", ".join(f"round(({c} - (SELECT avg({c}) FROM filled WHERE is_train)) / (SELECT coalesce(nullif(stddev_pop({c}), 0), 1) FROM filled WHERE is_train), 3) AS {c}" for c in NUMERIC_FEATURES)
@@ -160,7 +160,7 @@ _SCALED = ", ".join(f"round(({c} - (SELECT avg({c}) FROM filled WHERE is_train))
 @query(sql(f"SELECT date AS day, commodity AS name, {_HOT}, {', '.join(BINARY_FEATURES)}, {_SCALED} FROM filled", PANEL, WINDOWS, READY, LABELLED, SPLIT, _FEATURES, _TRAIN, _FILLED))
 def preprocessed_linear(spark, sf):
     """As for trees, with numbers standardized by the train rows."""
-    return _prepared(spark, sf, True)
+    return _prepared(spark, sf, True, 3)
 
 
 @query(sql("SELECT target_7d_class AS label, count(*) AS n, (SELECT min(date) FROM split WHERE split = 'train') AS start_date, (SELECT max(date) FROM split WHERE split = 'train') AS end_date FROM split WHERE split = 'train' GROUP BY 1", PANEL, WINDOWS, READY, LABELLED, SPLIT))
