@@ -142,11 +142,31 @@ def test_scan_documents(spark):
     assert licenses.scan_documents(docs.limit(0)).count() == 0
 
 
-def test_ranges_that_start_alike_are_all_verified(monkeypatch):
+def test_fragments_repeats_and_text_ends():
+    """A part of a notice before the notice, notices twice, and notices at a text's ends, whole or slightly changed."""
+    rng = random.Random(21)
     index = licenses.Index(licenses.TEMPLATES)
-    notice, pad, k = licenses.TEMPLATES["apache-2.0"].encode(), max(index.lengths), index.names.index("apache-2.0")
-    words = notice.split()
-    text = b" ".join([*words[:20], *(b"w%d" % i for i in range(80)), *words, *(b"v%d" % i for i in range(200))])
-    # Both windows lie within the notice's length of the text's start; only the later one reaches the end of the notice.
-    monkeypatch.setattr(index, "candidates", lambda hashes: {(pad, k), (pad + 70, k)})
-    assert [(r[1], r[2], r[3]) for r in licenses.scan([text], index)] == [("apache-2.0", 1.0, 100)]
+    filler = lambda n: [f"w{rng.randrange(50)}" for _ in range(n)]
+    texts = []
+    for _ in range(500):
+        notice = licenses.TEMPLATES[rng.choice(index.names)].split()
+        at = rng.randrange(max(1, len(notice) - 11))
+        fragment = notice[at : at + rng.randrange(5, 12)]
+        changed = noisy(rng, " ".join(notice), rng.randrange(3)).split()
+        again = changed if rng.random() < 0.3 else []
+        texts.append(" ".join([*filler(rng.choice([0, 0, 3])), *fragment, *filler(rng.randrange(60)), *changed, *filler(rng.choice([0, 1, 40])), *again]).encode())
+    got = licenses.scan(texts, index)
+    assert got == sorted((k, *r) for k, t in enumerate(texts) for r in brute(index, t))
+    assert len(got) > 400
+
+
+def test_templates_of_any_length():
+    """A licence of thousands of words, whole, changed here and there, and without its last sixth."""
+    rng = random.Random(3)
+    long = [f"t{rng.randrange(900)}" for _ in range(4000)]
+    index = licenses.Index({"long": " ".join(long), "short": "one two three four five six"})
+    changed = [w if rng.random() > 0.02 else "x" for w in long]
+    texts = [" ".join(t).encode() for t in (long, ["a"] * 77 + changed + ["b"], long[: 5 * 4000 // 6], long[: 4000 // 2], ["one two three four five six"])]
+    got = licenses.scan(texts, index)
+    assert got == sorted((k, *r) for k, t in enumerate(texts) for r in brute(index, t))
+    assert [r[:2] for r in got] == [(0, "long"), (1, "long"), (2, "long"), (4, "short")] and max(index.lengths) <= licenses.PART

@@ -1,22 +1,32 @@
 """License scans: MinHash bands over overlapping word windows, then exact containment.
 
-Templates are notices of at most ``LONGEST`` words. For each window length in
-use, every window of a text (they overlap in all but one word) has ``BANDS``
-MinHash values of its 5-word shingles, one row to a band, so a window that
-shares a fraction s of its shingles with a template retrieves it with
-probability 1 - (1 - s)^BANDS: 0.9999 at one half, and nothing is retrieved
-that shares no shingle. Window lengths are chosen so that the window around an
-occurrence has a similarity of one half at least (``window_lengths``).
-Retrieved templates are verified exactly: the share of a template's shingles
-that the text holds within the window, widened by the template's length on
-both sides, must reach ``CONTAINMENT``.
+A template is cut into parts of at most ``PART`` shingles (of five words; most
+notices are one part). For each window length in use, every window of a text
+(they overlap in all but one word) has ``BANDS`` MinHash values of its
+shingles, one row to a band, so a window that shares a fraction s of its
+shingles with a part retrieves the template with probability 1 - (1 - s)^BANDS,
+and nothing is retrieved that shares no shingle. Window lengths are chosen so
+that a part has at least 0.8 of one of them (``window_lengths``). A text that
+holds ``CONTAINMENT`` of a template holds as much of one of its parts; where
+that part stands together, s is 0.55 at least, which one window misses once in
+eight million times; where it is torn over twice its length, s is 0.25 at
+least, which one window misses once in 300 times, and each overlapping window
+is a further chance.
+
+Every retrieved pair of text and template is verified exactly over the whole
+text: a match is a run of as many shingles as the template has twice over that
+holds ``CONTAINMENT`` of the template's distinct shingles. Retrieval decides
+only whether a pair is looked at, never where.
 
 Texts and templates are compared lower-cased (A-Z) and without ASCII
 punctuation. The templates go to the executors with the code (their number and
-length bound their size); no document is shuffled.
+length bound their size); no document is shuffled. A text of any length is read
+whole, in memory of some 30 times its size; it is a block of its own where it
+is longer than a block.
 
 Null and empty texts have no notices and so no rows. Repeated rows give rows
-each. Empty tables give empty results; extra columns are ignored.
+each. Of places with equal containment the first counts, of these the shortest.
+Empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -35,8 +45,8 @@ from .substring_dedup import window_hashes
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
-BANDS = 14
-LONGEST = 128
+BANDS = 20
+PART = 124
 SEED = 5
 BLOCK_TEXT = 2 << 20
 
@@ -57,6 +67,21 @@ TEMPLATES = {
     "gpl-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "unlicense": "This is free and unencumbered software released into the public domain.",
+    "mit": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "bsd-3-clause": 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.',
+    "bsd-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "lgpl-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "cc0-1.0-line": "This work is dedicated to the public domain under CC0 1.0 Universal.",
+    "cc-by-nd-4.0-line": "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "cc-by-nc-4.0-long": "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
+    "cc-by-nc-sa-4.0-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "cc-by-nc-nd-4.0-line": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "epl-2.0": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0.",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "wtfpl": "You just DO WHAT THE FUCK YOU WANT TO.",
 }
 
 _PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum())
@@ -92,31 +117,35 @@ def _permuted(hashes: np.ndarray, band: int) -> np.ndarray:
 
 
 class Index:
-    """Templates by band: MinHash values to the templates that have them."""
+    """Templates by band: MinHash values of their parts to the templates."""
 
     def __init__(self, templates: dict[str, str], bands: int = BANDS):
         self.names = sorted(templates)
         self.words = [normal_words(templates[n].encode()) for n in self.names]
-        bad = [n for n, w in zip(self.names, self.words, strict=True) if not SHINGLE_WORDS <= len(w) <= LONGEST]
-        if bad:
-            raise ValueError(f"templates need {SHINGLE_WORDS} to {LONGEST} words: {bad}")
-        self.shingles = [np.unique(shingle_hashes(w)) for w in self.words]
+        if bad := [n for n, w in zip(self.names, self.words, strict=True) if len(w) < SHINGLE_WORDS]:
+            raise ValueError(f"templates need {SHINGLE_WORDS} words: {bad}")
+        every = [shingle_hashes(w) for w in self.words]
+        self.shingles = [np.unique(h) for h in every]
         self.bands = bands
-        lengths = [len(w) - SHINGLE_WORDS + 1 for w in self.words]
-        self.lengths = window_lengths(lengths)
-        of = [next(x for x in self.lengths if n <= x) if n <= self.lengths[-1] else self.lengths[-1] for n in lengths]
+        # Parts of one template are of one length, or differ by one.
+        parts = [(k, p) for k, h in enumerate(every) for p in np.array_split(h, -(-len(h) // PART))]
+        self.lengths = window_lengths([len(p) for _, p in parts])
         self.values: dict[tuple[int, int], tuple[np.ndarray, list[list[int]]]] = {}
         for length in self.lengths:
+            own = [(k, p) for k, p in parts if length == next(x for x in self.lengths if len(p) <= x)]
             for band in range(bands):
                 by: dict[int, list[int]] = {}
-                for k, x in enumerate(of):
-                    if x == length:
-                        by.setdefault(int(_permuted(self.shingles[k], band).min()), []).append(k)
+                for k, p in own:
+                    by.setdefault(int(_permuted(p, band).min()), []).append(k)
                 keys = sorted(by)
                 self.values[length, band] = np.array(keys, np.uint64), [by[v] for v in keys]
 
-    def candidates(self, hashes: np.ndarray) -> set[tuple[int, int]]:
-        """(position of a window's first shingle, template); ``_NONE`` marks places without a shingle."""
+    def candidates(self, hashes: np.ndarray, starts: np.ndarray) -> set[tuple[int, int]]:
+        """(text, template) pairs that some window retrieves.
+
+        ``_NONE`` marks places without a shingle; texts begin at ``starts`` and
+        lie apart by more than a window.
+        """
         found: set[tuple[int, int]] = set()
         none = hashes == _NONE
         for band in range(self.bands):
@@ -131,11 +160,44 @@ class Index:
                 if not len(window) or not len(keys):
                     continue
                 at = np.minimum(np.searchsorted(keys, window), len(keys) - 1)
-                for p in np.flatnonzero(keys[at] == window).tolist():
-                    found.update((p, k) for k in of[at[p]])
+                hit = np.flatnonzero(keys[at] == window)
+                # The only text that a window can touch is the last one that begins before its end.
+                texts = np.searchsorted(starts, hit + length - 1, "right") - 1
+                for pair in np.unique(texts * len(keys) + at[hit]).tolist():
+                    found.update((pair // len(keys), k) for k in of[pair % len(keys)])
         return found
 
 
+def best_place(hashes: np.ndarray, shingles: np.ndarray, containment: float) -> tuple[float, int, int] | None:
+    """(containment, first word, last word + 1) of the best run in a text, or None.
+
+    ``shingles`` are a template's distinct ones, sorted. Runs begin at one of
+    them and are twice as many shingles long; a pass over their occurrences
+    keeps the count of distinct ones.
+    """
+    n = len(shingles)
+    code = np.minimum(np.searchsorted(shingles, hashes), n - 1)
+    here = np.flatnonzero(shingles[code] == hashes)
+    codes = code[here].tolist()
+    if len(set(codes)) < containment * n:
+        return None
+    ends = np.searchsorted(here, here + 2 * n).tolist()
+    held, distinct, j, best = [0] * n, 0, 0, None
+    places = here.tolist()
+    for i, first in enumerate(places):
+        for c in codes[j : ends[i]]:
+            distinct += not held[c]
+            held[c] += 1
+        j = ends[i]
+        share = distinct / n
+        if share >= containment:
+            found = share, -first, -places[j - 1]
+            best = found if best is None else max(best, found)
+        held[codes[i]] -= 1
+        distinct -= not held[codes[i]]
+    return best and (best[0], -best[1], -best[2] + SHINGLE_WORDS)
+
+
 def scan(texts: list[bytes], index: Index, containment: float = CONTAINMENT) -> list[tuple[int, str, float, int, int]]:
     """(text number, template, containment, first word, last word + 1) for the best place of each template in each text."""
     words = [normal_words(t) for t in texts]
@@ -151,35 +213,11 @@ def scan(texts: list[bytes], index: Index, containment: float = CONTAINMENT) ->
     place = np.repeat(starts - np.cumsum(own) + own, own) + np.arange(int(own.sum()))
     source = np.repeat(firsts - np.cumsum(own) + own, own) + np.arange(int(own.sum()))
     hashes[place] = every[source]
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    checked: set[tuple[int, int, int, int]] = set()
-    for p, k in sorted(index.candidates(hashes)):
-        n = len(index.shingles[k])
-        width = len(index.words[k])
-        text = int(np.searchsorted(starts, p + max(index.lengths), "right")) - 1
-        for t in (text - 1, text):
-            if not 0 <= t < len(texts) or not own[t]:
-                continue
-            a, b = max(p - width, int(starts[t])), min(p + 2 * max(width, pad), int(starts[t] + own[t]))
-            if a >= b or (t, k, a, b) in checked:
-                continue
-            checked.add((t, k, a, b))
-            here = np.flatnonzero(np.isin(hashes[a:b], index.shingles[k]))
-            if not len(here):
-                continue
-            # The best run of as many shingles as the template has, twice over.
-            span = 2 * n
-            codes = hashes[a:b][here]
-            for i, x in enumerate(here.tolist()):
-                j = int(np.searchsorted(here, x + span))
-                share = len(np.unique(codes[i:j])) / n
-                if share >= containment:
-                    first = a + x - int(starts[t])
-                    last = a + int(here[j - 1]) - int(starts[t]) + SHINGLE_WORDS
-                    old = best.get((t, k))
-                    if old is None or (share, -first, -last) > (old[0], -old[1], -old[2]):
-                        best[t, k] = share, first, last
-    return sorted((t, index.names[k], share, first, last) for (t, k), (share, first, last) in best.items())
+    found = []
+    for t, k in sorted(index.candidates(hashes, starts)):
+        if best := best_place(hashes[starts[t] : starts[t] + own[t]], index.shingles[k], containment):
+            found.append((t, index.names[k], *best))
+    return sorted(found)
 
 
 def _scan_batches(templates: dict[str, str], containment: float):
@@ -196,8 +234,7 @@ def _scan_batches(templates: dict[str, str], containment: float):
 def scan_documents(docs: DataFrame, templates: dict[str, str] | None = None, containment: float = CONTAINMENT, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """doc_id, license, containment, first_word, end_word: the best place of each notice in each text that has it.
 
-    Of places with equal containment the first counts. Word numbers count
-    words that keep a character without punctuation.
+    Word numbers count words that keep a character without punctuation.
     """
     own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("_text"))
     return own.mapInArrow(_scan_batches(TEMPLATES if templates is None else templates, containment), "doc_id long, license string, containment double, first_word long, end_word long")

@@ -145,6 +145,22 @@ OP10_SQL = """WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\\x
   sha256(array_to_string(list_filter(words, lambda x, i: NOT list_contains(coalesce(ps, []), i)), ' ')) AS kept_sha256 FROM w LEFT JOIN g USING (doc_id)"""
 
 
+_LOWER = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = "regexp_extract_all(regexp_replace(" + _LOWER + ", '[!-/:-@\\[-`{{-~]', '', 'g'), '[^\\x20\\x09-\\x0D]+')"
+_TEMPLATES = ", ".join("('{}', '{}')".format(n, t.replace("'", "''")) for n, t in licenses.TEMPLATES.items())
+
+OP3_SQL = f"""WITH t AS (SELECT license, {_WORDS.format(t='body')} AS words FROM (VALUES {_TEMPLATES}) x(license, body)),
+  wanted AS (SELECT DISTINCT license, array_to_string(words[i:i + 4], ' ') AS s FROM t, unnest(range(1, len(words) - 3)) r(i)),
+  sized AS (SELECT *, count(*) OVER (PARTITION BY license) AS n FROM wanted),
+  d AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS.format(t='text')} AS words FROM documents WHERE text IS NOT NULL),
+  shingles AS (SELECT row_id, doc_id, i, array_to_string(words[i:i + 4], ' ') AS s FROM d, unnest(range(1, len(words) - 3)) r(i)),
+  seen AS (SELECT row_id, doc_id, i, s, license, n FROM shingles JOIN sized USING (s)),
+  runs AS (SELECT a.row_id, a.doc_id, a.license, a.i, CAST(count(DISTINCT b.s) AS DOUBLE) / a.n AS containment, max(b.i) AS last FROM seen a
+  JOIN seen b ON a.row_id = b.row_id AND a.license = b.license AND b.i >= a.i AND b.i < a.i + 2 * a.n GROUP BY a.row_id, a.doc_id, a.license, a.i, a.n)
+  SELECT doc_id, license, containment, i - 1 AS first_word, last + 4 AS end_word FROM runs WHERE containment >= {licenses.CONTAINMENT}
+  QUALIFY row_number() OVER (PARTITION BY row_id, license ORDER BY containment DESC, i, last) = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     """What SQL can say: the rest learns a model, tokenizes or needs XXH64, and is tested by brute force."""
-    return {"op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL}
