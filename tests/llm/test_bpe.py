@@ -59,6 +59,25 @@ def test_encode_documents(spark):
     assert all(digest(r["ids"]) == r["ids_sha256"] for r in got)
 
 
+def test_pieces_come_from_the_join(spark, monkeypatch):
+    """What decodes is the vocabulary table: another one gives other texts, and many buckets give the same as few."""
+    docs = rows(spark, TEXTS)
+    before = sorted(map(str, bpe.encode_documents(docs, PATH).collect()))
+    monkeypatch.setattr(bpe, "BUCKET_TEXT", 1000)
+    assert sorted(map(str, bpe.encode_documents(docs, PATH).collect())) == before
+    table = bpe.vocabulary_table
+    monkeypatch.setattr(bpe, "vocabulary_table", lambda spark, path: table(spark, path).selectExpr("id", "concat('<', id, '>') as piece"))
+    for r in bpe.encode_documents(docs, PATH, with_ids=True).collect():
+        assert r["decoded_sha256"] == hashlib.sha256(" ".join(f"<{i}>" for i in r["ids"]).encode()).hexdigest()
+
+
+def test_bitmaps_of_ids():
+    ids = np.array([0, 7, 32767, 32768, 49407, 70000])
+    batch = pa.RecordBatch.from_pylist([{"block": 5, **b} for b in bpe._bitmaps(ids)], schema=pa.schema([("block", pa.int64()), ("page", pa.int32()), ("bits", pa.binary())]))
+    got = [(r["block"], r["id"]) for b in bpe._set_bits(iter([batch])) for r in b.to_pylist()]
+    assert got == [(5, i) for i in ids.tolist()]
+
+
 def test_decode_round_trip(spark):
     ids = bpe.encode_documents(rows(spark, TEXTS[:5]), PATH, with_ids=True)
     vocabulary = spark.createDataFrame([(i, p.decode()) for i, p in enumerate(bpe.pieces_by_id(PATH))], "id int, piece string")
