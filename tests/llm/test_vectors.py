@@ -72,7 +72,6 @@ def test_top_k(spark, monkeypatch):
     frame = spark.createDataFrame(rows, SCHEMA)
     assert sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()) == want
     monkeypatch.setattr(topk, "CANDIDATES", 40)
-    monkeypatch.setattr(topk, "QUERIES", 2)
     assert sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()) == want
 
 
@@ -85,6 +84,34 @@ def test_threshold_stops_early_and_stays_exact():
     assert best.tolist() == [i for i in order.tolist() if i][:5] and depth < 2000
 
 
+def test_an_opening_score_shortens_the_walk():
+    rng = np.random.default_rng(4)
+    x = np.floor(256 * rng.normal(size=(4000, 3)))
+    lists = topk.Lists(x, np.arange(4000), np.arange(4000))
+    best, scores, depth = lists.top(x[0], 0, 5, step=32)
+    again, same, shallow = lists.top(x[0], 0, 5, scores.min(), step=32)
+    assert again.tolist() == best.tolist() and same.tolist() == scores.tolist() and shallow <= depth
+    assert lists.top(x[0], 0, 5, scores.max() + 1, step=32)[2] <= shallow
+    assert lists.best(x[0], 0, 5, int(scores.max()) + 1)[1] == []
+
+
+def test_values_of_any_size(spark, monkeypatch):
+    """Scores beyond what doubles and longs hold: exact ranks, and the nearest long as the score."""
+    rng = np.random.default_rng(9)
+    sizes = [1.0, 3e7, 2e12, 1e17, 3e38]
+    rows = [(k, [float(np.float32(x)) for x in rng.normal(size=4) * 10.0 ** rng.uniform(0, np.log10(sizes[k % 5]))], 0, "x") for k in range(120)]
+    rows += [(k, [float(np.float32(3e38))] * 4, 0, "x") for k in (201, 200)]
+    want = [(q, rank, c, max(-(1 << 63), min(s, (1 << 63) - 1))) for q, rank, c, s in brute_top(rows, 5, lambda q: q % 50 == 0)]
+    # Beyond 2^124 scores count alike, so ids decide there; brute force knows no such end.
+    exact = {(q, rank): (c, s) for q, rank, c, s in brute_top(rows, 5, lambda q: q % 50 == 0)}
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for size in (8192, 30):
+        monkeypatch.setattr(topk, "CANDIDATES", size)
+        got = sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect())
+        assert len(got) == len(want) and all(g == w for g, w in zip(got, sorted(want), strict=True) if abs(exact[w[0], w[1]][1]) < 1 << 124)
+        assert [g[3] for g in got] == [w[3] for w in sorted(want)]
+
+
 def test_ties_and_few_rows(spark):
     rows = [(k, [1.0, 0.0], 0, "x") for k in (50, 3, 2, 1)] + [(0, [0.0, 0.0], 0, "x")]
     got = sorted(tuple(r) for r in topk.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 50 == 0, 3).collect())

@@ -1,20 +1,29 @@
 """Exact top-k search by inner product, with Fagin's threshold algorithm.
 
 Components are whole numbers, floor(256 x). Candidates lie in blocks of
-bounded size; a block keeps one sorted list of its rows for each dimension.
-A query walks all lists of a block from their good ends together (from the top
-where its component is positive, from the bottom where it is negative),
-scores each row when a list first shows it, and stops as soon as the bound -
-the score of an imagined row with the values at the lists' present depth -
-is below its k-th best so far: no row not seen can beat or tie it. Each block
-gives k rows a query at most; a window over those, ordered by score and then
-id, gives the result.
-
-Query blocks meet candidate blocks by an equality join on block numbers. The
-work is queries times rows by nature; memory is two blocks.
+bounded size; a block keeps one sorted list of its rows for each dimension,
+made once for all queries. A query walks all lists of a block from their good
+ends together (from the top where its component is positive, from the bottom
+where it is negative), scores each row when a list first shows it, and stops as
+soon as the bound - the score of an imagined row with the values at the lists'
+present depth - is below its k-th best so far: no row not seen can beat or tie
+it.
+
+A query first visits one block, its own by hash. The k-th score found there
+opens its walk through every other block, so lists are left as soon as their
+bound falls below it, and only rows that reach it are returned. A window over
+those, ordered by score and then id, gives the result.
+
+Candidates are sent once for each of the two visits and never copied; queries
+are sent to every block, for each of them must be asked. The work is queries
+times rows at worst; memory is one block and one query.
 
 Vectors that are null or hold null or non-finite components take no part;
-vectors of different lengths don't meet. Repeated rows are candidates of their
+vectors of different lengths don't meet. Scores are exact for values of any
+size: where doubles would round, whole numbers of any length are multiplied
+(all rows of the block, since bounds in doubles prove nothing there). A score
+is ranked exactly up to 2^124 in size and, beyond, as that; one that a long
+does not hold is returned as the nearest long. Repeated rows are candidates of their
 own, also for their copies. Ties go to the smaller id (null last). Empty tables give
 empty results; extra columns are ignored.
 """
@@ -34,8 +43,11 @@ from .tables import materialize, shuffle_partitions
 SCALE = 256
 K = 5
 CANDIDATES = 8192
-QUERIES = 1024
 STEP = 256
+#: Whole numbers below this stay exact as doubles.
+EXACT = 1 << 53
+#: Scores travel in two longs, score = high * 2^62 + low.
+_LOW = 62
 
 
 def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,9 +64,32 @@ class Lists:
         self.x, self.ids, self.rows = x, ids, rows
         self.order = np.argsort(x, axis=0, kind="stable")
         self.sorted = np.take_along_axis(x, self.order, 0)
-
-    def top(self, q: np.ndarray, row: int, k: int, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
-        """Positions and scores of the block's k best rows, best first, and how deep the lists were read."""
+        self.largest = float(np.abs(x).max()) if x.size else 0.0
+        self.whole: np.ndarray | None = None
+
+    def best(self, q: np.ndarray, row: int, k: int, least: int | None = None) -> tuple[np.ndarray, list[int]]:
+        """Positions and exact scores of the block's k best rows, of which each scores ``least`` at least."""
+        # In Python's numbers, which don't overflow as doubles do.
+        if len(q) * int(self.largest) * int(np.abs(q).max()) < EXACT:
+            best, scores, _ = self.top(q, row, k, -np.inf if least is None else float(least))
+            scores = [int(s) for s in scores.tolist()]
+        else:
+            best, scores = self.top_of_any_size(q, row, k)
+        n = len(scores) if least is None else sum(s >= least for s in scores)
+        return best[:n], scores[:n]
+
+    def top_of_any_size(self, q: np.ndarray, row: int, k: int) -> tuple[np.ndarray, list[int]]:
+        if self.whole is None:
+            self.whole = np.array([[int(v) for v in x] for x in self.x.tolist()], object)
+        scores = self.whole @ np.array([int(v) for v in q.tolist()], object)
+        order = sorted(np.flatnonzero(self.rows != row).tolist(), key=lambda i: (-scores[i], self.ids[i]))[:k]
+        return np.array(order, np.int64), [int(scores[i]) for i in order]
+
+    def top(self, q: np.ndarray, row: int, k: int, least: float = -np.inf, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions and scores of the k best rows, best first, and how deep the lists were read.
+
+        Rows below ``least`` need not be found.
+        """
         n = len(self.x)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
@@ -77,31 +112,33 @@ class Lists:
                 keep = np.lexsort((self.ids[best], -scores))[:k]
                 best, scores = best[keep], scores[keep]
             depth = end
-            if len(best) == k and depth < n:
+            if depth < n:
                 bound = self.sorted[n - depth, up] @ q[up] + self.sorted[depth - 1, down] @ q[down]
-                if scores.min() > bound:
+                if max(least, scores.min() if len(best) == k else -np.inf) > bound:
                     break
         keep = np.lexsort((self.ids[best], -scores))
         return best[keep], scores[keep], depth
 
 
+_FOUND = "query_row long, query_id long, vec_id long, high long, low long"
+
+
 def _search(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by size, candidate block, query block, kind: candidates before queries."""
+        """Rows come sorted by size, block, kind: a block's candidates before its queries."""
         key, held, lists = None, [], None
-        names = ["query_row", "query_id", "vec_id", "score"]
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], [], [], []]
 
         def emit():
-            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=names)
+            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_row", "query_id", "vec_id", "high", "low"])
             for c in out:
                 c.clear()
             return batch
 
         for batch in batches:
-            for size, cb, qb, kind, row, vec, v in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (size, cb, qb) != key:
-                    key, held, lists = (size, cb, qb), [], None
+            for size, block, kind, row, vec, v, high, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (size, block) != key:
+                    key, held, lists = (size, block), [], None
                 if kind == 0:
                     held.append((row, vec, v))
                     continue
@@ -111,11 +148,14 @@ def _search(k: int):
                     x = np.frombuffer(b"".join(h[2] for h in held), np.float64).reshape(len(held), -1)
                     ids = np.array([np.iinfo(np.int64).max if h[1] is None else h[1] for h in held], np.int64)
                     lists = Lists(x, ids, np.array([h[0] for h in held], np.int64))
-                best, scores, _ = lists.top(np.frombuffer(v, np.float64), row, k)
+                    held = [(None, h[1], None) for h in held]
+                best, scores = lists.best(np.frombuffer(v, np.float64), row, k, None if high is None else (high << _LOW) + low)
+                top = [max(-(1 << 124), min(s, 1 << 124)) for s in scores]
                 out[0].extend([row] * len(best))
                 out[1].extend([vec] * len(best))
                 out[2].extend(held[i][1] for i in best.tolist())
-                out[3].extend(int(s) for s in scores.tolist())
+                out[3].extend(s >> _LOW for s in top)
+                out[4].extend(s & (1 << _LOW) - 1 for s in top)
                 if len(out[0]) >= 20_000:
                     yield emit()
         if out[0]:
@@ -127,24 +167,35 @@ def _search(k: int):
 def top_k(embeddings: DataFrame, is_query, k: int = K, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` best other rows of each row for which ``is_query`` holds.
 
-    ``is_query`` is a column over ``vec_id``. Scores are exact while they stay below 2^53.
+    ``is_query`` is a column over ``vec_id``.
     """
     spark = embeddings.sparkSession
     parts = shuffle_partitions(spark)
     v = F.col("_v")
     finite = F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))), F.lit(False))
-    own = embeddings.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("_v")).where(finite & (F.size(v) > 0))
+    own = embeddings.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("_v")).where(finite & (F.size(v) > 0))
     own = own.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.coalesce(is_query, F.lit(False)).alias("is_query"), "_v")
     table = materialize(own.mapInArrow(_scaled, "row long, vec_id long, is_query boolean, v binary"), "scaled")
-    n, queries = table.agg(F.count("*"), F.count_if("is_query")).first()
-    n_cb, n_qb = max(1, math.ceil(n / CANDIDATES)), max(1, math.ceil(queries / QUERIES))
-    size = F.length("v").alias("size")
-    mine = lambda m: F.pmod(F.xxhash64("row"), F.lit(m)).cast("int")
-    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    candidates = table.select(size, mine(n_cb).alias("cb"), each(n_qb).alias("qb"), F.lit(0).alias("kind"), "row", "vec_id", "v")
-    asked = table.where("is_query").select(size, each(n_cb).alias("cb"), mine(n_qb).alias("qb"), F.lit(1).alias("kind"), "row", "vec_id", "v")
-    met = candidates.unionByName(asked).repartition(parts, "size", "cb", "qb").sortWithinPartitions("size", "cb", "qb", "kind", "row")
-    found = met.mapInArrow(_search(k), "query_row long, query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_row").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
+    blocks = max(1, math.ceil(table.count() / CANDIDATES))
+    own_block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
+    nothing = F.lit(None).cast("long")
+    placed = table.select(F.length("v").alias("size"), own_block.alias("block"), "row", "vec_id", "v", "is_query")
+    candidates = placed.select("size", "block", F.lit(0).alias("kind"), "row", "vec_id", "v", nothing.alias("high"), nothing.alias("low"))
+    queries = placed.where("is_query")
+
+    def search(asked: DataFrame) -> DataFrame:
+        met = candidates.unionByName(asked).repartition(parts, "size", "block").sortWithinPartitions("size", "block", "kind", "row")
+        return met.mapInArrow(_search(k), _FOUND)
+
+    first = materialize(search(queries.select("size", "block", F.lit(1).alias("kind"), "row", "vec_id", "v", nothing.alias("high"), nothing.alias("low"))), "first-block")
+    # A block with fewer than k rows opens nothing.
+    opening = first.groupBy(F.col("query_row").alias("row")).agg(F.count("*").alias("n"), F.min(F.struct("high", "low")).alias("least")).where(F.col("n") >= k)
+    asked = queries.join(opening.select("row", "least"), "row", "left")
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: b != F.col("own")))
+    asked = asked.withColumnRenamed("block", "own").select("size", others.alias("block"), F.lit(1).alias("kind"), "row", "vec_id", "v", F.col("least.high").alias("high"), F.col("least.low").alias("low"))
+    found = first.unionByName(search(asked))
+    best = Window.partitionBy("query_row").orderBy(F.desc("high"), F.desc("low"), F.asc_nulls_last("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    top = (1 << 63) - 1
+    score = F.when(F.col("high") > 1, F.lit(top)).when(F.col("high") < -2, F.lit(-top - 1)).otherwise(F.shiftleft("high", _LOW) + F.col("low"))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
