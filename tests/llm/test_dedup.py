@@ -138,9 +138,31 @@ def test_removals(spark):
 
 def test_removals_over_small_blocks_and_buckets(spark, monkeypatch):
     docs = corpus()
-    monkeypatch.setattr(substring_dedup, "BUCKET_TEXT", 200)
-    got = sorted((tuple(r) for r in substring_dedup.removals(frame(spark, docs).repartition(9), window=5).collect()), key=str)
-    assert got == sorted(plain_removals(docs, 5), key=str)
+    want = sorted(plain_removals(docs, 5), key=str)
+    for bucket, part, block in ((200, 48 << 20, 3 << 20), (100, 1500, 3 << 20), (1000, 300, 2000)):
+        monkeypatch.setattr(substring_dedup, "BUCKET_TEXT", bucket)
+        monkeypatch.setattr(substring_dedup, "PART_TEXT", part)
+        monkeypatch.setattr(substring_dedup, "BLOCK_TEXT", block)
+        assert sorted((tuple(r) for r in substring_dedup.removals(frame(spark, docs).repartition(9), window=5).collect()), key=str) == want
+
+
+def test_buckets_survive_their_encoding():
+    rng = np.random.default_rng(6)
+    for n, spread in ((1, 1), (5, 1 << 63), (300, 40)):
+        hashes = np.sort(rng.integers(0, spread, n, dtype=np.uint64))
+        docs = rng.integers(-(1 << 62), 1 << 62, n)
+        docs[0] = np.iinfo(np.int64).max
+        h, d, at = substring_dedup._decoded(b"xx" + (payload := substring_dedup._encoded(hashes, docs)), n, 2)
+        assert (h == hashes).all() and (d == docs).all() and at == 2 + len(payload)
+
+
+def test_one_row_for_each_block_and_partition(spark):
+    """However many buckets a partition has."""
+    docs = frame(spark, corpus()).selectExpr("doc_id as _doc", "text as _text").coalesce(2)
+    for each in (1, 7):
+        sent = docs.mapInArrow(substring_dedup._send("_text", "_doc", 5, 8, each), "part int, block long, check long, n long, payload binary")
+        rows = [(r["block"], r["part"]) for r in sent.collect()]
+        assert len(rows) == len(set(rows)) <= 16
 
 
 def test_remove_keeps_rows_and_columns(spark):

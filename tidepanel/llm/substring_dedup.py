@@ -7,21 +7,32 @@ a smaller id is removed. Windows are judged on the input.
    hashes, modulo 2^64), sorts the hashes and settles what it can alone: where
    a smaller document of the block has the same window. Of each hash only the
    smallest document's windows travel, so a hot passage is one entry a block.
-2. Hash buckets count windows over all blocks: they find the smallest document
-   of each hash and answer a bit for each window they got, in the order in
-   which the block sent them, so no window is ever named twice.
+2. Hash partitions count windows over all blocks: they find the smallest
+   document of each hash and answer a bit for each window they got, in the
+   order in which the block sent them, so no window is ever named twice. A
+   partition works through its hash range in buckets of bounded size.
 3. The block hashes again, reads the bits, and merges covered windows into
    maximal intervals to remove.
 
-A window is 8 bytes or so in the first shuffle and one bit in the second,
-beside one compressed copy of the documents. Two different windows with one
-64-bit hash would be taken for equal: for n windows that happens about
-n^2 / 2^65 times in the whole corpus.
-
-Null text has no words. Null ids count as larger than every id, and nothing is
-removed for another null id. Repeated rows share an id, so they take nothing
-from one another. Texts with fewer words than a window stay whole. Empty
-tables give empty results. Extra columns pass through ``remove``.
+A block sends one row to each partition. With B blocks of 3 MB and P partitions
+(one for each 48 MB of text, and at least the shuffle partitions) that is B x P
+rows; a window in them takes ten bytes or so in the first shuffle and one bit
+in the second, beside one compressed copy of the documents. A row has some 100
+bytes of its own and 17 for each bucket, which counts where its windows are
+few: a block has half a million windows, so from some 5,000 partitions
+(240 GB) on a row holds 100 windows or fewer and its own bytes reach a tenth of
+theirs; at 20 TB they are alike. Larger blocks (``BLOCK_TEXT``) and partitions
+(``PART_TEXT``) move that point, for memory.
+
+Two different windows with one 64-bit hash would be taken for equal: for n
+windows that happens about n^2 / 2^65 times in the whole corpus.
+
+Null text has no words. A text of any length is whole in one block, of its own
+where it is longer than a block; its task takes some 20 times its size. Null
+ids count as larger than every id, and nothing is removed for another null id.
+Repeated rows share an id, so they take nothing from one another. Texts with
+fewer words than a window stay whole. Empty tables give empty results. Extra
+columns pass through ``remove``.
 """
 
 from __future__ import annotations
@@ -42,7 +53,9 @@ from .blocks import from_ipc, give_back, task_blocks, text_bytes, to_ipc
 from .tables import drop, materialize, repeatable_scans, shuffle_partitions, unused
 
 WINDOW_WORDS = 13
-#: Bytes of text for which a bucket is made; a window takes some 40 bytes in a bucket's task.
+#: Bytes of text for which a partition is made, whose windows (ten bytes each) a task holds,
+#: and for which a bucket is made, whose windows (some 40 bytes each) a task sorts at once.
+PART_TEXT = 48 << 20
 BUCKET_TEXT = 3 << 20
 BLOCK_TEXT = 3 << 20
 _BASE = 0x9E3779B97F4A7C15
@@ -105,10 +118,9 @@ class Windows:
             self.covered = np.zeros(0, bool)
         self.own = np.flatnonzero(~self.covered)
 
-    def edges(self, buckets: int) -> np.ndarray:
-        """Where each bucket starts among the windows that travel."""
-        at = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
-        return np.concatenate(([0], np.searchsorted(self.hashes[self.own], at), [len(self.own)]))
+    def buckets(self, n: int) -> np.ndarray:
+        """The bucket of each window that travels: equal ranges of the hash, in order."""
+        return (self.hashes[self.own] // np.uint64(-(-(1 << 64) // n))).astype(np.int64)
 
 
 def _narrow(values: np.ndarray) -> bytes:
@@ -124,97 +136,129 @@ def _widen(payload: bytes, n: int, at: int) -> tuple[np.ndarray, int]:
     return out.view("<u8").reshape(n), at + 1 + n * width
 
 
-_SENT = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("check", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+_SENT = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("check", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+
+
+def _encoded(hashes: np.ndarray, docs: np.ndarray) -> bytes:
+    """A bucket's windows of one block: sorted hashes as differences, documents as distances from the smallest."""
+    if not len(hashes):
+        return b""
+    low = int(docs.min())
+    away = docs.astype(np.uint64) - np.uint64(low & (1 << 64) - 1)
+    return np.array([hashes[0]], "<u8").tobytes() + np.array([low], "<i8").tobytes() + _narrow(np.diff(hashes, prepend=hashes[:1])) + _narrow(away)
+
+
+def _decoded(payload: bytes, n: int, at: int) -> tuple[np.ndarray, np.ndarray, int]:
+    first, low = np.frombuffer(payload, "<u8", 1, at)[0], np.frombuffer(payload, "<i8", 1, at + 8)[0]
+    deltas, at = _widen(payload, n, at + 16)
+    away, at = _widen(payload, n, at)
+    return np.cumsum(deltas, dtype=np.uint64) + first, (away + low.astype(np.uint64)).astype(np.int64), at
 
 
-def _send(text: str, id_column: str, window: int, buckets: int):
+def _send(text: str, id_column: str, window: int, parts: int, each: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each partition with windows: how many each of its ``each`` buckets has, then the buckets."""
         for block, table in task_blocks(batches, text, max_bytes=BLOCK_TEXT):
             w = Windows(table, text, id_column, window)
             del table
-            edges = w.edges(buckets)
+            bucket = w.buckets(parts * each)
             hashes, docs, check = w.hashes[w.own], w.docs[w.own], w.check
             del w
             rows: list[dict] = []
-            for b in np.flatnonzero(np.diff(edges)).tolist():
-                h, d = hashes[edges[b] : edges[b + 1]], docs[edges[b] : edges[b + 1]]
-                low = int(d.min())
-                away = d.astype(np.uint64) - np.uint64(low & (1 << 64) - 1)
-                payload = np.array([h[0]], "<u8").tobytes() + np.array([low], "<i8").tobytes() + _narrow(np.diff(h, prepend=h[:1])) + _narrow(away)
-                rows.append({"bucket": b, "block": block, "check": check, "n": len(h), "payload": payload})
-                if len(rows) == 256:
+            for part in np.unique(bucket // each).tolist():
+                edges = np.searchsorted(bucket, np.arange(part * each, (part + 1) * each + 1))
+                buckets = b"".join([_encoded(hashes[a:b], docs[a:b]) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)])
+                rows.append({"part": part, "block": block, "check": check, "n": int(edges[-1] - edges[0]), "payload": np.diff(edges).astype("<u4").tobytes() + buckets})
+                if len(rows) == 64:
                     yield pa.RecordBatch.from_pylist(rows, schema=_SENT)
                     rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=_SENT)
-            del hashes, docs, rows
+            del hashes, docs, bucket, rows
             give_back()
 
     return run
 
 
-_ANSWERS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("check", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+_ANSWERS = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("check", pa.int64()), ("n", pa.int64()), ("payload", pa.binary())])
+_ANSWERS_DDL = "block long, part int, check long, n long, payload binary"
+#: In place of a partition: the texts of a block, which come after its answers.
+_TEXTS = np.iinfo(np.int32).max
 
 
-def _answer(rows: list[dict]) -> pa.RecordBatch:
-    """Bits of one bucket's windows: whether a smaller document has the window."""
-    hashes, docs = [], []
-    for row in rows:
-        p, n = row["payload"], row["n"]
-        first, low = np.frombuffer(p, "<u8", 1)[0], np.frombuffer(p, "<i8", 1, 8)[0]
-        deltas, at = _widen(p, n, 16)
-        away, _ = _widen(p, n, at)
-        hashes.append(np.cumsum(deltas, dtype=np.uint64) + first)
-        docs.append((away + low.astype(np.uint64)).astype(np.int64))
-    h, d = np.concatenate(hashes), np.concatenate(docs)
-    order = np.argsort(h, kind="stable")
-    sorted_h, sorted_d = h[order], d[order]
+def _seen_before(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """Whether a smaller document has the window too."""
+    order = np.argsort(hashes, kind="stable")
+    sorted_h, sorted_d = hashes[order], docs[order]
     group = np.concatenate(([0], np.cumsum(sorted_h[1:] != sorted_h[:-1])))
     lowest = np.minimum.reduceat(sorted_d, np.flatnonzero(np.diff(group, prepend=-1)))
-    seen = np.empty(len(h), bool)
+    seen = np.empty(len(hashes), bool)
     seen[order] = sorted_d > lowest[group]
-    out, at = [], 0
-    for row in rows:
-        own = seen[at : at + row["n"]]
-        at += row["n"]
-        if own.any():
-            out.append({"block": row["block"], "bucket": row["bucket"], "check": row["check"], "n": row["n"], "payload": zstandard.compress(np.packbits(own).tobytes())})
-    return pa.RecordBatch.from_pylist(out, schema=_ANSWERS)
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by bucket; a bucket's windows are counted together."""
-    held: list[dict] = []
-    for batch in batches:
-        for row in batch.to_pylist():
-            if held and held[0]["bucket"] != row["bucket"]:
-                yield _answer(held)
-                held = []
-            held.append(row)
-    if held:
-        yield _answer(held)
-    held = []
-    give_back()
+    return seen
+
+
+def _answers(rows: list[dict], each: int) -> Iterator[pa.RecordBatch]:
+    """For every row of a partition a bit for each of its windows, bucket by bucket."""
+    counts = [np.frombuffer(r["payload"], "<u4", each).tolist() for r in rows]
+    at = [4 * each] * len(rows)
+    bits: list[list[np.ndarray]] = [[] for _ in rows]
+    for bucket in range(each):
+        found, hashes, docs = [], [], []
+        for k, row in enumerate(rows):
+            if n := counts[k][bucket]:
+                h, d, at[k] = _decoded(row["payload"], n, at[k])
+                found.append((k, n))
+                hashes.append(h)
+                docs.append(d)
+        if not found:
+            continue
+        seen, first = _seen_before(np.concatenate(hashes), np.concatenate(docs)), 0
+        for k, n in found:
+            bits[k].append(seen[first : first + n])
+            first += n
+    for row, own in zip(rows, bits, strict=True):
+        seen = np.concatenate(own)
+        if seen.any():
+            answer = {"block": row["block"], "part": row["part"], "check": row["check"], "n": row["n"], "payload": zstandard.compress(np.packbits(seen).tobytes())}
+            yield pa.RecordBatch.from_pylist([answer], schema=_ANSWERS)
+
+
+def _count(each: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by partition; a partition's windows are counted together."""
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield from _answers(held, each)
+                    held = []
+                held.append(row)
+        if held:
+            yield from _answers(held, each)
+        held = []
+        give_back()
+
+    return run
 
 
 def _ship(text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table in task_blocks(batches, text, max_bytes=BLOCK_TEXT):
-            row = {"block": block, "bucket": 1 << 30, "check": 0, "n": table.num_rows, "payload": to_ipc(table)}
+            row = {"block": block, "part": _TEXTS, "check": 0, "n": table.num_rows, "payload": to_ipc(table)}
             yield pa.RecordBatch.from_pylist([row], schema=_ANSWERS)
 
     return run
 
 
-def _intervals(w: Windows, answers: list[dict], buckets: int, window: int) -> np.ndarray:
+def _intervals(w: Windows, answers: list[dict], parts: int, each: int, window: int) -> np.ndarray:
     """A mark for each word of the block that goes."""
-    edges = w.edges(buckets)
+    part = w.buckets(parts * each) // each
     for row in answers:
-        start, n = int(edges[row["bucket"]]), row["n"]
-        if row["check"] != w.check or int(edges[row["bucket"] + 1]) - start != n:
+        start, end = np.searchsorted(part, [row["part"], row["part"] + 1]).tolist()
+        if row["check"] != w.check or end - start != row["n"]:
             raise RuntimeError("the table changed between two scans")
-        bits = np.unpackbits(np.frombuffer(zstandard.decompress(row["payload"]), np.uint8), count=n).astype(bool)
-        w.covered[w.own[start : start + n][bits]] = True
+        bits = np.unpackbits(np.frombuffer(zstandard.decompress(row["payload"]), np.uint8), count=row["n"]).astype(bool)
+        w.covered[w.own[start:end][bits]] = True
     starts = w.starts[w.covered]
     steps = np.zeros(w.total + 1, np.int64)
     steps[starts] += 1
@@ -222,7 +266,7 @@ def _intervals(w: Windows, answers: list[dict], buckets: int, window: int) -> np
     return np.cumsum(steps[:-1]) > 0
 
 
-def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool, removed: str):
+def _apply(text: str, id_column: str, window: int, parts: int, each: int, digest: bool, removed: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by block, a block's answers before its documents."""
         block, answers = None, []
@@ -230,12 +274,12 @@ def _apply(text: str, id_column: str, window: int, buckets: int, digest: bool, r
             for row in batch.to_pylist():
                 if row["block"] != block:
                     block, answers = row["block"], []
-                if row["bucket"] < 1 << 30:
+                if row["part"] != _TEXTS:
                     answers.append(row)
                     continue
                 table = from_ipc(row["payload"])
                 w = Windows(table, text, id_column, window)
-                gone = _intervals(w, answers, buckets, window)
+                gone = _intervals(w, answers, parts, each, window)
                 answers = []
                 n_words, n_removed, kept = [], [], []
                 before = table.column(text).to_pylist() if not digest else None
@@ -270,20 +314,20 @@ def _run(docs: DataFrame, window: int, text: str, id_column: str, digest: bool)
     d, t, removed = unused(docs.columns, "_doc", "_text", "_removed")
     shipped = docs.select(F.col(id_column).cast("long").alias(d), F.col(text).alias(t), *([] if digest else [c for c in docs.columns if c != text]))
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets = max(16, -(-size // BUCKET_TEXT))
-    parts = max(shuffle_partitions(spark), buckets // 4)
+    parts = max(shuffle_partitions(spark), -(-size // PART_TEXT))
+    each = max(1, -(-size // (parts * BUCKET_TEXT)))
     with repeatable_scans(spark):
-        sent = hashed.mapInArrow(_send("_text", "_doc", window, buckets), "bucket int, block long, check long, n long, payload binary")
-        counted = sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_count, "block long, bucket int, check long, n long, payload binary")
+        sent = hashed.mapInArrow(_send("_text", "_doc", window, parts, each), "part int, block long, check long, n long, payload binary")
+        counted = sent.repartitionById(parts, F.col("part")).sortWithinPartitions("part").mapInArrow(_count(each), _ANSWERS_DDL)
         answers = materialize(counted, "windows")
-        blocks = shipped.mapInArrow(_ship(t), "block long, bucket int, check long, n long, payload binary")
+        blocks = shipped.mapInArrow(_ship(t), _ANSWERS_DDL)
         # Blocks come first in the union: their ids are made from the task's place in the scan.
-        joined = blocks.unionByName(answers).repartition(parts, "block").sortWithinPartitions("block", "bucket")
+        joined = blocks.unionByName(answers).repartition(parts, "block").sortWithinPartitions("block", "part")
         if digest:
             schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
         else:
             schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in shipped.schema.fields) + f", `{removed}` long"
-        out = materialize(joined.mapInArrow(_apply(t, d, window, buckets, digest, removed), schema), "substring")
+        out = materialize(joined.mapInArrow(_apply(t, d, window, parts, each, digest, removed), schema), "substring")
         drop(answers)
     return out
 
