@@ -5,16 +5,19 @@ is encoded (byte profile and word statistics, then a learned layer), gated
 attention weights say how much each passage counts, and the weighted passage
 representation is scored. All weights are learned together from document
 labels, by stochastic gradient steps on the driver, over a bounded sample of
-labelled documents (``SAMPLE``, drawn by a hash of the id from all labelled
-rows). Features of the sample are made on the executors; whole texts are read
-for learning and scoring alike.
+labelled documents: the lowest by a hash of the id of all labelled rows, at
+most ``SAMPLE`` of them and only as long as those before hold less than
+``SAMPLE_TEXT`` bytes of text. Features of the sample are made on the
+executors; texts of any length are read whole for learning and scoring alike.
+The driver holds some 100 bytes for a byte of text at worst (words of one
+letter), 15 usually.
 
 Null and empty texts are one empty passage and get a score like any other.
 Repeated rows get a row each. Labels other than 0 and 1, null labels and
 labels without a document teach nothing; of contradicting labels of one id
 the higher counts. Without both labels in the sample every score is the share
 of ones (one half if there are none). Empty tables give empty results; extra
-columns are ignored.
+columns are ignored. Equal scores need no order, and equal hashes of ids go by id.
 """
 
 from __future__ import annotations
@@ -23,13 +26,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import slices, text_bytes
 
 PASSAGE_WORDS = 64
-SAMPLE = 3000
+SAMPLE, SAMPLE_TEXT = 3000, 12 << 20
 HIDDEN, GATES = 24, 12
 EPOCHS, RATE, DECAY, SEED = 40, 0.01, 1e-4, 7
 _EXTRA = 6
@@ -89,12 +92,18 @@ def fit(bags: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed:
     if not len(labels) or ones in (0.0, 1.0):
         return Model({"prior": np.float64(ones)})
     rng = np.random.default_rng(seed)
+    # One array of all passages, scaled where it is; bags are parts of it.
     every = np.concatenate(bags)
-    w = {"mean": every.mean(0, dtype=np.float64).astype(np.float32), "std": np.maximum(every.std(0, dtype=np.float64), 0.02).astype(np.float32)}
+    ends = np.cumsum([len(x) for x in bags])
+    mean = every.mean(0, dtype=np.float64)
+    spread = sum(((every[i : i + 4096] - mean) ** 2).sum(0) for i in range(0, len(every), 4096)) / len(every)
+    w = {"mean": mean.astype(np.float32), "std": np.maximum(np.sqrt(spread), 0.02).astype(np.float32)}
+    every -= w["mean"]
+    every /= w["std"]
+    bags = np.split(every, ends[:-1])
     d, h, g = every.shape[1], HIDDEN, GATES
     p = {"E": rng.normal(0, d**-0.5, (d, h)), "e": np.zeros(h), "V": rng.normal(0, h**-0.5, (h, g)), "v": np.zeros(g), "U": rng.normal(0, h**-0.5, (h, g)), "u": np.zeros(g), "a": rng.normal(0, g**-0.5, g), "c": rng.normal(0, h**-0.5, h), "b": np.zeros(())}
     m, s = ({k: np.zeros_like(x) for k, x in p.items()} for _ in range(2))
-    bags = [((x - w["mean"]) / w["std"]).astype(np.float64) for x in bags]
     # Both labels weigh alike in the loss up to a factor that leaves the prior in the score.
     weigh = np.where(labels == 1, 1.0, (ones / (1 - ones)) ** 0.5)
     step = 0
@@ -139,16 +148,20 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("_id"), part.column("_label"), pa.array(bags, pa.binary())], names=["id", "label", "bag"])
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality", text: str = "text", id_column: str = "doc_id") -> Model:
-    """Fit on at most ``sample`` labelled documents, the lowest by a hash of their id.
+def _sample(docs: DataFrame, target: DataFrame, sample: int, sample_text: int) -> DataFrame:
+    """_id, _label of the documents to learn from: at most ``sample`` rows, so they may be broadcast."""
+    sized = docs.groupBy("_id").agg(F.sum(F.coalesce(F.octet_length("_text"), F.lit(0))).alias("_size"))
+    first = target.join(sized, "_id").withColumn("_hash", F.xxhash64("_id")).orderBy("_hash", "_id").limit(sample)
+    before = F.coalesce(F.sum("_size").over(Window.orderBy("_hash", "_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return first.withColumn("_before", before).where(F.col("_before") < sample_text).select("_id", "_label")
 
-    All their passages are learned from, so the driver holds features of some
-    eight times a long document's words in bytes.
-    """
+
+def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality", text: str = "text", id_column: str = "doc_id", sample_text: int = SAMPLE_TEXT) -> Model:
+    """Fit on at most ``sample`` labelled documents, the lowest by a hash of their id, while those before hold less than ``sample_text`` bytes."""
     target = labels.where(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(F.col(id_column).cast("long").alias("_id")).agg(F.max(label).cast("int").alias("_label"))
-    chosen = target.join(docs.select(F.col(id_column).cast("long").alias("_id")), "_id", "left_semi").orderBy(F.xxhash64("_id"), "_id").limit(sample)
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text).alias("_text"))
-    # ``chosen`` has at most ``sample`` ids and labels, so it is broadcast and no text is shuffled.
+    chosen = _sample(texts, target, sample, sample_text)
+    # No text is shuffled.
     bags = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(_featurize, "id long, label int, bag binary")
     got = sorted(bags.groupBy("id", "label").agg(F.min("bag").alias("bag")).collect())
     return fit([np.frombuffer(r["bag"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got], np.array([r["label"] for r in got]))
