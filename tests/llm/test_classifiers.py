@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -123,3 +124,63 @@ def test_one_label_or_none(spark, labels, want):
 def test_passages_cover_the_text():
     text = " ".join(f"w{k}" for k in range(64 * 5 + 10)).encode()
     assert len(quality.passages(text)) == 5 and len(quality.passages(b"")) == 1
+
+
+def test_votes_by_plain_counting():
+    """The family of the largest margin, then most votes, then belief, then the first language."""
+    rng = np.random.default_rng(1)
+    families = {"a": ["en"], "b": ["es", "fr", "it"], "c": ["pl", "ru"]}
+    pairs = {f: [(i, j) for i in range(len(x)) for j in range(i + 1, len(x))] for f, x in families.items()}
+    weights = rng.normal(size=(3 + 0 + 3 + 1, language_id.FEATURES + 1)).astype(np.float32)
+    model = language_id.Model(families, weights, pairs)
+    seen = set()
+    for _ in range(60):
+        x = rng.random(language_id.FEATURES).astype(np.float32)
+        x /= np.sqrt((x * x).sum())
+        margin = [float(np.dot(w[:-1].astype(np.float64), x) + w[-1]) for w in weights]
+        family = "abc"[max(range(3), key=lambda i: margin[i])]
+        languages, first = families[family], {"a": 3, "b": 3, "c": 6}[family]
+        votes, belief = dict.fromkeys(languages, 0), dict.fromkeys(languages, 0.0)
+        for k, (i, j) in enumerate(pairs[family]):
+            p = 1 / (1 + math.exp(-4 * max(-8, min(8, margin[first + k]))))
+            votes[languages[i if margin[first + k] >= 0 else j]] += 1
+            belief[languages[i]] += p
+            belief[languages[j]] += 1 - p
+        want = languages[0] if len(languages) == 1 else max(languages, key=lambda c: (votes[c], belief[c], -languages.index(c)))
+        got, score = model.predict(x)
+        assert got == want and 0 <= score <= 1
+        seen.add(got)
+    assert len(seen) > 3
+
+
+def test_attention_by_plain_loops():
+    rng = np.random.default_rng(2)
+    d, h, g = quality.FEATURES, 3, 2
+    w = {"mean": rng.random(d), "std": rng.random(d) + 0.5, "E": rng.normal(size=(d, h)) / 10, "e": rng.normal(size=h), "V": rng.normal(size=(h, g)), "v": rng.normal(size=g), "U": rng.normal(size=(h, g)), "u": rng.normal(size=g), "a": rng.normal(size=g), "c": rng.normal(size=h), "b": np.float64(0.3)}
+    x = rng.random((4, d))
+    hidden, weight = [], []
+    for row in x:
+        own = [max(0.0, sum((row[i] - w["mean"][i]) / w["std"][i] * w["E"][i, j] for i in range(d)) + w["e"][j]) for j in range(h)]
+        gate = 0.0
+        for k in range(g):
+            t = math.tanh(sum(own[j] * w["V"][j, k] for j in range(h)) + w["v"][k])
+            s = 1 / (1 + math.exp(-(sum(own[j] * w["U"][j, k] for j in range(h)) + w["u"][k])))
+            gate += t * s * w["a"][k]
+        hidden.append(own)
+        weight.append(math.exp(gate))
+    z = [sum(a * own[j] for a, own in zip(weight, hidden, strict=True)) / sum(weight) for j in range(h)]
+    want = 1 / (1 + math.exp(-(sum(z[j] * w["c"][j] for j in range(h)) + w["b"])))
+    assert quality.Model(w).score(x) == pytest.approx(want)
+
+
+def test_sample_is_bounded_in_text_and_takes_whole_documents(spark):
+    docs = spark.createDataFrame([(k, "x" * (10 * k)) for k in range(1, 41)] + [(5, None)], "_id long, _text string")
+    target = spark.createDataFrame([(k, k % 2) for k in range(1, 60)], "_id long, _label int")
+    order = [r[0] for r in target.where("_id <= 40").selectExpr("_id", "xxhash64(_id) as h").orderBy("h").collect()]
+    for sample, size in ((100, 1 << 20), (7, 1 << 20), (100, 900)):
+        want, held = [], 0
+        for k in order[:sample]:
+            if held < size:
+                want.append(k)
+            held += 10 * k
+        assert sorted(r["_id"] for r in quality._sample(docs, target, sample, size).collect()) == sorted(want)
