@@ -180,6 +180,46 @@ def test_search_of_many_classes_goes_on_to_the_end():
     assert sum(b for _, b in after) < 0.97 * before
 
 
+def fewest_bins(lengths, capacity):
+    """The least number of bins, by trying every bin for every piece."""
+    best = len(lengths)
+
+    def place(k, frees):
+        nonlocal best
+        if len(frees) >= best:
+            return
+        if k == len(lengths):
+            best = len(frees)
+            return
+        for free in sorted({f for f in frees if f >= lengths[k]}):
+            rest = list(frees)
+            rest.remove(free)
+            place(k + 1, [*rest, free - lengths[k]])
+        place(k + 1, [*frees, capacity - lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_bins_against_the_fewest_possible():
+    rng = np.random.default_rng(8)
+    same = 0
+    for _ in range(150):
+        lengths = sorted(rng.integers(1, 21, rng.integers(1, 10)).tolist(), reverse=True)
+        least = fewest_bins(lengths, 20)
+        found = sum(b for _, b in packing.plan({n: lengths.count(n) for n in set(lengths)}, 20))
+        assert least <= found <= least + 1
+        same += found == least
+    assert same >= 145
+
+
+def test_clashing_names_of_packed_rows(spark):
+    rows = spark.createDataFrame([(3, 1, "a"), (4096, 2, "b"), (3, 1, "a")], "length long, sequence_id int, _Task string")
+    got = packing.pack(rows)
+    assert got.columns == ["length", "sequence_id", "_Task", "sequence_id_", "offset"]
+    assert sorted((r[0], r[1], r[2], r[4]) for r in got.collect()) == [(3, 1, "a", 0), (3, 1, "a", 3), (4096, 2, "b", 0)]
+
+
 def test_one_length_in_all_rows(spark):
     docs = spark.range(5000).selectExpr("id as doc_id", "'same text here' as text").repartition(7)
     found = packing.pack_documents(docs, PATH)

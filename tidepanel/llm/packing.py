@@ -14,8 +14,11 @@ of a length, counts of (task, length) are summed up to offsets, and a segment
 of ranks maps to bins by arithmetic. No length, however common, meets in one
 task, and only the plan (bounded by the capacity) is broadcast.
 
-Null text counts as empty and still ends in the end token; repeated rows are
-packed each; an empty table gives an empty result; extra columns are ignored.
+Null text counts as empty and still ends in the end token; a text of any length
+is tokenized whole and cut into pieces; repeated rows are packed each. Rows of
+one length are alike to the plan, and rows of a task are numbered as they come,
+so ties take places in any order. An empty table gives an empty result; extra
+columns of ``pack`` pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .blocks import slices, text_bytes
 from .bpe import word_encoder
-from .tables import materialize
+from .tables import materialize, unused
 
 CAPACITY = 4096
 END_ID = 1
@@ -267,35 +270,38 @@ def _segments(classes) -> dict[str, np.ndarray]:
     return {k: np.array(c, np.int64) for k, c in zip(("length", "first", "bins", "base", "offset"), cols, strict=True)}
 
 
-def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Add the task and the row's number among this task's rows of its length."""
-    from pyspark import TaskContext
+def _number(names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Add the task and the row's number among this task's rows of its length."""
+        from pyspark import TaskContext
+
+        task, seen = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            numbers = []
+            for n in batch.column("length").to_pylist():
+                numbers.append(seen[n])
+                seen[n] += 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(numbers), pa.int64()), pa.array(numbers, pa.int64())], names=[*batch.schema.names, *names])
 
-    task, seen = TaskContext.get().partitionId(), Counter()
-    for batch in batches:
-        numbers = []
-        for n in batch.column("length").to_pylist():
-            numbers.append(seen[n])
-            seen[n] += 1
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([task] * len(numbers), pa.int64()), pa.array(numbers, pa.int64())], names=[*batch.schema.names, "_task", "_number"])
+    return run
 
 
-def _place(sent):
+def _place(sent, ranks: str, out: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seg = sent.value
         edges = {n: (a, b) for n, a, b in zip(*(x.tolist() for x in (lambda u: (u[0], u[1], np.append(u[1][1:], len(seg["length"]))))(np.unique(seg["length"], return_index=True))), strict=True)}
         for batch in batches:
             length = batch.column("length").to_numpy()
-            rank = batch.column("_rank").to_numpy()
+            rank = batch.column(ranks).to_numpy()
             at = np.empty(len(length), np.int64)
             for n in np.unique(length):
                 own = np.flatnonzero(length == n)
                 a, b = edges[int(n)]
                 at[own] = a + np.searchsorted(seg["first"][a:b], rank[own], "right") - 1
             within = rank - seg["first"][at]
-            kept = [c for name, c in zip(batch.schema.names, batch.columns, strict=True) if name != "_rank"]
-            names = [n for n in batch.schema.names if n != "_rank"]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(seg["base"][at] + within % seg["bins"][at]), pa.array(seg["offset"][at] + within // seg["bins"][at] * length)], names=[*names, "sequence_id", "offset"])
+            kept = [c for name, c in zip(batch.schema.names, batch.columns, strict=True) if name != ranks]
+            names = [n for n in batch.schema.names if n != ranks]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(seg["base"][at] + within % seg["bins"][at]), pa.array(seg["offset"][at] + within // seg["bins"][at] * length)], names=[*names, *out])
 
     return run
 
@@ -303,19 +309,20 @@ def _place(sent):
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add sequence_id and offset to rows with a ``length`` from 1 to ``capacity``.
 
-    Other columns pass through; columns called sequence_id, offset, _task,
-    _number or _rank must not be there.
+    Other columns pass through; where they have these names, the new ones are
+    lengthened.
     """
     spark = rows.sparkSession
+    task, number, rank, count, before, sequence, offset = unused(rows.columns, "_task", "_number", "_rank", "_n", "_before", "sequence_id", "offset")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    numbered = materialize(rows.mapInArrow(_number, f"{fields}, _task long, _number long"), "pieces")
-    counts = numbered.groupBy("_task", "length").agg(F.count("*").alias("_n"))
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    numbered = materialize(rows.mapInArrow(_number([task, number]), f"{fields}, `{task}` long, `{number}` long"), "pieces")
+    counts = numbered.groupBy(task, "length").agg(F.count("*").alias(count))
+    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum(count).alias("n")).collect()}
     segments = _segments(plan(histogram, capacity))
-    before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_task", "length", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    ranked = numbered.join(offsets, ["_task", "length"]).select(*rows.columns, (F.col("_before") + F.col("_number")).alias("_rank"))
-    return ranked.mapInArrow(_place(spark.sparkContext.broadcast(segments)), f"{fields}, sequence_id long, offset long")
+    earlier = Window.partitionBy("length").orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(task, "length", F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(before))
+    ranked = numbered.join(offsets, [task, "length"]).select(*(F.col(f"`{c}`") for c in rows.columns), (F.col(before) + F.col(number)).alias(rank))
+    return ranked.mapInArrow(_place(spark.sparkContext.broadcast(segments), rank, [sequence, offset]), f"{fields}, `{sequence}` long, `{offset}` long")
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
