@@ -72,6 +72,84 @@ def test_long_redirect_chain(spark):
     assert {r["verdict"] for r in judged(spark, pages).values()} == {"block"}
 
 
+def web(rng, n):
+    """Pages with redirect chains, hubs with hundreds of aliases, allow and block conflicts, odd tags and no URL."""
+    link = lambda u: rng.choice(['<link rel="canonical" href="{}">', "<LINK href='{}' rel=canonical >", "<meta http-equiv=refresh content=\"5; url='{}'\">", '<meta name="x"><meta content="0;URL={}" http-equiv="Refresh">']).format(u)
+    hosts = ["a.dev", "b.dev", "m.example.com", "example.com", "shop.net", "example.net", "old.org", "c.dev"]
+    url = lambda k: f"https://{hosts[k % 8]}/{('en/7', 'en', 'de/8', 'es', 'x')[k % 5]}/{k}"
+    pages, k = [], 0
+    while k < n:
+        kind, size = rng.choice(["chain", "star", "single", "pair"]), rng.choice([2, 5, 60])
+        if kind == "chain":
+            pages += [(i, url(i), link(url(i + 1))) for i in range(k, k + size)]
+        elif kind == "star":
+            hub = url(k)
+            pages += [(i, url(i), link(hub) + ("" if i % 3 else link(f"?p={i}"))) for i in range(k, k + size)]
+        elif kind == "pair":
+            pages += [(k, url(k), link("/en/7") + link("")), (k + 1, url(k + 1), f"<a href={url(k)}>")]
+            size = 2
+        else:
+            pages += [(i, rng.choice([url(i), None, "", "nowhere"]), rng.choice([None, "", "<p>"])) for i in range(k, k + size)]
+        k += size
+    return pages
+
+
+def test_many_pages_against_union_find_and_sql(spark):
+    """Every verdict, by a union-find over edges read with a regular expression of its own, and by the registered SQL."""
+    import re
+
+    import duckdb
+    import pandas as pd
+
+    from tidepanel.llm import queries
+
+    pages = web(random.Random(17), 20_000)
+    root: dict[str, str] = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def parts(u):
+        rest = (u or "").split("://", 1)[1] if "://" in (u or "") else ""
+        rest = rest.split("#")[0]
+        place, _, query = rest.partition("?")
+        host, slash, path = place.partition("/")
+        return host.lower(), slash + path, "?" + query if "?" in rest else ""
+
+    for _, u, html in pages:
+        host, path, _ = parts(u)
+        for m in re.finditer(r"<(?:link|meta) ([^>]*(?:canonical|refresh)[^>]*)>", html or "", re.I):
+            t = re.search(r"""(?:href=|url=)["']?([^"'>\s]*)""", m[1], re.I)[1]
+            full = t if "://" in t else f"x://{host}{t}" if t.startswith("/") else f"x://{host}{path}{t}" if t.startswith("?") else None
+            if host and full:
+                root[find("".join(parts(full)))] = find("".join(parts(u)))
+
+    def rule(host, path):
+        fit = [(len(h + p), h + p, v) for v, h, p in url_filter.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+        return max(fit)[1:] if fit else (None, None)
+
+    said: dict[str, set] = {}
+    for node in list(root):
+        said.setdefault(find(node), set()).add(rule(*parts("x://" + node)[:2])[1])
+    want = {}
+    for i, u, _ in pages:
+        host, path, query = parts(u)
+        named, verdict = rule(host, path)
+        node = host + path + query
+        group = said.get(find(node), set()) if host and node in root else set()
+        want[i] = host, path, named, verdict or ("block" if "block" in group and "allow" not in group else "allow")
+    got = {k: (r["host"], r["path"], r["rule"], r["verdict"]) for k, r in judged(spark, pages).items()}
+    assert got == want
+    inherited = [v for v in want.values() if v[2] is None]
+    assert sum(v[3] == "block" for v in inherited) > 100 and sum(v[3] == "allow" for v in inherited) > 500
+    db = duckdb.connect()
+    db.register("pages", pd.DataFrame(pages, columns=["page_id", "url", "html"]))
+    rows = {r[0]: tuple(r[1:]) for r in db.sql(f"SELECT page_id, host, path, rule, verdict FROM ({queries.OP9_SQL})").fetchall()}
+    assert rows == want
+
+
 def test_no_python_on_the_main_path(spark):
     pages = spark.createDataFrame([(1, "http://a.com/en/1", "<p>", "x", "y")], PAGES)
     plan = url_filter.judge(pages, url_filter.rule_table(spark))._jdf.queryExecution().executedPlan().toString()

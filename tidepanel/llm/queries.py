@@ -116,13 +116,21 @@ def _node(url: str) -> str:
     return f"CASE WHEN {_part(_HOST, url)} <> '' THEN {_part(_HOST, url)} || {_part(_PATH, url)} || {_part(_QUERY, url)} END"
 
 
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _groups(pattern: str, n: int) -> str:
+    """Whichever of a pattern's groups matched."""
+    return " || ".join(f"regexp_extract(tag, {_quoted(pattern)}, {k})" for k in range(1, n + 1))
+
+
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in url_filter.RULES)
 
 OP9_SQL = f"""WITH RECURSIVE p AS (SELECT page_id, url, html, {_part(_HOST, 'url')} AS host, {_part(_PATH, 'url')} AS path, {_node('url')} AS node FROM pages),
-  tags AS (SELECT url, host, path, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM p WHERE regexp_matches(html, '(?i)\\bcanonical\\b|\\brefresh\\b')),
-  named AS (SELECT *, replace(trim(CASE WHEN regexp_matches(tag, '(?i)\\brel\\s*=\\s*["'']?\\s*canonical\\b')
-    THEN regexp_extract(tag, '(?i)\\bhref\\s*=\\s*["'']?([^\\s>"'']+)', 1)
-    WHEN regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*["'']?\\s*refresh\\b') THEN regexp_extract(tag, '(?i)\\burl\\s*=\\s*["'']?([^"''>]*)', 1) END), '&amp;', '&') AS t FROM tags),
+  tags AS (SELECT url, host, path, node, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM p),
+  named AS (SELECT *, replace(trim(CASE WHEN regexp_matches(tag, {_quoted(url_filter._CANONICAL)}) THEN {_groups(url_filter._HREF, 3)}
+    WHEN regexp_matches(tag, {_quoted(url_filter._REFRESH)}) THEN {_groups(url_filter._TARGET, 2)} END, ' '), '&amp;', '&') AS t FROM tags),
   absolute AS (SELECT node, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
     WHEN t LIKE '//%' THEN 'x:' || t WHEN t LIKE '/%' THEN 'x://' || host || t WHEN t LIKE '?%' THEN 'x://' || host || path || t WHEN t LIKE '#%' THEN url
     ELSE 'x://' || host || CASE WHEN path = '' THEN '/' ELSE regexp_extract(path, '(?s)^(.*/)', 1) END || t END AS target FROM named WHERE t <> ''),
