@@ -1,4 +1,7 @@
 from pathlib import Path
+from types import SimpleNamespace
+
+import pytest
 
 from tidepanel.llm import tables
 
@@ -17,6 +20,19 @@ def test_shared_dir_comes_from_the_session(spark):
     assert tables.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
+@pytest.mark.parametrize(("master", "fails"), [("local[2]", False), ("spark://host:7077", True), ("yarn", True)])
+def test_a_cluster_needs_a_shared_folder(master, fails):
+    class Conf(dict):
+        set = dict.__setitem__
+
+    session = SimpleNamespace(conf=Conf(), sparkContext=SimpleNamespace(master=master))
+    if fails:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            tables.shared_dir(session)
+    else:
+        assert tables.shared_dir(session) == session.conf["spark.checkpoint.dir"]
+
+
 def test_settings_are_put_back(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     with tables.settings(spark, spark__sql__shuffle__partitions="3"):

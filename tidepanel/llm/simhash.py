@@ -10,7 +10,10 @@ edges of a spanning forest are kept: links that hold a class together, never
 all pairs. A bucket of more than ``CHUNK`` fingerprints is dealt out as pairs
 of chunks, so no task holds a whole hot bucket.
 
-Component ids come from connected components over those edges.
+Component ids come from connected components over those edges; ties don't arise,
+as ids are minima. Texts of any length are read whole, in memory of some 20
+times a text's size. A fingerprint of very many rows meets its class in a join
+that adaptive execution splits; its rows are never grouped.
 """
 
 from __future__ import annotations

@@ -20,11 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFra
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the setting is missing, as in tests on one machine, a folder of
-    this machine is made and put into the setting.
+    Where the setting is missing and all runs on one machine, as in tests, a
+    folder of this machine is made and put into the setting. On a cluster a
+    missing setting is an error: each executor would write to its own disk.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
