@@ -38,3 +38,12 @@ def test_settings_are_put_back(spark):
     with tables.settings(spark, spark__sql__shuffle__partitions="3"):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_workers_forget_what_other_operators_left():
+    from tidepanel.llm import blocks, bpe
+    from tidepanel.llm.queries import vocabulary_path
+
+    bpe.word_encoder(vocabulary_path()).text(b"a word")
+    assert list(blocks.tidy(lambda batches: batches)(iter([1, 2]))) == [1, 2] and not bpe._encoders
+    assert bpe.load_tokenizer.cache_info().currsize == 0

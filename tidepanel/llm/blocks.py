@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +19,33 @@ BLOCK_BYTES = 16 << 20
 BLOCK_ROWS = 60_000
 
 
+#: What modules keep in a worker between tasks of their own, each with a way to drop it.
+KEPT: list[Callable[[], None]] = []
+
+
 def give_back() -> None:
-    """Return freed memory to the system: a Python worker lives on after its task, and so would the memory."""
+    """Drop what other operators' tasks left, and return freed memory to the system.
+
+    A Python worker lives on after its task, and so would the memory.
+    """
+    for drop in KEPT:
+        drop()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run):
+    """The same work over batches, with memory given back before and after."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
+        yield from run(batches)
+        give_back()
+
+    return work
+
+
 def text_bytes(column) -> list[bytes]:
     """The texts as UTF-8 bytes, null as empty."""
     return [b"" if t is None else t for t in column.cast(pa.binary()).to_pylist()]

@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import from_ipc, task_blocks, text_bytes, to_ipc
+from .blocks import KEPT, from_ipc, task_blocks, text_bytes, to_ipc
 from .tables import drop, materialize, repeatable_scans, shuffle_partitions
 
 #: Words made of these need no Unicode normalization: printable ASCII and Latin-1 letters.
@@ -164,6 +164,14 @@ def word_encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def _forget() -> None:
+    _encoders.clear()
+    load_tokenizer.cache_clear()
+    pieces_by_id.cache_clear()
+
+
+KEPT.append(_forget)
+
 _WORDS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("check", pa.int64()), ("words", pa.binary()), ("numbers", pa.binary())])
 
 

@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import slices, text_bytes
+from .blocks import slices, text_bytes, tidy
 
 FEATURES = 4096
 SAMPLE = 800
@@ -182,7 +182,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str =
     shares = docs.sparkSession.createDataFrame([(r["_lang"], r["_n"]) for r in counts], "_lang string, _n long")
     draw = F.pmod(F.xxhash64(F.col("_id"), F.lit(SEED)), F.lit(1 << 40)) < F.lit(float(1 << 40)) * F.lit(float(sample)) / F.col("_n")
     # One row a language is broadcast; no text is shuffled.
-    drawn = own.join(F.broadcast(shares), "_lang").where(draw).select("_id", "_lang", "_text").mapInArrow(_profiles, "id long, lang string, profile binary")
+    drawn = own.join(F.broadcast(shares), "_lang").where(draw).select("_id", "_lang", "_text").mapInArrow(tidy(_profiles), "id long, lang string, profile binary")
     unique = drawn.where("profile is not null").groupBy("lang", "id").agg(F.min("profile").alias("profile"))
     hashed = unique.withColumn("hash", F.xxhash64("id", F.lit(SEED + 1)))
     # A surplus goes by another hash of the id than the draw.
@@ -215,4 +215,4 @@ def predict(docs: DataFrame, model: Model, keep: list[str], text: str = "text",
     """
     own = docs.select(*keep, *([] if text in keep else [text]))
     schema = ", ".join(f"`{n}` {own.schema[n].dataType.simpleString()}" for n in keep)
-    return own.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(model), text, keep, list(out)), f"{schema}, `{out[0]}` string, `{out[1]}` double")
+    return own.mapInArrow(tidy(_predict(docs.sparkSession.sparkContext.broadcast(model), text, keep, list(out))), f"{schema}, `{out[0]}` string, `{out[1]}` double")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import slices, text_bytes
+from .blocks import slices, text_bytes, tidy
 
 PASSAGE_WORDS = 64
 SAMPLE, SAMPLE_TEXT = 3000, 12 << 20
@@ -162,7 +162,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str =
     texts = docs.select(F.col(id_column).cast("long").alias("_id"), F.col(text).alias("_text"))
     chosen = _sample(texts, target, sample, sample_text)
     # No text is shuffled.
-    bags = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(_featurize, "id long, label int, bag binary")
+    bags = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(tidy(_featurize), "id long, label int, bag binary")
     got = sorted(bags.groupBy("id", "label").agg(F.min("bag").alias("bag")).collect())
     return fit([np.frombuffer(r["bag"], np.float16).reshape(-1, FEATURES).astype(np.float32) for r in got], np.array([r["label"] for r in got]))
 
@@ -182,4 +182,4 @@ def score(docs: DataFrame, model: Model, keep: list[str], text: str = "text", ou
     """Columns ``keep`` and ``out`` (no name of these), the score from 0 to 1, of every row."""
     own = docs.select(*keep, *([] if text in keep else [text]))
     schema = ", ".join(f"`{n}` {own.schema[n].dataType.simpleString()}" for n in keep)
-    return own.mapInArrow(_score(docs.sparkSession.sparkContext.broadcast(model), text, keep, out), f"{schema}, `{out}` double")
+    return own.mapInArrow(tidy(_score(docs.sparkSession.sparkContext.broadcast(model), text, keep, out)), f"{schema}, `{out}` double")

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import slices, text_bytes
+from .blocks import slices, text_bytes, tidy
 from .components import connected_components
 from .tables import materialize, shuffle_partitions, unused
 
@@ -73,7 +73,7 @@ def fingerprints(docs: DataFrame, keep: list[str], text: str = "text") -> DataFr
     """Columns ``keep`` and the fingerprint as a signed 64-bit _fp."""
     own = docs.select(*keep, *([text] if text not in keep else []))
     schema = ", ".join(f"`{c}` {own.schema[c].dataType.simpleString()}" for c in keep)
-    return own.mapInArrow(_add_fingerprints(text, keep), f"{schema}, _fp long")
+    return own.mapInArrow(tidy(_add_fingerprints(text, keep)), f"{schema}, _fp long")
 
 
 def _parts(max_bits: int) -> list[tuple[int, int]]:
@@ -176,7 +176,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Da
     dealt = shared.select("t", "k", "_fp", mine.alias("c"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o"))
     dealt = dealt.select("t", "k", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), "_fp", "c")
     dealt = dealt.repartition(parts, "t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
-    return dealt.mapInArrow(_verify(max_bits), "a long, b long").distinct()
+    return dealt.mapInArrow(tidy(_verify(max_bits)), "a long, b long").distinct()
 
 
 def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
