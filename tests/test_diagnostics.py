@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepanel.config import PRICE_FEATURES, Bound, DiagnosticsConfig
+from tidepanel.operators import analytics as A
 from tidepanel.operators import diagnostics as D
 from tidepanel.operators import gate
 from tidepanel.operators.checks import duplicate_pairs
@@ -104,3 +105,15 @@ def test_report_files(spark, tmp_path):
     assert summary["readiness_status"] == "FAIL" and summary["overall"][0]["row_count"] == 180
     assert "## Match quality" in paths["markdown"].read_text()
     assert "strict_feature_usable_rows_x" in paths["coverage_csv"].read_text()
+
+
+@pytest.mark.parametrize("width", [2, 3, 4, 7])
+def test_every_pair_is_correlated_once(spark, width):
+    rows = [tuple(None if (k * 7 + i * 3) % 11 == 0 else float((k * k * (i + 2)) % 17 + i * k) for i in range(width)) for k in range(60)]
+    names = [f"x{i}" for i in range(width)]
+    frame = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    got = {(r["column_a"], r["column_b"]): r["correlation"] for r in A.correlation_matrix(frame, names).collect()}
+    expected = frame.toPandas().corr()
+    assert sorted(got) == [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
+    assert all(value == pytest.approx(expected.loc[pair], abs=1e-9) for pair, value in got.items())
+    assert not A.correlation_matrix(frame.limit(0), names).collect()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,12 +40,26 @@ def describe(frame: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def correlation_matrix(frame: DataFrame, columns: list[str]) -> DataFrame:
-    """column_a, column_b, correlation over rows where both are present; every pair once, in one aggregate."""
-    pairs = list(combinations(columns, 2))
-    # An aggregate per pair sees its own rows only; Spark's corr skips a row where either is missing.
-    wide = frame.agg(*(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"_{i}") for i, (a, b) in enumerate(pairs)))
-    rows = F.array(*(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), F.col(f"_{i}").alias("correlation")) for i, (a, b) in enumerate(pairs)))
-    return wide.select(F.explode(rows).alias("x")).select("x.*")
+    """column_a, column_b, correlation over rows where both are present; every pair once. An empty frame has no rows.
+
+    Each row becomes one for every column, with that column's value and those of
+    the half of the columns that follow it in a circle. So an aggregate has a
+    few correlations, small enough for generated code, where one for all pairs
+    is too large; a task sends a row a column to the shuffle.
+    """
+    n = len(columns)
+    steps = range(1, n // 2 + 1)
+    values = F.array(*(F.col(c).cast("double") for c in columns)).alias("v")
+    turned = frame.select(values).select("v", F.explode(F.array(*map(F.lit, range(n)))).alias("at"))
+    # Spark's corr skips a row where either is missing.
+    y = [F.col("v")[(F.col("at") + k) % n].alias(f"y{k}") for k in range(n // 2 + 1)]
+    own = turned.select("at", *y).groupBy("at").agg(*(F.corr("y0", f"y{k}").alias(f"c{k}") for k in steps))
+    pairs = F.array(*(F.struct(((F.col("at") + k) % n).alias("with"), F.col(f"c{k}").alias("correlation"), F.lit(k).alias("step")) for k in steps))
+    found = own.select("at", F.explode(pairs).alias("p")).select("at", "p.*")
+    # Half a circle away, both ends have the pair.
+    once = found.where((F.col("step") * 2 < n) | (F.col("at") < F.col("with")))
+    names = F.array(*map(F.lit, columns))
+    return once.select(names[F.least("at", "with")].alias("column_a"), names[F.greatest("at", "with")].alias("column_b"), "correlation")
 
 
 def variable_groups(frame: DataFrame) -> dict[str, list[str]]:
