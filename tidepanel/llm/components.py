@@ -2,8 +2,9 @@
 
 Both steps are a minimum for each node (summed before the shuffle) and a join
 back, so a hub with a third of all edges is no group in one task: the minimum
-is pre-aggregated and the join may be split. Each round is written to the
-shared folder. Only DataFrame operations; nothing is collected but two sums.
+is pre-aggregated and the join may be split; it merges, as minima grow with the
+nodes and are never broadcast. Each round is written to the shared folder. Only
+DataFrame operations; nothing is collected but two sums.
 """
 
 from __future__ import annotations
@@ -24,13 +25,13 @@ def _lowest(arcs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     arcs = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return arcs.where("v > u").join(_lowest(arcs), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return arcs.where("v > u").join(_lowest(arcs).hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """edges have u > v."""
     low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    both = edges.join(low, "u")
+    both = edges.join(low.hint("merge"), "u")
     return both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
 
 

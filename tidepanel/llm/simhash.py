@@ -11,7 +11,8 @@ all pairs. A bucket of more than ``CHUNK`` fingerprints is dealt out as pairs
 of chunks, so no task holds a whole hot bucket.
 
 Component ids come from connected components over those edges; ties don't arise,
-as ids are minima. Texts of any length are read whole, in memory of some 20
+as ids are minima. Tables that grow with the documents are merged, never
+broadcast, whatever the size of their files. Texts of any length are read whole, in memory of some 20
 times a text's size. A fingerprint of very many rows meets its class in a join
 that adaptive execution splits; its rows are never grouped.
 """
@@ -170,7 +171,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, chunk: int = CHUNK) -> Da
     parts = shuffle_partitions(spark)
     keyed = prints.select("_fp", _keys(max_bits).alias("x")).select("_fp", "x.t", "x.k")
     sizes = keyed.groupBy("t", "k").agg(F.count("*").alias("n")).where("n > 1")
-    shared = keyed.join(sizes, ["t", "k"])
+    shared = keyed.join(sizes.hint("merge"), ["t", "k"])
     chunks = F.ceil(F.col("n") / F.lit(chunk)).cast("int")
     mine = F.pmod(F.xxhash64("_fp"), chunks).cast("int")
     dealt = shared.select("t", "k", "_fp", mine.alias("c"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("o"))
@@ -183,9 +184,9 @@ def classes(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """From rows (doc_id, _fp): each distinct _fp with its component's _root (a fingerprint) and component_id (the smallest doc_id)."""
     groups = materialize(prints.groupBy("_fp").agg(F.min("doc_id").alias("_first")), "fingerprints")
     found = connected_components(links(groups.select("_fp"), max_bits), "a", "b")
-    labelled = groups.join(found.withColumnRenamed("node", "_fp"), "_fp", "left").select("_fp", "_first", F.coalesce("component", "_fp").alias("_root"))
+    labelled = groups.join(found.withColumnRenamed("node", "_fp").hint("merge"), "_fp", "left").select("_fp", "_first", F.coalesce("component", "_fp").alias("_root"))
     lowest = labelled.groupBy("_root").agg(F.min("_first").alias("component_id"))
-    return materialize(labelled.join(lowest, "_root").select("_fp", "_root", "component_id"), "classes")
+    return materialize(labelled.join(lowest.hint("merge"), "_root").select("_fp", "_root", "component_id"), "classes")
 
 
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -199,7 +200,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text
     own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"))
     prints = materialize(fingerprints(own, ["doc_id"]), "simhash")
     found = classes(prints, max_bits)
-    return prints.join(found, "_fp").select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(found.hint("merge"), "_fp").select("doc_id", F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -211,12 +212,12 @@ def keep_one(docs: DataFrame, max_bits: int = MAX_BITS, text: str = "text", id_c
     own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("_th"))
     prints = materialize(fingerprints(own, ["doc_id", "_th"]), "simhash")
     found = classes(prints, max_bits)
-    kept = prints.join(found, "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = prints.join(found.hint("merge"), "_fp").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     key = unused(docs.columns, "_d", "_n", "_t")
     kept = kept.groupBy("_root", "component_id").agg(F.min("_th").alias(key[2])).select(*_id_key(F.col("component_id"), key), key[2])
     keyed = docs.select("*", *_id_key(F.col(id_column).cast("long"), key), F.xxhash64(text).alias(key[2]))
     # The join and the choice among repeated rows share one exchange of the texts.
-    return keyed.join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    return keyed.join(kept.hint("merge"), key, "left_semi").dropDuplicates(key).select(*docs.columns)
 
 
 def _id_key(c: Column, names: list[str]) -> list[Column]:
