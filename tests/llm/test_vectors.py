@@ -52,6 +52,13 @@ def test_small_chunks_count_the_same(spark, monkeypatch):
     assert sorted(tuple(r) for r in embedding_dedup.near_duplicates(rows).collect()) == before
 
 
+def test_many_labels_join_by_salted_keys(spark, monkeypatch):
+    rows = spark.createDataFrame(vectors(), SCHEMA)
+    before = sorted(tuple(r) for r in embedding_dedup.near_duplicates(rows).collect())
+    monkeypatch.setattr(embedding_dedup, "BROADCAST_BYTES", -1)
+    assert sorted(tuple(r) for r in embedding_dedup.near_duplicates(rows).collect()) == before
+
+
 def test_passes_grow_with_the_largest_label():
     assert embedding_dedup.passes_for(10) <= embedding_dedup.passes_for(5000) < embedding_dedup.passes_for(10_000_000) <= 96
 

@@ -55,8 +55,10 @@ PASSES_AT_ONCE = 3
 MOST_PASSES = 96
 #: The rest is compared at once if its classes have so many others in their label on average.
 EXACT_ROWS = 8192
-#: Copies of each mean, so that the rows of a common label join in many tasks.
+#: Copies of each label's row, so that the rows of a common label join in many tasks.
 SALTS = 32
+#: Tables of a row a label are broadcast if the means hold no more bytes; else both sides are shuffled.
+BROADCAST_BYTES = 32 << 20
 SEED = 20
 
 
@@ -306,6 +308,15 @@ def _link_rest(dtype: str, threshold: float):
     return run
 
 
+def _join_labels(rows: DataFrame, table: DataFrame, per_label: list[str], few: bool) -> DataFrame:
+    """Rows (with ``cid``) and what ``table`` says of their label; it is broadcast if there are few labels, else joined by salted keys."""
+    if few:
+        return rows.join(F.broadcast(table), per_label)
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
+    copies = table.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return salted.join(copies.hint("merge"), [*per_label, "salt"]).drop("salt")
+
+
 def _deal(rows: DataFrame, by: list[str], parts: int) -> DataFrame:
     """Rows (with ``_n``, the rows of their group, and ``cid``) once for each pair i, j of chunks of their group, c the own one."""
     chunks = F.ceil(F.col("_n") / F.lit(CHUNK)).cast("int")
@@ -361,18 +372,18 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, window:
     largest = classes.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     sums = classes.select("label", "size", "v").mapInArrow(_sums(dtype), "label long, size int, n long, s binary")
     means = sums.repartition(parts, "label", "size").sortWithinPartitions("label", "size").mapInArrow(_means, "label long, size int, mean binary")
-    means = materialize(means.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")), "means")
+    means = materialize(means, "means")
+    per_label = ["label", "size"]
+    few = (means.agg(F.sum(F.length("mean") + 64)).first()[0] or 0) <= BROADCAST_BYTES
 
     found = []
     rest = classes.select("label", "size", "cid", "v", F.lit(0.0).alias("left"))
-    per_label = ["label", "size"]
     line_schema = "p int, label long, size int, key long, cid long, v binary, spread double"
     found_schema = "border int, side int, own boolean, a long, b long, gain double, p int, label long, size int, key long, cid long, v binary, spread double"
     first, least = 0, passes_for(largest, threshold, window, miss)
     while largest and first < MOST_PASSES:
         count = min(PASSES_AT_ONCE, MOST_PASSES - first)
-        salted = rest.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
-        keyed = salted.join(means, [*per_label, "salt"]).select("label", "size", "cid", "v", "mean").mapInArrow(_keys(dtype, first, count), line_schema)
+        keyed = _join_labels(rest, means, per_label, few).select("label", "size", "cid", "v", "mean").mapInArrow(_keys(dtype, first, count), line_schema)
         order = ["p", "label", "size", "key", "cid"]
         line = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order)
         compared = materialize(line.mapInArrow(_compare(dtype, window, threshold), found_schema), "passes")
@@ -381,7 +392,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, window:
         both = compared.where("border is null").union(across)
         found.append(materialize(both.where("a is not null").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
         gains = both.where("gain < 0").groupBy("cid").agg(F.sum("gain").alias("gain"))
-        after = rest.join(gains, "cid", "left").select("label", "size", "cid", "v", (F.col("left") + F.coalesce("gain", F.lit(0.0))).alias("left"))
+        after = rest.join(gains.hint("merge"), "cid", "left").select("label", "size", "cid", "v", (F.col("left") + F.coalesce("gain", F.lit(0.0))).alias("left"))
         after = materialize(after.where(F.col("left") > math.log(miss)), "rest")
         for done in (compared, across, rest):
             drop(done)
@@ -391,23 +402,22 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, window:
         if not rows or first >= least and pairs <= EXACT_ROWS * rows:
             break
     counted = rest.groupBy(*per_label).agg(F.count("*").alias("_n")).where("_n > 1")
-    shared = counted.select("*", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = rest.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(shared, [*per_label, "salt"])
-    dealt = _deal(salted.select("label", "size", "_n", "cid", "v"), per_label, parts).select("label", "size", "i", "j", "cid", "v")
+    dealt = _deal(_join_labels(rest, counted, per_label, few).select("label", "size", "_n", "cid", "v"), per_label, parts).select("label", "size", "i", "j", "cid", "v")
     found.append(materialize(dealt.mapInArrow(_link_rest(dtype, threshold), "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
     links = found[0]
     for more in found[1:]:
         links = links.union(more)
     groups = materialize(connected_components(links, "a", "b"), "vector-components")
 
-    members = groups.join(classes, groups["node"] == classes["cid"]).select("component", "cid", "copies", "first", "v")
+    members = classes.join(groups.hint("merge"), groups["node"] == classes["cid"]).select("component", "cid", "copies", "first", "v")
     sizes = groups.groupBy("component").agg(F.count("*").alias("_n"))
     lowest = members.groupBy("component").agg(F.min("first").alias("low"))
-    dealt = _deal(members.join(sizes, "component"), ["component"], parts).select("component", "i", "j", "c", "cid", "copies", "v")
+    dealt = _deal(members.join(sizes.hint("merge"), "component"), ["component"], parts).select("component", "i", "j", "c", "cid", "copies", "v")
     counts = dealt.mapInArrow(_count_links(dtype, threshold), "cid long, n long").groupBy("cid").agg(F.sum("n").alias("n"))
 
-    joined = classes.join(counts, "cid", "left").join(groups.withColumnRenamed("node", "cid"), "cid", "left").join(lowest, "component", "left")
+    placed = groups.join(lowest.hint("merge"), "component").select(F.col("node").alias("cid"), "low")
+    joined = classes.join(counts.hint("merge"), "cid", "left").join(placed.hint("merge"), "cid", "left")
     known = materialize(joined.select("label", "v", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("low", "first").alias("component_id")), "vector-classes")
-    linked = packed.join(known, ["label", "v"]).select("vec_id", "n_links", "component_id")
+    linked = packed.join(known.hint("merge"), ["label", "v"]).select("vec_id", "n_links", "component_id")
     alone = own.where(~F.col("_ok")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
