@@ -190,7 +190,7 @@ def top_k(embeddings: DataFrame, is_query, k: int = K, id_column: str = "vec_id"
     first = materialize(search(queries.select("size", "block", F.lit(1).alias("kind"), "row", "vec_id", "v", nothing.alias("high"), nothing.alias("low"))), "first-block")
     # A block with fewer than k rows opens nothing.
     opening = first.groupBy(F.col("query_row").alias("row")).agg(F.count("*").alias("n"), F.min(F.struct("high", "low")).alias("least")).where(F.col("n") >= k)
-    asked = queries.join(opening.select("row", "least"), "row", "left")
+    asked = queries.join(opening.select("row", "least").hint("merge"), "row", "left")
     others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: b != F.col("own")))
     asked = asked.withColumnRenamed("block", "own").select("size", others.alias("block"), F.lit(1).alias("kind"), "row", "vec_id", "v", F.col("least.high").alias("high"), F.col("least.low").alias("low"))
     found = first.unionByName(search(asked))
