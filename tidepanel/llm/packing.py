@@ -321,7 +321,7 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     segments = _segments(plan(histogram, capacity))
     earlier = Window.partitionBy("length").orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(task, "length", F.coalesce(F.sum(count).over(earlier), F.lit(0)).alias(before))
-    ranked = numbered.join(offsets, [task, "length"]).select(*(F.col(f"`{c}`") for c in rows.columns), (F.col(before) + F.col(number)).alias(rank))
+    ranked = numbered.join(offsets.hint("merge"), [task, "length"]).select(*(F.col(f"`{c}`") for c in rows.columns), (F.col(before) + F.col(number)).alias(rank))
     return ranked.mapInArrow(_place(spark.sparkContext.broadcast(segments), rank, [sequence, offset]), f"{fields}, `{sequence}` long, `{offset}` long")
 
 
