@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, language_id, licenses, packing, quality, simhash, substring_dedup, topk, url_filter
+from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, packing, quality, simhash, substring_dedup, topk, url_filter
 from .tables import read
 
 
@@ -70,6 +70,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removals(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
+
+
 def queries() -> dict:
     return {
         "op1_language_id": op1_language_id,
@@ -82,6 +86,7 @@ def queries() -> dict:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_url_filters": op9_url_filters,
         "op10_substring_dedup": op10_substring_dedup,
+        "op13_exact_dedup": op13_exact_dedup,
     }
 
 
@@ -169,6 +174,11 @@ OP3_SQL = f"""WITH t AS (SELECT license, {_WORDS.format(t='body')} AS words FROM
   QUALIFY row_number() OVER (PARTITION BY row_id, license ORDER BY containment DESC, i, last) = 1"""
 
 
+OP13_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+  FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
+
+
 def oracle_sql() -> dict[str, str]:
     """What SQL can say: the rest learns a model, tokenizes or needs XXH64, and is tested by brute force."""
-    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op13_exact_dedup": OP13_SQL}
