@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, packing, quality, simhash, substring_dedup, topk, url_filter
+from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, packing, quality, simhash, spelling, substring_dedup, topk, url_filter
 from .tables import read
 
 
@@ -70,6 +70,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removals(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def slip(doc_id, run):
+    """One run in 199 loses a letter: which, and where, by the crc32 of id and run."""
+    h = F.crc32(F.concat(doc_id, F.lit(":"), run).cast("binary"))
+    at = (h % F.char_length(run)).cast("int")
+    return F.when(h % 199 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.char_length(run)))).otherwise(run)
+
+
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents", "doc_id", "text"), change=slip))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
 
@@ -86,6 +97,7 @@ def queries() -> dict:
         "op8_best_fit_packing": op8_best_fit_packing,
         "op9_url_filters": op9_url_filters,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_spelling_variants": op11_spelling_variants,
         "op13_exact_dedup": op13_exact_dedup,
     }
 
@@ -174,6 +186,26 @@ OP3_SQL = f"""WITH t AS (SELECT license, {_WORDS.format(t='body')} AS words FROM
   QUALIFY row_number() OVER (PARTITION BY row_id, license ORDER BY containment DESC, i, last) = 1"""
 
 
+#: crc32 by its table, which SQL makes from the polynomial; words meet where one letter taken out leaves the same.
+OP11_SQL = f"""WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS entry FROM range(256) r(i)),
+  runs AS (SELECT doc_id, {{lower}} AS t FROM documents),
+  each AS (SELECT doc_id, unnest(regexp_extract_all(t, '[a-z\u00C0-\u00FF]+')) AS run FROM runs),
+  counted AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS k, run, count(*) AS c FROM each WHERE length(run) >= 6 GROUP BY 1, 2),
+  spelled AS (SELECT run, c, hex(encode(k)) AS x FROM counted),
+  hashed AS (SELECT run, c, xor(4294967295, list_reduce(list_transform(range(length(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT)),
+    lambda h, b: xor(h >> 8, entry[xor(h & 255, b) + 1]), 4294967295)) AS h FROM spelled, crc),
+  slipped AS (SELECT c, CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+  words AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY 1 HAVING sum(c) >= 5),
+  holes AS (SELECT DISTINCT word, n, i, word[:i] || '_' || word[i + 2:] AS left_over, word[:i] || word[i + 2:] AS shorter FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+  pairs AS (SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b USING (left_over) WHERE a.word <> b.word
+    UNION SELECT h.word, w.word, w.n FROM holes h JOIN words w ON w.word = h.shorter UNION SELECT w.word, h.word, h.n FROM holes h JOIN words w ON w.word = h.shorter),
+  best AS (SELECT word, count(*) AS n_near, max(other_n) AS top FROM pairs GROUP BY 1),
+  formed AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * w.n THEN top END AS form_n,
+    CASE WHEN top >= 5 * w.n THEN (SELECT min(p.other) FROM pairs p WHERE p.word = w.word AND p.other_n = top) END AS form FROM words w LEFT JOIN best b ON b.word = w.word),
+  walk AS (SELECT word, form AS up FROM formed WHERE form IS NOT NULL UNION SELECT walk.word, f.form FROM walk JOIN formed f ON f.word = walk.up WHERE f.form IS NOT NULL),
+  ends AS (SELECT walk.word, walk.up AS root FROM walk JOIN formed f ON f.word = walk.up WHERE f.form IS NULL)
+  SELECT f.word, f.form, coalesce(ends.root, f.word) AS root, f.n, f.n_near, f.form_n FROM formed f LEFT JOIN ends ON ends.word = f.word"""
+
 OP13_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
   FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
@@ -181,4 +213,4 @@ OP13_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS g
 
 def oracle_sql() -> dict[str, str]:
     """What SQL can say: the rest learns a model, tokenizes or needs XXH64, and is tested by brute force."""
-    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op13_exact_dedup": OP13_SQL}
+    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_spelling_variants": OP11_SQL.replace("{lower}", _LOWER.format(t="text")), "op13_exact_dedup": OP13_SQL}
