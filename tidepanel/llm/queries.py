@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, exact_dedup, language_id, licenses, packing, quality, simhash, spelling, substring_dedup, topk, url_filter
+from . import bpe, collocations, embedding_dedup, exact_dedup, language_id, licenses, packing, quality, simhash, spelling, substring_dedup, topk, url_filter
 from .tables import read
 
 
@@ -81,6 +81,10 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(read(spark, sf_dir, "documents", "doc_id", "text"), change=slip))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents", "text", "lang"))
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"), largest=True)
 
@@ -98,6 +102,7 @@ def queries() -> dict:
         "op9_url_filters": op9_url_filters,
         "op10_substring_dedup": op10_substring_dedup,
         "op11_spelling_variants": op11_spelling_variants,
+        "op12_phrase_collocations": op12_phrase_collocations,
         "op13_exact_dedup": op13_exact_dedup,
     }
 
@@ -206,6 +211,18 @@ OP11_SQL = f"""WITH RECURSIVE crc AS (SELECT list(list_reduce(range(8), lambda c
   ends AS (SELECT walk.word, walk.up AS root FROM walk JOIN formed f ON f.word = walk.up WHERE f.form IS NULL)
   SELECT f.word, f.form, coalesce(ends.root, f.word) AS root, f.n, f.n_near, f.form_n FROM formed f LEFT JOIN ends ON ends.word = f.word"""
 
+OP12_SQL = f"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format(t="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces),
+  sizes AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM w GROUP BY 1),
+  f AS (SELECT lang, m, p, count(*) AS a FROM (SELECT lang, m, unnest(list_transform(range(1, len(words) - m + 2), lambda i: words[i:i + m - 1])) AS p FROM w, range(1, 6) r(m)) GROUP BY 1, 2, 3 HAVING count(*) >= 100),
+  covered AS (SELECT DISTINCT lang, p[i:i + m - 2] AS p, a FROM f, (VALUES (1), (2)) v(i) WHERE m > 2),
+  own AS (SELECT * FROM f WHERE m > 1 AND NOT EXISTS (SELECT 1 FROM covered c WHERE c.lang = f.lang AND c.p = f.p AND c.a = f.a)),
+  cuts AS (SELECT o.lang, o.p, o.a, k, x.a AS l, y.a AS r, n, (1000::HUGEINT * o.a * n) // (x.a::HUGEINT * y.a) AS score FROM own o, range(1, 5) t(k)
+    JOIN f x ON x.lang = o.lang AND x.p = o.p[:k] JOIN f y ON y.lang = o.lang AND y.p = o.p[k + 1:] JOIN sizes s ON s.lang = o.lang WHERE k < o.m),
+  weakest AS (SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score FROM weakest
+  QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000"""
+
 OP13_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
   row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
   FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))"""
@@ -213,4 +230,4 @@ OP13_SQL = """SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS g
 
 def oracle_sql() -> dict[str, str]:
     """What SQL can say: the rest learns a model, tokenizes or needs XXH64, and is tested by brute force."""
-    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_spelling_variants": OP11_SQL.replace("{lower}", _LOWER.format(t="text")), "op13_exact_dedup": OP13_SQL}
+    return {"op3_license_scan": OP3_SQL, "op4_embedding_near_dedup": OP4_SQL, "op5_exact_top_k": OP5_SQL, "op9_url_filters": OP9_SQL, "op10_substring_dedup": OP10_SQL, "op11_spelling_variants": OP11_SQL.replace("{lower}", _LOWER.format(t="text")), "op12_phrase_collocations": OP12_SQL, "op13_exact_dedup": OP13_SQL}
