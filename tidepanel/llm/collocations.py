@@ -121,7 +121,8 @@ def _fragments_of(padded: np.ndarray, start: int, stop: int, longest: int) -> np
 
 def _packed(rows: np.ndarray, width: int) -> np.ndarray:
     """Each row's numbers as bytes, ``width`` to a number, the highest first."""
-    return rows.astype(">u8").view(np.uint8).reshape(len(rows), -1, 8)[:, :, 8 - width :].reshape(len(rows), -1)
+    n, columns = rows.shape
+    return rows.astype(">u8").view(np.uint8).reshape(n, columns, 8)[:, :, 8 - width :].reshape(n, columns * width)
 
 
 def _numbers(packed: np.ndarray) -> np.ndarray:
@@ -214,10 +215,11 @@ _MINED_DDL = "phrase binary, a long"
 _MINED = pa.schema([("phrase", pa.binary()), ("a", pa.int64())])
 
 
-def _mined(rows: np.ndarray, counts: np.ndarray, width: int, longest: int, least: int) -> Iterator[pa.RecordBatch]:
+def _mined(rows: np.ndarray, counts: np.ndarray, longest: int, least: int) -> Iterator[pa.RecordBatch]:
     """The phrases around the pivots of fragments that occur ``least`` times."""
     reach = longest - 1
     rows, counts = _counted(rows, counts)
+    width = rows.shape[1] // (2 * longest - 1)
     there = rows.reshape(len(rows), 2 * longest - 1, width).any(axis=2)
     for length in range(2, longest + 1):
         found, weights = [], []
@@ -240,7 +242,7 @@ def _mine(width: int, longest: int, min_count: int):
         def part(held: list[tuple[bytes, bytes]], whole: bool) -> Iterator[pa.RecordBatch]:
             rows = np.concatenate([np.frombuffer(zstandard.decompress(p), np.uint8).reshape(-1, (2 * longest - 1) * width) for p, _ in held])
             counts = np.concatenate([np.frombuffer(zstandard.decompress(c), "<i8") for _, c in held])
-            yield from _mined(rows, counts, width, longest, min_count if whole else 1)
+            yield from _mined(rows, counts, longest, min_count if whole else 1)
 
         held: list[tuple[bytes, bytes]] = []
         now = None
