@@ -5,9 +5,10 @@ to its *pivot*, its rarest word (of equally rare ones the later in code-point
 order).
 
 1. Blocks of documents are tokenized. Distinct words of a block and language
-   leave with their counts, the text as numbers of the block's words. Words that
-   occur often enough in a language get dense numbers in the order of their
-   counts, so a larger number is a rarer word, and answers go back to the blocks.
+   leave with their counts, packed by hash buckets, and the text as numbers of
+   the block's words. Words that occur often enough in a language get dense
+   numbers in the order of their counts, so a larger number is a rarer word, and
+   buckets answer the blocks.
 2. Each word of a block that is frequent is a pivot there. Its fragment is what
    its phrases can reach: up to four words before it that are more frequent and
    up to four words behind it that are not rarer, cut at rare words and at the
@@ -21,8 +22,9 @@ order).
    decimals. A phrase is contained in a longer one as often only if it is in one
    that is longer by a word, so two parts of each phrase are looked up.
 
-A block and language send a row or two to each part that they have fragments for;
-a part is made for each 8 MB of text. So what a task holds is bounded: a block,
+A block and language send a row to each bucket that they have words for, and a row
+or two to each part that they have fragments for; there are as many buckets as
+parts, one for each 8 MB of text. So what a task holds is bounded: a block,
 or the fragments of a part.
 
 Null text is empty, null language is ``und``. Texts are read whole. Repeated rows
@@ -36,15 +38,17 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import partial
-from itertools import repeat
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import task_blocks, text_bytes, tidy
+from .blocks import from_ipc, task_blocks, text_bytes, tidy, to_ipc
 from .tables import drop, materialize, shuffle_partitions
 
 LONGEST = 5
@@ -61,12 +65,12 @@ STRETCH = 1 << 18
 
 #: A-Z to a-z; the ends of pieces to full stops; tabs to blanks. No word holds a full stop then.
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz......... ")
-_TOKENS = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("num", pa.int32()), ("word", pa.binary()), ("count", pa.int64()), ("payload", pa.binary())])
-_TOKENS_DDL = "block long, lang string, num int, word binary, count long, payload binary"
+_TOKENS_DDL = "bucket int, block long, lang string, words binary, text binary"
+_TOKENS = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), ("lang", pa.string()), ("words", pa.binary()), ("text", pa.binary())])
 
 
-def _tokens(batches: Iterator[pa.RecordBatch], block_text: int) -> Iterator[pa.RecordBatch]:
-    """A row for each distinct word of a block and language, and one with the text in numbers: 0 ends a piece."""
+def _tokens(batches: Iterator[pa.RecordBatch], buckets: int, block_text: int) -> Iterator[pa.RecordBatch]:
+    """Of each block and language: a row for each bucket of words (number in the block, word, count), and the text in numbers, where 0 ends a piece."""
     for block, table in task_blocks(batches, "_text", max_bytes=block_text):
         numbers: dict[str, defaultdict] = {}
         texts: dict[str, list[np.ndarray]] = {}
@@ -79,13 +83,56 @@ def _tokens(batches: Iterator[pa.RecordBatch], block_text: int) -> Iterator[pa.R
             texts[lang] += [np.fromiter(map(numbers[lang].__getitem__, words), np.int32, len(words)), np.zeros(1, np.int32)]
         del table
         for lang, parts in texts.items():
-            found, text = list(numbers[lang]), np.concatenate(parts)
-            n = len(found)
-            counts = np.bincount(text, minlength=n)
-            counts[0] = 0
-            payload = [zstandard.compress(text.tobytes(), 3), *repeat(None, n - 1)]
-            arrays = [pa.array(np.full(n, block)), pa.array([lang] * n), pa.array(np.arange(n, dtype=np.int32)), pa.array([None, *found[1:]], pa.binary()), pa.array(counts), pa.array(payload, pa.binary())]
-            yield from pa.Table.from_arrays(arrays, schema=_TOKENS).to_batches(max_chunksize=50_000)
+            found, text = list(numbers[lang])[1:], np.concatenate(parts)
+            rows = [{"bucket": -1, "block": block, "lang": lang, "text": zstandard.compress(text.tobytes(), 3)}]
+            bucket = np.fromiter(map(zlib.crc32, found), np.int64, len(found)) % buckets
+            order = np.argsort(bucket, kind="stable")
+            edges = [*np.flatnonzero(np.diff(bucket[order], prepend=-1)).tolist(), len(order)]
+            counts = np.bincount(text, minlength=len(found) + 1)
+            listed = pa.table({"num": pa.array((order + 1).astype(np.int32)), "word": pa.array(found, pa.binary()).take(pa.array(order)), "count": pa.array(counts[order + 1])})
+            rows += [{"bucket": int(bucket[order[a]]), "block": block, "lang": lang, "words": to_ipc(listed.slice(a, b - a))} for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_pylist(rows, schema=_TOKENS)
+
+
+def _summed(min_count: int):
+    out = pa.schema([("lang", pa.string()), ("word", pa.binary()), ("f", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows come sorted by bucket and language: its frequent words, and the sum of all counts without a word."""
+        for (_, lang), rows in groupby(_rows(batches, "bucket", "lang", "words"), itemgetter(0, 1)):
+            got = pa.concat_tables([from_ipc(r[2]) for r in rows]).group_by("word").aggregate([("count", "sum")])
+            often = got.filter(pc.greater_equal(got.column("count_sum"), min_count))
+            every = pc.sum(got.column("count_sum")).as_py()
+            words, f = [None, *often.column("word").to_pylist()], [every, *often.column("count_sum").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(f)), pa.array(words, pa.binary()), pa.array(f)], schema=out)
+
+    return tidy(run)
+
+
+def _rows(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by bucket and language, its frequent words first: for each block the numbers of those it has."""
+    out = pa.schema([("block", pa.int64()), ("lang", pa.string()), ("answer", pa.binary())])
+    for (_, lang), rows in groupby(_rows(batches, "bucket", "lang", "word", "f", "id", "block", "words"), itemgetter(0, 1)):
+        known: list[tuple] = []
+        words = numbers = None
+        for _, _, word, f, ident, block, payload in rows:
+            if payload is None:
+                known.append((word, ident, f))
+                continue
+            if words is None:
+                words = pa.array([w for w, _, _ in known], pa.binary())
+                numbers = pa.table({"id": pa.array([i for _, i, _ in known], pa.int64()), "f": pa.array([f for _, _, f in known], pa.int64())})
+            listed = from_ipc(payload)
+            at = pc.index_in(listed.column("word"), value_set=words)
+            has = pc.is_valid(at)
+            if pc.any(has).as_py():
+                met = numbers.take(at.filter(has)).append_column("num", listed.column("num").filter(has))
+                yield pa.RecordBatch.from_pylist([{"block": block, "lang": lang, "answer": to_ipc(met)}], schema=out)
 
 
 def _numbered(words: DataFrame) -> DataFrame:
@@ -176,7 +223,7 @@ def _routed(rows: np.ndarray, counts: np.ndarray, ids: np.ndarray, often: np.nda
 
 
 def _send(parts: int, width: int, longest: int, pivot_rows: int):
-    """Rows of a block and language, answers (num, id, f) before the text, to fragments."""
+    """Rows of a block and language, its answers (num, id, f) before its text, to fragments."""
 
     def fragments(text: np.ndarray, answers: np.ndarray) -> Iterator[pa.RecordBatch]:
         ids = np.zeros(max(int(text.max()), int(answers[:, 0].max())) + 1, np.int64)
@@ -192,21 +239,14 @@ def _send(parts: int, width: int, longest: int, pivot_rows: int):
             yield _routed(rows, counts, known[:, 1], known[:, 2], parts, width, longest, pivot_rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        now = None
-        for batch in batches:
-            blocks, langs, payloads = (batch.column(c).to_pylist() for c in ("block", "lang", "payload"))
-            numbers = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("num", "id", "f")], axis=1)
-            at = 0
-            for k, own in enumerate(zip(blocks, langs, strict=True)):
-                if own != now:
-                    held, now, at = [], own, k
-                if payloads[k] is not None:
-                    answers = np.concatenate([*held, numbers[at:k]])
-                    if len(answers):
-                        yield from fragments(np.frombuffer(zstandard.decompress(payloads[k]), np.int32), answers)
-                    held, at = [], k + 1
-            held.append(numbers[at:])
+        for _, rows in groupby(_rows(batches, "block", "lang", "answer", "text"), itemgetter(0, 1)):
+            held = []
+            for _, _, answer, text in rows:
+                if text is None:
+                    found = from_ipc(answer)
+                    held.append(np.stack([found.column(c).to_numpy().astype(np.int64) for c in ("num", "id", "f")], axis=1))
+                elif held:
+                    yield from fragments(np.frombuffer(zstandard.decompress(text), np.int32), np.concatenate(held))
 
     return tidy(run)
 
@@ -272,18 +312,20 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, min_count: int = M
         raise ValueError("phrases have two words at least and occur once at least")
     spark = docs.sparkSession
     named = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("_lang"), F.col(text).alias("_text"))
-    tokens = materialize(named.mapInArrow(tidy(partial(_tokens, block_text=BLOCK_TEXT)), _TOKENS_DDL), "tokens")
-    listed = tokens.where("word is not null").select("block", "lang", "num", "word", "count")
-    totals = materialize(listed.groupBy("lang", "word").agg(F.sum("count").alias("f")), "word-counts")
-    sizes = totals.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = materialize(_numbered(totals.where(F.col("f") >= min_count)), "words")
-    count = words.count()
-    width = max(1, (count.bit_length() + 7) // 8)
     size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     parts = max(shuffle_partitions(spark), -(-size // PART_TEXT))
-    answers = listed.join(words.hint("merge"), ["lang", "word"]).select("block", "lang", "num", "id", "f", F.lit(None).cast("binary").alias("payload"))
-    texts = tokens.where("payload is not null").select("block", "lang", F.lit(0).alias("num"), F.lit(0).cast("long").alias("id"), F.lit(0).cast("long").alias("f"), "payload")
-    met = answers.unionByName(texts).repartition(parts, "block", "lang").sortWithinPartitions("block", "lang", F.col("payload").isNotNull())
+    tokens = materialize(named.mapInArrow(tidy(partial(_tokens, buckets=parts, block_text=BLOCK_TEXT)), _TOKENS_DDL), "tokens")
+    listed = tokens.where("bucket >= 0").select("bucket", "lang", "block", "words")
+    summed = listed.repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", "lang").mapInArrow(_summed(min_count), "lang string, word binary, f long")
+    totals = materialize(summed, "word-counts")
+    sizes = totals.where("word is null").groupBy("lang").agg(F.sum("f").alias("n"))
+    words = materialize(_numbered(totals.where("word is not null")), "words")
+    width = max(1, (words.count().bit_length() + 7) // 8)
+    known = words.select((F.crc32("word") % parts).cast("int").alias("bucket"), "lang", "word", "f", "id")
+    both = known.unionByName(listed, allowMissingColumns=True).repartitionById(parts, F.col("bucket")).sortWithinPartitions("bucket", "lang", F.col("words").isNotNull())
+    answers = both.mapInArrow(tidy(_answers), "block long, lang string, answer binary")
+    texts = tokens.where("bucket < 0").select("block", "lang", "text")
+    met = answers.unionByName(texts, allowMissingColumns=True).repartition(parts, "block", "lang").sortWithinPartitions("block", "lang", F.col("text").isNotNull())
     sent = met.mapInArrow(_send(parts, width, longest, PIVOT_ROWS), _SENT_DDL)
     mined = sent.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "whole").mapInArrow(_mine(width, longest, min_count), _MINED_DDL)
     phrases = materialize(mined.groupBy("phrase").agg(F.sum("a").alias("a")).where(F.col("a") >= min_count), "phrases")
