@@ -1,12 +1,12 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidepanel.config import CLASSES, MODEL_FEATURES
 from tidepanel.operators import features as P
 from tidepanel.operators import models as M
 from tidepanel.operators import service as S
-from tidepanel.plans.model_queries import fixed_model
 from tidepanel.plans.queries import ready
 from tidepanel.streaming.scoring import feature_stream, score_stream
 
@@ -116,20 +116,48 @@ def test_comparison_coefficients_and_bundle(spark, parts):
     assert sum(r[c.lower()] for r in bundle.confusion for c in CLASSES) == bundle.errors.count()
 
 
-def test_search_and_importance(spark, parts):
-    train, valid = parts
-    rows = M.random_search(train, "target_7d_class", "logistic", {"maxIter": [2, 4], "C": [1.0]}, draws=5, folds=2)
+def test_search_over_forests(spark, parts):
+    train, _ = parts
+    rows = M.random_search(train, "target_7d_class", "forest", {"n_estimators": [2], "max_depth": [1, 3], "min_samples_leaf": [1], "class_weight": ["balanced"]}, draws=5, folds=2)
     assert len(rows) == 2 and rows[0]["macro_f1_mean"] >= rows[1]["macro_f1_mean"]
-    model = fixed_model()
-    found = {r["feature"]: r["importance_mean"] for r in M.permutation_importance(model, valid, "target_7d_class", ["price_change_7d_pct", "year"], repeats=2)}
-    # The fixed model never looks at the year.
-    assert found["year"] == pytest.approx(0.0) and found["price_change_7d_pct"] != 0
 
 
-def test_shuffled_column_keeps_its_values(spark, parts):
-    _, valid = parts
-    before, after = (sorted(str(r[0]) for r in f.select("price_idr").collect()) for f in (valid, M._shuffled(valid, "price_idr", 3)))
-    assert before == after
+def test_unknown_parameters_are_errors(spark, parts):
+    train, _ = parts
+    for kind, wrong in (("logistic", {"subsample": 0.5}), ("forest", {"C": 1.0}), ("boosting", {"class_weight": "balanced"}), ("logistic", {"solver": "magic"}), ("logistic", {"class_weight": "heavy"}), ("stump", {})):
+        with pytest.raises(ValueError, match="Unknown"):
+            M.fit(train, "target_7d_class", kind, **wrong)
+        with pytest.raises(ValueError, match="Unknown"):
+            M.random_search(train, "target_7d_class", kind, {k: [v] for k, v in wrong.items()}, draws=1, folds=2)
+
+
+@pytest.fixture(scope="module")
+def searched(parts):
+    train, _ = parts
+    sets = [{"C": c, "class_weight": w, "maxIter": 25} for c in (0.05, 20.0) for w in (None, "balanced")]
+    return sets, *M.cross_validate_logistic(train, "target_7d_class", sets, 2)
+
+
+def test_batched_search_scores_like_single_fits(spark, parts, searched):
+    """Each set and fold alone, by Spark's own optimizer."""
+    sets, scores, _ = searched
+    for k in (1, 2):
+        alone = M.cross_validate(parts[0], "target_7d_class", "logistic", 2, **sets[k])
+        for a, b in zip(alone, scores[k], strict=True):
+            assert a["fold"] == b["fold"] and a["accuracy"] == pytest.approx(b["accuracy"], abs=0.03) and a["macro_f1"] == pytest.approx(b["macro_f1"], abs=0.03)
+
+
+def test_a_search_takes_the_passes_of_one_fit(spark, parts, searched):
+    sets, _, passes = searched
+    slowest = max(M.cross_validate_logistic(parts[0], "target_7d_class", [p], 2)[1] for p in sets[2:])
+    assert passes <= slowest + 5
+
+
+def test_expanding_folds_keep_rows_without_a_date(spark, frame):
+    some = frame.select("date", "commodity").limit(20)
+    lost = some.withColumn("date", F.when(F.col("commodity") != "1-URGENT", F.col("date")))
+    rows = M.expanding_folds(lost, 4).collect()
+    assert len(rows) == 20 and {r["fold"] for r in rows if r["date"] is None} <= {max(r["fold"] for r in rows), max(r["fold"] for r in rows) - 1}
 
 
 def test_context_views_and_stream_scores(spark, frame, artifacts, caplog):
@@ -150,6 +178,8 @@ def test_boosting_scores_sum_to_one(spark, parts):
     model = M.fit(train.limit(200), "target_7d_class", "boosting", maxIter=2, maxDepth=2)
     rows = M.predict(model, valid.limit(20)).select("p_deflation", "p_stable", "p_inflation", "confidence").collect()
     assert all(sum(r[:3]) == pytest.approx(1.0) and max(r[:3]) == r["confidence"] for r in rows)
+    found = M.tree_importances(model)
+    assert sum(r["importance"] for r in found) == pytest.approx(1.0) and found[0]["importance"] > 0
 
 
 def test_artifact_paths(tmp_path):

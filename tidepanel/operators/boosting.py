@@ -234,7 +234,7 @@ class Boosted:
 
         def stats(n: float):
             sums = gateway.new_array(jvm.double, 3)
-            sums[0], sums[1], sums[2] = n, 0.0, 0.0
+            sums[0], sums[1], sums[2] = float(n), 0.0, 0.0
             return jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(sums, int(n))
 
         def node(tree: Tree, at: int):
@@ -243,7 +243,7 @@ class Boosted:
                 return of.LeafNode(float(tree.value(at, classes)) if at in tree.sums else 0.0, 0.0, stats(n))
             f, b = tree.splits[at]
             split = of.ContinuousSplit(f, float(self.edges[f][b]))
-            return of.InternalNode(0.0, 0.0, tree.gains[at] / n if n else 0.0, node(tree, 2 * at), node(tree, 2 * at + 1), split, stats(n))
+            return of.InternalNode(0.0, 0.0, float(tree.gains[at] / n) if n else 0.0, node(tree, 2 * at), node(tree, 2 * at + 1), split, stats(n))
 
         grown = [r[k] for r in self.rounds] or [Tree(sums={1: (0.0, 0.0, 0.0)})]
         trees = gateway.new_array(regression.DecisionTreeRegressionModel, len(grown))
@@ -251,7 +251,7 @@ class Boosted:
         for i, t in enumerate(grown):
             trees[i] = regression.DecisionTreeRegressionModel(f"softmax_tree_{k}_{i}", node(t, 1), width)
             weights[i] = float(self.learning_rate)
-        model = GBTRegressionModel(regression.GBTRegressionModel(f"softmax_boost_{k}", trees, weights))
+        model = GBTRegressionModel(regression.GBTRegressionModel(f"softmax_boost_{k}", trees, weights, width))
         return model.setFeaturesCol("features").setPredictionCol(f"raw_{k}")
 
 

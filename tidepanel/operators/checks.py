@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CANONICAL_COLUMNS, COMMODITIES, MODEL_FEATURES, REQUIRED_COLUMNS
+from .positions import with_positions
 
 
 def require_columns(frame: DataFrame, columns: Iterable[str], what: str = "required columns") -> None:
@@ -82,8 +83,18 @@ def _bad_price() -> Column:
     return F.col("price_idr").isNotNull() & F.col("price_idr").cast("string").try_cast("double").isNull()
 
 
-def validate_canonical(frame: DataFrame, require_all: bool = True, names=None) -> None:
-    """Dates, names, prices and keys of a canonical panel; examples are looked for only where a count is not zero."""
+def bad_price_rows(frame: DataFrame, *order: str, limit: int = 10) -> DataFrame:
+    """The first rows with a price that is no number: position (from 0, in the order given, else that of the canonical panel) and the row."""
+    placed = with_positions(frame, *(order or ("date", "commodity")))
+    return placed.where(_bad_price()).orderBy("position").limit(limit).select("position", *frame.columns)
+
+
+def validate_canonical(frame: DataFrame, require_all: bool = True, names=None, order: tuple[str, ...] = ()) -> None:
+    """Dates, names, prices and keys of a canonical panel; examples are looked for only where a count is not zero.
+
+    Numbers of rows with bad prices count from 0 in ``order`` (date and
+    commodity, if not given).
+    """
     names = sorted(COMMODITIES.values() if names is None else names)
     got = violations(frame, names).first()
     if got["unparsable_dates"]:
@@ -94,8 +105,8 @@ def validate_canonical(frame: DataFrame, require_all: bool = True, names=None) -
     if require_all and got["missing_names"]:
         raise ValueError(f"Missing configured commodities: {got['missing_names']}")
     if got["non_numeric_prices"]:
-        some = frame.where(_bad_price()).select("date", "commodity", F.col("price_idr").cast("string")).limit(10).collect()
-        raise ValueError(f"Non-numeric prices: {got['non_numeric_prices']} rows, such as {[tuple(map(str, r)) for r in some]}")
+        some = bad_price_rows(frame, *order).select("position").collect()
+        raise ValueError(f"Non-numeric prices: {got['non_numeric_prices']} rows, the first at {[r[0] for r in some]}")
     if got["duplicate_keys"]:
         require_unique_keys(frame)
 

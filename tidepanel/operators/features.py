@@ -31,7 +31,8 @@ def _with_chunks(panel: DataFrame, chunk_days: int, back: int, ahead: int) -> Da
     d = C.day()
     first = F.floor((d - F.lit(ahead)) / chunk_days).cast("int")
     last = F.floor((d + F.lit(back)) / chunk_days).cast("int")
-    return panel.withColumn("_chunk", F.explode(F.sequence(first, last)))
+    # A row without a date has no day to be sent to; it keeps one copy, in a chunk of its own.
+    return panel.withColumn("_chunk", F.explode_outer(F.sequence(first, last)))
 
 
 def feature_ready(panel: DataFrame, lags=None, rolling=None, leads=None, check: bool = True, chunk_days: int | None = None) -> DataFrame:
@@ -63,7 +64,7 @@ def feature_ready(panel: DataFrame, lags=None, rolling=None, leads=None, check:
     if check:
         out = out.where(unique_day("_same_day")).drop("_same_day")
     if chunk_days:
-        out = out.where(F.floor(C.day() / chunk_days) == F.col("_chunk"))
+        out = out.where(F.floor(C.day() / chunk_days).eqNullSafe(F.col("_chunk")))
     changes = {f"price_change_{k}_pct": E.pct_change("price_idr", f"price_lag_{k}") for k in ("1d", "7d", "30d")}
     ratios = {"price_vs_ma30_pct": E.pct_change("price_idr", "rolling_mean_30d"), "volatility_30d_pct": E.safe_div("rolling_std_30d", "rolling_mean_30d") * 100}
     targets = {f"target_{h}_inflation_pct": E.pct_change(f"_future_{h}", "price_idr") for h in leads or {}}

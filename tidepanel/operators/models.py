@@ -5,9 +5,10 @@ and one-hot code for the commodity, an assembler and a classifier, so that it
 is saved, loaded and applied as a whole in the JVM. Imputation values are exact
 medians and modes of the training rows.
 
-Three-class boosting has no counterpart in Spark ML: ``boosting`` is one
-boosted binary model for each class, with its logistic scores scaled to sum
-to one. It approximates, and is not, multinomial boosting.
+``boosting`` is multinomial boosting (``boosting.py``), whose trees are Spark's
+tree ensembles, one for each class. A search over logistic models fits all of
+them in the passes of one (``logistic.py``); permutation importance is one join
+and one aggregate (``importance.py``).
 """
 
 from __future__ import annotations
@@ -17,8 +18,10 @@ from dataclasses import dataclass
 from functools import reduce
 from itertools import product
 
+import numpy as np
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IndexToString, OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
@@ -26,8 +29,11 @@ from pyspark.sql import functions as F
 
 from ..config import BINARY_FEATURES, CATEGORICAL_FEATURES, CLASSES, MODEL_FEATURES, NUMERIC_FEATURES
 from ..functions import exprs as E
+from ..sources.shared import forget, written
 from . import analytics as A
+from .boosting import Options, fit_boosting
 from .checks import require_columns, require_no_leakage
+from .logistic import Problem, confusions, fit_many
 from .quantiles import exact_quantiles
 
 SEED = 42
@@ -74,15 +80,57 @@ def preprocessing(train: DataFrame, scale: bool = False) -> list:
     ]
 
 
+#: What each kind of model takes, with its default.
+PARAMETERS = {
+    "logistic": {"maxIter": 200, "C": 1.0, "class_weight": None, "solver": "lbfgs"},
+    "forest": {"numTrees": 300, "maxDepth": 12, "minInstancesPerNode": 2, "subsamplingRate": 1.0, "featureSubsetStrategy": "auto", "class_weight": None},
+    "boosting": {"maxIter": 100, "stepSize": 0.1, "maxDepth": 3, "minInstancesPerNode": 1, "subsamplingRate": 1.0, "featureSubsetStrategy": None},
+}
+#: Other names of the same parameters.
+_ALSO = {"n_estimators": ("numTrees", "maxIter"), "max_iter": ("maxIter",), "learning_rate": ("stepSize",), "max_depth": ("maxDepth",), "min_samples_leaf": ("minInstancesPerNode",), "subsample": ("subsamplingRate",), "max_features": ("featureSubsetStrategy",)}
+#: Ways to the same minimum; one optimizer serves them all.
+SOLVERS = ("lbfgs", "newton-cg", "saga")
+
+
+def checked_parameters(kind: str, params: dict) -> dict:
+    """The parameters of a kind of model with defaults filled in; one it does not take is an error."""
+    if kind not in PARAMETERS:
+        raise ValueError(f"Unknown model kind: {kind}")
+    known = PARAMETERS[kind]
+    out = dict(known)
+    for name, value in params.items():
+        own = next((x for x in (name, *_ALSO.get(name, ())) if x in known), None)
+        if own is None:
+            raise ValueError(f"Unknown parameter of {kind}: {name}")
+        out[own] = value
+    if out.get("solver", "lbfgs") not in SOLVERS or out.get("class_weight") not in (None, "balanced"):
+        raise ValueError(f"Unknown value among the parameters of {kind}: {params}")
+    return out
+
+
 def classifier(kind: str, rows: int, **params):
+    """The estimator of a logistic or forest model; weights are in ``_weight``."""
+    p = checked_parameters(kind, params)
     if kind == "logistic":
-        return LogisticRegression(family="multinomial", standardization=False, maxIter=params.get("maxIter", 200), regParam=1 / (params.get("C", 1.0) * max(1, rows)))
+        return LogisticRegression(family="multinomial", standardization=False, maxIter=p["maxIter"], regParam=1 / (p["C"] * max(1, rows)), weightCol="_weight")
     if kind == "forest":
-        return RandomForestClassifier(numTrees=params.get("numTrees", 300), maxDepth=params.get("maxDepth", 12), minInstancesPerNode=params.get("minInstancesPerNode", 2), seed=SEED)
-    if kind == "boosting":
-        boost = GBTClassifier(maxIter=params.get("maxIter", 100), stepSize=params.get("stepSize", 0.1), maxDepth=params.get("maxDepth", 3), seed=SEED)
-        return OneVsRest(classifier=boost, parallelism=3)
-    raise ValueError(f"Unknown model kind: {kind}")
+        trees = {x: p[x] for x in ("numTrees", "maxDepth", "minInstancesPerNode", "subsamplingRate")}
+        return RandomForestClassifier(**trees, featureSubsetStrategy=p["featureSubsetStrategy"] or "all", weightCol="_weight", seed=SEED)
+    raise ValueError(f"{kind} is no estimator of Spark ML")
+
+
+def boosting_options(params: dict) -> Options:
+    p = checked_parameters("boosting", params)
+    return Options(rounds=p["maxIter"], learning_rate=p["stepSize"], max_depth=p["maxDepth"], min_samples_leaf=p["minInstancesPerNode"], subsample=p["subsamplingRate"], max_features=p["featureSubsetStrategy"], seed=SEED)
+
+
+def with_class_weights(rows: DataFrame, class_weight: str | None) -> DataFrame:
+    """Add _weight: 1, or for "balanced" what gives each class that occurs the same sum."""
+    if class_weight is None:
+        return rows.withColumn("_weight", F.lit(1.0))
+    n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    weight = reduce(lambda out, k: F.when(F.col("label") == k, sum(n.values()) / (len(n) * n[k])).otherwise(out), n, F.lit(0.0))
+    return rows.withColumn("_weight", weight)
 
 
 def with_label_index(frame: DataFrame, target: str) -> DataFrame:
@@ -104,26 +152,24 @@ def model_labels(model: PipelineModel) -> list[str]:
 
 def fit(train: DataFrame, target: str, kind: str = "boosting", **params) -> PipelineModel:
     """Fit preprocessing and model on rows that have the target."""
+    p = checked_parameters(kind, params)
     rows = with_label_index(train.where(F.col(target).isNotNull()), target).cache()
     try:
-        stages = [*preprocessing(rows, scale=kind == "logistic"), classifier(kind, rows.count(), **params), label_stage()]
-        return Pipeline(stages=stages).fit(rows)
+        stages = preprocessing(rows, scale=kind == "logistic")
+        if kind == "boosting":
+            prepared = Pipeline(stages=stages).fit(rows)
+            boosted = fit_boosting(prepared.transform(rows), len(LABELS), boosting_options(params))
+            return PipelineModel(stages=[*prepared.stages, *boosted.stages(train.sparkSession), label_stage()])
+        weighted = with_class_weights(rows, p["class_weight"])
+        return Pipeline(stages=[*stages, classifier(kind, rows.count(), **params), label_stage()]).fit(weighted)
     finally:
         rows.unpersist()
 
 
 def probabilities(transformed: DataFrame, labels: list[str] = LABELS) -> dict[str, Column]:
     """Probability columns by class name, for a model with its classes in the order of ``labels``."""
-    kinds = dict(transformed.dtypes)
-    if "probability" in kinds:
-        p = F.col("probability") if kinds["probability"].startswith("array") else vector_to_array(F.col("probability"))
-        parts = [p[i] for i in range(len(labels))]
-    else:
-        raw = vector_to_array(F.col("rawPrediction"))
-        logistic = [1 / (1 + F.exp(-2 * raw[i])) for i in range(len(labels))]
-        total = reduce(lambda a, b: a + b, logistic)
-        parts = [x / total for x in logistic]
-    return dict(zip(labels, parts, strict=True))
+    p = F.col("probability") if dict(transformed.dtypes)["probability"].startswith("array") else vector_to_array(F.col("probability"))
+    return {k: p[i] for i, k in enumerate(labels)}
 
 
 def predict(model: PipelineModel, frame: DataFrame) -> DataFrame:
@@ -188,14 +234,14 @@ def expanding_folds(frame: DataFrame, folds: int = 5) -> DataFrame:
     """Add fold: rows of fold k (from 1) are tested by a model of all rows with a lower fold; 0 is never tested.
 
     Rows count in the order of date and commodity, n // (folds + 1) to a test
-    fold, the rest at the beginning. Positions come from counts of days, so
-    only days and not rows are ordered in one place.
+    fold, the rest at the beginning; rows without a date come last. Positions
+    come from counts of days, so only days and not rows are ordered in one place.
     """
     per_day = frame.groupBy("date").agg(F.count("*").alias("_n"))
-    before = per_day.select("date", F.coalesce(F.sum("_n").over(Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = per_day.select(F.col("date").alias("_day"), F.coalesce(F.sum("_n").over(Window.orderBy(F.asc_nulls_last("date")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
     within = F.row_number().over(Window.partitionBy("date").orderBy("commodity")) - 1
     n = frame.agg(F.count("*").alias("_all"))
-    placed = frame.withColumn("_at", within).join(before, "date").crossJoin(F.broadcast(n))
+    placed = frame.withColumn("_at", within).join(before, F.col("date").eqNullSafe(F.col("_day"))).drop("_day").crossJoin(F.broadcast(n))
     size = F.greatest(F.floor(F.col("_all") / (folds + 1)), F.lit(1))
     first = F.col("_all") - folds * size
     at = F.col("_before") + F.col("_at")
@@ -225,42 +271,59 @@ def cv_summary(rows: list[dict]) -> dict[str, float]:
 
 
 def random_search(frame: DataFrame, target: str, kind: str, grid: dict[str, list], draws: int = 20, folds: int = 4, seed: int = SEED) -> list[dict]:
-    """Cross-validated macro F1 of drawn parameter sets, best first; all sets, where there are fewer than draws."""
+    """Cross-validated scores of drawn parameter sets, best macro F1 first; all sets, where there are fewer than draws.
+
+    Logistic models of all sets and folds are fitted together.
+    """
     every = [dict(zip(grid, x, strict=True)) for x in product(*grid.values())]
     chosen = random.Random(seed).sample(every, min(draws, len(every)))
-    rows = [{"params": p} | cv_summary(cross_validate(frame, target, kind, folds, **p)) for p in chosen]
+    for p in chosen:
+        checked_parameters(kind, p)
+    if kind == "logistic":
+        scores = cross_validate_logistic(frame, target, chosen, folds)[0]
+    else:
+        scores = [cross_validate(frame, target, kind, folds, **p) for p in chosen]
+    rows = [{"params": p} | cv_summary(s) for p, s in zip(chosen, scores, strict=True)]
     return sorted(rows, key=lambda r: -r["macro_f1_mean"])
 
 
-# --- importances ---------------------------------------------------------------------
+def cross_validate_logistic(frame: DataFrame, target: str, sets: list[dict], folds: int) -> tuple[list[list[dict]], int]:
+    """Scores of each fold for each set of parameters, and the passes over the rows that fitting all took.
 
+    Preprocessing is learned from each fold's training rows; the prepared rows
+    of all folds are written once and each pass reads them.
+    """
+    marked = expanding_folds(frame, folds).where(F.col(target).isNotNull()).cache()
+    parts = []
+    for k in range(1, folds + 1):
+        train = with_label_index(marked.where(F.col("fold") < k), target)
+        own = with_label_index(marked.where(F.col("fold") <= k), target)
+        prepared = Pipeline(stages=preprocessing(train, scale=True)).fit(train).transform(own)
+        # A one-hot vector is as long as the commodities of its fold, so rows of a fold are alike and folds may differ.
+        parts.append(prepared.select(F.lit(k).alias("group"), F.col("label").cast("int").alias("label"), vector_to_array("features").alias("features"), (F.col("fold") == k).alias("tested")))
+    width = reduce(lambda a, b: a.unionAll(b), [p.agg(F.max(F.size("features")).alias("w")) for p in parts]).agg(F.max("w")).first()[0]
+    padded = F.concat(F.array_repeat(F.lit(0.0), F.lit(width) - F.size("features")), F.col("features"))
+    rows = written(reduce(lambda a, b: a.unionAll(b), parts).withColumn("features", padded), "folds")
+    try:
+        filled = [checked_parameters("logistic", p) for p in sets]
+        problems = [Problem(k, p["C"], p["class_weight"], p["maxIter"]) for p in filled for k in range(1, folds + 1)]
+        fitted = fit_many(rows.where(~F.col("tested")), problems, len(LABELS))
+        found = confusions(rows.where("tested"), problems, fitted, len(LABELS))
+    finally:
+        marked.unpersist()
+        forget(rows)
+    scores = [{"fold": p.group} | confusion_metrics(c) for p, c in zip(problems, found, strict=True)]
+    return [scores[i * folds : (i + 1) * folds] for i in range(len(sets))], fitted.passes
 
-def _shuffled(frame: DataFrame, column: str, seed: int, block: int = 200_000) -> DataFrame:
-    """The frame with one column's values dealt anew.
 
-    Rows are first dealt into random blocks of bounded size, and values change
-    places within a block, so no task orders all rows.
-    """
-    blocks = max(1, -(-frame.count() // block))
-    marked = frame.withColumn("_b", F.floor(F.rand(seed) * blocks).cast("int"))
-    here = marked.withColumn("_i", F.row_number().over(Window.partitionBy("_b").orderBy("date", "commodity")))
-    dealt = here.select("_b", F.row_number().over(Window.partitionBy("_b").orderBy(F.xxhash64("_i", F.lit(seed)))).alias("_i"), F.col(column).alias("_dealt"))
-    return here.join(dealt, ["_b", "_i"]).withColumn(column, F.col("_dealt")).drop("_b", "_i", "_dealt")
+def confusion_metrics(counts: np.ndarray) -> dict[str, float]:
+    """accuracy, macro_f1, weighted_f1 of counts by true and predicted class; a class that never occurs scores 0."""
+    hit, true, pred, n = counts.diagonal(), counts.sum(axis=1), counts.sum(axis=0), max(1, counts.sum())
+    f1 = 2 * hit / np.maximum(true + pred, 1)
+    return {"accuracy": float(hit.sum() / n), "macro_f1": float(f1.mean()), "weighted_f1": float((f1 * true).sum() / n)}
 
 
-def permutation_importance(model: PipelineModel, frame: DataFrame, target: str, columns: list[str] | None = None, repeats: int = 10, seed: int = SEED) -> list[dict]:
-    """Mean and deviation of the macro F1 that is lost when a column is shuffled, most first."""
-    frame = frame.cache()
-    try:
-        base = evaluate(model, frame, target)["macro_f1"]
-        out = []
-        for c in columns or MODEL_FEATURES:
-            lost = [base - evaluate(model, _shuffled(frame, c, seed + k), target)["macro_f1"] for k in range(repeats)]
-            mean = sum(lost) / len(lost)
-            out.append({"feature": c, "importance_mean": mean, "importance_std": (sum((x - mean) ** 2 for x in lost) / len(lost)) ** 0.5})
-        return sorted(out, key=lambda r: -r["importance_mean"])
-    finally:
-        frame.unpersist()
+# --- importances ---------------------------------------------------------------------
 
 
 def feature_names(model: PipelineModel) -> list[str]:
@@ -275,8 +338,7 @@ def _classifier(model: PipelineModel):
 
 def tree_importances(model: PipelineModel) -> list[dict]:
     """Importances of a forest, or the mean over the classes of boosting."""
-    last = _classifier(model)
-    parts = [m.featureImportances.toArray() for m in (last.models if hasattr(last, "models") else [last])]
+    parts = [x.featureImportances.toArray() for x in model.stages if hasattr(x, "featureImportances")]
     return sorted(({"feature": n, "importance": float(sum(p[i] for p in parts) / len(parts))} for i, n in enumerate(feature_names(model))), key=lambda r: -r["importance"])
 
 

@@ -8,7 +8,7 @@ as they do with a learned model.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -16,9 +16,14 @@ from ..config import BINARY_FEATURES, CLASSES, INPUT_CONTRACT, MODEL_FEATURES, N
 from ..operators import analytics as A
 from ..operators import diagnostics as D
 from ..operators import features as P
+from ..operators import importance as I
 from ..operators import models as M
+from ..operators.boosting import Boosted, Tree, binned, histogram
+from ..operators.checks import bad_price_rows as bad_prices
+from ..operators.positions import join_by_position
 from ..operators.service import InferenceService, training_summary
-from .queries import _ANGLES, _FOLDS, _TARGETS, ERRORS, LABELLED, PANEL, READY, REGIME, SPLIT, WINDOWS, _label, labelled, on_ready, query, ready, rounded, scored, sql
+from ..sources.panels import table
+from .queries import _ANGLES, _FOLDS, _TARGETS, ERRORS, LABELLED, PANEL, READY, REGIME, SPLIT, WINDOWS, _label, labelled, on_ready, panel, query, ready, rounded, scored, sql
 
 #: Logits of a model with fixed coefficients; missing values count as zero.
 _LOGITS = {
@@ -181,3 +186,135 @@ def base_feature_rows(spark, sf):
     """Row-local features of each row that has a 30-day lag, with its label."""
     rows = P.base_features(labelled(spark, sf)).where("price_lag_30d is not null")
     return rows.select("date", "commodity", F.col("target_7d_class").alias("true_class"), F.round("price_zscore_30d", 4).alias("price_zscore_30d"), F.round("volatility_x_momentum", 4).alias("volatility_x_momentum"))
+
+
+# --- boosting ---------------------------------------------------------------------
+
+#: Features and thresholds of the fixed trees, and the trees themselves: node to (feature, threshold's number), and rows, gradient, hessian of nodes.
+_TREE_FEATURES = ["price_change_7d_pct", "volatility_30d_pct", "momentum_gap_7_30_pct"]
+_TREE_EDGES = [[-20.0, 0.0, 15.5], [10.0, 25.0], [-5.0, 5.0]]
+_START = [-1.25, -0.75, -0.5]
+_RATE = 0.1
+
+
+def _fixed_trees() -> list[list[Tree]]:
+    """Two rounds; the sums of the leaves are whole numbers."""
+    first = [
+        Tree({1: (0, 1), 2: (1, 0)}, {1: (90, 0, 20), 2: (60, 0, 13), 3: (30, -9, 7), 4: (25, 6, 5), 5: (35, 3, 8)}, {1: 2.0, 2: 1.0}),
+        Tree({1: (2, 0)}, {1: (90, 0, 20), 2: (40, 8, 11), 3: (50, -8, 9)}, {1: 1.5}),
+        Tree({}, {1: (90, 4, 16)}, {}),
+    ]
+    second = [
+        Tree({1: (1, 1)}, {1: (90, 0, 20), 2: (70, -2, 12), 3: (20, 2, 8)}, {1: 0.5}),
+        Tree({1: (0, 2), 3: (2, 1)}, {1: (90, 0, 20), 2: (55, 5, 9), 3: (35, -5, 9), 6: (15, -7, 4), 7: (20, 2, 5)}, {1: 1.0, 3: 0.25}),
+        Tree({1: (0, 0)}, {1: (90, 0, 20), 2: (10, 1, 2), 3: (80, -1, 18)}, {1: 0.125}),
+    ]
+    return [first, second]
+
+
+def _tree_sql(tree: Tree, node: int = 1) -> str:
+    if node not in tree.splits:
+        _, g, h = tree.sums[node]
+        return f"({_RATE} * 2 / 3 * {g} / {h})"
+    f, b = tree.splits[node]
+    return f"CASE WHEN coalesce({_TREE_FEATURES[f]}, 0) <= {_TREE_EDGES[f][b]} THEN {_tree_sql(tree, 2 * node)} ELSE {_tree_sql(tree, 2 * node + 1)} END"
+
+
+_BOOSTED = [f"({s} + {' + '.join(_tree_sql(r[k]) for r in _fixed_trees())})" for k, s in enumerate(_START)]
+_BOOSTED_SQL = "raised AS (SELECT date, commodity, " + ", ".join(f"CAST({x} AS DOUBLE) AS s{k}" for k, x in enumerate(_BOOSTED)) + " FROM features), summed AS (SELECT *, exp(s0) + exp(s1) + exp(s2) AS total FROM raised)"
+
+
+def _vectors(frame):
+    assembler = VectorAssembler(inputCols=[f"_{c}" for c in _TREE_FEATURES], outputCol="features")
+    return assembler.transform(frame.withColumns({f"_{c}": F.coalesce(F.col(c), F.lit(0.0)) for c in _TREE_FEATURES}))
+
+
+@query(sql(f"SELECT date, commodity, {', '.join(f'round(exp(s{k}) / total, 6) AS p_{c.lower()}' for k, c in enumerate(M.LABELS))}, CASE greatest(s0, s1, s2) WHEN s0 THEN 0 WHEN s1 THEN 1 ELSE 2 END AS pred_index FROM summed", PANEL, WINDOWS, READY, LABELLED, _FEATURES, _BOOSTED_SQL))
+def boosting_scores(spark, sf):
+    """Multinomial boosting with known trees over the panel: ensembles, softmax, the best class."""
+    model = PipelineModel(stages=Boosted(_START, _TREE_EDGES, _fixed_trees(), _RATE).stages(spark))
+    out = model.transform(_vectors(P.base_features(labelled(spark, sf))))
+    chances = [F.round(F.col("probability")[k], 6).alias(f"p_{c.lower()}") for k, c in enumerate(M.LABELS)]
+    return out.select("date", "commodity", *chances, F.col("prediction").cast("int").alias("pred_index"))
+
+
+_BIN = " UNION ALL ".join(
+    f"SELECT label, {f} AS feature, CAST({' + '.join(f'CAST(coalesce({c}, 0) > {e} AS INTEGER)' for e in _TREE_EDGES[f])} AS INTEGER) AS bin FROM train" for f, c in enumerate(_TREE_FEATURES)
+)
+_FIRST_LEVEL = f"""train AS (SELECT features.*, list_position({M.LABELS!r}, target_7d_class) - 1 AS label FROM features JOIN cuts ON date <= a),
+  priors AS (SELECT k, (SELECT avg(CAST(label = k AS INTEGER)) FROM train) AS p FROM range({len(M.LABELS)}) r(k)), binned AS ({_BIN})"""
+
+
+@query(sql("SELECT CAST(k AS INTEGER) AS k, feature, bin, count(*) AS n, round(sum(CAST(label = k AS INTEGER) - p), 6) AS g, round(sum(p * (1 - p)), 6) AS h FROM binned, priors GROUP BY 1, 2, 3", PANEL, WINDOWS, READY, LABELLED, SPLIT, _FEATURES, _FIRST_LEVEL))
+def boosting_first_sums(spark, sf):
+    """Counts, gradients and hessians by class, feature and bin with which boosting begins, over the train rows."""
+    split = P.time_split(P.base_features(labelled(spark, sf)))
+    train = M.with_label_index(_vectors(split.where("split = 'train'")), "target_7d_class")
+    shares = train.agg(*(F.avg((F.col("label") == k).cast("int")).alias(str(k)) for k in range(len(M.LABELS))))
+    priors = shares.select(F.array(*(F.log(F.col(str(k))) for k in range(len(M.LABELS)))).alias("scores"))
+    state = train.select(binned(vector_to_array("features"), _TREE_EDGES).alias("bins"), F.col("label").cast("int").alias("label")).crossJoin(F.broadcast(priors))
+    sums = histogram(state, [Tree() for _ in M.LABELS], [{1} for _ in M.LABELS])
+    return rounded(sums.drop("node"))
+
+
+# --- permutation importance ----------------------------------------------------------
+
+_DEALT = ["price_change_7d_pct", "volatility_30d_pct", "year"]
+_REPEATS = 3
+
+
+def _network_sql() -> str:
+    """One pass of the network over x, by columns that use those before them."""
+    steps = ["x // m AS a0", "x % m AS b0"]
+    for i in range(1, I.ROUNDS + 1):
+        k = f"((rep * {I.KEY_STEP} + {i * I.ROUND_STEP + I.FIRST}) % {I.PRIME})"
+        steps += [f"(b{i - 1} * {I.MULTIPLY} + {k}) % {I.PRIME} AS t{i}", f"b{i - 1} AS a{i}", f"(a{i - 1} + (t{i} * t{i} + {k}) % {I.PRIME} % m) % m AS b{i}"]
+    return f"SELECT rep, position, m, n, a{I.ROUNDS} * m + b{I.ROUNDS} AS x FROM (SELECT *, {', '.join(steps)} FROM {{source}})"
+
+
+_DEALING = f"""numbered AS (SELECT *, row_number() OVER (ORDER BY date, commodity) - 1 AS position FROM features),
+  size AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS m FROM numbered),
+  starts AS (SELECT r.rep, position, position AS x, m, n FROM numbered, size, range({_REPEATS}) r(rep)),
+  walked AS ({_network_sql().format(source='starts')} UNION ALL {_network_sql().format(source='(SELECT * FROM walked WHERE x >= n)')}),
+  donors AS (SELECT rep, walked.position, numbered.* EXCLUDE (position) FROM walked JOIN numbered ON numbered.position = x WHERE x < n)"""
+_WHOLE = ["price_change_7d_pct", "volatility_30d_pct", "momentum_gap_7_30_pct", "price_vs_ma30_pct", "year"]
+
+
+def _variant(c: str | None) -> str:
+    columns = ", ".join(f"{'d' if x == c else 'o'}.{x}" for x in _WHOLE)
+    return f"SELECT rep, {'NULL' if c is None else repr(c)} AS feature, o.target_7d_class AS true_class, {columns} FROM numbered o JOIN donors d ON d.position = o.position"
+
+
+_VARIANTS = "variants AS (" + " UNION ALL ".join(map(_variant, [None, *_DEALT])) + ")"
+_VARIANT_SCORES = _SCORES.replace("FROM features", "FROM variants") + ", verdicts AS (SELECT {'rep': rep, 'feature': feature} AS fold, true_class, prediction AS pred_class FROM scores)"
+
+
+@query(sql("SELECT fold.feature AS feature, CAST(fold.rep AS INTEGER) AS repeat, round(macro_f1, 6) AS macro_f1 FROM metrics", PANEL, WINDOWS, READY, LABELLED, _FEATURES, _DEALING, _VARIANTS, _VARIANT_SCORES, _metrics_sql("verdicts")).replace("WITH ", "WITH RECURSIVE ", 1))
+def permutation_scores(spark, sf):
+    """Macro F1 of a model with known coefficients when a column's values are dealt anew, for each repeat."""
+    return rounded(I.permutation_scores(fixed_model(), P.base_features(labelled(spark, sf)), "target_7d_class", _DEALT, _REPEATS))
+
+
+# --- positions -------------------------------------------------------------------------
+
+
+@query("SELECT position, date, commodity, price_idr FROM (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS position, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS date, o_orderpriority AS commodity, CASE WHEN o_orderkey % 83 = 0 THEN 'n/a' END AS price_idr FROM orders) WHERE price_idr IS NOT NULL ORDER BY position LIMIT 10")
+def bad_price_rows(spark, sf):
+    """Row numbers of the first ten prices that are no numbers."""
+    k = F.col("o_orderkey")
+    rows = table(spark, sf, "orders").select(F.to_date("o_orderdate").cast("string").alias("date"), F.col("o_orderpriority").alias("commodity"), F.when(k % 83 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("price_idr"), "o_orderkey")
+    return bad_prices(rows, "o_orderkey").drop("o_orderkey")
+
+
+@query(
+    sql(
+        "SELECT position, l.date, l.commodity, r.date AS other_date, r.price_idr AS other_price FROM (SELECT row_number() OVER (ORDER BY date, commodity) - 1 AS position, * FROM panel) l "
+        "FULL JOIN (SELECT row_number() OVER (ORDER BY commodity, date) - 1 AS position, * FROM panel WHERE price_idr IS NOT NULL) r USING (position)",
+        PANEL,
+    )
+)
+def position_join(spark, sf):
+    """Two frames side by side, row by row: the panel in model order and its known prices in panel order."""
+    rows = panel(spark, sf)
+    other = rows.where("price_idr is not null").select(F.col("date").alias("other_date"), F.col("commodity").alias("other_name"), F.col("price_idr").alias("other_price"))
+    return join_by_position(rows.select("date", "commodity"), other, ["date", "commodity"], ["other_name", "other_date"]).drop("other_name")
