@@ -1,4 +1,9 @@
+import math
+from fractions import Fraction
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from pyspark.sql import functions as F
 
@@ -103,20 +108,47 @@ def test_an_opening_score_shortens_the_walk():
 
 
 def test_values_of_any_size(spark, monkeypatch):
-    """Scores beyond what doubles and longs hold: exact ranks, and the nearest long as the score."""
+    """Scores far beyond what doubles and longs hold: exact ranks, and the nearest long as the score."""
     rng = np.random.default_rng(9)
-    sizes = [1.0, 3e7, 2e12, 1e17, 3e38]
-    rows = [(k, [float(np.float32(x)) for x in rng.normal(size=4) * 10.0 ** rng.uniform(0, np.log10(sizes[k % 5]))], 0, "x") for k in range(120)]
-    rows += [(k, [float(np.float32(3e38))] * 4, 0, "x") for k in (201, 200)]
-    want = [(q, rank, c, max(-(1 << 63), min(s, (1 << 63) - 1))) for q, rank, c, s in brute_top(rows, 5, lambda q: q % 50 == 0)]
-    # Beyond 2^124 scores count alike, so ids decide there; brute force knows no such end.
-    exact = {(q, rank): (c, s) for q, rank, c, s in brute_top(rows, 5, lambda q: q % 50 == 0)}
-    frame = spark.createDataFrame(rows, SCHEMA)
-    for size in (8192, 30):
+    sizes = [1.0, 3e7, 2e12, 1e17, 3e38, 1e300]
+    rows = [(k, [float(x) for x in rng.normal(size=4) * 10.0 ** rng.uniform(0, np.log10(sizes[k % 6]))]) for k in range(120)]
+    rows += [(k, [1.7e308, -1.7e308, 1e-300, -1e-300]) for k in (201, 200)] + [(250, [1e308, 1e308, 0.5, -0.5]), (300, [1e20] * 4), (301, [1e25] * 4), (350, [1e30] * 4)]
+    scaled = [(k, [math.floor(256 * Fraction(x)) for x in v]) for k, v in rows]
+    want = []
+    for q, v in scaled:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), c) for c, w in scaled if c != q)[:5]
+            want += [(q, rank, c, max(-(1 << 63), min(-s, (1 << 63) - 1))) for rank, (s, c) in enumerate(best, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for size, group in ((8192, 1 << 25), (30, 1 << 25), (10, 700)):
         monkeypatch.setattr(topk, "CANDIDATES", size)
-        got = sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect())
-        assert len(got) == len(want) and all(g == w for g, w in zip(got, sorted(want), strict=True) if abs(exact[w[0], w[1]][1]) < 1 << 124)
-        assert [g[3] for g in got] == [w[3] for w in sorted(want)]
+        monkeypatch.setattr(topk, "GROUP_BYTES", group)
+        assert sorted(tuple(r) for r in topk.top_k(frame, F.col("vec_id") % 50 == 0).collect()) == sorted(want)
+
+
+def test_keys_sort_like_numbers():
+    numbers = [0, 1, -1, 255, 256, -255, -256, 1 << 124, -(1 << 124), (1 << 2100) + 1, 1 << 2100, -(1 << 2100), -(1 << 2100) - 1]
+    assert sorted(numbers) == sorted(numbers, key=topk.sortable) and [topk.from_sortable(topk.sortable(n)) for n in numbers] == numbers
+
+
+def test_a_query_is_sent_once_to_each_group(spark, monkeypatch):
+    """15 blocks of about 20 rows in groups of three: five rows for each query, wherever it is asked."""
+
+    def seen(k):
+        def run(batches):
+            for b in batches:
+                ids = b.filter(pc.equal(b.column("kind"), 1)).column("vec_id")
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays([ids, ids, pa.nulls(n, pa.int64()), pa.array([b""] * n, pa.binary()), pa.array([0] * n)], names=["query_row", "query_id", "vec_id", "key", "score"])
+
+        return run
+
+    monkeypatch.setattr(topk, "CANDIDATES", 20)
+    monkeypatch.setattr(topk, "GROUP_BYTES", 20 * 4 * 8 * 3)
+    monkeypatch.setattr(topk, "_search", seen)
+    frame = spark.createDataFrame([(k, [float(k % 7), 1.0, -float(k % 5), 0.5]) for k in range(300)], "vec_id long, embedding array<double>")
+    got = topk.top_k(frame, F.col("vec_id") % 50 == 0, 100).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == {k: 5 for k in range(0, 300, 50)}
 
 
 def test_ties_and_few_rows(spark):

@@ -9,29 +9,32 @@ soon as the bound - the score of an imagined row with the values at the lists'
 present depth - is below its k-th best so far: no row not seen can beat or tie
 it.
 
-A query first visits one block, its own by hash. The k-th score found there
-opens its walk through every other block, so lists are left as soon as their
-bound falls below it, and only rows that reach it are returned. A window over
-those, ordered by score and then id, gives the result.
+Blocks travel in groups of bounded size. A query first visits one group, its own
+by hash, and then every other one, once each; within a group its k-th score so
+far shortens the walk through the next block, and the k-th score of its own group
+opens the walk through the others. So lists are left as soon as their bound falls
+below it, and only rows that reach it are returned. A window over those, ordered
+by score and then id, gives the result.
 
 Candidates are sent once for each of the two visits and never copied; queries
-are sent to every block, for each of them must be asked. The work is queries
-times rows at worst; memory is one block and one query.
+are sent to every group, for each of them must be asked. The work is queries
+times rows at worst; memory is one group and one query.
 
 Vectors that are null or hold null or non-finite components take no part;
-vectors of different lengths don't meet. Scores are exact for values of any
-size: where doubles would round, whole numbers of any length are multiplied
-(all rows of the block, since bounds in doubles prove nothing there). A score
-is ranked exactly up to 2^124 in size and, beyond, as that; one that a long
-does not hold is returned as the nearest long. Repeated rows are candidates of their
-own, also for their copies. Ties go to the smaller id (null last). Empty tables give
-empty results; extra columns are ignored.
+vectors of different lengths don't meet. Scores are exact and ranked exactly for
+values of any size: where doubles would round, the same walk is made in whole
+numbers of any length, and scores travel as bytes that sort like numbers. A score
+that a long does not hold is returned as the nearest long. Repeated rows are
+candidates of their own, also for their copies. Ties go to the smaller id (null
+last). Empty tables give empty results; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,57 +46,89 @@ from .tables import materialize, shuffle_partitions
 SCALE = 256
 K = 5
 CANDIDATES = 8192
+#: Bytes of vectors in a group of blocks.
+GROUP_BYTES = 32 << 20
 STEP = 256
 #: Whole numbers below this stay exact as doubles.
 EXACT = 1 << 53
-#: Scores travel in two longs, score = high * 2^62 + low.
-_LOW = 62
+#: Components travel as doubles, less by this power of two, so that none overflows. That is exact.
+_SHIFT = 16
+_MOST = (1 << 63) - 1
+
+
+def _shifted(v: list[float]) -> np.ndarray:
+    """floor(SCALE x) / 2^_SHIFT; beyond 2^60 a double is a whole number anyway."""
+    x = np.asarray(v, np.float64)
+    large = np.abs(x) >= 2.0**60
+    return np.where(large, x * (SCALE / 2.0**_SHIFT), np.floor(SCALE * np.where(large, 0, x)) / 2.0**_SHIFT)
+
+
+def _whole(z: float) -> int:
+    n, d = z.as_integer_ratio()
+    return (n << _SHIFT) // d
 
 
 def _scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         names = [n for n in batch.schema.names if n != "_v"]
-        vectors = [np.floor(SCALE * np.asarray(v, np.float64)).tobytes() for v in batch.column("_v").to_pylist()]
+        vectors = [_shifted(v).tobytes() for v in batch.column("_v").to_pylist()]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(vectors, pa.binary())], names=[*names, "v"])
 
 
-class Lists:
-    """A block of candidates with a sorted list for each dimension."""
+def sortable(n: int) -> bytes:
+    """Bytes that sort like the number: sign and length, then the size, turned over for negative numbers."""
+    size = abs(n).to_bytes((abs(n).bit_length() + 7) // 8)
+    head = (1 << 15) + len(size) if n >= 0 else (1 << 15) - 1 - len(size)
+    return head.to_bytes(2) + (size if n >= 0 else bytes(255 - b for b in size))
+
+
+def from_sortable(key: bytes) -> int:
+    positive = key[0] >= 128
+    return int.from_bytes(key[2:]) if positive else -int.from_bytes(bytes(255 - b for b in key[2:]))
 
-    def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray):
-        self.x, self.ids, self.rows = x, ids, rows
-        self.order = np.argsort(x, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(x, self.order, 0)
-        self.largest = float(np.abs(x).max()) if x.size else 0.0
+
+def _best_first(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """By score, then by id."""
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], ids[i])), np.int64)
+    return np.lexsort((ids, -scores))
+
+
+class Lists:
+    """A block of candidates with a sorted list for each dimension; ``x`` is less by 2^_SHIFT if ``shifted``."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, rows: np.ndarray, shifted: bool = False):
+        self.ids, self.rows = ids, rows
+        self.order = np.argsort(x, axis=0, kind="stable").astype(np.int32)
+        self.shifted = x if shifted else x / 2.0**_SHIFT
+        self.largest = _whole(float(np.abs(self.shifted).max())) if x.size else 0
+        self.plain = self.shifted * 2.0**_SHIFT if self.largest < EXACT else None
         self.whole: np.ndarray | None = None
 
-    def best(self, q: np.ndarray, row: int, k: int, least: int | None = None) -> tuple[np.ndarray, list[int]]:
+    def best(self, q: np.ndarray, row: int, k: int, least: int | None = None, shifted: bool = False) -> tuple[np.ndarray, list[int]]:
         """Positions and exact scores of the block's k best rows, of which each scores ``least`` at least."""
-        # In Python's numbers, which don't overflow as doubles do.
-        if len(q) * int(self.largest) * int(np.abs(q).max()) < EXACT:
-            best, scores, _ = self.top(q, row, k, -np.inf if least is None else float(least))
-            scores = [int(s) for s in scores.tolist()]
+        z = q if shifted else q / 2.0**_SHIFT
+        if len(z) * self.largest * _whole(float(np.abs(z).max())) < EXACT and self.plain is not None:
+            values, q = self.plain, z * 2.0**_SHIFT
         else:
-            best, scores = self.top_of_any_size(q, row, k)
-        n = len(scores) if least is None else sum(s >= least for s in scores)
-        return best[:n], scores[:n]
-
-    def top_of_any_size(self, q: np.ndarray, row: int, k: int) -> tuple[np.ndarray, list[int]]:
-        if self.whole is None:
-            self.whole = np.array([[int(v) for v in x] for x in self.x.tolist()], object)
-        scores = self.whole @ np.array([int(v) for v in q.tolist()], object)
-        order = sorted(np.flatnonzero(self.rows != row).tolist(), key=lambda i: (-scores[i], self.ids[i]))[:k]
-        return np.array(order, np.int64), [int(scores[i]) for i in order]
-
-    def top(self, q: np.ndarray, row: int, k: int, least: float = -np.inf, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
-        """Positions and scores of the k best rows, best first, and how deep the lists were read.
-
-        Rows below ``least`` need not be found.
-        """
-        n = len(self.x)
+            if self.whole is None:
+                self.whole = np.array([[_whole(v) for v in x] for x in self.shifted.tolist()], object)
+            values, q = self.whole, np.array([_whole(v) for v in z.tolist()], object)
+        best, scores, _ = self._walk(values, q, row, k, least, STEP)
+        found = [int(s) for s in scores.tolist()]
+        n = len(found) if least is None else sum(s >= least for s in found)
+        return best[:n], found[:n]
+
+    def top(self, q: np.ndarray, row: int, k: int, least: float | None = None, step: int = STEP) -> tuple[np.ndarray, np.ndarray, int]:
+        """Positions and scores of the k best rows, best first, and how deep the lists were read; in doubles."""
+        return self._walk(self.plain, q, row, k, least, step)
+
+    def _walk(self, values: np.ndarray, q: np.ndarray, row: int, k: int, least, step: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """Rows below ``least`` need not be found. Doubles or whole numbers, as ``values`` and ``q`` are."""
+        n = len(values)
         up, down = np.flatnonzero(q > 0), np.flatnonzero(q < 0)
         seen = np.zeros(n, bool)
-        best, scores = np.zeros(0, np.int64), np.zeros(0)
+        best, scores = np.zeros(0, np.int64), np.zeros(0, values.dtype)
         depth = 0
         while depth < n:
             end = min(n, depth + step)
@@ -106,59 +141,62 @@ class Lists:
             new = np.flatnonzero(fresh & ~seen)
             seen[new] = True
             new = new[self.rows[new] != row]
-            best, scores = np.concatenate([best, new]), np.concatenate([scores, self.x[new] @ q])
+            best, scores = np.concatenate([best, new]), np.concatenate([scores, values[new] @ q])
             if len(best) > k:
                 # k best by score, then by id; what ties with the k-th goes by id.
-                keep = np.lexsort((self.ids[best], -scores))[:k]
+                keep = _best_first(scores, self.ids[best])[:k]
                 best, scores = best[keep], scores[keep]
             depth = end
             if depth < n:
-                bound = self.sorted[n - depth, up] @ q[up] + self.sorted[depth - 1, down] @ q[down]
-                if max(least, scores.min() if len(best) == k else -np.inf) > bound:
+                bound = values[self.order[n - depth, up], up] @ q[up] + values[self.order[depth - 1, down], down] @ q[down]
+                if (least is not None and least > bound) or (len(best) == k and scores.min() > bound):
                     break
-        keep = np.lexsort((self.ids[best], -scores))
+        keep = _best_first(scores, self.ids[best])
         return best[keep], scores[keep], depth
 
 
-_FOUND = "query_row long, query_id long, vec_id long, high long, low long"
+_FOUND = "query_row long, query_id long, vec_id long, key binary, score long"
+_NO_ID = np.iinfo(np.int64).max
 
 
 def _search(k: int):
+    out_schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("key", pa.binary()), ("score", pa.int64())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by size, block, kind: a block's candidates before its queries."""
+        """Rows come sorted by size, group, kind, block: a group's candidates, block by block, before its queries."""
         key, held, lists = None, [], None
-        out: list[list] = [[], [], [], [], []]
+        out: list[tuple] = []
 
         def emit():
-            batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_row", "query_id", "vec_id", "high", "low"])
-            for c in out:
-                c.clear()
+            batch = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), out_schema, strict=True)], schema=out_schema)
+            out.clear()
             return batch
 
         for batch in batches:
-            for size, block, kind, row, vec, v, high, low in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (size, block) != key:
-                    key, held, lists = (size, block), [], None
+            for size, group, kind, block, row, vec, v, least in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (size, group) != key:
+                    key, held, lists = (size, group), [], None
                 if kind == 0:
-                    held.append((row, vec, v))
-                    continue
-                if not held:
+                    held.append((block, row, _NO_ID if vec is None else vec, v))
                     continue
                 if lists is None:
-                    x = np.frombuffer(b"".join(h[2] for h in held), np.float64).reshape(len(held), -1)
-                    ids = np.array([np.iinfo(np.int64).max if h[1] is None else h[1] for h in held], np.int64)
-                    lists = Lists(x, ids, np.array([h[0] for h in held], np.int64))
-                    held = [(None, h[1], None) for h in held]
-                best, scores = lists.best(np.frombuffer(v, np.float64), row, k, None if high is None else (high << _LOW) + low)
-                top = [max(-(1 << 124), min(s, 1 << 124)) for s in scores]
-                out[0].extend([row] * len(best))
-                out[1].extend([vec] * len(best))
-                out[2].extend(held[i][1] for i in best.tolist())
-                out[3].extend(s >> _LOW for s in top)
-                out[4].extend(s & (1 << _LOW) - 1 for s in top)
-                if len(out[0]) >= 20_000:
+                    lists = []
+                    for _, own in groupby(held, itemgetter(0)):
+                        _, rows, ids, vectors = zip(*own, strict=True)
+                        lists.append(Lists(np.frombuffer(b"".join(vectors), np.float64).reshape(len(rows), -1), np.array(ids, np.int64), np.array(rows, np.int64), True))
+                    held = []
+                best: list[tuple[int, int, int]] = []  # score turned over, id, row
+                lowest = None if least is None else from_sortable(least)
+                q = np.frombuffer(v, np.float64)
+                for x in lists:
+                    at, scores = x.best(q, row, k, lowest, True)
+                    best = sorted([*best, *((-s, int(x.ids[i]), int(x.rows[i])) for i, s in zip(at.tolist(), scores, strict=True))])[:k]
+                    if len(best) == k:
+                        lowest = -best[-1][0] if lowest is None else max(lowest, -best[-1][0])
+                out += [(row, vec, None if i == _NO_ID else i, sortable(-s), max(-_MOST - 1, min(-s, _MOST))) for s, i, _ in best]
+                if len(out) >= 20_000:
                     yield emit()
-        if out[0]:
+        if out:
             yield emit()
 
     return run
@@ -176,26 +214,28 @@ def top_k(embeddings: DataFrame, is_query, k: int = K, id_column: str = "vec_id"
     own = embeddings.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("_v")).where(finite & (F.size(v) > 0))
     own = own.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.coalesce(is_query, F.lit(False)).alias("is_query"), "_v")
     table = materialize(own.mapInArrow(_scaled, "row long, vec_id long, is_query boolean, v binary"), "scaled")
-    blocks = max(1, math.ceil(table.count() / CANDIDATES))
+    count, widest = table.agg(F.count("*"), F.max(F.length("v"))).first()
+    blocks = max(1, math.ceil(count / CANDIDATES))
+    together = max(1, GROUP_BYTES // (CANDIDATES * (widest or 1)))
+    groups = math.ceil(blocks / together)
     own_block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
-    nothing = F.lit(None).cast("long")
-    placed = table.select(F.length("v").alias("size"), own_block.alias("block"), "row", "vec_id", "v", "is_query")
-    candidates = placed.select("size", "block", F.lit(0).alias("kind"), "row", "vec_id", "v", nothing.alias("high"), nothing.alias("low"))
-    queries = placed.where("is_query")
+    nothing = F.lit(None).cast("binary")
+    placed = table.select(F.length("v").alias("size"), own_block.alias("block"), "row", "vec_id", "v", "is_query").withColumn("group", F.floor(F.col("block") / together).cast("int"))
+    columns = ["size", "group", "kind", "block", "row", "vec_id", "v", "least"]
+    candidates = placed.withColumns({"kind": F.lit(0), "least": nothing}).select(*columns)
+    queries = placed.where("is_query").withColumn("kind", F.lit(1))
 
     def search(asked: DataFrame) -> DataFrame:
-        met = candidates.unionByName(asked).repartition(parts, "size", "block").sortWithinPartitions("size", "block", "kind", "row")
+        met = candidates.unionByName(asked).repartition(max(parts, groups), "size", "group").sortWithinPartitions("size", "group", "kind", "block", "row")
         return met.mapInArrow(_search(k), _FOUND)
 
-    first = materialize(search(queries.select("size", "block", F.lit(1).alias("kind"), "row", "vec_id", "v", nothing.alias("high"), nothing.alias("low"))), "first-block")
-    # A block with fewer than k rows opens nothing.
-    opening = first.groupBy(F.col("query_row").alias("row")).agg(F.count("*").alias("n"), F.min(F.struct("high", "low")).alias("least")).where(F.col("n") >= k)
+    first = materialize(search(queries.withColumn("least", nothing).select(*columns)), "first-group")
+    # A group with fewer than k rows opens nothing.
+    opening = first.groupBy(F.col("query_row").alias("row")).agg(F.count("*").alias("n"), F.min("key").alias("least")).where(F.col("n") >= k)
     asked = queries.join(opening.select("row", "least").hint("merge"), "row", "left")
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(blocks - 1)), lambda b: b != F.col("own")))
-    asked = asked.withColumnRenamed("block", "own").select("size", others.alias("block"), F.lit(1).alias("kind"), "row", "vec_id", "v", F.col("least.high").alias("high"), F.col("least.low").alias("low"))
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(groups - 1)), lambda g: g != F.col("own")))
+    asked = asked.withColumnRenamed("group", "own").select("*", others.alias("group")).select(*columns)
     found = first.unionByName(search(asked))
-    best = Window.partitionBy("query_row").orderBy(F.desc("high"), F.desc("low"), F.asc_nulls_last("vec_id"))
+    best = Window.partitionBy("query_row").orderBy(F.desc("key"), F.asc_nulls_last("vec_id"))
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    top = (1 << 63) - 1
-    score = F.when(F.col("high") > 1, F.lit(top)).when(F.col("high") < -2, F.lit(-top - 1)).otherwise(F.shiftleft("high", _LOW) + F.col("low"))
-    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
+    return ranked.select("query_id", "rank", "vec_id", "score")
