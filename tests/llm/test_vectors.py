@@ -146,6 +146,7 @@ def test_a_query_is_sent_once_to_each_group(spark, monkeypatch):
     monkeypatch.setattr(topk, "CANDIDATES", 20)
     monkeypatch.setattr(topk, "GROUP_BYTES", 20 * 4 * 8 * 3)
     monkeypatch.setattr(topk, "_search", seen)
+    monkeypatch.setattr(topk, "shuffle_partitions", lambda spark: 2)
     frame = spark.createDataFrame([(k, [float(k % 7), 1.0, -float(k % 5), 0.5]) for k in range(300)], "vec_id long, embedding array<double>")
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0, 100).groupBy("query_id").count().collect()
     assert {r["query_id"]: r["count"] for r in got} == {k: 5 for k in range(0, 300, 50)}

@@ -216,7 +216,8 @@ def top_k(embeddings: DataFrame, is_query, k: int = K, id_column: str = "vec_id"
     table = materialize(own.mapInArrow(_scaled, "row long, vec_id long, is_query boolean, v binary"), "scaled")
     count, widest = table.agg(F.count("*"), F.max(F.length("v"))).first()
     blocks = max(1, math.ceil(count / CANDIDATES))
-    together = max(1, GROUP_BYTES // (CANDIDATES * (widest or 1)))
+    # As many groups as tasks where blocks are few, and none beyond its bound where they are many.
+    together = max(1, min(GROUP_BYTES // (CANDIDATES * (widest or 1)), blocks // parts))
     groups = math.ceil(blocks / together)
     own_block = F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")
     nothing = F.lit(None).cast("binary")
