@@ -1,10 +1,13 @@
 import json
+import random
+import statistics
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidepanel.config import PRICE_FEATURES, Bound, DiagnosticsConfig
+from tidepanel.config import PRICE_FEATURES, TIERS, Bound, DiagnosticsConfig
 from tidepanel.operators import analytics as A
 from tidepanel.operators import diagnostics as D
 from tidepanel.operators import gate
@@ -14,29 +17,46 @@ from tidepanel.sources.sinks import write_diagnostics
 SCHEMA = "date date, commodity string, price_idr double"
 
 
+FIRST = date(2031, 5, 2)
+DAYS = 110
+
+
 def canonical_rows():
-    return [(date(2026, 1, 1) + timedelta(i), c, base + float(i)) for c, base in (("beras", 100.0), ("gula", 220.0)) for i in range(90)]
+    """Two names with a price on every day, of a sawtooth and of squares."""
+    return [(FIRST + timedelta(i), c, float(p)) for i in range(DAYS) for c, p in (("beras", 40 + 3 * (i % 9)), ("gula", 900 + i * i % 37))]
+
+
+#: From which day on each of some features is there.
+SINCE = {"price_lag_7d": 7, "price_lag_30d": 31, "rolling_std_30d": 3, "price_change_1d_pct": 36}
 
 
 def training(spark, constant=None):
     rows = []
     for d, c, p in canonical_rows():
-        n = (d - date(2026, 1, 1)).days
-        f = dict.fromkeys(PRICE_FEATURES, 1.0)
-        f["price_lag_7d"] = None if n < 10 else 1.0
-        f["price_lag_30d"] = None if n < 15 else 1.0
-        f["rolling_std_30d"] = None if n < 5 else 1.0
-        f["price_change_1d_pct"] = None if n < 20 else 1.0
-        t = (2.0, 0.0, -2.0)[n % 3] if constant != c else 5.0
-        rows.append((d, c, p, *f.values(), t, None if n < 20 else t))
+        n = (d - FIRST).days
+        features = [2.5 if n >= SINCE.get(f, 0) else None for f in PRICE_FEATURES]
+        t = 9.0 if constant == c else (-7.5, 6.0, 0.5, 0.25)[n % 4]
+        rows.append((d, c, p, *features, t, t if n >= 25 else None))
     return spark.createDataFrame(rows, SCHEMA + "".join(f", {c} double" for c in PRICE_FEATURES) + ", target_7d_inflation_pct double, target_30d_inflation_pct double")
 
 
+def usable(columns):
+    """Rows of a name with all of these features."""
+    return DAYS - max(SINCE.get(c, 0) for c in columns)
+
+
 def test_gap_metrics(spark):
-    days = [date(2026, 1, d) for d in (1, 2, 3, 6, 7)]
-    row = D.gap_metrics(spark.createDataFrame([(d, "beras", 1.0) for d in days], SCHEMA)).collect()[0]
-    assert (row["span_days"], row["observation_count"], row["gap_median"], row["gap_max"], row["gap_gt_1_count"]) == (7, 5, 1.0, 3.0, 1)
-    assert row["gap_p90"] == pytest.approx(2.4)
+    """Random days of three names, by plain Python."""
+    rng = random.Random(5)
+    days = {c: sorted(rng.sample(range(500), n)) for c, n in (("a", 2), ("b", 40), ("c", 200))}
+    rows = [(FIRST + timedelta(d), c, 1.0) for c, own in days.items() for d in own]
+    got = {r["commodity"]: r for r in D.gap_metrics(spark.createDataFrame(rows + rows[:3], SCHEMA)).collect()}
+    for c, own in days.items():
+        gaps = [b - a for a, b in zip(own, own[1:], strict=False)]
+        r = got[c]
+        assert (r["observation_count"], r["span_days"], r["gap_max"]) == (len(own), own[-1] - own[0] + 1, max(gaps))
+        assert r["gap_median"] == pytest.approx(statistics.median(gaps)) and r["gap_p90"] == pytest.approx(float(np.quantile(gaps, 0.9)))
+        assert [r[f"gap_gt_{n}_count"] for n in (1, 3, 7, 30)] == [sum(g > n for g in gaps) for n in (1, 3, 7, 30)]
 
 
 def test_single_date_and_empty(spark):
@@ -60,8 +80,8 @@ def test_missing_columns_rate_zero(spark):
 def test_coverage_tiers_and_windows(spark):
     frame = training(spark)
     for r in D.feature_coverage(frame).collect():
-        assert r["strict_feature_usable_rows"] == 70 < r["model_feature_usable_rows"] == 75
-    assert {r["span_days"] for r in D.training_windows(frame).where("horizon = '30d'").collect()} == {70}
+        assert r["strict_feature_usable_rows"] == usable(PRICE_FEATURES) < r["model_feature_usable_rows"] == usable(TIERS["critical"])
+    assert {r["span_days"] for r in D.training_windows(frame).where("horizon = '30d'").collect()} == {DAYS - max(25, DAYS - usable(TIERS["critical"]))}
     assert {r["classes_present"] for r in D.class_balance(frame).collect()} == {3}
 
 
@@ -85,13 +105,13 @@ def test_gate_fails_on_one_class(spark):
 
 def test_low_target_rate_warns_and_fails(spark):
     """A rate below both bounds is a warning and a failure; one between them only a warning."""
-    ready = training(spark).withColumn("target_30d_inflation_pct", F.when(F.dayofyear("date") <= 15, F.lit(1.0))).withColumn("target_7d_inflation_pct", F.when(F.dayofyear("date") <= 20, F.lit(1.0)))
+    ready = training(spark).withColumn("target_30d_inflation_pct", F.when(F.datediff("date", F.lit(FIRST)) < 18, F.lit(1.0))).withColumn("target_7d_inflation_pct", F.when(F.datediff("date", F.lit(FIRST)) < 25, F.lit(1.0)))
     found = gate.diagnose(spark.createDataFrame(canonical_rows(), SCHEMA), ready)
     low = lambda lines, h: [x for x in lines if "rate of the target" in x and h in x]
     assert len(low(found.warnings, "30d")) == len(low(found.failures, "30d")) == 2
     assert len(low(found.warnings, "7d")) == 2 and not low(found.failures, "7d")
     totals = found.sections["target_totals"][0]
-    assert totals["strict_feature_usable_rows_total"] == 140 and totals["model_feature_usable_rows_total"] == 150
+    assert totals["strict_feature_usable_rows_total"] == 2 * usable(PRICE_FEATURES) and totals["model_feature_usable_rows_total"] == 2 * usable(TIERS["critical"])
     assert found.failures == sorted(set(found.failures)) and found.warnings == sorted(set(found.warnings))
 
 
@@ -102,7 +122,7 @@ def test_report_files(spark, tmp_path):
     paths = write_diagnostics(found, tmp_path)
     assert len(paths) == 7 and all(p.exists() for p in paths.values())
     summary = json.loads(paths["json"].read_text())
-    assert summary["readiness_status"] == "FAIL" and summary["overall"][0]["row_count"] == 180
+    assert summary["readiness_status"] == "FAIL" and summary["overall"][0]["row_count"] == 2 * DAYS
     assert "## Match quality" in paths["markdown"].read_text()
     assert "strict_feature_usable_rows_x" in paths["coverage_csv"].read_text()
 

@@ -72,10 +72,10 @@ def test_matched_row_without_price_is_missing(spark):
 
 
 def test_contract_columns_and_zero_price(spark):
-    days = [str(date(2026, 1, 1) + timedelta(i)) for i in range(40)]
-    out = P.training_ready(panel(spark, days, [0, *(15000 + i for i in range(1, 40))]))
+    out = P.training_ready(panel(spark, ["2027-11-08", "2027-11-09", "2027-11-10"], [0, 4, 5]))
     assert set(REQUIRED_COLUMNS) <= set(out.columns)
-    assert by_day(out)["2026-01-02"]["price_change_1d_pct"] is None
+    got = by_day(out)
+    assert got["2027-11-09"]["price_change_1d_pct"] is None and got["2027-11-10"]["price_change_1d_pct"] == pytest.approx(25.0)
 
 
 def test_duplicates_and_wrong_keys_fail(spark):
@@ -202,3 +202,10 @@ def test_exact_quantiles(spark, monkeypatch):
 def test_quantile_labels_without_train_rows(spark):
     frame = spark.createDataFrame([("test", 1.0), ("test", None)], "split string, x double")
     assert [r["y"] for r in P.label_by_quantiles(frame, "x", 0.4, "y").collect()] == ["Stable", "Stable"]
+
+
+def test_chunks_keep_rows_without_a_date(spark):
+    rows = [(date(2027, 3, 1) + timedelta(k), "a", float(k)) for k in range(10)] + [(None, "a", 3.0)]
+    frame = spark.createDataFrame(rows, "date date, commodity string, price_idr double")
+    whole, chunked = (sorted(map(str, P.feature_ready(frame, chunk_days=n).collect())) for n in (None, 5))
+    assert len(chunked) == 11 and chunked == whole

@@ -169,3 +169,18 @@ def test_sheet_errors(spark, tmp_path):
     write_xlsx(tmp_path / "empty.xlsx", HEAD, [])
     with pytest.raises(ValueError, match="no rows"):
         read_sheet(spark, str(tmp_path / "empty.xlsx"))
+
+
+def test_files_are_united_by_their_headers(spark, tmp_path):
+    """Two months, with columns in different orders and numbers: every price stays under its own date."""
+    write_xlsx(tmp_path / "a.xlsx", ["No", "Komoditas (Rp)", "01/01/2025", "02/01/2025"], [("I", "Beras", "10", "11")])
+    write_xlsx(tmp_path / "b.xlsx", ["Komoditas (Rp)", "03/02/2025", "No", "01/02/2025", "02/02/2025"], [("Gula Pasir", "23", "I", "21", "22"), ("Beras", None, "II", "31")])
+    frame = read_sheet(spark, str(tmp_path / "*.xlsx"))
+    assert frame.columns == ["No", "Komoditas (Rp)", "01/01/2025", "02/01/2025", "03/02/2025", "01/02/2025", "02/02/2025"]
+    rows = {tuple(r) for r in frame.collect()}
+    assert rows == {("I", "Beras", "10", "11", None, None, None), ("I", "Gula Pasir", None, None, "23", "21", "22"), ("II", "Beras", None, None, None, "31", None)}
+    write_xlsx(tmp_path / "c.xlsx", ["No", "No"], [("I", "II")])
+    with pytest.raises(ValueError, match="repeated"):
+        read_sheet(spark, str(tmp_path / "*.xlsx"))
+    with pytest.raises(FileNotFoundError):
+        read_sheet(spark, str(tmp_path / "none*.xlsx"))

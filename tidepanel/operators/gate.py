@@ -37,7 +37,7 @@ WORDS = {
     "target_rate_least": "{s}: non-null rate of the target is below the least one ({v:.3f}).",
     "trainable": "{s}: too few trainable rows ({v:.0f}).",
     "trainable_total": "Too few trainable rows in all for {s} ({v:.0f}).",
-    "span": "{s}: usable training span too short ({v:.0f} days).",
+    "span": "{s}: trainable rows lie within few days ({v:.0f}).",
     "classes": "{s}: class support too narrow ({v:.0f} classes).",
     "class_ratio": "{s}: class is rare ({v:.3f}).",
     "tolerance": "{s}: many matches only within the tolerance ({v:.3f}).",
@@ -45,7 +45,7 @@ WORDS = {
     "p90_change": "{s}: 90th percentile of the 1-day change is extreme ({v:.2f}%).",
     "max_to_median": "{s}: largest change is far above the median ({v:.2f}).",
     "flat": "{s}: long segment of one price ({v:.0f} rows).",
-    "jumps": "{s}: suspicious structural jumps (ratio {v:.2f}).",
+    "jumps": "{s}: price jumps, the largest change {v:.2f} times the median.",
 }
 
 

@@ -76,12 +76,17 @@ def ingest_wide_sheet(spark, sf):
     return canonical_long(top_level_rows(sheet), sheet)
 
 
-@query(sql(f"SELECT k, {_ROMAN} AS top_level, {_NORMAL.replace('{x}', 'label')} AS label, {_NAMES} AS commodity FROM names", _SHEET_ROWS))
+_LABELLED = "keyed AS (SELECT o_orderkey, number, label FROM orders JOIN names ON k = o_orderkey % 12)"
+
+
+@query(sql(f"SELECT {_NORMAL.replace('{x}', 'label')} AS label, {_NAMES} AS commodity, {_ROMAN} AS top_level, count(*) AS n_rows, min(o_orderkey) AS first_key FROM keyed GROUP BY 1, 2, 3", _SHEET_ROWS, _LABELLED))
 def sheet_labels(spark, sf):
-    """Which rows are top-level ones, and what their labels mean."""
-    names = spark.createDataFrame([(k, _typed(n), _typed(x)) for k, (n, x) in enumerate(zip(NUMBERS, LABELS, strict=True))], "k int, number string, label string")
-    label = E.normal_text("label")
-    return names.select("k", E.is_roman("number").alias("top_level"), label.alias("label"), E.commodity_of(label).alias("commodity"))
+    """Which rows are top-level ones and what their labels mean, for labels dealt to all orders."""
+    k = F.col("o_orderkey") % 12
+    pick = lambda texts: F.element_at(F.array(*(F.lit(_typed(x)).cast("string") for x in texts)), (k + 1).cast("int"))
+    rows = table(spark, sf, "orders").select("o_orderkey", pick(NUMBERS).alias("number"), E.normal_text(pick(LABELS)).alias("label"))
+    named = rows.select("o_orderkey", "label", E.commodity_of("label").alias("commodity"), E.is_roman("number").alias("top_level"))
+    return named.groupBy("label", "commodity", "top_level").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key"))
 
 
 _ROMAN_KEY = "CASE o_orderkey % 6 WHEN 0 THEN 'I' WHEN 1 THEN ' xiv ' WHEN 2 THEN 'IV.' WHEN 3 THEN '12' WHEN 4 THEN chr(9) || 'MCMXC' ELSE NULL END"
@@ -94,17 +99,24 @@ def roman_filter(spark, sf):
     return table(spark, sf, "orders").groupBy(k.alias("kind")).agg(F.count("*").alias("n_rows"), F.count_if(E.is_roman(number)).alias("n_roman"))
 
 
-_HEADER_TEXTS = [*HEADERS, "1/1/24", "001/1/2024", "a/b/cccc", "31/12/1999", "No", "7/7/2020/1"]
+_MONTH_HEADERS = "h AS (SELECT DISTINCT day(o_orderdate) || ' / 0' || month(o_orderdate) || '/' || year(o_orderdate) AS header, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders WHERE month(o_orderdate) < 10)"
 
 
-@query(
-    "SELECT header, CASE WHEN regexp_full_match(t, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}') THEN lpad(split_part(t, '/', 1), 2, '0') || '/' || lpad(split_part(t, '/', 2), 2, '0') || '/' || split_part(t, '/', 3) ELSE trim(header) END AS normal, "
-    "CASE WHEN regexp_full_match(t, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}') THEN CAST(try_strptime(t, '%d/%m/%Y') AS DATE) END AS date "
-    "FROM (SELECT header, regexp_replace(header, '\\s', '', 'g') AS t FROM (VALUES " + ", ".join(f"('{h}')" for h in _HEADER_TEXTS) + ") v(header))"
-)
+@query(sql("SELECT header, strftime(date, '%d/%m/%Y') AS normal, date, max(o_totalprice) AS highest FROM h WHERE year(date) = (SELECT max(year(date)) FROM h) GROUP BY 1, 2, 3", _MONTH_HEADERS))
 def header_dates(spark, sf):
-    """Headers are schema, so they are read on the driver."""
-    return spark.createDataFrame([(h, normal_date_header(h), header_date(h)) for h in _HEADER_TEXTS], "header string, normal string, date date")
+    """The days of the last year as untidy headers of a sheet, whose dates are found again.
+
+    Headers are schema, so they are read on the driver: as many as days of a year.
+    """
+    orders = table(spark, sf, "orders").where(F.month("o_orderdate") < 10)
+    last = orders.agg(F.max(F.year("o_orderdate")).alias("_last"))
+    day = F.to_date("o_orderdate")
+    untidy = F.concat_ws("", F.dayofmonth(day), F.lit(" / 0"), F.month(day), F.lit("/"), F.year(day))
+    own = orders.crossJoin(F.broadcast(last)).where(F.year("o_orderdate") == F.col("_last"))
+    highest = own.groupBy(untidy.alias("header")).agg(F.max("o_totalprice").alias("highest"))
+    headers = [r["header"] for r in highest.select("header").collect()]
+    read = spark.createDataFrame([(h, normal_date_header(h), header_date(h)) for h in headers], "header string, normal string, date date")
+    return highest.join(read, "header").select("header", "normal", "date", "highest")
 
 
 _DIRTY = """dirty AS (SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'someday' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date,
@@ -157,16 +169,21 @@ def payload_rows(spark, sf):
 
 
 _GIVEN = ["extra_a", *[c for c in REQUIRED_COLUMNS if c not in ("price_lag_7d", "month")], "target_7d_inflation_pct"]
+_NULLS = " UNION ALL ".join(f"SELECT '{c}' AS c, count(*) FILTER (WHERE {1 if c == 'extra_a' else c} IS NULL) AS n_null FROM ready" for c in _GIVEN)
 
 
 @query(
-    "SELECT coalesce(g.c, e.c) AS column_name, CASE WHEN e.c IS NULL THEN 'extra' WHEN g.c IS NULL THEN 'missing' ELSE 'present' END AS status, e.k AS position FROM (SELECT unnest(["
-    + ", ".join(f"'{c}'" for c in _GIVEN) + "]) AS c) g FULL JOIN (SELECT unnest([" + ", ".join(f"'{c}'" for c in REQUIRED_COLUMNS) + f"]) AS c, CAST(unnest(range({len(REQUIRED_COLUMNS)})) AS INTEGER) AS k) e ON g.c = e.c"
+    on_ready(
+        "SELECT coalesce(g.c, e.c) AS column_name, CASE WHEN e.c IS NULL THEN 'extra' WHEN g.c IS NULL THEN 'missing' ELSE 'present' END AS status, e.k AS position, n_null FROM ("
+        + _NULLS + ") g FULL JOIN (SELECT unnest([" + ", ".join(f"'{c}'" for c in REQUIRED_COLUMNS) + f"]) AS c, CAST(unnest(range({len(REQUIRED_COLUMNS)})) AS INTEGER) AS k) e ON g.c = e.c"
+    )
 )
 def input_contract_report(spark, sf):
-    """Present, missing and extra columns of a frame against the input contract."""
+    """Present, missing and extra columns of a frame against the input contract, with the nulls of those it has."""
     frame = ready(spark, sf).withColumn("extra_a", F.lit(1)).select(*_GIVEN)
-    return spark.createDataFrame(contract_report(frame.columns, REQUIRED_COLUMNS), "column_name string, status string, position int")
+    report = spark.createDataFrame(contract_report(frame.columns, REQUIRED_COLUMNS), "column_name string, status string, position int")
+    nulls = frame.agg(F.map_from_arrays(F.array(*map(F.lit, _GIVEN)), F.array(*(F.count_if(F.col(c).isNull()) for c in _GIVEN))).alias("n"))
+    return report.crossJoin(F.broadcast(nulls)).select("column_name", "status", "position", F.try_element_at("n", F.col("column_name")).alias("n_null"))
 
 
 @query(on_ready("SELECT DISTINCT date, CAST(quarter(date) AS INTEGER) AS quarter FROM ready"))
@@ -177,10 +194,16 @@ def calendar_quarter(spark, sf):
 _ROLES = {"categorical": ["commodity"], "flag": ["is_observed_source", "is_month_start", "is_month_end"], "time": ["date", "year", "month", "week_of_year", "day_of_week"], "target": list(TARGET_VALUES.values())}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{r}')" for r, cs in (_ROLES | {"numeric": ["price_idr", *PRICE_FEATURES]}).items() for c in cs) + ") v(column_name, role)")
+_ROLE_OF = [(c, r) for r, cs in (_ROLES | {"numeric": ["price_idr", *PRICE_FEATURES]}).items() for c in cs]
+
+
+@query(on_ready(" UNION ALL ".join(f"SELECT '{c}' AS column_name, '{r}' AS role, count({c}) AS n_known FROM ready" for c, r in _ROLE_OF)))
 def variable_groups(spark, sf):
-    groups = A.variable_groups(ready(spark, sf))
-    return spark.createDataFrame([(c, role) for role, columns in groups.items() for c in columns], "column_name string, role string")
+    """The role of each column, with how many of its values are known."""
+    frame = ready(spark, sf)
+    roles = [(c, role) for role, columns in A.variable_groups(frame).items() for c in columns]
+    long = frame.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("role"), F.col(c).cast("string").alias("value")) for c, r in roles))).alias("x")).select("x.*")
+    return long.groupBy("column_name", "role").agg(F.count("value").alias("n_known"))
 
 
 @query(on_panel("SELECT commodity, date FROM panel QUALIFY row_number() OVER (PARTITION BY commodity ORDER BY date) = 1"))

@@ -21,6 +21,7 @@ from ..operators import features as P
 from ..operators import gate
 from ..operators import models as M
 from ..operators.checks import duplicate_pairs
+from ..operators.grouped import grouped_quantiles
 from ..sources import panels
 from ..sources.panels import orders_panel, table, with_gaps
 
@@ -673,6 +674,13 @@ def box_stats(spark, sf):
     return rounded(A.box_stats(panel(spark, sf), "price_idr", "commodity"), 4)
 
 
+@query("SELECT l_returnflag AS flag, l_linestatus AS status, " + ", ".join(f"round(quantile_cont(l_extendedprice, {p}), 4) AS p{round(100 * p)}" for p in (0.05, 0.5, 0.9)) + " FROM lineitem GROUP BY 1, 2")
+def price_quantiles(spark, sf):
+    """Exact quantiles of groups that hold a third of all rows each."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"), "l_extendedprice")
+    return rounded(grouped_quantiles(rows, ["flag", "status"], "l_extendedprice", {"p5": 0.05, "p50": 0.5, "p90": 0.9}), 4)
+
+
 # --- models ---------------------------------------------------------------------------------
 
 _FOLDS = """placed AS (SELECT date, commodity, row_number() OVER (ORDER BY date, commodity) - 1 AS i, count(*) OVER () AS n FROM panel),

@@ -3,6 +3,12 @@
 ``spark.read.format("sheet").option("path", ...).load()`` gives every cell as
 text; the first row names the columns. A sheet is small by its format (at most
 1,048,576 rows), so one file is one partition; a glob gives one for each file.
+
+Files of one glob are united by the names of their columns: a column that a file
+lacks is null in its rows, and columns count in the order in which the files, by
+name, bring them. A header that a file has twice is an error, as its cells could
+not be told apart. Files are read where the tasks run, so they must lie in a
+folder that all executors mount.
 """
 
 from __future__ import annotations
@@ -92,7 +98,26 @@ def _header(path: str, sheet: str | int) -> list[str]:
     first = next(read_cells(path, sheet), None)
     if first is None:
         raise ValueError(f"Sheet is empty: {path}")
-    return [f"_c{k}" if x is None else x for k, x in enumerate(first)]
+    names = [f"_c{k}" if x is None else x for k, x in enumerate(first)]
+    if len(set(names)) != len(names):
+        raise ValueError(f"Sheet has repeated headers: {sorted({h for h in names if names.count(h) > 1})} in {path}")
+    return names
+
+
+def sheet_files(path: str) -> list[str]:
+    """The file, or the files of a glob by name."""
+    if not any(c in path for c in "*?["):
+        if not Path(path).exists():
+            raise FileNotFoundError(path)
+        return [path]
+    found = sorted(str(p) for p in Path(path).parent.glob(Path(path).name))
+    if not found:
+        raise FileNotFoundError(path)
+    return found
+
+
+def united_header(paths: list[str], sheet: str | int) -> list[str]:
+    return list(dict.fromkeys(h for p in paths for h in _header(p, sheet)))
 
 
 class _SheetPartition(InputPartition):
@@ -101,17 +126,19 @@ class _SheetPartition(InputPartition):
 
 
 class _SheetReader(DataSourceReader):
-    def __init__(self, paths: list[str], sheet: str | int, width: int):
-        self.paths, self.sheet, self.width = paths, sheet, width
+    def __init__(self, paths: list[str], sheet: str | int, columns: list[str]):
+        self.paths, self.sheet, self.columns = paths, sheet, columns
 
     def partitions(self):
         return [_SheetPartition(p) for p in self.paths]
 
     def read(self, partition):
+        own = {h: k for k, h in enumerate(_header(partition.path, self.sheet))}
+        places = [own.get(c) for c in self.columns]
         rows = read_cells(partition.path, self.sheet)
         next(rows)
         for cells in rows:
-            yield tuple((cells + [None] * self.width)[: self.width])
+            yield tuple(cells[k] if k is not None and k < len(cells) else None for k in places)
 
 
 class SheetSource(DataSource):
@@ -119,28 +146,21 @@ class SheetSource(DataSource):
     def name(cls) -> str:
         return "sheet"
 
-    def _paths(self) -> list[str]:
-        path = self.options["path"]
-        if any(c in path for c in "*?["):
-            return sorted(str(p) for p in Path(path).parent.glob(Path(path).name))
-        return [path]
-
     def _sheet(self):
         return self.options.get("sheet", "0")
 
     def schema(self) -> StructType:
-        return StructType([StructField(c, StringType()) for c in _header(self._paths()[0], self._sheet())])
+        return StructType([StructField(c, StringType()) for c in united_header(sheet_files(self.options["path"]), self._sheet())])
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return _SheetReader(self._paths(), self._sheet(), len(schema))
+        return _SheetReader(sheet_files(self.options["path"]), self._sheet(), schema.fieldNames())
 
 
 def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """The sheet as a frame of texts. Missing files and empty sheets are errors at once."""
-    head = _header(path, sheet)
-    if len(list(zip(range(2), read_cells(path, sheet), strict=False))) < 2:
-        raise ValueError(f"Sheet has no rows: {path}")
-    if len(set(head)) != len(head):
-        raise ValueError(f"Sheet has repeated headers: {sorted({h for h in head if head.count(h) > 1})}")
+    """The sheet, or the united sheets of a glob, as a frame of texts. Missing files and empty sheets are errors at once."""
+    for file in sheet_files(path):
+        _header(file, sheet)
+        if len(list(zip(range(2), read_cells(file, sheet), strict=False))) < 2:
+            raise ValueError(f"Sheet has no rows: {file}")
     spark.dataSource.register(SheetSource)
     return spark.read.format("sheet").option("sheet", str(sheet)).load(path)
