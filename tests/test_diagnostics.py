@@ -12,6 +12,7 @@ from tidepanel.operators import analytics as A
 from tidepanel.operators import diagnostics as D
 from tidepanel.operators import gate
 from tidepanel.operators.checks import duplicate_pairs
+from tidepanel.sources.artifacts import Files
 from tidepanel.sources.sinks import write_diagnostics
 
 SCHEMA = "date date, commodity string, price_idr double"
@@ -119,12 +120,13 @@ def test_report_files(spark, tmp_path):
     config = DiagnosticsConfig(allowed_commodities=("beras",))
     found = gate.diagnose(spark.createDataFrame(canonical_rows(), SCHEMA), training(spark), config)
     assert any("Unexpected commodities" in x for x in found.failures)
-    paths = write_diagnostics(found, tmp_path)
-    assert len(paths) == 7 and all(p.exists() for p in paths.values())
-    summary = json.loads(paths["json"].read_text())
+    paths = write_diagnostics(spark, found, f"file://{tmp_path}/reports")
+    read = Files(spark).read_text
+    assert len(paths) == 7 and all((tmp_path / "reports" / p.rsplit("/", 1)[-1]).exists() for p in paths.values())
+    summary = json.loads(read(paths["json"]))
     assert summary["readiness_status"] == "FAIL" and summary["overall"][0]["row_count"] == 2 * DAYS
-    assert "## Match quality" in paths["markdown"].read_text()
-    assert "strict_feature_usable_rows_x" in paths["coverage_csv"].read_text()
+    assert "## Match quality" in read(paths["markdown"])
+    assert "strict_feature_usable_rows_x" in read(paths["coverage_csv"])
 
 
 @pytest.mark.parametrize("width", [2, 3, 4, 7])

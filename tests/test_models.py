@@ -8,6 +8,7 @@ from tidepanel.operators import features as P
 from tidepanel.operators import models as M
 from tidepanel.operators import service as S
 from tidepanel.plans.queries import ready
+from tidepanel.sources.artifacts import Files, current
 from tidepanel.streaming.scoring import feature_stream, score_stream
 
 SMALL = "/root/testdata/sf0.001"
@@ -18,9 +19,13 @@ def frame(spark):
     return ready(spark, SMALL).cache()
 
 
+def metadata_of(spark, root):
+    return json.loads(Files(spark).read_text(S.metadata_path(current(spark, S.artifact_root(root, 7)))))
+
+
 @pytest.fixture(scope="module")
 def artifacts(frame, tmp_path_factory):
-    root = tmp_path_factory.mktemp("artifacts")
+    root = "file://" + str(tmp_path_factory.mktemp("artifacts"))
     S.train_and_save(frame, root, kind="logistic", maxIter=10)
     return root
 
@@ -54,8 +59,8 @@ def test_classes_come_from_the_model(spark, artifacts):
     """A model with other classes, or with theirs in another order, is refused whatever its metadata says."""
     from pyspark.ml import PipelineModel
 
-    model = PipelineModel.load(str(S.model_path(artifacts, 7)))
-    metadata = json.loads(S.metadata_path(artifacts, 7).read_text())
+    model = PipelineModel.load(S.model_path(current(spark, S.artifact_root(artifacts, 7))))
+    metadata = metadata_of(spark, artifacts)
     assert M.model_labels(model) == sorted(CLASSES)
     turned = PipelineModel(stages=[*model.stages[:-1], M.label_stage(CLASSES)])
     with pytest.raises(ValueError, match="classes"):
@@ -65,7 +70,7 @@ def test_classes_come_from_the_model(spark, artifacts):
 
 
 def test_metadata_contract(spark, artifacts):
-    metadata = json.loads(S.metadata_path(artifacts, 7).read_text())
+    metadata = metadata_of(spark, artifacts)
     assert metadata["engineered_feature_columns"] == MODEL_FEATURES and metadata["class_names"] == sorted(CLASSES)
     for change, message in (({"horizon": 30}, "horizon"), ({"input_contract": "x"}, "contract"), ({"class_names": CLASSES}, "classes")):
         with pytest.raises(ValueError, match=message):
@@ -182,11 +187,6 @@ def test_boosting_scores_sum_to_one(spark, parts):
     assert sum(r["importance"] for r in found) == pytest.approx(1.0) and found[0]["importance"] > 0
 
 
-def test_artifact_paths(tmp_path):
-    S.ensure_artifact_dirs(tmp_path)
-    assert S.model_path(tmp_path, 7) != S.model_path(tmp_path, 30) and S.metadata_path(tmp_path, 30).parent.is_dir()
-
-
 def test_feature_stream_equals_batch(spark, frame, tmp_path):
     rows = frame.where("price_lag_30d is not null").limit(20).select(*S.REQUIRED_COLUMNS)
     rows.write.json(str(tmp_path / "in"))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from pathlib import Path
 
 # Labels of the sheet's top-level rows and their names in the panel.
 COMMODITIES = {
@@ -134,14 +133,14 @@ class DiagnosticsConfig:
         return self.bounds.get(rule, BOUNDS[rule])
 
 
-def model_path(root: str | Path, horizon: int) -> Path:
-    return Path(root) / "models" / f"direction_{horizon}d"
+def artifact_root(root, horizon: int) -> str:
+    """Where the versions of a horizon's artifact lie; ``root`` may be a URI."""
+    return f"{str(root).rstrip('/')}/direction_{horizon}d"
 
 
-def metadata_path(root: str | Path, horizon: int) -> Path:
-    return Path(root) / "metadata" / f"direction_{horizon}d.json"
+def model_path(version: str) -> str:
+    return f"{version}/model"
 
 
-def ensure_artifact_dirs(root: str | Path) -> None:
-    for name in ("models", "metadata"):
-        (Path(root) / name).mkdir(parents=True, exist_ok=True)
+def metadata_path(version: str) -> str:
+    return f"{version}/metadata.json"

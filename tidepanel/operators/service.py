@@ -5,14 +5,14 @@ from __future__ import annotations
 import json
 import logging
 from datetime import datetime, timezone
-from pathlib import Path
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import CLASSES, INPUT_CONTRACT, MODEL_FEATURES, MODEL_VERSION, REQUIRED_COLUMNS, STABLE_BAND, TARGET_CLASSES, ensure_artifact_dirs, metadata_path, model_path
+from ..config import CLASSES, INPUT_CONTRACT, MODEL_FEATURES, MODEL_VERSION, REQUIRED_COLUMNS, STABLE_BAND, TARGET_CLASSES, artifact_root, metadata_path, model_path
+from ..sources.artifacts import Files, current, publish
 from . import features as P
 from . import models as M
 from .checks import contract_report, require_column_order, require_columns, require_horizon, require_input_contract, require_no_leakage, require_rows
@@ -60,9 +60,9 @@ def inference_features(frame: DataFrame) -> DataFrame:
     return P.model_columns(P.base_features(frame))
 
 
-def train_and_save(frame: DataFrame, root: str | Path, horizons=(7, 30), band: float = STABLE_BAND, kind: str = "boosting", **params) -> dict[int, dict]:
-    """Fit, evaluate on the validation rows and save a model and its metadata for each horizon."""
-    ensure_artifact_dirs(root)
+def train_and_save(frame: DataFrame, root: str, horizons=(7, 30), band: float = STABLE_BAND, kind: str = "boosting", **params) -> dict[int, dict]:
+    """Fit, evaluate on the validation rows and publish a model with its metadata for each horizon, at a folder or URI."""
+    spark = frame.sparkSession
     ready = P.attach_targets(P.base_features(frame), band).cache()
     out = {}
     try:
@@ -75,7 +75,6 @@ def train_and_save(frame: DataFrame, root: str | Path, horizons=(7, 30), band: f
             model = M.fit(train, target, kind, **params)
             seen = training_summary(train, target).collect()
             start, end = (str(seen[0][c]) if seen else None for c in ("start_date", "end_date"))
-            model.write().overwrite().save(str(model_path(root, horizon)))
             out[horizon] = {
                 "input_contract": INPUT_CONTRACT,
                 "model_version": MODEL_VERSION,
@@ -90,10 +89,15 @@ def train_and_save(frame: DataFrame, root: str | Path, horizons=(7, 30), band: f
                 "training_end_date": end,
                 "training_class_counts": {r["label"]: r["n"] for r in seen},
                 "model_type": kind,
-                "artifact_name": model_path(root, horizon).name,
+                "artifact_name": artifact_root(root, horizon).rsplit("/", 1)[-1],
                 "metrics": M.evaluate(model, split.where("split = 'valid'"), target),
             }
-            metadata_path(root, horizon).write_text(json.dumps(out[horizon], indent=2), encoding="utf-8")
+
+            def write(folder: str, model=model, metadata=out[horizon]) -> None:
+                model.write().overwrite().save(model_path(folder))
+                Files(spark).write_text(metadata_path(folder), json.dumps(metadata, indent=2))
+
+            publish(spark, artifact_root(root, horizon), write)
             split.unpersist()
     finally:
         ready.unpersist()
@@ -112,11 +116,13 @@ def validate_metadata(metadata: dict, horizon: int, classes: list[str] | None =
 class InferenceService:
     """Scores feature-ready rows with a horizon's artifact, behind its contract."""
 
-    def __init__(self, spark: SparkSession, root: str | Path, horizon: int = 7, model: PipelineModel | None = None, metadata: dict | None = None):
+    def __init__(self, spark: SparkSession, root: str, horizon: int = 7, model: PipelineModel | None = None, metadata: dict | None = None):
         require_horizon(horizon)
         self.spark, self.horizon = spark, horizon
-        self.metadata = metadata if metadata is not None else json.loads(metadata_path(root, horizon).read_text(encoding="utf-8"))
-        self.model = model if model is not None else PipelineModel.load(str(model_path(root, horizon)))
+        # One version for both, whatever is published meanwhile.
+        version = current(spark, artifact_root(root, horizon)) if metadata is None or model is None else ""
+        self.metadata = metadata if metadata is not None else json.loads(Files(spark).read_text(metadata_path(version)))
+        self.model = model if model is not None else PipelineModel.load(model_path(version))
         validate_metadata(self.metadata, horizon, M.model_labels(self.model))
 
     def score(self, frame: DataFrame) -> DataFrame:

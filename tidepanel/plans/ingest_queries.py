@@ -18,8 +18,10 @@ from ..operators import analytics as A
 from ..operators import features as P
 from ..operators.checks import contract_report, violations
 from ..operators.service import parse_payloads, read_training_csv
+from ..sources.artifacts import Files, joined
 from ..sources.ingest import canonical_long, header_date, normal_date_header, parse_wide, top_level_rows
 from ..sources.panels import table
+from ..sources.shared import shared_folder
 from ..sources.sinks import write_csv, write_engineered
 from .queries import _KEYS, _rounded_list, on_panel, on_ready, panel, query, ready, rounded, sql
 
@@ -147,17 +149,27 @@ def canonical_violations(spark, sf):
 
 @query(on_ready(f"SELECT {_KEYS}, {_rounded_list([*PRICE_FEATURES, *TARGET_VALUES.values()])} FROM ready"))
 def training_csv_scan(spark, sf):
-    """The training panel written as ordered CSV into the warehouse, which a cluster shares, and read by its schema."""
-    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/training-{uuid.uuid4().hex}.csv"
-    write_csv(ready(spark, sf), folder)
+    """The training panel written as ordered CSV into the shared folder and read by its schema."""
+    write_csv(ready(spark, sf), folder := _scratch(spark, "training"))
     return rounded(read_training_csv(spark, folder))
 
 
+#: Folders that these queries wrote, the newest for each name: the one before goes when a query is asked again.
+_SCRATCH: dict[str, str] = {}
+
+
+def _scratch(spark, name: str) -> str:
+    if name in _SCRATCH:
+        Files(spark).delete(_SCRATCH[name])
+    _SCRATCH[name] = joined(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[name]
+
+
 @query(on_ready("SELECT date, commodity, round(price_lag_7d - price_idr, 4) AS drop_7d, round((price_idr - rolling_mean_30d) / (rolling_std_30d + 1e-6), 4) AS price_zscore_30d FROM ready"))
 def engineered_sink(spark, sf):
     """The frame with engineered features written as Parquet and read again."""
-    path = write_engineered(P.base_features(ready(spark, sf)), f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/').removeprefix('file:')}/engineered-{uuid.uuid4().hex}", "v2", "parquet")
-    return rounded(spark.read.parquet(str(path)).select("date", "commodity", (F.col("price_lag_7d") - F.col("price_idr")).alias("drop_7d"), "price_zscore_30d"), 4)
+    path = write_engineered(P.base_features(ready(spark, sf)), _scratch(spark, "engineered"), "v2", "parquet")
+    return rounded(spark.read.parquet(path).select("date", "commodity", (F.col("price_lag_7d") - F.col("price_idr")).alias("drop_7d"), "price_zscore_30d"), 4)
 
 
 @query(on_ready(f"SELECT date, commodity, price_idr, year, is_month_end, {_rounded_list(LAGS)}, round(volatility_30d_pct, 4) AS volatility_30d_pct FROM ready"))

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.checks import validate_canonical
 from ..operators.features import feature_ready, training_ready
+from ..sources.artifacts import joined
 from ..sources.ingest import canonical_long, parse_wide, top_level_rows
 from ..sources.sheets import read_sheet
 from ..sources.sinks import write_csv, write_parquet
@@ -33,11 +33,11 @@ def build_dataset(spark: SparkSession, path: str, sheet: str | int = 0) -> Outpu
     return build_from_wide(read_sheet(spark, path, sheet))
 
 
-def save_outputs(outputs: Outputs, folder: str | Path, format: str = "csv", single_file: bool = False) -> None:
+def save_outputs(outputs: Outputs, folder: str, format: str = "csv", single_file: bool = False) -> None:
     """The three frames, ordered by commodity and date; ``single_file`` writes one CSV part each, for people and small panels."""
     for name in ("canonical", "feature_ready", "training_ready"):
         frame = getattr(outputs, name)
         if format == "csv":
-            write_csv(frame, Path(folder) / f"{name}.csv", single_file=single_file)
+            write_csv(frame, joined(folder, f"{name}.csv"), single_file=single_file)
         else:
-            write_parquet(frame, Path(folder) / f"{name}.parquet")
+            write_parquet(frame, joined(folder, f"{name}.parquet"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import csv
+import io
 import json
-from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.gate import Diagnosis
+from .artifacts import Files, joined
 
 
 def _order():
@@ -20,7 +21,7 @@ def panel_order(frame: DataFrame) -> DataFrame:
     return frame.orderBy(*_order())
 
 
-def write_csv(frame: DataFrame, path: str | Path, sort: bool = True, single_file: bool = False) -> None:
+def write_csv(frame: DataFrame, path: str, sort: bool = True, single_file: bool = False) -> None:
     """A folder of CSV parts with headers, globally ordered by commodity and date.
 
     With ``single_file`` one task sorts and writes the rows; a shuffle parts it
@@ -34,24 +35,25 @@ def write_csv(frame: DataFrame, path: str | Path, sort: bool = True, single_file
     own.write.mode("overwrite").option("header", True).csv(str(path))
 
 
-def write_parquet(frame: DataFrame, path: str | Path) -> None:
+def write_parquet(frame: DataFrame, path: str) -> None:
     frame.write.mode("overwrite").parquet(str(path))
 
 
-def write_engineered(frame: DataFrame, folder: str | Path, version: str = "", format: str = "csv") -> Path:
+def write_engineered(frame: DataFrame, folder: str, version: str = "", format: str = "csv") -> str:
     """The frame with its engineered features (and a version's labels) as ``feature_engineered[_version]``."""
-    path = Path(folder) / ("feature_engineered" + (f"_{version}" if version else "") + f".{format}")
+    path = joined(folder, "feature_engineered" + (f"_{version}" if version else "") + f".{format}")
     (write_csv if format == "csv" else write_parquet)(frame, path)
     return path
 
 
-def write_rows(rows: list[dict], path: Path) -> None:
-    """Small rows that are on the driver already, as one CSV file."""
-    with path.open("w", newline="", encoding="utf-8") as out:
-        if rows:
-            writer = csv.DictWriter(out, list(rows[0]))
-            writer.writeheader()
-            writer.writerows(rows)
+def csv_text(rows: list[dict]) -> str:
+    """Small rows that are on the driver already, as the text of a CSV file."""
+    out = io.StringIO(newline="")
+    if rows:
+        writer = csv.DictWriter(out, list(rows[0]))
+        writer.writeheader()
+        writer.writerows(rows)
+    return out.getvalue()
 
 
 def _coverage(features: list[dict], targets: list[dict]) -> list[dict]:
@@ -88,15 +90,14 @@ def markdown_report(found: Diagnosis) -> str:
     return "\n".join(out)
 
 
-def write_diagnostics(found: Diagnosis, folder: str | Path) -> dict[str, Path]:
-    """JSON summary, Markdown report and five CSV files; what was written, by name."""
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
+def write_diagnostics(spark: SparkSession, found: Diagnosis, folder: str) -> dict[str, str]:
+    """JSON summary, Markdown report and five CSV files, at a folder or URI; what was written, by name."""
+    files = Files(spark)
+    files.make_folder(str(folder))
     s = found.sections
     tables = {"gap_csv": s["gaps"], "coverage_csv": _coverage(s["features"], s["targets"]), "windows_csv": s["windows"], "class_balance_csv": s["balance"], "match_quality_csv": s["match_by_commodity"]}
-    paths = {"json": folder / "summary.json", "markdown": folder / "report.md"} | {k: folder / f"{k.removesuffix('_csv')}.csv" for k in tables}
-    paths["json"].write_text(json.dumps(found.to_dict(), indent=2, sort_keys=True), encoding="utf-8")
-    paths["markdown"].write_text(markdown_report(found), encoding="utf-8")
-    for k, rows in tables.items():
-        write_rows(rows, paths[k])
-    return paths
+    texts = {"json": ("summary.json", json.dumps(found.to_dict(), indent=2, sort_keys=True)), "markdown": ("report.md", markdown_report(found))}
+    texts |= {k: (f"{k.removesuffix('_csv')}.csv", csv_text(rows)) for k, rows in tables.items()}
+    for name, text in texts.values():
+        files.write_text(joined(folder, name), text)
+    return {k: joined(folder, name) for k, (name, _) in texts.items()}
