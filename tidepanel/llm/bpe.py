@@ -348,7 +348,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text", id_column:
     """Encode and decode every text of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256, ids (null unless ``with_ids``).
 
     ``docs`` must be a table as read (projected or filtered at most), for it
-    is read twice; a checksum of each block guards against changes between.
+    is read three times, once for its size; a checksum of each block guards against changes between.
     The result is a table in the shared folder.
     """
     spark = docs.sparkSession

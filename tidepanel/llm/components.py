@@ -1,9 +1,9 @@
 """Connected components over an edge table, by alternating large-star and small-star.
 
 Both steps are a minimum for each node (summed before the shuffle) and a join
-back, so a hub with a third of all edges is no group in one task: the minimum
-is pre-aggregated and the join may be split; it merges, as minima grow with the
-nodes and are never broadcast. Each round is written to the shared folder. Only
+back. The edges of a hub are one key of that join: adaptive execution splits such
+a key from its threshold on (256 MB by default), below that one task has them.
+The join merges, as minima grow with the nodes and are never broadcast. Each round is written to the shared folder. Only
 DataFrame operations; nothing is collected but two sums.
 """
 

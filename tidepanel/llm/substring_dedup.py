@@ -336,7 +336,7 @@ def removals(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "text", id
     """doc_id, n_words, n_removed and kept_sha256 (of the kept words, joined by blanks) of every row.
 
     ``docs`` must be a table as read (projected or filtered at most): it is
-    read twice, and a checksum of each block guards against changes between.
+    read three times, once for its size, and a checksum of each block guards against changes between.
     """
     return _run(docs, window, text, id_column, True)
 
