@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLASSES, DEFAULT_LAGS, DEFAULT_LEADS, PRICE_FEATURES, STABLE_BAND, TARGET_VALUES, TIERS, Lag, Lead
 from ..functions import calendar as C
 from ..functions import exprs as E
+from .runs import CHUNK_DAYS, day_gaps, longest_runs
 
 STATS = ["price_idr", "price_change_1d_pct", "price_change_7d_pct", "price_change_30d_pct", "target_7d_inflation_pct", "target_30d_inflation_pct"]
 
@@ -42,17 +43,16 @@ def unexpected_commodities(frame: DataFrame, allowed) -> DataFrame:
     return frame.where(F.col("commodity").isNotNull() & ~F.col("commodity").isin(list(allowed))).select("commodity").distinct()
 
 
-def gap_metrics(frame: DataFrame) -> DataFrame:
+def gap_metrics(frame: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """Observation counts, spans and gaps between distinct dates of each commodity."""
-    days = _keyed(frame).where(F.col("date").isNotNull()).select("commodity", C.day().alias("d")).distinct()
-    gaps = days.withColumn("gap", F.col("d") - F.lag("d").over(Window.partitionBy("commodity").orderBy("d")))
-    over = lambda n: F.count_if(F.col("gap") > n).alias(f"gap_gt_{n}_count")
+    gaps = day_gaps(_keyed(frame), "commodity", chunk_days)
+    over = lambda n: F.coalesce(F.sum(F.when(F.col("gap") > n, F.col("n"))), F.lit(0)).alias(f"gap_gt_{n}_count")
     zero = lambda x, name: F.coalesce(x, F.lit(0.0)).alias(name)
     out = gaps.groupBy("commodity").agg(
-        F.count("*").alias("observation_count"),
-        (F.max("d") - F.min("d") + 1).cast("bigint").alias("span_days"),
-        zero(F.percentile("gap", F.lit(0.5)), "gap_median"),
-        zero(F.percentile("gap", F.lit(0.9)), "gap_p90"),
+        F.sum("n").alias("observation_count"),
+        (F.max("last_day") - F.min("first_day") + 1).cast("bigint").alias("span_days"),
+        zero(F.percentile("gap", F.lit(0.5), F.col("n")), "gap_median"),
+        zero(F.percentile("gap", F.lit(0.9), F.col("n")), "gap_p90"),
         zero(F.max("gap").cast("double"), "gap_max"),
         *(over(n) for n in (1, 3, 7, 30)),
     )
@@ -208,14 +208,10 @@ def distribution_summary(frame: DataFrame) -> DataFrame:
     return _by_commodity(frame, _distribution_columns())
 
 
-def flat_runs(frame: DataFrame) -> DataFrame:
+def flat_runs(frame: DataFrame, chunk_days: int = CHUNK_DAYS) -> DataFrame:
     """The longest run of equal prices in rows: 1 without a repeat, 0 without a price; a missing price breaks a run."""
-    order = Window.partitionBy("commodity").orderBy(F.asc_nulls_last("date"))
-    own = _keyed(frame).select("commodity", "date", E.numeric("price_idr").alias("p"))
-    same = own.withColumn("same", F.coalesce(F.col("p") == F.lag("p").over(order), F.lit(False)))
-    island = same.withColumn("island", F.sum(F.when(F.col("same"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = island.groupBy("commodity", "island").agg(F.count_if("same").alias("repeats"), F.count("p").alias("prices"))
-    return runs.groupBy("commodity").agg(F.when(F.sum("prices") == 0, 0).otherwise(F.max("repeats") + 1).cast("bigint").alias("max_flatline_segment_days"))
+    runs = longest_runs(_keyed(frame), "commodity", E.numeric("price_idr"), chunk_days)
+    return runs.select("commodity", F.when(F.col("n_values") == 0, 0).otherwise(F.col("longest")).cast("bigint").alias("max_flatline_segment_days"))
 
 
 def structural_jumps(frame: DataFrame, threshold: float = 8.0) -> DataFrame:
