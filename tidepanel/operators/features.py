@@ -127,7 +127,12 @@ def time_split(frame: DataFrame, target: str = "target_7d_class", train: float =
 def quantile_bounds(frame: DataFrame, value: str, stable_share: float, split: str = "train") -> tuple[float | None, float | None]:
     """(low, high): exact quantiles of the train rows that leave ``stable_share`` between them, computed at once."""
     tail = (1 - stable_share) / 2
-    low, high = exact_quantiles(frame.where(F.col("split") == split), {value: [tail, 1 - tail]})[value]
+    # Each counting round reads the values; the windows behind them are computed once.
+    values = frame.where(F.col("split") == split).select(value).persist()
+    try:
+        low, high = exact_quantiles(values, {value: [tail, 1 - tail]})[value]
+    finally:
+        values.unpersist()
     return low, high
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CLASSES, TARGET_VALUES, TIERS, DiagnosticsConfig
+from ..sources.shared import written
 from . import diagnostics as D
 from .checks import duplicate_pairs
 
@@ -139,6 +140,19 @@ def rule_frames(canonical: DataFrame, training: DataFrame, config: DiagnosticsCo
     }
 
 
+def judged(canonical: DataFrame, training: DataFrame, config: DiagnosticsConfig) -> DataFrame:
+    """``rule_rows`` of a panel and its features, computed at once: both are read by all rules and computed once.
+
+    The few judged rows are kept in the shared folder.
+    """
+    canonical, training = canonical.persist(), training.persist()
+    try:
+        return written(rule_rows(rule_frames(canonical, training, config), config), "rules")
+    finally:
+        canonical.unpersist()
+        training.unpersist()
+
+
 def section_frames(canonical: DataFrame, training: DataFrame, rules: dict[str, DataFrame], config: DiagnosticsConfig) -> dict[str, DataFrame]:
     """The frames of a diagnosis; most choose columns of those that the rules read."""
     section = D.section_columns()

@@ -535,8 +535,7 @@ _VERDICT = f"CASE WHEN {_BEYOND.format(b='fail_bound')} THEN 'FAIL' WHEN {_BEYON
 @query(on_ready(f"SELECT rule, subject, round(value, 4) AS value, warn_bound, fail_bound, above, {_VERDICT} AS verdict FROM ({' UNION ALL '.join(_RULE_ROWS)})"))
 def readiness_rules(spark, sf):
     config = DiagnosticsConfig(allowed_commodities=("1-URGENT", "2-HIGH", "3-MEDIUM"))
-    frames = gate.rule_frames(panel(spark, sf), ready(spark, sf), config)
-    return rounded(gate.rule_rows(frames, config), 4)
+    return rounded(gate.judged(panel(spark, sf), ready(spark, sf), config), 4)
 
 
 # --- analytics ------------------------------------------------------------------------
