@@ -12,7 +12,7 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ..config import BINARY_FEATURES, CLASSES, INPUT_CONTRACT, MODEL_FEATURES, NUMERIC_FEATURES, REQUIRED_COLUMNS, TARGET_VALUES
+from ..config import BINARY_FEATURES, CLASSES, INPUT_CONTRACT, MODEL_FEATURES, NUMERIC_FEATURES, REQUIRED_COLUMNS, STABLE_BAND, TARGET_VALUES
 from ..operators import analytics as A
 from ..operators import diagnostics as D
 from ..operators import features as P
@@ -22,8 +22,11 @@ from ..operators.boosting import Boosted, Tree, binned, histogram
 from ..operators.checks import bad_price_rows as bad_prices
 from ..operators.positions import join_by_position
 from ..operators.service import InferenceService, training_summary
-from ..sources.panels import table
-from .queries import _ANGLES, _FOLDS, _TARGETS, ERRORS, LABELLED, PANEL, READY, REGIME, SPLIT, WINDOWS, _label, labelled, on_ready, panel, query, ready, rounded, scored, sql
+from ..sources.panels import panel_of_orders, table, with_gaps
+from ..sources.shared import shared_folder
+from ..sources.stages import Stages
+from .bundles import BANDS, label_designs, prepared_stages
+from .queries import SQL, _ANGLES, _FOLDS, _TARGETS, ERRORS, LABELLED, PANEL, READY, REGIME, SPLIT, WINDOWS, _label, labelled, on_ready, panel, query, ready, rounded, scored, sql
 
 #: Logits of a model with fixed coefficients; missing values count as zero.
 _LOGITS = {
@@ -318,3 +321,28 @@ def position_join(spark, sf):
     rows = panel(spark, sf)
     other = rows.where("price_idr is not null").select(F.col("date").alias("other_date"), F.col("commodity").alias("other_name"), F.col("price_idr").alias("other_price"))
     return join_by_position(rows.select("date", "commodity"), other, ["date", "commodity"], ["other_name", "other_date"]).drop("other_name")
+
+
+# --- kept stages ------------------------------------------------------------------------
+
+
+def training_of_orders(orders):
+    return P.training_ready(with_gaps(panel_of_orders(orders)), check=False)
+
+
+def _kept_stages(spark, sf):
+    """Stages over orders in the shared folder; a second query reads what a first one made of the same files."""
+    stages = Stages(spark, shared_folder(spark) + "/stages")
+    return stages, prepared_stages(stages, stages.source(f"{sf}/orders.parquet"), training_of_orders, "target_7d_class", STABLE_BAND)
+
+
+@query(sql("SELECT date, commodity, split, target_7d_class, target_30d_class, round(price_zscore_30d, 4) AS price_zscore_30d FROM features JOIN (SELECT date, commodity, split FROM split) USING (date, commodity)", PANEL, WINDOWS, READY, LABELLED, SPLIT, _FEATURES))
+def prepared_bundle(spark, sf):
+    _, kept = _kept_stages(spark, sf)
+    return kept["prepared"].value.select("date", "commodity", "split", "target_7d_class", "target_30d_class", F.round("price_zscore_30d", 4).alias("price_zscore_30d"))
+
+
+@query(SQL["label_scheme_summary"])
+def relabeling_bundle(spark, sf):
+    stages, kept = _kept_stages(spark, sf)
+    return rounded(stages.table("relabeling", label_designs, kept["prepared"], value="target_30d_inflation_pct", bands=list(BANDS)).value)

@@ -28,8 +28,12 @@ def _panel(rows: DataFrame, key, date, price) -> DataFrame:
     return rows.groupBy(F.to_date(date).alias("date"), key.alias("commodity")).agg(F.max(price).alias("price_idr")).where("commodity is not null and date is not null")
 
 
+def panel_of_orders(orders: DataFrame) -> DataFrame:
+    return _panel(orders, F.col("o_orderpriority"), "o_orderdate", "o_totalprice")
+
+
 def orders_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _panel(table(spark, sf_dir, "orders"), F.col("o_orderpriority"), "o_orderdate", "o_totalprice")
+    return panel_of_orders(table(spark, sf_dir, "orders"))
 
 
 def lineitem_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
