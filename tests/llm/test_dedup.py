@@ -5,9 +5,11 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
-from tidepanel.llm import simhash, substring_dedup
+from tidepanel.llm import components, simhash, substring_dedup
 from tidepanel.llm.components import connected_components
+from tidepanel.llm.tables import settings
 
 RNG = random.Random(4)
 VOCABULARY = [f"w{k}" for k in range(400)]
@@ -181,3 +183,30 @@ def test_components_of_paths_stars_and_loops(spark):
     want = dict.fromkeys(range(100, 161), 100) | dict.fromkeys([7, *range(200, 260)], 7) | {1: 1, 2: 1}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_a_hub_is_dealt_to_many_tasks(spark):
+    """Of a hub's 20,000 arcs no partition of the join has more than a few parts of SPREAD."""
+    star = spark.range(1, 20_001).selectExpr("0L as u", "id as v").union(spark.range(1, 20_001).selectExpr("id as u", "0L as v"))
+    with settings(spark, spark__sql__shuffle__partitions="32", spark__sql__adaptive__enabled="false"):
+        placed = components._with_lowest(star)
+        sizes = [r["n"] for r in placed.where("u = 0").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 20_000 / 5
+        assert placed.where("m <> 0").count() == 0
+
+
+def test_components_against_union_find(spark):
+    rng = random.Random(12)
+    edges = [(0, k) for k in range(1, 300)] + [(rng.randrange(300, 900), rng.randrange(300, 900)) for _ in range(420)] + [(k, k + 1) for k in range(900, 1000)]
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        parent[high] = low
+    got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long"), "a", "b").collect()}
+    assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}

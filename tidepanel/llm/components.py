@@ -1,10 +1,12 @@
 """Connected components over an edge table, by alternating large-star and small-star.
 
-Both steps are a minimum for each node (summed before the shuffle) and a join
-back. The edges of a hub are one key of that join: adaptive execution splits such
-a key from its threshold on (256 MB by default), below that one task has them.
-The join merges, as minima grow with the nodes and are never broadcast. Each round is written to the shared folder. Only
-DataFrame operations; nothing is collected but two sums.
+Both steps are a minimum for each node and a join back. A node's arcs are dealt
+to ``SPREAD`` parts by their other end: minima are taken in the parts, then over
+them, and come back to the parts, so that of a hub's arcs no task has more than
+about one in ``SPREAD``, and from node to node at most ``SPREAD`` rows travel. All
+joins merge, as minima grow with the nodes and are never broadcast. Each round is
+written to the shared folder. Only DataFrame operations; nothing is collected but
+two sums.
 """
 
 from __future__ import annotations
@@ -16,23 +18,28 @@ from .tables import drop, materialize
 
 #: Rounds grow with the logarithm of the longest path; this many mean a fault.
 MAX_ROUNDS = 60
+#: Parts of a node's arcs.
+SPREAD = 32
 
 
-def _lowest(arcs: DataFrame) -> DataFrame:
-    """arcs (u, v) to the lowest of u and its neighbours."""
-    return arcs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+def _with_lowest(arcs: DataFrame) -> DataFrame:
+    """arcs (u, v) with m, the lowest of u and its neighbours."""
+    dealt = arcs.withColumn("r", F.pmod(F.xxhash64("v"), F.lit(SPREAD))).repartition("u", "r")
+    # Parts and arcs share the exchange.
+    parts = dealt.groupBy("u", "r").agg(F.min("v").alias("m"))
+    low = parts.groupBy("u").agg(F.min("m").alias("m"))
+    back = parts.select("u", "r").join(low.hint("merge"), "u").select("u", "r", F.least("u", "m").alias("m"))
+    return dealt.join(back.hint("merge"), ["u", "r"]).select("u", "v", "m")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     arcs = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return arcs.where("v > u").join(_lowest(arcs).hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return _with_lowest(arcs).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """edges have u > v."""
-    low = edges.groupBy("u").agg(F.min("v").alias("m"))
-    both = edges.join(low.hint("merge"), "u")
-    return both.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
+    """edges have u > v and differ, so just one of a node's has v = m."""
+    return _with_lowest(edges).select(F.when(F.col("v") != F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _mark(edges: DataFrame) -> tuple:
