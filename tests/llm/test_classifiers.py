@@ -51,7 +51,7 @@ def test_sample_is_bounded(spark):
 
 
 def test_no_language_is_left_out(spark, monkeypatch):
-    monkeypatch.setattr(language_id, "fit", lambda x, names: names)
+    monkeypatch.setattr(language_id, "fit", lambda spark, x, names: names)
     docs = spark.range(450 * 30).selectExpr("id as doc_id", "concat('some words ', char(97 + id % 26)) as text", "concat('l', id % 450) as lang")
     learned = language_id.learn(docs)
     assert len(set(learned)) == 450 and len(learned) == 450 * 30
@@ -59,6 +59,46 @@ def test_no_language_is_left_out(spark, monkeypatch):
     assert len(set(fewer)) == 450 and 450 * 12 < len(fewer) < 450 * 20
 
 
+def made_language(rng):
+    """Words over a few syllables of its own."""
+    syllables = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=2)) for _ in range(14)]
+    return ["".join(rng.choices(syllables, k=3)) for _ in range(40)]
+
+
+def test_many_unknown_languages(spark):
+    rng = random.Random(8)
+    words = {f"x{k:02d}": made_language(rng) for k in range(50)}
+    rows = [(k, " ".join(rng.choices(words[c], k=40)), c) for k, c in enumerate(list(words) * 24)]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(c for f in model.families.values() for c in f) == sorted(words)
+    assert max(map(len, model.families.values())) <= 8 and len(model.weights) < 50 * 8 / 2 + 16
+    fresh = [(k, " ".join(rng.choices(words[c], k=20)), c) for k, c in enumerate(list(words) * 4)]
+    got = language_id.predict(spark.createDataFrame(fresh, "doc_id long, text string, lang string"), model, ["lang"]).collect()
+    assert np.mean([r["lang"] == r["lang_pred"] for r in got]) >= 0.95
+
+
+def test_groups_of_like_profiles():
+    rng = np.random.default_rng(4)
+    centres = np.eye(4, 30)
+    means = np.repeat(centres, 4, axis=0) + rng.normal(size=(16, 30)) / 50
+    assert sorted(language_id.like_groups(means, 4)) == [[0, 1, 2, 3], [4, 5, 6, 7], [8, 9, 10, 11], [12, 13, 14, 15]]
+    assert sorted(map(len, language_id.like_groups(np.ones((11, 3)), 4))) == [2, 3, 3, 3]
+    assert language_id.like_groups(np.ones((1, 3)), 1) == [[0]]
+
+
+def test_tasks_fit_as_the_driver_would(spark):
+    rng = np.random.default_rng(9)
+    x = rng.random((60, language_id.FEATURES)).astype(np.float16)
+    names = ["en", "de", "es"] * 20
+    model = language_id.fit(spark, x, names)
+    wide, of = x.astype(np.float32), np.array(names)
+    assert model.names == ["germanic", "romance"]
+    rest = language_id.linear_svm(wide, np.where(of == "es", 1, -1))
+    own = np.flatnonzero(of != "es")
+    pair = language_id.linear_svm(wide[own], np.where(of[own] == "de", 1, -1))
+    assert np.allclose(model.weights[1], rest, atol=1e-5) and np.allclose(model.weights[2], pair, atol=1e-5)
+
+
 def test_svm_separates():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(300, 5)).astype(np.float32)

@@ -10,10 +10,14 @@ Learning takes every language, and at most about ``SAMPLE`` documents of each,
 drawn by a hash of the id from all that may be learned from; from more than
 ``SAMPLE_TOTAL / SAMPLE`` languages on it takes fewer of each, so that about
 ``SAMPLE_TOTAL`` documents are collected, but never fewer than ``SAMPLE_LEAST``.
-Features are made on the executors. The machines are fitted on the driver by dual coordinate descent.
-
-Null texts and texts without a letter are ``und`` with score 0. A language
-without a known family is a family of its own. Without anything to learn from
+Features are made on the executors, and so are the machines, each fitted by
+dual coordinate descent in one task from the broadcast profiles (8 KB a document).
+A language without a known family goes into a group of like ones: the languages'
+mean profiles are halved along their principal axis until a group has at most
+about the square root of them. So n such languages need some n * sqrt(n) / 2
+machines, and a text is held against the families and one group's pairs only.
+
+Null texts and texts without a letter are ``und`` with score 0. Without anything to learn from
 every text is ``und``. Texts of any length are read whole; a text's profile
 takes some 30 times its size while it is counted. Repeated rows give a row
 each, and teach once for each id; ties go to the language that sorts first.
@@ -22,16 +26,18 @@ Empty tables give empty results; extra columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .blocks import slices, text_bytes, tidy
+from .tables import shuffle_partitions
 
 FEATURES = 4096
 SAMPLE = 800
@@ -62,8 +68,8 @@ _LETTER = regex.compile(r"\p{L}")
 _BLANK = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
-def family_of(language: str) -> str:
-    return _FAMILY.get(language.lower().replace("_", "-").split("-")[0], f"={language}")
+def family_of(language: str) -> str | None:
+    return _FAMILY.get(language.lower().replace("_", "-").split("-")[0])
 
 
 def features(text: bytes) -> np.ndarray | None:
@@ -114,15 +120,18 @@ class Model:
         self.pairs = pairs
         self.weights = weights  # families first (unless there is but one), then each family's pairs
 
+    def _margins(self, first: int, end: int, x: np.ndarray) -> np.ndarray:
+        return self.weights[first:end, :-1] @ x + self.weights[first:end, -1]
+
     def predict(self, x: np.ndarray | None) -> tuple[str, float]:
         if x is None or not self.names:
             return UNDETERMINED, 0.0
-        margins = self.weights[:, :-1] @ x + self.weights[:, -1]
         at, sure, family = 0, 1.0, self.names[0]
         if len(self.names) > 1:
             at = len(self.names)
-            belief = _logistic(margins[:at])
-            best = int(margins[:at].argmax())
+            margins = self._margins(0, at, x)
+            belief = _logistic(margins)
+            best = int(margins.argmax())
             family, sure = self.names[best], float(belief[best] / belief.sum())
         for name in self.names:
             if name == family:
@@ -132,8 +141,7 @@ class Model:
         if len(languages) == 1:
             return languages[0], sure
         votes, belief = np.zeros(len(languages)), np.zeros(len(languages))
-        for k, (i, j) in enumerate(self.pairs[family]):
-            m = margins[at + k]
+        for m, (i, j) in zip(self._margins(at, at + len(self.pairs[family]), x), self.pairs[family], strict=True):
             votes[i if m >= 0 else j] += 1
             belief[i] += _logistic(m)
             belief[j] += 1 - _logistic(m)
@@ -141,21 +149,78 @@ class Model:
         return languages[best], sure * float(belief[best] / (len(languages) - 1))
 
 
-def fit(x: np.ndarray, languages: list[str]) -> Model:
-    """Learn from profiles and their languages."""
-    names = np.array(languages, object)
+def like_groups(means: np.ndarray, size: int) -> list[list[int]]:
+    """Rows in groups of at most ``size``, by halving along the principal axis; ties go by place."""
+
+    def halve(own: list[int]) -> list[list[int]]:
+        if len(own) <= size:
+            return [sorted(own)]
+        x = means[own] - means[own].mean(0)
+        axis = np.linalg.eigh((x @ x.T).astype(np.float64))[1][:, -1]
+        # An axis has no sign of its own.
+        axis = axis * np.sign(axis[np.abs(axis).argmax()])
+        order = [own[i] for i in np.argsort(np.round(axis, 9), kind="stable")]
+        return halve(order[: len(order) // 2]) + halve(order[len(order) // 2 :])
+
+    return halve(list(range(len(means))))
+
+
+def group_languages(x: np.ndarray, names: np.ndarray) -> dict[str, list[str]]:
+    """Families of the languages that occur: the known ones, and groups of like ones for the rest."""
     families: dict[str, list[str]] = {}
-    for language in sorted(set(languages)):
-        families.setdefault(family_of(language), []).append(language)
-    of = np.array([family_of(language) for language in languages], object)
-    rows = [linear_svm(x, np.where(of == f, 1, -1)) for f in sorted(families)] if len(families) > 1 else []
+    unknown = []
+    for language in sorted(set(names)):
+        if family := family_of(language):
+            families.setdefault(family, []).append(language)
+        else:
+            unknown.append(language)
+    if unknown:
+        means = np.array([x[names == language].mean(0, dtype=np.float32) for language in unknown])
+        for k, group in enumerate(like_groups(means, math.ceil(math.sqrt(len(unknown))))):
+            families[f"~{k:06d}"] = [unknown[i] for i in group]
+    return families
+
+
+def _fit_some(sent, parts: int):
+    """A row k fits the machines k, k + parts, and so on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x, code, machines = sent.value
+        for batch in batches:
+            for first in batch.column(0).to_pylist():
+                for m in range(first, len(machines), parts):
+                    positive, negative = machines[m]
+                    against = np.ones(len(code), bool) if negative is None else np.isin(code, negative)
+                    mine = np.isin(code, positive)
+                    own = np.flatnonzero(mine | against)
+                    w = linear_svm(x[own].astype(np.float32), np.where(mine[own], 1, -1))
+                    yield pa.RecordBatch.from_arrays([pa.array([m], pa.int64()), pa.array([w.tobytes()], pa.binary())], names=["machine", "weights"])
+
+    return run
+
+
+def fit(spark: SparkSession, x: np.ndarray, languages: list[str]) -> Model:
+    """Learn from profiles (half precision will do) and their languages; the machines are dealt to tasks."""
+    names = np.array(languages, object)
+    families = group_languages(x, names)
+    number = {language: k for k, language in enumerate(sorted(set(languages)))}
+    code = np.array([number[language] for language in languages], np.int32)
+    # A machine holds some languages against others, or against all the rest.
+    machines: list[tuple[list[int], list[int] | None]] = []
+    if len(families) > 1:
+        machines += [([number[c] for c in families[f]], None) for f in sorted(families)]
     pairs = {}
     for f in sorted(families):
         pairs[f] = list(combinations(range(len(families[f])), 2))
-        for i, j in pairs[f]:
-            own = np.flatnonzero((names == families[f][i]) | (names == families[f][j]))
-            rows.append(linear_svm(x[own], np.where(names[own] == families[f][i], 1, -1)))
-    return Model(families, np.array(rows, np.float32).reshape(-1, FEATURES + 1), pairs)
+        machines += [([number[families[f][i]]], [number[families[f][j]]]) for i, j in pairs[f]]
+    weights = np.zeros((len(machines), FEATURES + 1), np.float32)
+    if machines:
+        parts = min(len(machines), max(spark.sparkContext.defaultParallelism, shuffle_partitions(spark)))
+        sent = spark.sparkContext.broadcast((x.astype(np.float16), code, machines))
+        for r in spark.range(0, parts, 1, parts).mapInArrow(tidy(_fit_some(sent, parts)), "machine long, weights binary").collect():
+            weights[r["machine"]] = np.frombuffer(r["weights"], np.float32)
+        sent.unpersist()
+    return Model(families, weights, pairs)
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +259,7 @@ def learn(docs: DataFrame, sample: int = SAMPLE, text: str = "text", lang: str =
             kept.append(r)
     if not kept:
         return Model({}, np.zeros((0, FEATURES + 1), np.float32), {})
-    return fit(np.array([np.frombuffer(r["profile"], np.float16) for r in kept], np.float32), [r["lang"] for r in kept])
+    return fit(docs.sparkSession, np.array([np.frombuffer(r["profile"], np.float16) for r in kept]), [r["lang"] for r in kept])
 
 
 def _predict(sent, source: str, names: list[str], out: list[str]):
