@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidepanel.operators import analytics as A
 from tidepanel.operators import grouped as G
 
 SHARES = {"low": 0.0, "q": 0.25, "mid": 0.5, "most": 0.9, "high": 1.0}
@@ -41,3 +42,15 @@ def test_infinite_values_and_empty_frames(spark):
     with pytest.raises(Exception, match="infinite"):
         G.grouped_quantiles(spark.createDataFrame([("a", float("inf"))], "g string, x double"), ["g"], "x", SHARES).collect()
     assert G.grouped_quantiles(spark.createDataFrame([], "g string, x double"), ["g"], "x", SHARES).collect() == []
+
+
+def test_boxes_of_groups(spark):
+    rows = [("a", k * k % 101 + 0.5) for k in range(300)] + [("b", 4.0), ("c", None), (None, 1.0), (None, 2.0)]
+    table = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: tuple(r)[1:] for r in A.box_stats(table, "x", "g").collect()}
+    own = np.array([x for g, x in rows if g == "a"])
+    assert got["a"] == pytest.approx(tuple(np.quantile(own, [0, 0.25, 0.5, 0.75, 1])))
+    assert got["b"] == (4.0,) * 5 and got["c"] == (None,) * 5 and got[None] == (1.0, 1.25, 1.5, 1.75, 2.0)
+    assert A.box_stats(table.limit(0), "x", "g").count() == 0
+    by_itself = {r["x"]: r["median"] for r in A.box_stats(table.where("g = 'b'"), "x", "x").collect()}
+    assert by_itself == {4.0: 4.0}

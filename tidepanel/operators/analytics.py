@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..config import BINARY_FEATURES, CATEGORICAL_FEATURES, CLASSES, TARGET_VALUES, TIME_COLUMNS
 from ..functions import exprs as E
+from ..sources.shared import forget, written
+from .grouped import grouped_quantiles
 from .quantiles import exact_quantiles
 
 
@@ -174,5 +176,12 @@ def histogram(frame: DataFrame, value: str, bins: int = 40) -> DataFrame:
 
 
 def box_stats(frame: DataFrame, value: str, by: str) -> DataFrame:
-    q = lambda x: F.percentile(F.col(value).cast("double"), F.lit(x))
-    return frame.groupBy(by).agg(F.min(value).alias("low"), q(0.25).alias("q1"), q(0.5).alias("median"), q(0.75).alias("q3"), F.max(value).alias("high"))
+    """Least, largest and exact quartiles of each group, however large a group is; null where it has no value.
+
+    The two columns are written once, as several counts read them; infinite values are an error.
+    """
+    v = f"{value}_" if value.lower() == by.lower() else value
+    own = written(frame.select(by, F.col(value).cast("double").alias(v)), "boxes")
+    found = written(grouped_quantiles(own, [by], v, {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}), "box-stats")
+    forget(own)
+    return found
